@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from sensorloom import constants as C
 
 # Date, 'T' or blank, time to the second, optional fraction and zone.
-ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
 
 
-def is_anomaly(classification: Column | str = "classification") -> Column:
-    return F.col(classification) == C.ANOMALY if isinstance(classification, str) else classification == C.ANOMALY
+def is_anomaly(classification: str = "classification") -> Column:
+    return F.col(classification) == C.ANOMALY
 
 
 def class_name(flagged: Column) -> Column:
@@ -49,8 +49,7 @@ def iso_text(time: Column | str = "timestamp") -> Column:
 def iso_timestamp(text: Column | str) -> Column:
     """ISO-8601 text to a time without zone; NULL where the text is none."""
     text = F.col(text) if isinstance(text, str) else text
-    parsed = F.try_to_timestamp(F.replace(text, F.lit(","), F.lit("."))).cast("timestamp_ntz")
-    return F.when(text.rlike(ISO_SHAPE), parsed)
+    return F.when(text.rlike(ISO_SHAPE), F.try_to_timestamp(text).cast("timestamp_ntz"))
 
 
 def log_message(device: str = "device_id", classification: str = "classification") -> Column:

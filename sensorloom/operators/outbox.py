@@ -22,13 +22,15 @@ def pending(lines: DataFrame, delivered: DataFrame) -> DataFrame:
 def replay(lines: DataFrame, delivered: DataFrame) -> DataFrame:
     """Records still to be sent, one row per distinct text with its number of copies.
 
-    Copies are counted before the anti join, so a text with very many copies is one row
-    by then, and both sides of the join have unique keys.
+    Copies are counted before the join, so a text with very many copies is one row by
+    then, and both sides of the join have unique keys. It is written as an outer join, as
+    an anti join would be moved below the count, where such a text fills one task.
     """
     counted = lines.groupBy(F.trim("value").alias("text")).agg(F.count("*").alias("copies"))
-    done = delivered.select(F.trim("value").alias("text")).distinct()
+    done = delivered.select(F.trim("value").alias("text")).distinct().withColumn("done", F.lit(True))
     return (
-        counted.join(done, "text", "left_anti")
+        counted.join(done, "text", "left")
+        .filter(F.col("done").isNull())
         .select(F.from_json("text", C.OUTBOX_RECORD).alias("r"), "copies")
         .select("r.*", "copies")
         .withColumn("timestamp", E.iso_timestamp("timestamp"))

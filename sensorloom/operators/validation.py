@@ -12,76 +12,82 @@ from sensorloom.functions.expressions import iso_timestamp
 
 REQUIRED = ("device_id", "temperature", "humidity", "timestamp")
 
-# The raw fields keep their JSON type as variants; text that is no object lands in _bad.
-_FIELDS = ", ".join(f"{name} VARIANT" for name in REQUIRED) + ", _bad STRING"
+# The raw fields keep their JSON type as variants; text that is no object lands in bad.
+_FIELDS = ", ".join(f"{name} VARIANT" for name in REQUIRED) + ", bad STRING"
 
 # Java also reads '1d' and '0x1p3' as numbers, so text has to look like a number first.
 _NUMBER_SHAPE = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
 
 
-def _fields(raw: DataFrame) -> DataFrame:
-    """The message with its raw fields, parsed once.
+def decode_messages(raw: DataFrame) -> DataFrame:
+    """Parse ``value``: each message with its fields, and a ``reason`` if it is bad.
 
-    The fields come out of a generator: filters on them then stay above it, while filters
-    on a projected ``from_json`` would be pushed below and parse the text again for every
-    field they look at.
+    The JSON fields and then their checked values each come out of a generator. Filters
+    on a generator's columns stay above it; filters on projected columns would be pushed
+    down and parse the text again for every field they look at.
     """
-    parsed = F.from_json("value", _FIELDS, {"columnNameOfCorruptRecord": "_bad"})
-    return raw.select("*", F.inline(F.array(parsed)).alias(*[f"_{name}" for name in REQUIRED], "_bad"))
+    parsed = F.from_json("value", _FIELDS, {"columnNameOfCorruptRecord": "bad"})
+    # The parser stops at the end of the object, so the end of the text is looked at too.
+    braces = F.col("value").rlike(r"(?s)^\s*\{.*\}\s*$")
+    checked = {
+        "device_id": _text("device_id"),
+        "temperature": _number("temperature"),
+        "humidity": _number("humidity"),
+        "timestamp": iso_timestamp(_text("timestamp")),
+        "time_text": _text("timestamp"),
+    }
+    carried = raw.columns
+    return (
+        _generate(raw, carried, "m", {"braces": braces, "json": parsed})
+        .transform(_generate, [*carried, "m"], "v", checked)
+        .select(
+            *carried,
+            *[F.col(f"v.{name}").alias(name) for name in REQUIRED],
+            F.col("v.time_text").alias("timestamp_text"),
+            _reason().alias("reason"),
+        )
+    )
 
 
-def _is_object() -> Column:
-    # The parser stops at the end of the object, so what follows it is looked at here.
-    return F.col("_bad").isNull() & F.col("value").rlike(r"^\s*\{") & F.col("value").rlike(r"\}\s*$")
+def _generate(df: DataFrame, carried: list[str], name: str, fields: dict[str, Column]) -> DataFrame:
+    one = F.array(F.struct(*[value.alias(field) for field, value in fields.items()]))
+    return df.select(*carried, F.explode(one).alias(name))
 
 
-def _is(name: str, kind: str) -> Column:
-    return F.schema_of_variant(f"_{name}") == kind
+def _json(name: str) -> Column:
+    return F.col(f"m.json.{name}")
 
 
 def _text(name: str) -> Column:
-    return F.when(_is(name, "STRING"), F.try_variant_get(f"_{name}", "$", "string"))
+    is_text = F.schema_of_variant(_json(name)) == "STRING"
+    return F.when(is_text, F.try_variant_get(_json(name), "$", "string"))
 
 
 def _number(name: str) -> Column:
-    readable = ~_is(name, "STRING") | F.try_variant_get(f"_{name}", "$", "string").rlike(_NUMBER_SHAPE)
-    return F.when(readable, F.try_variant_get(f"_{name}", "$", "double"))
-
-
-def _values() -> dict[str, Column]:
-    return {
-        "device_id": _text("device_id"),
-        "temperature": _number("temperature"),
-        "humidity": _number("humidity"),
-        "timestamp": iso_timestamp(_text("timestamp")),
-    }
+    unreadable = ~_text(name).rlike(_NUMBER_SHAPE)
+    return F.when(~F.coalesce(unreadable, F.lit(False)), F.try_variant_get(_json(name), "$", "double"))
 
 
 def _reason() -> Column:
-    """Why a message is bad; NULL for a good one."""
-    values = _values()
-    reason = F.when(~_is_object(), "malformed_json")
+    reason = F.when(
+        ~F.coalesce("m.braces", F.lit(False)) | F.col("m.json.bad").isNotNull(), "malformed_json"
+    )
     for name in REQUIRED:
-        reason = reason.when(F.col(f"_{name}").isNull() | _is(name, "VOID"), f"missing_{name}")
+        reason = reason.when(_json(name).isNull() | F.is_variant_null(_json(name)), f"missing_{name}")
     for name in REQUIRED:
-        reason = reason.when(values[name].isNull(), f"bad_{name}")
+        reason = reason.when(F.col(f"v.{name}").isNull(), f"bad_{name}")
     return reason
 
 
 def valid_messages(raw: DataFrame) -> DataFrame:
     """The good messages as readings, with the columns that came with the message."""
-    carried = [c for c in raw.columns if c != "value"]
-    return (
-        _fields(raw)
-        .filter(_is_object())
-        .select(*carried, *[value.alias(name) for name, value in _values().items()])
-        .dropna(subset=list(REQUIRED))
-    )
+    decoded = decode_messages(raw).filter(F.col("reason").isNull())
+    return decoded.drop("value", "timestamp_text", "reason")
 
 
 def rejected_messages(raw: DataFrame) -> DataFrame:
     """The bad messages with their text and reason."""
-    return _fields(raw).select(*raw.columns, _reason().alias("reason")).filter(F.col("reason").isNotNull())
+    return decode_messages(raw).filter(F.col("reason").isNotNull()).select(*raw.columns, "reason")
 
 
 def reject_summary(raw: DataFrame) -> DataFrame:
@@ -91,9 +97,7 @@ def reject_summary(raw: DataFrame) -> DataFrame:
 
 def parse_timestamps(raw: DataFrame) -> DataFrame:
     """The time text of every message next to its parsed value (NULL if it is none)."""
-    return _fields(raw).select("id", _text("timestamp").alias("timestamp_text")).withColumn(
-        "parsed", iso_timestamp("timestamp_text")
-    )
+    return decode_messages(raw).select("id", "timestamp_text", F.col("timestamp").alias("parsed"))
 
 
 def complete_records(df: DataFrame, required: list[str]) -> DataFrame:

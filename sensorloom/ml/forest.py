@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
+from sensorloom.session import spread
 
 
 def train(
@@ -17,7 +18,7 @@ def train(
 
     Only the two features and the label are read from the table.
     """
-    labelled = readings.select(*C.FEATURES, E.label())
+    labelled = spread(readings.select(*C.FEATURES, E.label()))
     assembler = VectorAssembler(inputCols=list(C.FEATURES), outputCol="features", handleInvalid="error")
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed

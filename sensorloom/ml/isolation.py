@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
+from sensorloom.session import spread
 
 LEAF = -1
 HASH_RANGE = 1 << 40
@@ -29,6 +30,8 @@ NODES = T.StructType(
     ]
 )
 
+SETTINGS = "sample_size int, cut_off double, features array<string>, trees int, slots int"
+
 
 def average_path(n: int) -> float:
     """Mean depth of an unsuccessful search in a binary search tree of n values."""
@@ -71,12 +74,12 @@ class IsolationModel:
         self.nodes(spark).coalesce(1).write.mode("overwrite").parquet(f"{path}/nodes")
         spark.createDataFrame(
             [(self.sample_size, self.cut_off, list(self.features), *self.feature.shape)],
-            "sample_size int, cut_off double, features array<string>, trees int, slots int",
+            SETTINGS,
         ).write.mode("overwrite").json(f"{path}/settings")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "IsolationModel":
-        s = spark.read.json(f"{path}/settings").first()
+        s = spark.read.schema(SETTINGS).json(f"{path}/settings").first()
         return _pack(
             spark.read.schema(NODES).parquet(f"{path}/nodes"),
             s["trees"],
@@ -109,7 +112,7 @@ def _hash_share(seed: int, *keys: Column | str) -> Column:
 
 
 def draw_samples(
-    readings: DataFrame, trees: int, sample_size: int, seed: int, key: str, features: tuple[str, ...]
+    rows: DataFrame, trees: int, sample_size: int, seed: int, key: str, features: tuple[str, ...]
 ) -> tuple[DataFrame, int]:
     """A sample per tree, without repeats inside a tree: columns tree and the features.
 
@@ -118,7 +121,6 @@ def draw_samples(
     ranked by their hash and dealt to the trees. A table smaller than that is sampled
     for each tree anew.
     """
-    rows = readings.select(key, *features)
     total = rows.count()
     wanted = trees * sample_size
     if total > wanted:
@@ -178,13 +180,14 @@ def train(
 ) -> IsolationModel:
     """Build the trees and set the cut-off that flags the contamination share of the
     training rows."""
-    samples, size = draw_samples(readings, trees, sample_size, seed, key, features)
+    rows = spread(readings.select(key, *features))
+    samples, size = draw_samples(rows, trees, sample_size, seed, key, features)
     if size == 0:
         raise ValueError("no readings to train on")
     height = int(np.ceil(np.log2(max(size, 2))))
     nodes = samples.groupBy("tree").applyInPandas(_tree_builder(seed, features, height), NODES)
     model = _pack(nodes, trees, 2 ** (height + 1) - 1, size, np.nan, features)
-    scores = readings.select(_score_column(model, readings.sparkSession).alias("score"))
+    scores = rows.select(_score_column(model, readings.sparkSession).alias("score"))
     cut_off = scores.agg(F.percentile_approx("score", 1.0 - contamination, 10_000)).first()[0]
     return IsolationModel(
         model.feature, model.threshold, model.path_length, size, float(cut_off), features
@@ -195,19 +198,24 @@ def anomaly_scores(model: IsolationModel, values: np.ndarray) -> np.ndarray:
     """Score of each row in (0, 1); the shorter its paths, the higher."""
     if np.isnan(values).any():
         raise ValueError("features must not be null")
-    slots = model.feature.shape[1]
-    depth = np.zeros(len(values))
+    trees, slots = model.feature.shape
+    levels = slots.bit_length() - 1
     rows = np.arange(len(values))
-    for feature, threshold, path_length in zip(model.feature, model.threshold, model.path_length):
-        node = np.zeros(len(values), dtype=np.int64)
-        level = 0
-        while (2 << level) <= slots:
-            inner = feature[node] != LEAF
-            right = values[rows, np.maximum(feature[node], 0)] > threshold[node]
-            node = np.where(inner, 2 * node + 1 + right, node)
-            level += 1
-        depth += path_length[node]
-    mean_depth = depth / len(model.feature)
+    columns = np.ascontiguousarray(values.T).ravel()
+    # Where a step from each node leads, left and right; a leaf leads to itself.
+    nodes = np.arange(slots)
+    inner = model.feature != LEAF
+    steps = np.stack([np.where(inner, 2 * nodes + 1, nodes), np.where(inner, 2 * nodes + 2, nodes)], axis=2)
+    offset = np.where(inner, model.feature, 0) * len(values)
+    depth = np.zeros(len(values))
+    for tree in range(trees):
+        step, start, threshold = steps[tree].ravel(), offset[tree], model.threshold[tree]
+        node = np.zeros(len(values), dtype=np.intp)
+        for _ in range(levels):
+            right = columns[start[node] + rows] > threshold[node]
+            node = step[2 * node + right]
+        depth += model.path_length[tree][node]
+    mean_depth = depth / trees
     return np.exp2(-mean_depth / max(average_path(model.sample_size), np.finfo(float).tiny))
 
 

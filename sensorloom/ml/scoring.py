@@ -1,16 +1,19 @@
 """Choice of the model: the published forest, else the isolation forest."""
 
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from py4j.protocol import Py4JError
 
 from sensorloom.ml import forest, isolation, registry
 
 FOREST = "random_forest"
 EDGE = "isolation_forest"
 
+# What reading a damaged or missing model folder can raise.
+LOAD_ERRORS = (PySparkException, Py4JError, ValueError, KeyError)
+
 
 def newest_forest(spark: SparkSession, root: str) -> PipelineModel | None:
     """The newest published forest, or None if there is none or it does not load."""
@@ -19,7 +22,8 @@ def newest_forest(spark: SparkSession, root: str) -> PipelineModel | None:
         return None
     try:
         return registry.load(found)
-    except (PySparkException, Py4JError):
+    except LOAD_ERRORS as error:
+        print(f"model version {found.version} did not load: {error}")
         return None
 
 

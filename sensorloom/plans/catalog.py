@@ -156,6 +156,17 @@ def _stream_outbox(spark: SparkSession, folder: str) -> DataFrame:
     return routing.stored_outbox(spark, _routed(spark, folder))
 
 
+def _stream_stored_counters(spark: SparkSession, folder: str) -> DataFrame:
+    return routing.stored_counters(spark, _routed(spark, folder))
+
+
+def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    base = work_dir(spark, "dedup")
+    once = routing.drop_redelivered(views.redelivered_anomalies(_stream(spark, folder)))
+    run(routing.store_scored(once, f"{base}/out"), f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
 def _stream_counters(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "counters")
     run(SA.counters(_stream(spark, folder), f"{base}/out"), f"{base}/checkpoint")
@@ -278,10 +289,8 @@ def _stream_model_switch(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "switch")
     for _ in _landed_halves(spark, folder, base):
         arriving = V.valid_messages(landed_messages(spark, f"{base}/landing"))
-        run(
-            model_switch.score_with_newest(arriving, f"{base}/out", f"{base}/models", edge),
-            f"{base}/checkpoint",
-        )
+        newest = model_switch.NewestModel(f"{base}/models", edge)
+        run(model_switch.score_with_newest(arriving, f"{base}/out", newest), f"{base}/checkpoint")
         retrain(readings, f"{base}/models")
     return model_switch.read_scored(spark, f"{base}/out")
 
@@ -292,6 +301,8 @@ RUN_ONCE = {
     "stream_store_readings",
     "stream_store_anomalies",
     "stream_outbox",
+    "stream_stored_counters",
+    "stream_dedup_anomalies",
     "stream_counters",
     "stream_restart",
     "stream_merge_gateway_state",
@@ -373,6 +384,8 @@ def queries() -> dict[str, Query]:
         "stream_store_readings": _stream_store_readings,
         "stream_store_anomalies": _stream_store_anomalies,
         "stream_outbox": _stream_outbox,
+        "stream_stored_counters": _stream_stored_counters,
+        "stream_dedup_anomalies": _stream_dedup,
         "stream_counters": _stream_counters,
         "stream_restart": _stream_restart,
         "stream_merge_gateway_state": _stream_merge_state,

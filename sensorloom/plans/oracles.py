@@ -368,6 +368,8 @@ FROM stored GROUP BY gateway_id""",
     # A stream gives what its batch form gives.
     return found | {
         "stream_counters": found["gateway_states"],
+        "stream_stored_counters": found["stream_restart"],
+        "stream_dedup_anomalies": found["dedup_anomalies"],
         "stream_merge_gateway_state": found["merge_gateway_state"],
         "stream_records_per_minute": found["records_per_minute"],
         "stream_anomalies_per_minute": found["anomalies_per_minute"],

@@ -10,8 +10,7 @@ def build_session(app: str = "sensorloom", master: str | None = None, **settings
     """A session with UTC times, run-time re-planning and skew handling switched on.
 
     Sizes (shuffle partitions, memory) are left to the cluster's own defaults unless
-    given in ``settings`` (dots written as double underscores are not needed: pass a
-    dict with ``**{"spark.x": "y"}``).
+    given in ``settings``, as in ``build_session(**{"spark.sql.shuffle.partitions": "8"})``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
@@ -57,3 +56,10 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a table of very few partitions to all cores, ahead of work that goes over it
+    many times. A large table has more partitions than cores and is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

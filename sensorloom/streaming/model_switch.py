@@ -12,7 +12,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from sensorloom import constants as C
 from sensorloom.ml import forest, isolation, registry
-from sensorloom.ml.scoring import EDGE, FOREST
+from sensorloom.ml.scoring import EDGE, FOREST, LOAD_ERRORS
 from sensorloom.sources import sinks
 
 SCORED = T.StructType(
@@ -22,7 +22,10 @@ SCORED = T.StructType(
 
 
 class NewestModel:
-    """The model in use on the driver; starts with the edge model as version 0."""
+    """The model in use, held by the driver; starts with the edge model as version 0.
+
+    Called with the readings of a micro-batch it looks for a newer model and scores.
+    """
 
     def __init__(self, root: str, edge: isolation.IsolationModel):
         self.root = root
@@ -32,14 +35,16 @@ class NewestModel:
 
     def refresh(self, spark: SparkSession) -> None:
         found = registry.latest(spark, self.root)
-        if found is not None and found.version > self.version:
-            try:
-                self.forest = registry.load(found)
-                self.version = found.version
-            except Exception as error:  # keep scoring with the model at hand
-                print(f"model version {found.version} did not load: {error}")
+        if found is None or found.version <= self.version:
+            return
+        try:
+            self.forest = registry.load(found)
+            self.version = found.version
+        except LOAD_ERRORS as error:
+            print(f"model version {found.version} did not load: {error}")
 
-    def score(self, readings: DataFrame) -> DataFrame:
+    def __call__(self, readings: DataFrame) -> DataFrame:
+        self.refresh(readings.sparkSession)
         if self.forest is not None:
             scored, kind = forest.score(self.forest, readings), FOREST
         else:
@@ -49,13 +54,9 @@ class NewestModel:
         )
 
 
-def score_with_newest(readings: DataFrame, out: str, root: str, edge: isolation.IsolationModel) -> DataStreamWriter:
-    newest = NewestModel(root, edge)
-
+def score_with_newest(readings: DataFrame, out: str, newest: NewestModel) -> DataStreamWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest.refresh(batch.sparkSession)
-        scored = newest.score(batch).select(*SCORED.fieldNames())
-        sinks.overwrite_batch(scored, out, batch_id)
+        sinks.overwrite_batch(newest(batch).select(*SCORED.fieldNames()), out, batch_id)
 
     return readings.writeStream.foreachBatch(write)
 

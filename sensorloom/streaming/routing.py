@@ -8,10 +8,11 @@ own, so a batch repeated after a failure replaces what it had written.
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from sensorloom import constants as C
-from sensorloom.operators import outbox
+from sensorloom.operators import outbox, state
 from sensorloom.operators import readings as R
 from sensorloom.operators.validation import valid_messages
 from sensorloom.sources import sinks
@@ -29,17 +30,28 @@ def store_scored(scored: DataFrame, out: str) -> DataStreamWriter:
     return scored.writeStream.format("parquet").option("path", out).outputMode("append")
 
 
-def route(messages: DataFrame, out: str, score: Scorer) -> DataStreamWriter:
-    """Score the valid messages and route them to readings, outbox and anomalies."""
+def route(
+    messages: DataFrame, out: str, score: Scorer, devices: DataFrame | None = None
+) -> DataStreamWriter:
+    """Score the valid messages and route them to readings, outbox and anomalies; the
+    gateways' counters are kept as what each micro-batch adds to them.
+
+    With ``devices`` given, readings of devices that are not active are left out. Spark
+    broadcasts the device ids if their stored size is small and shuffles otherwise.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Held for its three writers, so that decoding and scoring run once.
-        scored = score(valid_messages(batch)).select(*C.READING.fieldNames()).persist()
+        readings = valid_messages(batch)
+        if devices is not None:
+            readings = readings.join(devices.filter("active").select("device_id"), "device_id", "left_semi")
+        # Held for its writers, so that decoding and scoring run once.
+        scored = score(readings).select(*C.READING.fieldNames()).persist()
         try:
             flagged = R.anomalies(scored)
             sinks.overwrite_batch_lines(outbox.to_lines(flagged), f"{out}/outbox", batch_id)
             sinks.overwrite_batch(scored, f"{out}/sensor_data", batch_id)
             sinks.overwrite_batch(flagged, f"{out}/anomalies", batch_id)
+            sinks.overwrite_batch(state.current_counters(scored), f"{out}/counters", batch_id)
         finally:
             scored.unpersist()
 
@@ -56,3 +68,26 @@ def stored_anomalies(spark: SparkSession, out: str) -> DataFrame:
 
 def stored_outbox(spark: SparkSession, out: str) -> DataFrame:
     return sinks.read_batch_lines(spark, f"{out}/outbox")
+
+
+def stored_counters(spark: SparkSession, out: str) -> DataFrame:
+    """The gateway state: what all micro-batches added, a few rows each."""
+    return (
+        sinks.read_batches(spark, f"{out}/counters", C.GATEWAY_STATE)
+        .groupBy("gateway_id")
+        .agg(
+            *[F.sum(n).alias(n) for n in ("version", "total_processed", "total_anomalies")],
+            F.max("last_updated").alias("last_updated"),
+        )
+    )
+
+
+def drop_redelivered(anomalies: DataFrame, lateness: str = "1 hour") -> DataFrame:
+    """A stream of anomalies without the copies of repeated delivery, as long as a copy
+    comes within ``lateness`` of the first; state older than that is dropped."""
+    return (
+        anomalies.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+        .withWatermark("event_time", lateness)
+        .dropDuplicatesWithinWatermark(["id"])
+        .drop("event_time")
+    )

@@ -19,10 +19,11 @@ RECENT_LOG_ROWS = 20
 SCATTER_ROWS = 200
 SCORING_INTERVAL = "500 milliseconds"
 STATE_INTERVAL = "3 seconds"
+MODEL_CHECK_SECONDS = 10.0
 FOREST_TREES = 50
 FOREST_DEPTH = 5
 CONTAMINATION = 0.05
-ISOLATION_SEED = 42
+MODEL_SEED = 42
 FEATURES = ("temperature", "humidity")
 DEVICE_PREFIX = "sensor_"
 LOG_ARROW = " → "

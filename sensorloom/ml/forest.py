@@ -3,27 +3,72 @@
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
-from sensorloom.session import spread
+from sensorloom.session import spread, write_table
+
+# Beyond this many readings the trainer gets weighted rows instead of single readings.
+SINGLE_ROWS = 50_000_000
+CELLS = 512
+PARTS = 8
 
 
 def train(
-    readings: DataFrame, trees: int = C.FOREST_TREES, depth: int = C.FOREST_DEPTH, seed: int = C.ISOLATION_SEED
+    readings: DataFrame,
+    trees: int = C.FOREST_TREES,
+    depth: int = C.FOREST_DEPTH,
+    seed: int = C.MODEL_SEED,
+    single_rows: int = SINGLE_ROWS,
 ) -> PipelineModel:
     """Fit the two-stage pipeline on all readings; a null feature raises.
 
-    Only the two features and the label are read from the table.
+    Only the two features, the label and the id are read from the table. The trainer
+    holds a count per tree for every row it is given, so a table of more than
+    ``single_rows`` readings is condensed first.
     """
-    labelled = spread(readings.select(*C.FEATURES, E.label()))
+    rows = readings.select(*C.FEATURES, E.label())
+    condensed = readings.count() > single_rows
+    rows = condense(readings) if condensed else spread(rows)
     assembler = VectorAssembler(inputCols=list(C.FEATURES), outputCol="features", handleInvalid="error")
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed
     )
-    return Pipeline(stages=[assembler, forest]).fit(labelled)
+    if condensed:
+        forest.setWeightCol("weight")
+    return Pipeline(stages=[assembler, forest]).fit(rows)
+
+
+def condense(readings: DataFrame, cells: int = CELLS, parts: int = PARTS) -> DataFrame:
+    """All readings as weighted rows: mean features, label and number of readings of each
+    cell of a fine grid. The trainer itself tells at most 32 bins per feature apart.
+
+    A cell is kept in several parts, by the id, so that the trees' resampling does not
+    take or leave a whole cell at once. One pass finds the ranges, one counts the cells;
+    both combine inside each task, so a cell with most of the readings costs no more.
+    """
+    ends = [f(F.col(m)).alias(f"{end}_{m}") for m in C.FEATURES for end, f in (("low", F.min), ("high", F.max))]
+    nulls = [F.count_if(F.col(m).isNull() | F.isnan(m)).alias(f"null_{m}") for m in C.FEATURES]
+    found = readings.agg(*ends, *nulls).first()
+    if any(found[f"null_{m}"] for m in C.FEATURES):
+        raise ValueError("null feature in the training table")
+
+    def cell(m: str) -> Column:
+        width = (found[f"high_{m}"] - found[f"low_{m}"]) / cells or 1.0
+        return F.floor((F.col(m) - F.lit(found[f"low_{m}"])) / F.lit(width))
+
+    grouped = readings.groupBy(
+        *[cell(m).alias(f"cell_{m}") for m in C.FEATURES],
+        E.is_anomaly().alias("anomalous"),
+        F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"),
+    ).agg(*[F.avg(m).alias(m) for m in C.FEATURES], F.count("*").cast("double").alias("weight"))
+    classified = grouped.withColumn("classification", E.class_name(F.col("anomalous")))
+    # Read several times by the trainer.
+    return write_table(classified.select(*C.FEATURES, "classification", "weight"), "condensed").select(
+        *C.FEATURES, E.label(), "weight"
+    )
 
 
 def score(model: PipelineModel, readings: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from sensorloom.session import spread
 
 LEAF = -1
 HASH_RANGE = 1 << 40
+CUT_OFF_ROWS = 10_000_000
 
 NODES = T.StructType(
     [
@@ -112,16 +113,15 @@ def _hash_share(seed: int, *keys: Column | str) -> Column:
 
 
 def draw_samples(
-    rows: DataFrame, trees: int, sample_size: int, seed: int, key: str, features: tuple[str, ...]
+    rows: DataFrame, total: int, trees: int, sample_size: int, seed: int, key: str, features: tuple[str, ...]
 ) -> tuple[DataFrame, int]:
     """A sample per tree, without repeats inside a tree: columns tree and the features.
 
-    From a large table trees × sample_size rows are wanted. A hash of the unique key
+    From a large table (``total`` rows) trees × sample_size rows are wanted. A hash of the unique key
     picks about a tenth more than that in one pass without a shuffle, and the rows are
     ranked by their hash and dealt to the trees. A table smaller than that is sampled
     for each tree anew.
     """
-    total = rows.count()
     wanted = trees * sample_size
     if total > wanted:
         share = min(1.0, (wanted + 6 * wanted**0.5) * 1.1 / total)
@@ -174,19 +174,28 @@ def train(
     trees: int = 100,
     sample_size: int = 256,
     contamination: float = C.CONTAMINATION,
-    seed: int = C.ISOLATION_SEED,
+    seed: int = C.MODEL_SEED,
     key: str = "id",
     features: tuple[str, ...] = C.FEATURES,
+    cut_off_rows: int = CUT_OFF_ROWS,
 ) -> IsolationModel:
     """Build the trees and set the cut-off that flags the contamination share of the
-    training rows."""
+    training rows.
+
+    The cut-off is a quantile of the scores of all training rows, or of ``cut_off_rows``
+    drawn by hash from a larger table: its rank is then off by less than the 1 in 10,000
+    the quantile sketch itself allows.
+    """
     rows = spread(readings.select(key, *features))
-    samples, size = draw_samples(rows, trees, sample_size, seed, key, features)
+    total = rows.count()
+    samples, size = draw_samples(rows, total, trees, sample_size, seed, key, features)
     if size == 0:
         raise ValueError("no readings to train on")
     height = int(np.ceil(np.log2(max(size, 2))))
     nodes = samples.groupBy("tree").applyInPandas(_tree_builder(seed, features, height), NODES)
     model = _pack(nodes, trees, 2 ** (height + 1) - 1, size, np.nan, features)
+    if total > cut_off_rows:
+        rows = rows.filter(_hash_share(seed + 1, key) < int(cut_off_rows / total * HASH_RANGE))
     scores = rows.select(_score_column(model, readings.sparkSession).alias("score"))
     cut_off = scores.agg(F.percentile_approx("score", 1.0 - contamination, 10_000)).first()[0]
     return IsolationModel(

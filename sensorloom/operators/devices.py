@@ -18,12 +18,12 @@ def active_keys(devices: DataFrame) -> DataFrame:
 
 def valid_requests(requests: DataFrame, devices: DataFrame) -> DataFrame:
     """Requests whose key belongs to an active device."""
-    return join_sized(requests, active_keys(devices), ["api_key"], "left_semi")
+    return join_sized(requests, active_keys(devices), "api_key", "left_semi")
 
 
 def rejected_requests(requests: DataFrame, devices: DataFrame) -> DataFrame:
     """Requests whose key is unknown or belongs to an inactive device."""
-    return join_sized(requests, active_keys(devices), ["api_key"], "left_anti")
+    return join_sized(requests, active_keys(devices), "api_key", "left_anti")
 
 
 def new_key(salt: str) -> Column:
@@ -39,14 +39,17 @@ def register(requests: DataFrame, devices: DataFrame, salt: str) -> DataFrame:
     ``created`` and gets a key; all others are ``exists``.
     """
     named = requests.withColumn("device_id", F.when(F.col("device_number") >= 0, device_name("device_number")))
-    # One row per new device, known ones removed; unique on both sides of the anti join.
+    # One row per new device, known ones removed. An outer join, as an anti join would be
+    # moved below the aggregation, where a device with very many requests fills one task.
     first = (
         named.filter(F.col("device_id").isNotNull())
         .groupBy("device_id")
         .agg(F.min("request_seq").alias("first_seq"))
-        .join(devices.select("device_id"), "device_id", "left_anti")
+        .join(devices.select("device_id", F.lit(True).alias("known")), "device_id", "left")
+        .filter(F.col("known").isNull())
+        .drop("known")
     )
-    answered = join_sized(named, first, ["device_id"], "left")
+    answered = join_sized(named, first, "device_id", "left")
     status = (
         F.when(F.col("device_id").isNull(), "invalid")
         .when(F.col("request_seq") == F.col("first_seq"), "created")

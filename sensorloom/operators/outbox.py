@@ -16,7 +16,7 @@ def to_lines(anomalies: DataFrame) -> DataFrame:
 def pending(lines: DataFrame, delivered: DataFrame) -> DataFrame:
     """Outbox lines left after delivery: all copies of a delivered text are gone."""
     done = delivered.select(F.trim("value").alias("text")).distinct()
-    return join_sized(lines.withColumn("text", F.trim("value")), done, ["text"], "left_anti").select("value")
+    return join_sized(lines.withColumn("text", F.trim("value")), done, "text", "left_anti").select("value")
 
 
 def replay(lines: DataFrame, delivered: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from sensorloom import constants as C
 from sensorloom.functions import expressions as E
 from sensorloom.operators.joins import join_sized
 from sensorloom.operators.running import running_totals
+from sensorloom.operators.validation import complete_records
 
 
 def newest_state() -> Column:
@@ -25,9 +26,11 @@ def newest_state() -> Column:
 
 
 def newest_updates(updates: DataFrame) -> DataFrame:
-    """The accepted update of each gateway. Usable on tables and on streams."""
+    """The accepted update of each gateway, out of those with all fields. Usable on tables
+    and on streams."""
     return (
-        updates.groupBy("gateway_id")
+        complete_records(updates, ["gateway_id", "version", "total_processed", "total_anomalies"])
+        .groupBy("gateway_id")
         .agg(newest_state().alias("s"))
         .select(
             "gateway_id",
@@ -119,6 +122,6 @@ def lookup_states(asked: DataFrame, states: DataFrame) -> DataFrame:
     known = states.select(
         "gateway_id", "version", "total_processed", "total_anomalies", F.lit(True).alias("exists")
     )
-    return join_sized(asked, known, ["gateway_id"], "left").withColumn(
+    return join_sized(asked, known, "gateway_id", "left").withColumn(
         "exists", F.coalesce("exists", F.lit(False))
     )

@@ -1,10 +1,13 @@
 """Scoring a stream with the newest published forest.
 
 A model inside a stream's plan would stay the one it started with. Here every
-micro-batch looks up the newest version and loads it only when it is higher than the one
-in use; a version that fails to load is tried again with the next batch.
+micro-batch, but not more often than every few seconds, looks up the newest version and
+loads it only when it is higher than the one in use; a version that fails to load is
+tried again with the next look.
 """
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,16 +27,22 @@ SCORED = T.StructType(
 class NewestModel:
     """The model in use, held by the driver; starts with the edge model as version 0.
 
-    Called with the readings of a micro-batch it looks for a newer model and scores.
+    Called with the readings of a micro-batch it scores them, looking for a newer model
+    first if the last look is ``check_seconds`` ago.
     """
 
-    def __init__(self, root: str, edge: isolation.IsolationModel):
+    def __init__(self, root: str, edge: isolation.IsolationModel, check_seconds: float = C.MODEL_CHECK_SECONDS):
         self.root = root
         self.edge = edge
+        self.check_seconds = check_seconds
+        self.next_check = 0.0
         self.version = 0
         self.forest = None
 
     def refresh(self, spark: SparkSession) -> None:
+        if time.monotonic() < self.next_check:
+            return
+        self.next_check = time.monotonic() + self.check_seconds
         found = registry.latest(spark, self.root)
         if found is None or found.version <= self.version:
             return

@@ -63,27 +63,52 @@ def test_key_violations(spark, known):
     assert [tuple(r) for r in D.key_violations(doubled).collect()] == [("device_id", "sensor_1", 2)]
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_join_is_the_same_beyond_the_broadcast_bound(spark, how):
-    facts = spark.range(1000).selectExpr("id", "IF(id < 700, 'hot', concat('k', id % 20)) AS key")
-    lookup = spark.createDataFrame([("hot", 1), ("k3", 2), ("k4", 3), ("zz", 4)], "key string, x int")
-    small = join_sized(facts, lookup, ["key"], how)
-    large = join_sized(facts, lookup, ["key"], how, max_rows=2)
-    assert sorted(small.collect(), key=str) == sorted(large.collect(), key=str)
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """One key with most rows, some rows without a key."""
+    return spark.range(1000).selectExpr(
+        "id", "CASE WHEN id < 700 THEN 'hot' WHEN id < 800 THEN NULL ELSE concat('k', id % 20) END AS key"
+    )
+
 
+@pytest.fixture(scope="module")
+def lookup(spark):
+    return spark.createDataFrame([("hot", 1), ("k3", 2), ("k4", 3), ("zz", 4)], "key string, x int")
 
-def test_broadcast_only_below_the_bound(spark):
-    facts, lookup = spark.range(100).withColumnRenamed("id", "k"), spark.range(50).withColumnRenamed("id", "k")
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("hot_share", [0.02, 0.5, 1.0])
+def test_join_is_the_same_beyond_the_broadcast_bound(skewed, lookup, how, hot_share):
+    expected = skewed.join(lookup, "key", how)
+    broadcast = join_sized(skewed, lookup, "key", how)
+    split = join_sized(skewed, lookup, "key", how, max_bytes=0, hot_share=hot_share)
+    assert broadcast.columns == split.columns == expected.columns
+    assert sorted(split.collect(), key=str) == sorted(broadcast.collect(), key=str)
+    assert sorted(split.collect(), key=str) == sorted(expected.collect(), key=str)
+
+
+def test_hot_lookup_without_hot_row(skewed, lookup):
+    """The hot key is missing from the lookup table."""
+    rest = lookup.filter("key != 'hot'")
+    split = join_sized(skewed, rest, "key", "left_anti", max_bytes=0)
+    assert sorted(split.collect(), key=str) == sorted(skewed.join(rest, "key", "left_anti").collect(), key=str)
+
+
+def test_broadcast_only_below_the_bound(spark, skewed, lookup):
+    size = joins.measured_bytes(lookup)
+    assert size >= sum(len(k) for k in ("hot", "k3", "k4", "zz"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        below = join_sized(facts, lookup, ["k"], "left_semi")._jdf.queryExecution().executedPlan().toString()
-        beyond = join_sized(facts, lookup, ["k"], "left_semi", max_rows=49)
+        below = join_sized(skewed, lookup, "key", "left_semi", max_bytes=size)
+        below = below._jdf.queryExecution().executedPlan().toString()
+        beyond = join_sized(skewed, lookup, "key", "left_semi", max_bytes=size - 1)
         beyond = beyond._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "BroadcastHashJoin" in below and "Broadcast" not in beyond
+    assert "SortMergeJoin" not in below and "Union" not in below
+    assert "Union" in beyond and beyond.count("SortMergeJoin") == 1
 
 
-def test_join_that_cannot_be_split_is_refused(spark):
+def test_other_joins_are_refused(spark):
     with pytest.raises(ValueError):
-        joins.join_sized(spark.range(1), spark.range(1), ["id"], "full")
+        joins.join_sized(spark.range(1), spark.range(1), "id", "full")

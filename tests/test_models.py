@@ -56,6 +56,30 @@ def test_null_feature_raises(spark, small):
         forest.train(broken)
 
 
+def test_condensed_training_rows_hold_all_readings(medium):
+    rows = forest.condense(medium)
+    weights = {r.label: r.w for r in rows.groupBy("label").agg(F.sum("weight").alias("w")).collect()}
+    assert weights == {0: 10_000 - 958, 1: 958}
+    few = forest.condense(medium, cells=4, parts=1)
+    assert few.count() <= 2 * 5 * 5
+    assert few.agg(F.sum("weight")).first()[0] == 10_000
+    assert rows.schema["label"].metadata["ml_attr"]["vals"] == [C.NORMAL, C.ANOMALY]
+
+
+def test_condensed_training_gives_the_same_classes(model, medium):
+    condensed = forest.train(medium, single_rows=100)
+    assert condensed.stages[1].numClasses == 2
+    truth, single, given = classes(medium), classes(forest.score(model, medium)), classes(forest.score(condensed, medium))
+    assert sum(given[i] == truth[i] for i in truth) / len(truth) >= 0.98
+    assert sum(given[i] == single[i] for i in truth) / len(truth) >= 0.98
+
+
+def test_condensed_training_raises_on_nulls(small):
+    broken = small.withColumn("temperature", F.when(F.col("id") != 5, F.col("temperature")))
+    with pytest.raises(ValueError, match="null"):
+        forest.train(broken, single_rows=1)
+
+
 def test_publish_load_and_latest(spark, model, small, tmp_path):
     root = str(tmp_path / "models")
     assert registry.latest(spark, root) is None
@@ -111,6 +135,12 @@ def test_isolation_is_the_same_again(edge, medium):
     assert not np.array_equal(edge.threshold, other.threshold, equal_nan=True)
 
 
+def test_cut_off_from_drawn_rows(edge, medium):
+    drawn = isolation.train(medium.filter(~E.is_anomaly()), cut_off_rows=5000)
+    assert drawn.cut_off != edge.cut_off
+    assert abs(drawn.cut_off - edge.cut_off) < 0.01
+
+
 def test_far_out_points_are_anomalies(edge, reading):
     points = reading(
         (1, "g", "d", 500.0, 500.0, 0, None),
@@ -150,7 +180,7 @@ def test_trees_hold_all_their_rows(edge):
 
 def test_large_table_is_sampled_without_repeats(spark, medium):
     trees, size = 10, 64
-    samples, got = isolation.draw_samples(medium.select("id", *C.FEATURES), trees, size, 1, "id", ("id",))
+    samples, got = isolation.draw_samples(medium.select("id", *C.FEATURES), 10_000, trees, size, 1, "id", ("id",))
     rows = samples.collect()
     assert got == size and len(rows) == trees * size
     assert len({r.id for r in rows}) == len(rows)
@@ -158,7 +188,7 @@ def test_large_table_is_sampled_without_repeats(spark, medium):
 
 
 def test_small_table_is_sampled_per_tree(small):
-    samples, size = isolation.draw_samples(small.select("id", *C.FEATURES), 20, 2000, 1, "id", ("id",))
+    samples, size = isolation.draw_samples(small.select("id", *C.FEATURES), 1000, 20, 2000, 1, "id", ("id",))
     assert size == 1000
     per_tree = samples.groupBy("tree").agg(F.count("*").alias("n"), F.countDistinct("id").alias("d")).collect()
     assert len(per_tree) == 20 and {(r.n, r.d) for r in per_tree} == {(1000, 1000)}

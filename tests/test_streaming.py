@@ -153,7 +153,7 @@ def test_model_switch_and_live_job(spark, small, landing, expected, tmp_path):
     root, out = f"{tmp_path}/models", f"{tmp_path}/out"
     model = forest.train(small)
     edge = isolation.train(small)
-    newest = model_switch.NewestModel(root, edge)
+    newest = model_switch.NewestModel(root, edge, check_seconds=0)
     published = []
 
     class Publishing:

@@ -29,16 +29,22 @@ def train(
     holds a count per tree for every row it is given, so a table of more than
     ``single_rows`` readings is condensed first.
     """
-    rows = readings.select(*C.FEATURES, E.label())
     condensed = readings.count() > single_rows
-    rows = condense(readings) if condensed else spread(rows)
+    if condensed:
+        rows = condense(readings)
+    else:
+        # The trainer goes over its input several times; held, as its size is bounded.
+        rows = spread(readings.select(*C.FEATURES, E.label())).persist()
     assembler = VectorAssembler(inputCols=list(C.FEATURES), outputCol="features", handleInvalid="error")
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed
     )
     if condensed:
         forest.setWeightCol("weight")
-    return Pipeline(stages=[assembler, forest]).fit(rows)
+    try:
+        return Pipeline(stages=[assembler, forest]).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def condense(readings: DataFrame, cells: int = CELLS, parts: int = PARTS) -> DataFrame:

@@ -1,6 +1,6 @@
 """All queries by name: each takes a session and a data folder and gives a DataFrame."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -113,13 +113,13 @@ def _outbox_write(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _outbox_replay(spark: SparkSession, folder: str) -> DataFrame:
-    r = views.load(spark, folder)
-    return O.replay(views.outbox_lines(r), views.delivered_lines(r))
+    events = scan_events(spark, folder)
+    return O.replay(views.outbox_lines(views.sensor_data(events)), views.delivered_lines(events))
 
 
 def _outbox_ack(spark: SparkSession, folder: str) -> DataFrame:
-    r = views.load(spark, folder)
-    return O.pending(views.outbox_lines(r), views.delivered_lines(r))
+    events = scan_events(spark, folder)
+    return O.pending(views.outbox_lines(views.sensor_data(events)), views.delivered_lines(events))
 
 
 def _log_append(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,15 +173,15 @@ def _stream_counters(spark: SparkSession, folder: str) -> DataFrame:
     return SA.read_counters(spark, f"{base}/out")
 
 
-def _landed_halves(spark: SparkSession, folder: str, base: str):
+def _landed_halves(spark: SparkSession, folder: str, base: str) -> Iterator[int]:
     """Land the raw messages of a data folder in two steps, older half first; after each
     the caller runs its stream."""
     readings = views.load(spark, folder)
     middle = readings.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.5)).first()[0]
     late = F.unix_micros(F.col("timestamp").cast("timestamp")) > F.lit(middle)
-    for half in (~late, late):
-        views.raw_messages(readings.filter(half)).write.mode("append").parquet(f"{base}/landing")
-        yield
+    for half, chosen in enumerate((~late, late)):
+        views.raw_messages(readings.filter(chosen)).write.mode("append").parquet(f"{base}/landing")
+        yield half
 
 
 def _stream_restart(spark: SparkSession, folder: str) -> DataFrame:
@@ -239,11 +239,12 @@ def _score_batch(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _model_publish(spark: SparkSession, folder: str) -> DataFrame:
-    """Retrain and publish twice; the class counts under the newest version, loaded."""
+    """Retrain and publish, load that version and publish it again as the next one; the
+    class counts under the newest version, loaded."""
     readings = views.load(spark, folder)
     root = work_dir(spark, "models")
-    retrain(readings, root)
-    retrain(readings, root)
+    first, _ = retrain(readings, root)
+    registry.publish(spark, registry.load(first), root)
     found = registry.latest(spark, root)
     scored = forest.score(registry.load(found), readings)
     return scored.groupBy(F.lit(found.version).alias("version"), "classification").agg(
@@ -287,11 +288,12 @@ def _stream_model_switch(spark: SparkSession, folder: str) -> DataFrame:
     readings = views.load(spark, folder)
     edge = _edge_model(readings)
     base = work_dir(spark, "switch")
-    for _ in _landed_halves(spark, folder, base):
+    for half in _landed_halves(spark, folder, base):
         arriving = V.valid_messages(landed_messages(spark, f"{base}/landing"))
         newest = model_switch.NewestModel(f"{base}/models", edge)
         run(model_switch.score_with_newest(arriving, f"{base}/out", newest), f"{base}/checkpoint")
-        retrain(readings, f"{base}/models")
+        if half == 0:
+            retrain(readings, f"{base}/models")
     return model_switch.read_scored(spark, f"{base}/out")
 
 

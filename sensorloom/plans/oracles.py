@@ -149,7 +149,9 @@ anomaly_lines AS (
 outbox AS (
   SELECT value FROM anomaly_lines UNION ALL SELECT value FROM anomaly_lines WHERE id % 50 = 0
 ),
-delivered AS (SELECT value FROM anomaly_lines WHERE id % 3 <> 0),
+delivered AS (
+  SELECT value FROM anomaly_lines WHERE id IN (SELECT event_id FROM events WHERE event_type <> 'error')
+),
 pending AS (SELECT value FROM outbox WHERE value NOT IN (SELECT value FROM delivered))"""
 
 MODEL_REGISTRY = """

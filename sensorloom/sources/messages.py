@@ -1,7 +1,7 @@
 """Streams of raw device messages.
 
 Every message is read by exactly one task, which is what a shared subscription gives
-the gateways. Spark has no MQTT source: a bridge lands messages as JSON-lines or
+the gateways. Spark has no MQTT source: a bridge lands messages as
 parquet files, or forwards them to Kafka.
 """
 

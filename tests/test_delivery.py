@@ -2,11 +2,13 @@
 
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from sensorloom import constants as C
 from sensorloom.operators import outbox as O
 from sensorloom.operators import readings as R
 from sensorloom.plans import views
 from sensorloom.sources import sinks
+from sensorloom.sources.tables import scan_events
 
 
 def lines(spark, *texts):
@@ -35,7 +37,7 @@ def test_replay_gives_back_the_records(spark, small):
 
 def test_replay_counts_before_it_joins(spark, small):
     """A text with many copies is one row before the join."""
-    plan = O.replay(views.outbox_lines(small), views.delivered_lines(small))
+    plan = O.replay(views.outbox_lines(small), views.delivered_lines(scan_events(spark, SMALL)))
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.index("Join LeftOuter") < text.index("Aggregate")
 

@@ -5,10 +5,12 @@ table: they are drawn in one pass over it, and each tree is built in a task of i
 Scoring runs in Arrow batches with the trees as broadcast arrays.
 """
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,10 @@ from sensorloom import constants as C
 from sensorloom.functions import expressions as E
 from sensorloom.session import spread
 
+# The functions below go to the workers by value, so the package need not be installed
+# there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 LEAF = -1
 HASH_RANGE = 1 << 40
 CUT_OFF_ROWS = 10_000_000
@@ -203,37 +209,40 @@ def train(
     )
 
 
-def anomaly_scores(model: IsolationModel, values: np.ndarray) -> np.ndarray:
-    """Score of each row in (0, 1); the shorter its paths, the higher."""
+def anomaly_scores(
+    values: np.ndarray, feature: np.ndarray, threshold: np.ndarray, path_length: np.ndarray, sample_size: int
+) -> np.ndarray:
+    """Score of each row in (0, 1) under the trees; the shorter its paths, the higher."""
     if np.isnan(values).any():
         raise ValueError("features must not be null")
-    trees, slots = model.feature.shape
+    trees, slots = feature.shape
     levels = slots.bit_length() - 1
     rows = np.arange(len(values))
     columns = np.ascontiguousarray(values.T).ravel()
     # Where a step from each node leads, left and right; a leaf leads to itself.
     nodes = np.arange(slots)
-    inner = model.feature != LEAF
+    inner = feature != LEAF
     steps = np.stack([np.where(inner, 2 * nodes + 1, nodes), np.where(inner, 2 * nodes + 2, nodes)], axis=2)
-    offset = np.where(inner, model.feature, 0) * len(values)
+    offset = np.where(inner, feature, 0) * len(values)
     depth = np.zeros(len(values))
     for tree in range(trees):
-        step, start, threshold = steps[tree].ravel(), offset[tree], model.threshold[tree]
+        step, start, split = steps[tree].ravel(), offset[tree], threshold[tree]
         node = np.zeros(len(values), dtype=np.intp)
         for _ in range(levels):
-            right = columns[start[node] + rows] > threshold[node]
+            right = columns[start[node] + rows] > split[node]
             node = step[2 * node + right]
-        depth += model.path_length[tree][node]
+        depth += path_length[tree][node]
     mean_depth = depth / trees
-    return np.exp2(-mean_depth / max(average_path(model.sample_size), np.finfo(float).tiny))
+    return np.exp2(-mean_depth / max(average_path(sample_size), np.finfo(float).tiny))
 
 
 def _score_column(model: IsolationModel, spark: SparkSession) -> Column:
-    shared = spark.sparkContext.broadcast(model)
+    trees = spark.sparkContext.broadcast((model.feature, model.threshold, model.path_length))
+    sample_size = model.sample_size
 
     @F.pandas_udf(T.DoubleType())
     def scores(values: pd.DataFrame) -> pd.Series:
-        return pd.Series(anomaly_scores(shared.value, values.to_numpy(dtype=float)))
+        return pd.Series(anomaly_scores(values.to_numpy(dtype=float), *trees.value, sample_size))
 
     return scores(F.struct(*[F.col(name).cast("double").alias(name) for name in model.features]))
 

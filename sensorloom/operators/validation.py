@@ -12,8 +12,10 @@ from sensorloom.functions.expressions import iso_timestamp
 
 REQUIRED = ("device_id", "temperature", "humidity", "timestamp")
 
-# The raw fields keep their JSON type as variants; text that is no object lands in bad.
-_FIELDS = ", ".join(f"{name} VARIANT" for name in REQUIRED) + ", bad STRING"
+# All fields but one come out of the parser as text, whatever their JSON type: numbers may
+# be quoted anyway, and no number reads as a time. Only the device keeps its type, as a
+# variant. Text that is no object lands in bad.
+_FIELDS = "device_id VARIANT, temperature STRING, humidity STRING, timestamp STRING, bad STRING"
 
 # Java also reads '1d' and '0x1p3' as numbers, so text has to look like a number first.
 _NUMBER_SHAPE = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
@@ -28,22 +30,24 @@ def decode_messages(raw: DataFrame) -> DataFrame:
     """
     parsed = F.from_json("value", _FIELDS, {"columnNameOfCorruptRecord": "bad"})
     # The parser stops at the end of the object, so the end of the text is looked at too.
-    braces = F.col("value").rlike(r"(?s)^\s*\{.*\}\s*$")
+    closed = F.rtrim("value", F.lit(" \t\r\n")).endswith("}")
     checked = {
-        "device_id": _text("device_id"),
+        "device_id": F.when(
+            F.schema_of_variant("m.json.device_id") == "STRING",
+            F.try_variant_get("m.json.device_id", "$", "string"),
+        ),
         "temperature": _number("temperature"),
         "humidity": _number("humidity"),
-        "timestamp": iso_timestamp(_text("timestamp")),
-        "time_text": _text("timestamp"),
+        "timestamp": iso_timestamp("m.json.timestamp"),
     }
     carried = raw.columns
     return (
-        _generate(raw, carried, "m", {"braces": braces, "json": parsed})
+        _generate(raw, carried, "m", {"closed": closed, "json": parsed})
         .transform(_generate, [*carried, "m"], "v", checked)
         .select(
             *carried,
             *[F.col(f"v.{name}").alias(name) for name in REQUIRED],
-            F.col("v.time_text").alias("timestamp_text"),
+            F.col("m.json.timestamp").alias("timestamp_text"),
             _reason().alias("reason"),
         )
     )
@@ -54,26 +58,21 @@ def _generate(df: DataFrame, carried: list[str], name: str, fields: dict[str, Co
     return df.select(*carried, F.explode(one).alias(name))
 
 
-def _json(name: str) -> Column:
-    return F.col(f"m.json.{name}")
-
-
-def _text(name: str) -> Column:
-    is_text = F.schema_of_variant(_json(name)) == "STRING"
-    return F.when(is_text, F.try_variant_get(_json(name), "$", "string"))
-
-
 def _number(name: str) -> Column:
-    unreadable = ~_text(name).rlike(_NUMBER_SHAPE)
-    return F.when(~F.coalesce(unreadable, F.lit(False)), F.try_variant_get(_json(name), "$", "double"))
+    text = F.col(f"m.json.{name}")
+    truth = F.when(text == "true", 1.0).when(text == "false", 0.0)
+    return F.when(text.rlike(_NUMBER_SHAPE), text.try_cast("double")).otherwise(truth)
 
 
 def _reason() -> Column:
     reason = F.when(
-        ~F.coalesce("m.braces", F.lit(False)) | F.col("m.json.bad").isNotNull(), "malformed_json"
+        ~F.coalesce("m.closed", F.lit(False)) | F.col("m.json.bad").isNotNull(), "malformed_json"
     )
     for name in REQUIRED:
-        reason = reason.when(_json(name).isNull() | F.is_variant_null(_json(name)), f"missing_{name}")
+        missing = F.col(f"m.json.{name}").isNull()
+        if name == "device_id":
+            missing |= F.is_variant_null("m.json.device_id")
+        reason = reason.when(missing, f"missing_{name}")
     for name in REQUIRED:
         reason = reason.when(F.col(f"v.{name}").isNull(), f"bad_{name}")
     return reason

@@ -2,12 +2,44 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorloom.llm import oracles, quality_rules
-from sensorloom.llm.common import read
+from sensorloom.llm import bpe, language_id, oracles, quality_rules
+from sensorloom.llm.common import read, remainder
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the installed vocabulary files have the named one."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text", "lang")
+    held_out = remainder("doc_id", 4) == 2
+    model = language_id.train(docs.filter(~held_out))
+    return language_id.identify(docs, model).withColumn("held_out", held_out)
+
+
+def op9_bpe(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    return token_digests(bpe.encode_decode(docs, path or tokenizer_path()))
+
+
+def token_digests(tokens: DataFrame) -> DataFrame:
+    return tokens.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
 
 
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -15,7 +47,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
+    return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 
 
 def oracle_sql() -> dict[str, str]:

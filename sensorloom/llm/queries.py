@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, language_id, oracles, quality_rules
+from sensorloom.llm import bpe, language_id, oracles, quality_classifier, quality_rules, toxicity, url_filter
 from sensorloom.llm.common import read, remainder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -28,6 +28,33 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs, model).withColumn("held_out", held_out)
 
 
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "labels")
+    model = toxicity.train(docs, labels.filter(remainder("doc_id", 5) != 0))
+    return toxicity.judge(docs, model).select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"),
+    )
+
+
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "labels")
+    forest = quality_classifier.train(docs, labels.filter(remainder("doc_id", 5) != 0), "quality")
+    scored = quality_classifier.classify(docs, forest, 0.3)
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The URLs that a rule decides are the labelled ones that the trees learn from."""
+    pages = read(spark, folder, "pages", "page_id", "url")
+    ruled = url_filter.with_rules(pages).filter("rule is not null")
+    model = url_filter.train(ruled.select("url", (F.col("verdict") == "block").alias("blocked")))
+    return url_filter.judge(pages, model).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op9_bpe(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
     docs = read(spark, folder, "documents", "doc_id", "text")
     return token_digests(bpe.encode_decode(docs, path or tokenizer_path()))

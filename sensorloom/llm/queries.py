@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, language_id, oracles, quality_classifier, quality_rules, toxicity, url_filter
+from sensorloom.llm import bpe, language_id, oracles, quality_classifier, quality_rules, simhash
+from sensorloom.llm import toxicity, url_filter
 from sensorloom.llm.common import read, remainder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -28,6 +29,10 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs, model).withColumn("held_out", held_out)
 
 
+def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, folder, "documents", "doc_id", "text"))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "labels")
     model = toxicity.train(docs, labels.filter(remainder("doc_id", 5) != 0))

@@ -19,9 +19,12 @@ from sensorloom.llm.common import drawn
 #: Labelled URLs that the trees are fitted on, drawn by a hash of the URL.
 MAX_TRAINING_ROWS = 20_000
 
-#: Weight of the overall share in the block rate of a suffix.
+#: Weight of an even share in the block rate of a suffix.
 PRIOR = 50.0
 
+#: A suffix with fewer labelled URLs has no rate; the trees take a missing rate as a low one.
+LEAST_URLS = 5
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -120,19 +123,17 @@ def lexical(url: str | None) -> list[float]:
 class Filter:
     """Block rates of suffixes, and trees over them and the lexical features."""
 
-    def __init__(self, rates: dict[str, float], share: float, forest: boosting.Forest):
-        self.rates, self.share, self.forest = rates, share, forest
+    def __init__(self, rates: dict[str, float], forest: boosting.Forest):
+        self.rates, self.forest = rates, forest
 
     def probability(self, urls: list[str | None]) -> np.ndarray:
-        rows = [
-            lexical(u) + [self.rates.get(s, self.share) for s in suffixes(*parts(u)[:2])] for u in urls
-        ]
+        rows = [lexical(u) + [self.rates.get(s, np.nan) for s in suffixes(*parts(u)[:2])] for u in urls]
         return self.forest.probability(np.array(rows)) if rows else np.zeros(0)
 
 
 def fit(urls: list[str], blocked: np.ndarray) -> Filter:
-    """Fit on labelled URLs. Both verdicts count alike, so that a URL of unseen parts starts
-    in the middle; rates are drawn towards it by ``PRIOR`` rows."""
+    """Fit on labelled URLs. Both verdicts count alike; rates are drawn towards the middle by
+    ``PRIOR`` rows."""
     blocked = np.asarray(blocked, np.float64)
     yes, no = max(blocked.sum(), 1.0), max((1 - blocked).sum(), 1.0)
     weights = np.where(blocked > 0, len(blocked) / (2 * yes), len(blocked) / (2 * no))
@@ -140,13 +141,14 @@ def fit(urls: list[str], blocked: np.ndarray) -> Filter:
     seen: dict[str, list[float]] = {}
     for row, label, weight in zip(keys, blocked, weights):
         for key in row:
-            entry = seen.setdefault(key, [0.0, 0.0])
+            entry = seen.setdefault(key, [0.0, 0.0, 0.0])
             entry[0] += label * weight
             entry[1] += weight
-    rates = {k: float((b + PRIOR * 0.5) / (n + PRIOR)) for k, (b, n) in seen.items()}
-    rows = np.array([lexical(u) + [rates[k] for k in row] for u, row in zip(urls, keys)])
+            entry[2] += 1
+    rates = {k: float((b + PRIOR * 0.5) / (n + PRIOR)) for k, (b, n, rows) in seen.items() if rows >= LEAST_URLS}
+    rows = np.array([lexical(u) + [rates.get(k, np.nan) for k in row] for u, row in zip(urls, keys)])
     width = len(lexical("")) + len(suffixes("", ""))
-    return Filter(rates, 0.5, boosting.fit(rows.reshape(-1, width), blocked, weights=weights))
+    return Filter(rates, boosting.fit(rows.reshape(-1, width), blocked, weights=weights))
 
 
 def train(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Filter:

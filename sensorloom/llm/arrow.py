@@ -32,6 +32,20 @@ def text_groups(
         yield keys, texts
 
 
+def text_slices(
+    batch: pa.RecordBatch, column: int, limit: int = GROUP_CHARS
+) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch with their texts, of about ``limit`` characters each."""
+    begin, texts, size = 0, [], 0
+    for i in range(batch.num_rows):
+        text = batch.column(column)[i].as_py() or ""
+        texts.append(text)
+        size += len(text) + 1
+        if size >= limit or i + 1 == batch.num_rows:
+            yield batch.slice(begin, i + 1 - begin), texts
+            begin, texts, size = i + 1, [], 0
+
+
 def batch_of(schema: T.StructType, *columns) -> pa.RecordBatch:
     kinds = to_arrow_schema(schema)
     arrays = [pa.array(c, f.type, from_pandas=False) for c, f in zip(columns, kinds)]

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, language_id, oracles, quality_classifier, quality_rules, simhash
+from sensorloom.llm import bpe, decontamination, language_id, oracles, quality_classifier, quality_rules, simhash
 from sensorloom.llm import toxicity, url_filter
 from sensorloom.llm.common import read, remainder
 
@@ -33,6 +33,11 @@ def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, folder, "documents", "doc_id", "text"))
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    return decontamination.contaminated(docs, read(spark, folder, "benchmark"))
+
+
 def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "labels")
     model = toxicity.train(docs, labels.filter(remainder("doc_id", 5) != 0))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, decontamination, language_id, oracles, quality_classifier, quality_rules, simhash
+from sensorloom.llm import bpe, decontamination, language_id, line_dedup, oracles, quality_classifier, quality_rules, simhash
 from sensorloom.llm import toxicity, url_filter
 from sensorloom.llm.common import read, remainder
 
@@ -50,6 +50,10 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.marked(read(spark, folder, "documents", "doc_id", "text"))
+
+
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "labels")
     forest = quality_classifier.train(docs, labels.filter(remainder("doc_id", 5) != 0), "quality")

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, decontamination, language_id, line_dedup, oracles, quality_classifier, quality_rules, simhash
-from sensorloom.llm import toxicity, url_filter
+from sensorloom.llm import bpe, decontamination, language_id, language_model, line_dedup, oracles
+from sensorloom.llm import quality_classifier, quality_rules, simhash, toxicity, url_filter
 from sensorloom.llm.common import read, remainder
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -54,6 +54,13 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.marked(read(spark, folder, "documents", "doc_id", "text"))
 
 
+def op6_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    held_out = remainder("doc_id", 5) == 1
+    scored = language_model.score(docs.withColumn("held_out", held_out))
+    return scored.withColumn("held_out", held_out)
+
+
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents", "doc_id", "text"), read(spark, folder, "labels")
     forest = quality_classifier.train(docs, labels.filter(remainder("doc_id", 5) != 0), "quality")

@@ -65,7 +65,7 @@ def fit(
     With one class only, or no rows, the forest answers that class's smoothed share.
     """
     weights = np.ones(len(labels)) if weights is None else weights
-    rows = np.asarray(rows, np.float64).reshape(len(labels), -1)
+    rows = np.atleast_2d(np.asarray(rows, np.float64))
     labels = np.asarray(labels, np.float64)
     n, width = rows.shape
     share = ((weights * labels).sum() + 0.5) / (weights.sum() + 1)

@@ -17,6 +17,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,9 @@ WALKS, SAMPLES, PLACES = 6, 16, 2
 #: Benchmark text that is compared with all documents in one pass; more of it takes more passes.
 BLOCK_BYTES = 16 * 1024 * 1024
 
+#: Characters of documents that are searched together, unless one text is longer.
+SEARCHED_CHARS = 6_000_000
+
 WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -61,33 +65,40 @@ class Walks:
         """For each window (a row of symbols) its key in every sample: rows x (walks * samples)."""
         n, length = windows.shape
         steps = 2 * length
-        row, keys = np.arange(n), []
-        for walk in range(WALKS):
-            at = np.zeros(n, np.int64)
-            emitted = np.zeros((n, steps), np.uint64)
-            for step in range(steps):
-                inside = at < length
-                symbol = windows[row, np.minimum(at, length - 1)]
-                emitted[:, step] = np.where(inside, symbol.astype(np.uint64) + np.uint64(1), np.uint64(0))
-                bit = (self.bits[walk, symbol, step >> 6] >> np.uint64(step & 63)) & np.uint64(1)
-                at += bit.astype(np.int64)
-            taken = emitted[:, (self.places[walk] * steps).astype(np.int64)]
-            key = np.full((n, SAMPLES), walk * SAMPLES, np.uint64) + np.arange(SAMPLES, dtype=np.uint64)
-            for place in range(PLACES):
-                key = (key ^ taken[:, :, place]) * _MIX
-                key ^= key >> np.uint64(29)
-            keys.append(key)
-        return np.concatenate(keys, axis=1)
+        padded = np.concatenate([windows, np.full((n, 1), -1)], axis=1).astype(np.int32)  # -1: through
+        rows = np.repeat(np.arange(n) * (length + 1), WALKS)
+        walks = np.tile(np.arange(WALKS), n)
+        flat, at = padded.ravel(), np.zeros(n * WALKS, np.int64)
+        emitted = np.empty((steps, n * WALKS), np.int32)
+        for step in range(steps):
+            symbol = emitted[step] = flat[rows + at]
+            if step % 64 == 0:
+                bits = self.bits[:, :, step >> 6]
+            bit = (bits[walks, symbol] >> np.uint64(step & 63)) & np.uint64(1)
+            at += bit.astype(np.int64)
+            np.minimum(at, length, out=at)
+        # places: walks x samples; emitted[place, window, walk]
+        emitted = emitted.reshape(steps, n, WALKS)
+        places = (self.places * steps).astype(np.int64)
+        key = np.arange(WALKS * SAMPLES, dtype=np.uint64) + np.zeros((n, 1), np.uint64)
+        of_walk = np.repeat(np.arange(WALKS), SAMPLES)
+        for place in range(PLACES):
+            taken = emitted[places[:, :, place].ravel(), :, of_walk].T  # windows x (walks * samples)
+            key = (key ^ (taken + 1).astype(np.uint64)) * _MIX
+            key ^= key >> np.uint64(29)
+        return key
 
 
 def distances(windows: np.ndarray, items: np.ndarray) -> np.ndarray:
     """Word edit distance of each item (row) and the best beginning of its window (row)."""
     n, width = windows.shape
-    columns = np.arange(width + 1)
+    windows, items = windows.astype(np.int32), items.astype(np.int32)
+    kind = np.int16 if width + items.shape[1] < 30_000 else np.int32
+    columns = np.arange(width + 1, dtype=kind)
     row = np.broadcast_to(columns, (n, width + 1)).copy()
     for i in range(items.shape[1]):
         changed = np.minimum(row[:, :-1] + (windows != items[:, i : i + 1]), row[:, 1:] + 1)
-        best = np.concatenate([np.full((n, 1), i + 1), changed], axis=1)
+        best = np.concatenate([np.full((n, 1), i + 1, kind), changed], axis=1)
         row = np.minimum.accumulate(best - columns, axis=1) + columns
     return row.min(axis=1)
 
@@ -152,7 +163,7 @@ class Matcher:
         pad = np.zeros(self.reach + 1, np.int64)
         for text in texts:
             found = WORD.findall(text.lower())
-            parts += [np.fromiter((get(w, 0) for w in found), np.int64, len(found)), pad]
+            parts += [np.fromiter(map(get, found, repeat(0)), np.int64, len(found)), pad]
             begins.append(total)
             total += len(found) + len(pad)
         symbols = np.concatenate(parts)
@@ -198,16 +209,23 @@ class Matcher:
         within = np.arange(len(first)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         pairs = np.unique(np.repeat(window, sizes) * len(items) + owners[first + within])
         window, item = pairs // len(items), pairs % len(items)
-        for i in range(0, len(pairs), 50_000):
-            w, k = at[window[i : i + 50_000]], item[i : i + 50_000]
-            distance = distances(padded[w[:, None] + np.arange(length + edits)], rows[k])
-            near = np.flatnonzero(distance <= edits)
-            text = np.searchsorted(begins, w[near], side="right") - 1
-            for t, n, place, d in zip(text.tolist(), k[near].tolist(), w[near].tolist(), distance[near].tolist()):
-                found = (d, place - int(begins[t]), length)
-                key = (t, items[n])
-                if key not in best or found < best[key]:
-                    best[key] = found
+        text = np.searchsorted(begins, at[window], side="right") - 1
+        # Where an item is found word for word, its other windows in that text can't be better.
+        exact = (windows[window] == rows[item]).all(axis=1)
+        whole = text * len(items) + item
+        rest = np.flatnonzero(~exact & ~np.isin(whole, whole[exact]))
+        distance = np.zeros(len(pairs), np.int64)
+        for i in range(0, len(rest), 20_000):
+            some = rest[i : i + 20_000]
+            distance[some] = distances(padded[at[window[some], None] + np.arange(length + edits)], rows[item[some]])
+        near = np.flatnonzero(exact)
+        near = np.concatenate([near, rest[distance[rest] <= edits]])
+        places = at[window[near]]
+        for t, n, place, d in zip(text[near].tolist(), item[near].tolist(), places.tolist(), distance[near].tolist()):
+            found = (d, place - int(begins[t]), length)
+            key = (t, items[n])
+            if key not in best or found < best[key]:
+                best[key] = found
 
 
 def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int, str]]]:
@@ -241,7 +259,7 @@ def contaminated(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(*cloudpickle.loads(shared.value))
-            for keys, texts in text_groups(batches):
+            for keys, texts in text_groups(batches, SEARCHED_CHARS):
                 rows = [(keys[t], i, p, d, 1 - d / n) for t, i, p, d, n in matcher.find(texts)]
                 if rows:
                     yield batch_of(schema, *zip(*rows))
@@ -262,7 +280,7 @@ def clean(
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(*cloudpickle.loads(shared.value))
             for batch in batches:
-                for part, texts in text_slices(batch, text):
+                for part, texts in text_slices(batch, text, SEARCHED_CHARS):
                     held = {found[0] for found in matcher.find(texts)}
                     yield part.filter(pa.array([i not in held for i in range(len(texts))], pa.bool_()))
 

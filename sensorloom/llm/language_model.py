@@ -28,10 +28,10 @@ from sensorloom.llm.elias_fano import EliasFano
 from sensorloom.session import write_table
 
 #: Tokens of a block, unless one text has more.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_200_000
 
 #: Tokens that a shard is made for.
-SHARD_TOKENS = 3_000_000
+SHARD_TOKENS = 1_000_000
 
 #: Weight of the unigram model in a context, in tokens.
 MU = 50.0

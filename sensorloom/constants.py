@@ -19,6 +19,7 @@ RECENT_LOG_ROWS = 20
 SCATTER_ROWS = 200
 SCORING_INTERVAL = "500 milliseconds"
 STATE_INTERVAL = "3 seconds"
+STATE_SECONDS = 3.0
 MODEL_CHECK_SECONDS = 10.0
 FOREST_TREES = 50
 FOREST_DEPTH = 5

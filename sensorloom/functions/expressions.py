@@ -5,8 +5,18 @@ from pyspark.sql import functions as F
 
 from sensorloom import constants as C
 
-# Date, 'T' or blank, time to the second, optional fraction and zone.
-ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
+# Date, any one character, time to the second, fraction of any length, zone. Both parts may
+# be written without their marks.
+_ZONE = r"(Z|[+-]\d{2}(:?\d{2})?)?"
+_DATE = r"(\d{4})-?(\d{2})-?(\d{2})"
+_TIME = r"(\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?"
+ISO_SHAPE = (
+    r"^(\d{4}-\d{2}-\d{2}|\d{8})"
+    r"([T ](\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?|\d{4}(\d{2}([.,]\d+)?)?)" + _ZONE + ")?$"
+)
+
+# The form that messages nearly always have; it needs no taking apart.
+USUAL_SHAPE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
 
 
 def is_anomaly(classification: str = "classification") -> Column:
@@ -47,9 +57,26 @@ def iso_text(time: Column | str = "timestamp") -> Column:
 
 
 def iso_timestamp(text: Column | str) -> Column:
-    """ISO-8601 text to a time without zone; NULL where the text is none."""
+    """ISO-8601 text to a time without zone; NULL where the text is none. Digits after the
+    sixth of a fraction are cut off."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.when(text.rlike(ISO_SHAPE), F.try_to_timestamp(text).cast("timestamp_ntz"))
+    pattern = "^" + _DATE + "(?:[T ]" + _TIME + _ZONE + ")?$"
+
+    def part(group: int) -> Column:
+        return F.regexp_extract(text, pattern, group)
+
+    def or_zeros(group: int) -> Column:
+        return F.when(part(group) == "", "00").otherwise(part(group))
+
+    date = F.concat_ws("-", part(1), part(2), part(3))
+    time = F.concat_ws(":", or_zeros(4), or_zeros(5), or_zeros(6))
+    fraction = F.rpad(F.substring(part(7), 1, 6), 6, "0")
+    # An hour alone as a zone gets its minutes.
+    zone = F.when(F.length(part(8)) == 3, F.concat(part(8), F.lit(":00"))).otherwise(part(8))
+    whole = F.concat(date, F.lit("T"), time, F.lit("."), fraction, zone)
+    usual = text.rlike(USUAL_SHAPE)
+    parsed = F.try_to_timestamp(F.when(usual, text).otherwise(whole))
+    return F.when(usual | text.rlike(ISO_SHAPE), parsed.cast("timestamp_ntz"))
 
 
 def log_message(device: str = "device_id", classification: str = "classification") -> Column:

@@ -8,43 +8,30 @@ from pyspark.sql import functions as F
 
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
-from sensorloom.session import spread, write_table
+from sensorloom.session import write_table
 
-# Beyond this many readings the trainer gets weighted rows instead of single readings.
-SINGLE_ROWS = 50_000_000
 CELLS = 512
 PARTS = 8
 
+# The trees' resampling is seeded by partition, so the trainer's rows always lie in the
+# same partitions, whatever the cores and the files of the table.
+TRAINING_PARTITIONS = 16
+
 
 def train(
-    readings: DataFrame,
-    trees: int = C.FOREST_TREES,
-    depth: int = C.FOREST_DEPTH,
-    seed: int = C.MODEL_SEED,
-    single_rows: int = SINGLE_ROWS,
+    readings: DataFrame, trees: int = C.FOREST_TREES, depth: int = C.FOREST_DEPTH, seed: int = C.MODEL_SEED
 ) -> PipelineModel:
     """Fit the two-stage pipeline on all readings; a null feature raises.
 
     Only the two features, the label and the id are read from the table. The trainer
-    holds a count per tree for every row it is given, so a table of more than
-    ``single_rows`` readings is condensed first.
+    holds a count per tree for every row it is given, so it gets weighted rows: readings
+    counted in a fine grid. That is done for tables of any size.
     """
-    condensed = readings.count() > single_rows
-    if condensed:
-        rows = condense(readings)
-    else:
-        # The trainer goes over its input several times; held, as its size is bounded.
-        rows = spread(readings.select(*C.FEATURES, E.label())).persist()
     assembler = VectorAssembler(inputCols=list(C.FEATURES), outputCol="features", handleInvalid="error")
     forest = RandomForestClassifier(
-        featuresCol="features", labelCol="label", numTrees=trees, maxDepth=depth, seed=seed
+        featuresCol="features", labelCol="label", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed
     )
-    if condensed:
-        forest.setWeightCol("weight")
-    try:
-        return Pipeline(stages=[assembler, forest]).fit(rows)
-    finally:
-        rows.unpersist()
+    return Pipeline(stages=[assembler, forest]).fit(condense(readings))
 
 
 def condense(readings: DataFrame, cells: int = CELLS, parts: int = PARTS) -> DataFrame:
@@ -54,6 +41,7 @@ def condense(readings: DataFrame, cells: int = CELLS, parts: int = PARTS) -> Dat
     A cell is kept in several parts, by the id, so that the trees' resampling does not
     take or leave a whole cell at once. One pass finds the ranges, one counts the cells;
     both combine inside each task, so a cell with most of the readings costs no more.
+    Means are rounded, since their last digits depend on the order of tasks.
     """
     ends = [f(F.col(m)).alias(f"{end}_{m}") for m in C.FEATURES for end, f in (("low", F.min), ("high", F.max))]
     nulls = [F.count_if(F.col(m).isNull() | F.isnan(m)).alias(f"null_{m}") for m in C.FEATURES]
@@ -69,11 +57,15 @@ def condense(readings: DataFrame, cells: int = CELLS, parts: int = PARTS) -> Dat
         *[cell(m).alias(f"cell_{m}") for m in C.FEATURES],
         E.is_anomaly().alias("anomalous"),
         F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"),
-    ).agg(*[F.avg(m).alias(m) for m in C.FEATURES], F.count("*").cast("double").alias("weight"))
+    ).agg(*[F.round(F.avg(m), 9).alias(m) for m in C.FEATURES], F.count("*").cast("double").alias("weight"))
     classified = grouped.withColumn("classification", E.class_name(F.col("anomalous")))
-    # Read several times by the trainer.
-    return write_table(classified.select(*C.FEATURES, "classification", "weight"), "condensed").select(
-        *C.FEATURES, E.label(), "weight"
+    # Read several times by the trainer; there are at most cells x cells x parts x 2 rows.
+    rows = write_table(classified.select(*C.FEATURES, "classification", "weight"), "condensed")
+    order = [*C.FEATURES, "classification", "weight"]
+    return (
+        rows.repartition(TRAINING_PARTITIONS, *C.FEATURES)
+        .sortWithinPartitions(*order)
+        .select(*C.FEATURES, E.label(), "weight")
     )
 
 
@@ -94,3 +86,14 @@ def confusion(model: PipelineModel, readings: DataFrame) -> DataFrame:
         .groupBy("actual", F.col("classification").alias("predicted"))
         .agg(F.count("*").alias("readings"))
     )
+
+
+def agreement(model: PipelineModel, readings: DataFrame) -> DataFrame:
+    """One row: readings, anomalies by their own class, and the share of readings that the
+    forest puts into it."""
+    actual, predicted, n = F.col("actual"), F.col("predicted"), F.sum("readings")
+    return confusion(model, readings).agg(
+        F.coalesce(n, F.lit(0)).alias("readings"),
+        F.coalesce(F.sum(F.when(actual == C.ANOMALY, F.col("readings"))), F.lit(0)).alias("anomalies"),
+        (F.sum(F.when(actual == predicted, F.col("readings"))) / n).alias("agreement"),
+    )

@@ -25,7 +25,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAF = -1
 HASH_RANGE = 1 << 40
-CUT_OFF_ROWS = 10_000_000
 
 NODES = T.StructType(
     [
@@ -123,29 +122,20 @@ def draw_samples(
 ) -> tuple[DataFrame, int]:
     """A sample per tree, without repeats inside a tree: columns tree and the features.
 
-    From a large table (``total`` rows) trees × sample_size rows are wanted. A hash of the unique key
-    picks about a tenth more than that in one pass without a shuffle, and the rows are
-    ranked by their hash and dealt to the trees. A table smaller than that is sampled
-    for each tree anew.
+    Each row (of ``total``) draws a hash for every tree, and is taken for those where it lies
+    below a share that gives about a tenth more than wanted; of these a tree keeps the
+    ``sample_size`` lowest. One pass, a few hundred rows per tree, and the same rule for
+    tables of any size: where the share is 1, all rows are ranked.
     """
-    wanted = trees * sample_size
-    if total > wanted:
-        share = min(1.0, (wanted + 6 * wanted**0.5) * 1.1 / total)
-        picked = rows.withColumn("_h", _hash_share(seed, key)).filter(F.col("_h") < int(share * HASH_RANGE))
-        # About ``wanted`` rows, however large the table: one task ranks them.
-        ranked = picked.withColumn("_rank", F.row_number().over(Window.orderBy("_h", key)) - 1)
-        return (
-            ranked.filter(F.col("_rank") < wanted)
-            .withColumn("tree", (F.col("_rank") % trees).cast("int"))
-            .select("tree", *features),
-            sample_size,
-        )
     size = min(sample_size, total)
-    # At most ``wanted`` rows per tree here.
-    per_tree = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).withColumn(
-        "_h", _hash_share(seed, "tree", key)
+    share = min(1.0, (size + 6 * size**0.5) * 1.1 / max(total, 1))
+    draws = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: F.struct(tree.alias("tree"), _hash_share(seed, tree, key).alias("_h")),
     )
-    ranked = per_tree.withColumn("_rank", F.row_number().over(Window.partitionBy("tree").orderBy("_h", key)))
+    taken = F.filter(draws, lambda d: d["_h"] < F.lit(int(share * HASH_RANGE)))
+    picked = rows.select(key, *features, F.explode(taken).alias("_d")).select(key, *features, "_d.tree", "_d._h")
+    ranked = picked.withColumn("_rank", F.row_number().over(Window.partitionBy("tree").orderBy("_h", key)))
     return ranked.filter(F.col("_rank") <= size).select("tree", *features), size
 
 
@@ -183,14 +173,9 @@ def train(
     seed: int = C.MODEL_SEED,
     key: str = "id",
     features: tuple[str, ...] = C.FEATURES,
-    cut_off_rows: int = CUT_OFF_ROWS,
 ) -> IsolationModel:
     """Build the trees and set the cut-off that flags the contamination share of the
-    training rows.
-
-    The cut-off is a quantile of the scores of all training rows, or of ``cut_off_rows``
-    drawn by hash from a larger table: its rank is then off by less than the 1 in 10,000
-    the quantile sketch itself allows.
+    training rows: a quantile of the scores of all of them.
     """
     rows = spread(readings.select(key, *features))
     total = rows.count()
@@ -200,8 +185,6 @@ def train(
     height = int(np.ceil(np.log2(max(size, 2))))
     nodes = samples.groupBy("tree").applyInPandas(_tree_builder(seed, features, height), NODES)
     model = _pack(nodes, trees, 2 ** (height + 1) - 1, size, np.nan, features)
-    if total > cut_off_rows:
-        rows = rows.filter(_hash_share(seed + 1, key) < int(cut_off_rows / total * HASH_RANGE))
     scores = rows.select(_score_column(model, readings.sparkSession).alias("score"))
     cut_off = scores.agg(F.percentile_approx("score", 1.0 - contamination, 10_000)).first()[0]
     return IsolationModel(
@@ -236,8 +219,25 @@ def anomaly_scores(
     return np.exp2(-mean_depth / max(average_path(sample_size), np.finfo(float).tiny))
 
 
+# Trees that are with the executors already, by model: a stream scores with the same model
+# in every micro-batch.
+_sent: dict[int, tuple] = {}
+
+
+def _broadcast(model: IsolationModel, spark: SparkSession):
+    found = _sent.get(id(model))
+    if found is None or found[0] is not model or found[1] != spark.sparkContext.applicationId:
+        for _, application, trees in _sent.values():
+            if application == spark.sparkContext.applicationId:
+                trees.unpersist()
+        _sent.clear()
+        trees = spark.sparkContext.broadcast((model.feature, model.threshold, model.path_length))
+        found = _sent[id(model)] = (model, spark.sparkContext.applicationId, trees)
+    return found[2]
+
+
 def _score_column(model: IsolationModel, spark: SparkSession) -> Column:
-    trees = spark.sparkContext.broadcast((model.feature, model.threshold, model.path_length))
+    trees = _broadcast(model, spark)
     sample_size = model.sample_size
 
     @F.pandas_udf(T.DoubleType())

@@ -1,5 +1,7 @@
-"""Published models: one folder per version and a table of the published versions."""
+"""Published models: a folder for each and a table of the published versions."""
 
+import json
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -8,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.sources.sinks import path_exists
+from sensorloom.sources.sinks import create_file, path_exists
 
 REGISTRY = T.StructType(
     [
@@ -48,22 +50,29 @@ def latest(spark: SparkSession, root: str) -> ModelVersion | None:
 
 
 def publish(spark: SparkSession, model: PipelineModel, root: str) -> ModelVersion:
-    """Save the model as the next version and announce it.
+    """Save the model in a folder of its own and announce it as the next version.
 
-    The entry in the table of published versions comes last and as a single new file, so
-    readers see either the version before or the complete new one.
+    The entry of a version is one file with that version's name, made only if there is none
+    yet: of two trainers that finish at once one gets the number, and the other the next.
+    Readers see either the version before or the complete new one.
     """
-    before = latest(spark, root)
-    version = before.version + 1 if before else 1
-    path = f"{root}/v={version}"
-    model.write().overwrite().save(path)
+    path = f"{root}/models/{uuid.uuid4().hex}"
+    model.write().save(path)
     if not path_exists(spark, f"{path}/metadata"):
         raise RuntimeError(f"model was not saved to {path}")
-    now = datetime.now(timezone.utc).replace(tzinfo=None)
-    spark.createDataFrame([(version, path, now)], REGISTRY).coalesce(1).write.mode("append").json(
-        f"{root}/published"
-    )
-    return ModelVersion(version, path)
+    now = datetime.now(timezone.utc).replace(tzinfo=None).isoformat()
+    while True:
+        before = latest(spark, root)
+        version = before.version + 1 if before else 1
+        entry = json.dumps({"version": version, "path": path, "created_at": now})
+        if create_file(spark, f"{root}/published/version-{version}.json", entry + "\n"):
+            return ModelVersion(version, path)
+
+
+def versions(spark: SparkSession, root: str) -> list[ModelVersion]:
+    """All published versions, newest first; there are as many rows as trainings."""
+    rows = published(spark, root).orderBy(F.desc("version")).select("version", "path").collect()
+    return [ModelVersion(r["version"], r["path"]) for r in rows]
 
 
 def load(found: ModelVersion) -> PipelineModel:

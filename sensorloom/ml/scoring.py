@@ -1,5 +1,7 @@
 """Choice of the model: the published forest, else the isolation forest."""
 
+import logging
+
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.ml import PipelineModel
@@ -8,6 +10,8 @@ from pyspark.sql import functions as F
 
 from sensorloom.ml import forest, isolation, registry
 
+log = logging.getLogger(__name__)
+
 FOREST = "random_forest"
 EDGE = "isolation_forest"
 
@@ -16,15 +20,13 @@ LOAD_ERRORS = (PySparkException, Py4JError, ValueError, KeyError)
 
 
 def newest_forest(spark: SparkSession, root: str) -> PipelineModel | None:
-    """The newest published forest, or None if there is none or it does not load."""
-    found = registry.latest(spark, root)
-    if found is None:
-        return None
-    try:
-        return registry.load(found)
-    except LOAD_ERRORS as error:
-        print(f"model version {found.version} did not load: {error}")
-        return None
+    """The newest published forest that loads, or None if there is none."""
+    for found in registry.versions(spark, root):
+        try:
+            return registry.load(found)
+        except LOAD_ERRORS:
+            log.warning("model version %s did not load", found.version, exc_info=True)
+    return None
 
 
 def score_with_fallback(readings: DataFrame, root: str, edge: isolation.IsolationModel) -> DataFrame:

@@ -15,10 +15,11 @@ def total(df: DataFrame, name: str) -> DataFrame:
 
 
 def per_minute(readings: DataFrame, name: str = "processed_data") -> DataFrame:
-    return _per_minute(readings, name).orderBy("time")
+    return by_minute(readings, name).orderBy("time")
 
 
-def _per_minute(readings: DataFrame, name: str) -> DataFrame:
+def by_minute(readings: DataFrame, name: str) -> DataFrame:
+    """The same without an order."""
     return readings.groupBy(E.truncated("minute").alias("time")).agg(F.count("*").alias(name))
 
 
@@ -59,14 +60,15 @@ def anomaly_report(anomalies: DataFrame) -> DataFrame:
 
 
 def anomaly_report_row(anomalies: DataFrame) -> DataFrame:
-    """The report head as one row: the total and a map of counts per gateway.
+    """The report head as one row, also where there are no anomalies: the total and the counts
+    per gateway as JSON, by gateway.
 
-    The map holds one entry per gateway. The detail rows stay a table of their own
+    It holds one entry per gateway. The detail rows stay a table of their own
     (``anomaly_detail``), as one array of all anomalies would not fit one row.
     """
+    counts = F.map_from_entries(F.array_sort(F.collect_list(F.struct("gateway_id", "n"))))
     return per_gateway(anomalies, "n").agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_anomalies"),
-        F.map_from_entries(F.collect_list(F.struct("gateway_id", "n"))).alias("per_gateway"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_anomalies"), F.to_json(counts).alias("per_gateway")
     )
 
 

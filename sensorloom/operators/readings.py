@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
+from sensorloom.sources.sinks import since
 
 
 def enrich(readings: DataFrame, gateway: Column, classification: Column) -> DataFrame:
@@ -23,14 +24,15 @@ def of_gateway(readings: DataFrame, gateway_id: str) -> DataFrame:
 def recent(readings: DataFrame, look_back: str = C.LOOK_BACK, as_of: Column | None = None) -> DataFrame:
     """Readings of the last ``look_back`` before ``as_of``, by default the newest reading.
 
-    The newest time is a scalar subquery, so the bound still reaches the parquet scan.
+    The newest time is a scalar subquery, so the bound still reaches the parquet scan, and
+    the folders of a table laid out by day.
     """
     if as_of is None:
         newest = readings.agg(F.max("timestamp").alias("newest"))
         bound = newest.select(F.col("newest") - F.expr(f"INTERVAL {look_back}")).scalar()
-        return readings.filter(F.col("timestamp") >= bound)
+        return since(readings, bound)
     bound = as_of - F.expr(f"INTERVAL {look_back}")
-    return readings.filter(F.col("timestamp").between(bound, as_of))
+    return since(readings, bound).filter(F.col("timestamp") <= as_of)
 
 
 def trend(readings: DataFrame, measure: str) -> DataFrame:

@@ -3,8 +3,17 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorloom.operators.joins import measured_bytes
 from sensorloom.session import write_table
 
+#: Values of one slice, about: what one task sorts.
+SLICE_BYTES = 128 * 1024 * 1024
+
+
+def number_of_slices(df: DataFrame, slice_bytes: int = SLICE_BYTES) -> int:
+    """Slices by the size of the values, at least one for each core."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-measured_bytes(df) // slice_bytes))
+
 
 def running_totals(
     df: DataFrame, key: str, order: list[str], measures: dict[str, Column], slices: int | None = None
@@ -17,10 +26,10 @@ def running_totals(
     the totals of the slices before it are added. The cut is written once, as both
     steps must see the same slices.
     """
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    prepared = df.withColumns({f"_{name}": measure for name, measure in measures.items()})
+    slices = slices or number_of_slices(prepared)
     cut = write_table(
-        df.withColumns({f"_{name}": measure for name, measure in measures.items()})
-        .repartitionByRange(slices, key, *order)
+        prepared.repartitionByRange(slices, key, *order)
         .withColumn("_slice", F.spark_partition_id()),
         "slices",
     )

@@ -2,9 +2,12 @@
 
 Rules for a message: its text has to be one JSON object; extra fields are ignored; a
 missing or null field is an error; text fields have to be JSON strings; number fields may
-be numbers, true/false or text that reads as a number; the time has to be ISO-8601.
+be numbers, true/false or text that reads as a number, and have to be finite; the time has
+to be ISO-8601. Text that isn't valid UTF-8 comes as NULL and is malformed.
 """
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +21,9 @@ REQUIRED = ("device_id", "temperature", "humidity", "timestamp")
 _FIELDS = "device_id VARIANT, temperature STRING, humidity STRING, timestamp STRING, bad STRING"
 
 # Java also reads '1d' and '0x1p3' as numbers, so text has to look like a number first.
-_NUMBER_SHAPE = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|nan|inf|infinity)\s*$"
+_NUMBER_SHAPE = r"(?i)^\s*[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?\s*$"
+
+_LARGEST = sys.float_info.max
 
 
 def decode_messages(raw: DataFrame) -> DataFrame:
@@ -61,7 +66,8 @@ def _generate(df: DataFrame, carried: list[str], name: str, fields: dict[str, Co
 def _number(name: str) -> Column:
     text = F.col(f"m.json.{name}")
     truth = F.when(text == "true", 1.0).when(text == "false", 0.0)
-    return F.when(text.rlike(_NUMBER_SHAPE), text.try_cast("double")).otherwise(truth)
+    number = text.try_cast("double")
+    return F.when(text.rlike(_NUMBER_SHAPE) & number.between(-_LARGEST, _LARGEST), number).otherwise(truth)
 
 
 def _reason() -> Column:

@@ -4,6 +4,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
@@ -18,7 +19,7 @@ from sensorloom.plans import views
 from sensorloom.plans.retraining import retrain
 from sensorloom.session import work_dir
 from sensorloom.sources import sinks
-from sensorloom.sources.messages import landed_messages
+from sensorloom.sources.messages import bounded, landed_messages
 from sensorloom.sources.tables import scan_events, stream_events
 from sensorloom.streaming import aggregates as SA
 from sensorloom.streaming import model_switch, routing
@@ -83,27 +84,30 @@ def _reject(spark: SparkSession, folder: str) -> DataFrame:
     return D.rejected_requests(views.validate_requests(r), views.devices(r))
 
 
-def _register(spark: SparkSession, folder: str) -> DataFrame:
-    events = scan_events(spark, folder)
-    return D.register(views.register_requests(events), views.devices(views.sensor_data(events)), SALT)
+def _register(spark: SparkSession, folder: str, salt: str = SALT) -> DataFrame:
+    known = views.devices(views.load(spark, folder))
+    return D.register(views.register_requests(known), known, salt)
 
 
 def _toggle(spark: SparkSession, folder: str) -> DataFrame:
-    events = scan_events(spark, folder)
-    return D.toggle(views.toggle_requests(events), views.devices(views.sensor_data(events)))
+    known = views.devices(views.load(spark, folder))
+    return D.toggle(views.toggle_requests(known), known)
 
 
 def _toggled_devices(spark: SparkSession, folder: str) -> DataFrame:
-    events = scan_events(spark, folder)
-    known = views.devices(views.sensor_data(events))
-    return D.listing(D.apply_toggles(known, D.toggle(views.toggle_requests(events), known)))
+    known = views.devices(views.load(spark, folder))
+    return D.listing(D.apply_toggles(known, D.toggle(views.toggle_requests(known), known)))
 
 
 def _key_violations(spark: SparkSession, folder: str) -> DataFrame:
-    """Device rows as if every sign-up had inserted one without asking first."""
-    events = scan_events(spark, folder).filter("event_type = 'signup'")
-    device = E.device_name("user_id").alias("device_id")
-    return D.key_violations(events.select(device, F.md5(E.device_name("user_id")).alias("api_key")))
+    """The known devices, those that the requests create, and those that requests for existing
+    devices would insert if nobody asked first."""
+    known = views.devices(views.load(spark, folder))
+    answers = D.register(views.register_requests(known), known, SALT)
+    unasked = answers.filter("status = 'exists'").select("device_id", F.md5("device_id").alias("api_key"))
+    pairs = known.select("device_id", "api_key")
+    created = D.created_devices(answers).select("device_id", "api_key")
+    return D.key_violations(pairs.unionByName(created).unionByName(unasked))
 
 
 def _outbox_write(spark: SparkSession, folder: str) -> DataFrame:
@@ -123,6 +127,7 @@ def _outbox_ack(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _log_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Logs as stored by day; every stored day is read back."""
     path = work_dir(spark, "logs")
     logs = R.log_rows(views.load(spark, folder))
     sinks.append_by_day(logs, path)
@@ -131,6 +136,36 @@ def _log_append(spark: SparkSession, folder: str) -> DataFrame:
 
 # Streams.
 
+FILES = 5
+
+
+def _landed(
+    spark: SparkSession, readings: DataFrame, path: str, view: Callable[[DataFrame], DataFrame] = lambda r: r
+) -> str:
+    """Land a view of the readings in five files, one after the other: the newest times first,
+    and every 500th reading only in the last file, so that it is late."""
+    micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    low, high = readings.agg(F.min(micros), F.max(micros)).first()
+    slot = F.floor((micros - F.lit(low or 0)) * FILES / F.lit((high or 0) - (low or 0) + 1))
+    place = F.when(F.col("id") % 500 == 0, 0).otherwise(slot)
+    for file in reversed(range(FILES)):
+        view(readings.filter(place == file)).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _arriving(spark: SparkSession, path: str, schema: T.StructType = C.READING) -> DataFrame:
+    """A landing folder as a stream of one file per micro-batch."""
+    return bounded(spark.readStream.schema(schema), 1).parquet(path)
+
+
+def _late_readings(spark: SparkSession, folder: str, base: str) -> DataFrame:
+    return _arriving(spark, _landed(spark, views.load(spark, folder), f"{base}/landing"))
+
+
+def _late_messages(spark: SparkSession, folder: str, base: str) -> DataFrame:
+    landed = _landed(spark, views.load(spark, folder), f"{base}/landing", views.raw_messages)
+    return landed_messages(spark, landed, 1)
+
 
 def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "ingest")
@@ -138,9 +173,10 @@ def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
-def _routed(spark: SparkSession, folder: str) -> str:
+def _routed(spark: SparkSession, folder: str, after: Callable | None = None) -> str:
     base = work_dir(spark, "routed")
-    run(routing.route(_messages(spark, folder), base, _by_rule), f"{base}/checkpoint")
+    messages = _late_messages(spark, folder, base)
+    run(routing.route(messages, base, _by_rule, after=after and after(base)), f"{base}/checkpoint")
     return base
 
 
@@ -156,29 +192,61 @@ def _stream_outbox(spark: SparkSession, folder: str) -> DataFrame:
     return routing.stored_outbox(spark, _routed(spark, folder))
 
 
+def _stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    return routing.stored_rejects(spark, _routed(spark, folder))
+
+
 def _stream_stored_counters(spark: SparkSession, folder: str) -> DataFrame:
-    return routing.stored_counters(spark, _routed(spark, folder))
+    """Counters after a compaction that has removed the batches it stands for."""
+    base = _routed(spark, folder)
+    routing.compact(spark, base, clear=True)
+    return routing.stored_counters(spark, base)
+
+
+def _stream_published_state(spark: SparkSession, folder: str) -> DataFrame:
+    """State published after every micro-batch and merged by version."""
+    base = _routed(spark, folder, lambda out: routing.StatePublisher(out, seconds=0))
+    return routing.published_state(spark, base)
+
+
+def _stream_outbox_pending(spark: SparkSession, folder: str) -> DataFrame:
+    """The live outbox once delivered lines are taken out, twice over."""
+    base = _routed(spark, folder)
+    delivered = views.delivered_lines(scan_events(spark, folder))
+    for _ in range(2):
+        routing.clear_outbox(spark, base, delivered)
+    return routing.stored_outbox(spark, base)
+
+
+def _stream_recent_readings(spark: SparkSession, folder: str) -> DataFrame:
+    stored = routing.stored_readings(spark, _routed(spark, folder), by_day=True)
+    return R.recent(stored).select(*C.READING.fieldNames())
 
 
 def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Deliveries stored as they come; copies come with their first and again in a late file."""
     base = work_dir(spark, "dedup")
-    once = routing.drop_redelivered(views.redelivered_anomalies(_stream(spark, folder)))
-    run(routing.store_scored(once, f"{base}/out"), f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out")
+    readings = views.load(spark, folder)
+    _landed(spark, readings, f"{base}/landing", views.redelivered_anomalies)
+    again = R.anomalies(readings).filter(F.col("id") % 500 == 0)
+    again.coalesce(1).write.mode("append").parquet(f"{base}/landing")
+    run(routing.store_deliveries(_arriving(spark, f"{base}/landing"), f"{base}/out"), f"{base}/checkpoint")
+    return routing.delivered_once(spark, f"{base}/out")
 
 
 def _stream_counters(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "counters")
-    run(SA.counters(_stream(spark, folder), f"{base}/out"), f"{base}/checkpoint")
+    run(SA.counters(_late_readings(spark, folder, base), f"{base}/out"), f"{base}/checkpoint")
     return SA.read_counters(spark, f"{base}/out")
 
 
 def _landed_halves(spark: SparkSession, folder: str, base: str) -> Iterator[int]:
-    """Land the raw messages of a data folder in two steps, older half first; after each
-    the caller runs its stream."""
+    """Land the raw messages of a data folder in two steps, the older half of the time first;
+    after each the caller runs its stream."""
     readings = views.load(spark, folder)
-    middle = readings.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.5)).first()[0]
-    late = F.unix_micros(F.col("timestamp").cast("timestamp")) > F.lit(middle)
+    micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    low, high = readings.agg(F.min(micros), F.max(micros)).first()
+    late = micros > F.lit(((low or 0) + (high or 0)) // 2)
     for half, chosen in enumerate((~late, late)):
         views.raw_messages(readings.filter(chosen)).write.mode("append").parquet(f"{base}/landing")
         yield half
@@ -198,57 +266,82 @@ def _stream_merge_state(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "merge")
     updates = views.state_updates(views.load(spark, folder))
     updates.repartitionByRange(5, "arrival_seq").write.parquet(f"{base}/landing")
-    arriving = (
-        spark.readStream.schema(C.STATE_UPDATE).option("maxFilesPerTrigger", 1).parquet(f"{base}/landing")
-    )
+    arriving = _arriving(spark, f"{base}/landing", C.STATE_UPDATE)
     run(SA.merge_state(arriving, f"{base}/out"), f"{base}/checkpoint")
     return SA.read_state(spark, f"{base}/out")
 
 
 def _stream_per_minute(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "minutes")
-    run(SA.per_minute(_stream(spark, folder), f"{base}/out"), f"{base}/checkpoint")
+    run(SA.per_minute(_late_readings(spark, folder, base), f"{base}/out"), f"{base}/checkpoint")
+    SA.compact_minutes(spark, f"{base}/out", clear=True)
     return SA.read_per_minute(spark, f"{base}/out")
 
 
 def _stream_anomalies_per_minute(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "anomaly-minutes")
-    run(SA.per_minute(R.anomalies(_stream(spark, folder)), f"{base}/out"), f"{base}/checkpoint")
+    arriving = R.anomalies(_late_readings(spark, folder, base))
+    run(SA.per_minute(arriving, f"{base}/out"), f"{base}/checkpoint")
     return SA.read_per_minute(spark, f"{base}/out", "anomalies")
 
 
 def _stream_rate(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "rate")
-    run(SA.anomaly_rate(_stream(spark, folder), f"{base}/out"), f"{base}/checkpoint")
+    run(SA.anomaly_rate(_late_readings(spark, folder, base), f"{base}/out"), f"{base}/checkpoint")
     return SA.read_anomaly_rate(spark, f"{base}/out")
 
 
-# Models.
+# Models. What a model says depends on its training; these queries give what must hold for
+# any: the rows and columns that go through it, versions, counts, and measured bounds.
+
+LEAST_AGREEMENT = 0.98
+FLAGGED = (0.04, 0.06)
+
+
+def _agrees(model, readings: DataFrame):
+    """Whether the forest gives enough of the readings their own class, measured on all."""
+    share = forest.agreement(model, readings).select(F.col("agreement") >= LEAST_AGREEMENT)
+    return share.scalar()
+
+
+def _carried(scored: DataFrame) -> DataFrame:
+    """The columns that scoring carries through, and whether it gave a class."""
+    known = F.col("classification").isin(C.NORMAL, C.ANOMALY).alias("classified")
+    return scored.select("id", "gateway_id", "device_id", *C.FEATURES, "timestamp", known)
 
 
 def _train_forest(spark: SparkSession, folder: str) -> DataFrame:
-    """Train on all readings; the classes the forest gives them against their own."""
+    """Train on all readings: how many there are, and whether the forest reproduces them."""
     readings = views.load(spark, folder)
     model = forest.train(readings)
-    return forest.confusion(model, readings)
+    return forest.agreement(model, readings).select(
+        "readings",
+        "anomalies",
+        F.lit(len(model.stages[-1].trees)).alias("trees"),
+        F.lit(max(t.depth for t in model.stages[-1].trees)).alias("depth"),
+        (F.col("agreement") >= LEAST_AGREEMENT).alias("agrees"),
+    )
 
 
 def _score_batch(spark: SparkSession, folder: str) -> DataFrame:
     readings = views.load(spark, folder)
-    return forest.score(forest.train(readings), readings)
+    model = forest.train(readings)
+    return _carried(forest.score(model, readings)).withColumn("agrees", _agrees(model, readings))
 
 
 def _model_publish(spark: SparkSession, folder: str) -> DataFrame:
     """Retrain and publish, load that version and publish it again as the next one; the
-    class counts under the newest version, loaded."""
+    readings under the newest version, loaded, and whether it classes them as the first."""
     readings = views.load(spark, folder)
     root = work_dir(spark, "models")
     first, _ = retrain(readings, root)
-    registry.publish(spark, registry.load(first), root)
+    original = registry.load(first)
+    registry.publish(spark, original, root)
     found = registry.latest(spark, root)
-    scored = forest.score(registry.load(found), readings)
-    return scored.groupBy(F.lit(found.version).alias("version"), "classification").agg(
-        F.count("*").alias("readings")
+    both = forest.score(original, readings).withColumnRenamed("classification", "first")
+    both = forest.score(registry.load(found), both)
+    return both.groupBy(F.lit(found.version).cast("bigint").alias("version")).agg(
+        F.count("*").alias("readings"), (F.count_if(F.col("first") != F.col("classification")) == 0).alias("same")
     )
 
 
@@ -256,35 +349,68 @@ def _edge_model(readings: DataFrame) -> isolation.IsolationModel:
     return isolation.train(readings.filter(~E.is_anomaly()))
 
 
+def _flagged_share(model: isolation.IsolationModel, readings: DataFrame):
+    """Whether the model flags the share of its training rows that it is meant to."""
+    flagged = isolation.score(model, readings.filter(~E.is_anomaly())).select(
+        F.avg((F.col("verdict") == C.ISOLATION_ANOMALY).cast("int")).between(*FLAGGED)
+    )
+    return flagged.scalar()
+
+
 def _train_edge_model(spark: SparkSession, folder: str) -> DataFrame:
-    return _edge_model(views.load(spark, folder)).nodes(spark)
+    """The trees: how many, of which sample size, whether all have a root and no leaf is
+    deeper than allowed; and whether the cut-off flags the share it should."""
+    readings = views.load(spark, folder)
+    model = _edge_model(readings)
+    deepest = 2 ** (1 + (model.sample_size - 1).bit_length()) - 1
+    return (
+        model.nodes(spark)
+        .agg(
+            F.count_distinct("tree").alias("trees"),
+            F.count_if(F.col("node") == 0).alias("roots"),
+            (F.max("node") < deepest).alias("within_depth"),
+        )
+        .withColumn("sample_size", F.lit(model.sample_size))
+        .withColumn("flags_its_share", _flagged_share(model, readings))
+    )
 
 
 def _edge_score(spark: SparkSession, folder: str) -> DataFrame:
     readings = views.load(spark, folder)
-    return isolation.score(_edge_model(readings), readings)
+    model = _edge_model(readings)
+    scored = isolation.score(model, readings)
+    agreed = (F.col("verdict") == C.ISOLATION_ANOMALY) == (F.col("classification") == C.ANOMALY)
+    scored = scored.withColumn("_consistent", agreed & F.col("score").between(0, 1))
+    return scored.select(
+        *_carried(scored).columns[:-1],
+        F.col("classification").isin(C.NORMAL, C.ANOMALY).alias("classified"),
+        F.col("_consistent").alias("consistent"),
+    ).withColumn("flags_its_share", _flagged_share(model, readings))
 
 
 def _score_with_fallback(spark: SparkSession, folder: str) -> DataFrame:
-    """All readings scored before and after a forest is published."""
+    """All readings scored before and after a forest is published, counted per model."""
     readings = views.load(spark, folder)
     edge = _edge_model(readings)
     root = work_dir(spark, "models")
     before = scoring.score_with_fallback(readings, root, edge)
     retrain(readings, root)
-    return before.unionByName(scoring.score_with_fallback(readings, root, edge))
+    both = before.unionByName(scoring.score_with_fallback(readings, root, edge))
+    return both.groupBy("model_type").agg(F.count("*").alias("readings"), F.count_distinct("id").alias("ids"))
 
 
 def _stream_score(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "scored")
-    model = forest.train(views.load(spark, folder))
-    scored = forest.score(model, V.valid_messages(_messages(spark, folder)))
+    readings = views.load(spark, folder)
+    model = forest.train(readings)
+    scored = forest.score(model, V.valid_messages(_late_messages(spark, folder, base)))
     run(routing.store_scored(scored, f"{base}/out"), f"{base}/checkpoint")
-    return spark.read.parquet(f"{base}/out")
+    return _carried(spark.read.parquet(f"{base}/out")).withColumn("agrees", _agrees(model, readings))
 
 
 def _stream_model_switch(spark: SparkSession, folder: str) -> DataFrame:
-    """The first half arrives before any forest is published, the second half after."""
+    """The first half arrives before any forest is published, the second half after; the
+    readings scored by each model and version."""
     readings = views.load(spark, folder)
     edge = _edge_model(readings)
     base = work_dir(spark, "switch")
@@ -294,7 +420,10 @@ def _stream_model_switch(spark: SparkSession, folder: str) -> DataFrame:
         run(model_switch.score_with_newest(arriving, f"{base}/out", newest), f"{base}/checkpoint")
         if half == 0:
             retrain(readings, f"{base}/models")
-    return model_switch.read_scored(spark, f"{base}/out")
+    scored = model_switch.read_scored(spark, f"{base}/out")
+    return scored.groupBy("model_type", "model_version").agg(
+        F.count("*").alias("readings"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last")
+    )
 
 
 # Queries that run streams or train models: they take seconds whether warm or not.
@@ -303,7 +432,11 @@ RUN_ONCE = {
     "stream_store_readings",
     "stream_store_anomalies",
     "stream_outbox",
+    "stream_rejects",
     "stream_stored_counters",
+    "stream_published_state",
+    "stream_outbox_pending",
+    "stream_recent_readings",
     "stream_dedup_anomalies",
     "stream_counters",
     "stream_restart",
@@ -353,6 +486,7 @@ def queries() -> dict[str, Query]:
         "analytics_summary": _on_readings(A.summary),
         "hourly_trend": _on_readings(A.hourly),
         "anomaly_report": _on_readings(lambda r: A.anomaly_report(R.anomalies(r))),
+        "anomaly_report_row": _on_readings(lambda r: A.anomaly_report_row(R.anomalies(r))),
         "anomaly_detail": _on_readings(lambda r: A.anomaly_detail(R.anomalies(r))),
         "series_totals": _on_readings(A.series_totals),
         "reading_last_mean": _on_readings(A.last_and_mean),
@@ -386,7 +520,11 @@ def queries() -> dict[str, Query]:
         "stream_store_readings": _stream_store_readings,
         "stream_store_anomalies": _stream_store_anomalies,
         "stream_outbox": _stream_outbox,
+        "stream_rejects": _stream_rejects,
         "stream_stored_counters": _stream_stored_counters,
+        "stream_published_state": _stream_published_state,
+        "stream_outbox_pending": _stream_outbox_pending,
+        "stream_recent_readings": _stream_recent_readings,
         "stream_dedup_anomalies": _stream_dedup,
         "stream_counters": _stream_counters,
         "stream_restart": _stream_restart,

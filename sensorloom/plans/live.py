@@ -1,4 +1,4 @@
-"""The live job: messages in, scored readings, anomalies, outbox and counters out."""
+"""The live job: messages in; scored readings, anomalies, rejects, outbox and state out."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -16,11 +16,15 @@ def run_live(
     out: str,
     models: str,
     edge: IsolationModel,
-    devices: DataFrame | None = None,
+    devices: routing.Devices | None = None,
     interval: str | None = C.SCORING_INTERVAL,
 ) -> StreamingQuery:
-    """Start the stream. Started again with the same ``out`` it goes on where it was."""
-    writer = routing.route(messages, out, NewestModel(models, edge), devices)
+    """Start the stream. Started again with the same ``out`` it goes on where it was.
+
+    The gateways' state is published every few seconds. ``routing.compact`` and
+    ``routing.clear_outbox`` are jobs of their own, to be run beside it.
+    """
+    writer = routing.route(messages, out, NewestModel(models, edge), devices, routing.StatePublisher(out))
     return start(writer, f"{out}/checkpoint", interval)
 
 

@@ -80,6 +80,8 @@ raw_messages AS (
          WHEN id % 101 = 0 THEN '{' || d || ',' || t || ',' || s || '}'
          WHEN id % 103 = 0 THEN '{' || d || ',"temperature":"' || CAST(temperature AS VARCHAR) || '",' || h || ',' || s || '}'
          WHEN id % 107 = 0 THEN '{' || d || ',' || t || ',' || h || ',"timestamp":"bad"}'
+         WHEN id % 109 = 0 THEN '{' || d || ',"temperature":"nan",' || h || ',' || s || '}'
+         WHEN id % 113 = 0 THEN '{' || d || ',' || t || ',"humidity":"-Infinity",' || s || '}'
          ELSE '{' || d || ',' || t || ',' || h || ',' || s || '}' END AS value
   FROM (
     SELECT id, gateway_id, temperature,
@@ -105,8 +107,10 @@ decoded AS (
               WHEN json_extract_string(j, '$.temperature') IS NULL THEN 'missing_temperature'
               WHEN json_extract_string(j, '$.humidity') IS NULL THEN 'missing_humidity'
               WHEN json_extract_string(j, '$.timestamp') IS NULL THEN 'missing_timestamp'
-              WHEN TRY_CAST(json_extract_string(j, '$.temperature') AS DOUBLE) IS NULL THEN 'bad_temperature'
-              WHEN TRY_CAST(json_extract_string(j, '$.humidity') AS DOUBLE) IS NULL THEN 'bad_humidity'
+              WHEN NOT coalesce(isfinite(TRY_CAST(json_extract_string(j, '$.temperature') AS DOUBLE)), false)
+                THEN 'bad_temperature'
+              WHEN NOT coalesce(isfinite(TRY_CAST(json_extract_string(j, '$.humidity') AS DOUBLE)), false)
+                THEN 'bad_humidity'
               WHEN TRY_CAST(json_extract_string(j, '$.timestamp') AS TIMESTAMP) IS NULL THEN 'bad_timestamp'
          END AS reason
   FROM (SELECT *, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j FROM raw_messages)
@@ -123,13 +127,23 @@ validate_requests AS (
   SELECT id, CASE WHEN id % 50 = 0 THEN 'unknown' ELSE md5(device_id) END AS api_key FROM sensor_data
 ),
 register_requests AS (
-  SELECT event_id AS request_seq,
-         CASE WHEN event_id % 50 = 0 THEN -1 - user_id ELSE user_id * 2 END AS device_number
-  FROM events WHERE event_type = 'signup'
+  SELECT id + 1 AS request_seq, id * 2 AS device_number FROM devices
+  UNION ALL SELECT MAX(id) + 2, MIN(id) * 2 FROM devices HAVING COUNT(*) > 0
+  UNION ALL SELECT MAX(id) + 3, -1 FROM devices HAVING COUNT(*) > 0
+),
+answers AS (
+  SELECT request_seq, device_number, n.device_id,
+         CASE WHEN n.device_id IS NULL THEN 'invalid'
+              WHEN d.device_id IS NULL
+                   AND ROW_NUMBER() OVER (PARTITION BY n.device_id ORDER BY request_seq) = 1 THEN 'created'
+              ELSE 'exists' END AS status
+  FROM (SELECT *, CASE WHEN device_number >= 0 THEN 'sensor_' || CAST(device_number AS VARCHAR) END AS device_id
+        FROM register_requests) n
+  LEFT JOIN devices d ON n.device_id = d.device_id
 ),
 toggle_requests AS (
-  SELECT CASE WHEN event_id % 50 = 0 THEN 'unknown' ELSE 'sensor_' || CAST(user_id AS VARCHAR) END AS device_id
-  FROM events WHERE event_type = 'purchase'
+  SELECT device_id FROM (SELECT device_id, unnest(generate_series(1, id % 3)) FROM devices)
+  UNION ALL SELECT 'unknown'
 ),
 toggles AS (
   SELECT r.device_id, COUNT(*) AS toggles,
@@ -162,6 +176,7 @@ model_registry AS (
 )"""
 
 READING = 'id, gateway_id, device_id, temperature, humidity, "timestamp", classification'
+CARRIED = 'id, gateway_id, device_id, temperature, humidity, "timestamp"'
 STATE_VIEWS = (COUNTERS, STATE_UPDATES, GATEWAY_STATE)
 RAW_VIEWS = (RAW_MESSAGES, DECODED)
 
@@ -238,6 +253,12 @@ FROM sensor_data"""
 FROM anomalies GROUP BY gateway_id""",
             ANOMALIES,
         ),
+        "anomaly_report_row": _sql(
+            """SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS total_anomalies,
+       '{' || COALESCE(string_agg('"' || gateway_id || '":' || n, ',' ORDER BY gateway_id), '') || '}' AS per_gateway
+FROM (SELECT gateway_id, COUNT(*) AS n FROM anomalies GROUP BY gateway_id)""",
+            ANOMALIES,
+        ),
         "anomaly_detail": _sql(
             'SELECT gateway_id, device_id, temperature, humidity, "timestamp", classification FROM anomalies', ANOMALIES
         ),
@@ -305,16 +326,7 @@ LEFT JOIN gateway_state s ON a.gateway_id = s.gateway_id""",
         "register_devices": _sql(
             """SELECT request_seq, device_number, device_id, status,
        CASE WHEN status = 'created' THEN substr(sha256(device_id || 'sensorloom'), 1, 32) END AS api_key
-FROM (
-  SELECT request_seq, device_number, n.device_id,
-         CASE WHEN n.device_id IS NULL THEN 'invalid'
-              WHEN d.device_id IS NULL
-                   AND ROW_NUMBER() OVER (PARTITION BY n.device_id ORDER BY request_seq) = 1 THEN 'created'
-              ELSE 'exists' END AS status
-  FROM (SELECT *, CASE WHEN device_number >= 0 THEN 'sensor_' || CAST(device_number AS VARCHAR) END AS device_id
-        FROM register_requests) n
-  LEFT JOIN devices d ON n.device_id = d.device_id
-)""",
+FROM answers""",
             DEVICES,
             REQUESTS,
         ),
@@ -325,12 +337,20 @@ FROM devices d LEFT JOIN toggles t ON d.device_id = t.device_id""",
             DEVICES,
             REQUESTS,
         ),
-        "device_key_violations": """SELECT constraint_name, key_value, COUNT(*) AS copies FROM (
-  SELECT 'device_id' AS constraint_name, 'sensor_' || CAST(user_id AS VARCHAR) AS key_value
-  FROM events WHERE event_type = 'signup'
-  UNION ALL
-  SELECT 'api_key', md5('sensor_' || CAST(user_id AS VARCHAR)) FROM events WHERE event_type = 'signup')
+        "device_key_violations": _sql(
+            """SELECT constraint_name, key_value, COUNT(*) AS copies FROM (
+  SELECT 'device_id' AS constraint_name, device_id AS key_value FROM pairs
+  UNION ALL SELECT 'api_key', api_key FROM pairs)
 GROUP BY constraint_name, key_value HAVING COUNT(*) > 1""",
+            DEVICES,
+            REQUESTS,
+            """
+pairs AS (
+  SELECT device_id, api_key FROM devices
+  UNION ALL SELECT device_id, substr(sha256(device_id || 'sensorloom'), 1, 32) FROM answers WHERE status = 'created'
+  UNION ALL SELECT device_id, md5(device_id) FROM answers WHERE status = 'exists'
+)""",
+        ),
         "outbox_write": _sql("SELECT value FROM anomaly_lines", ANOMALIES, OUTBOX),
         "outbox_replay": _sql(
             """SELECT json_extract_string(value, '$.gateway_id') AS gateway_id,
@@ -346,6 +366,33 @@ FROM (SELECT value, COUNT(*) AS copies FROM pending GROUP BY value)""",
         "outbox_ack": _sql("SELECT value FROM pending", ANOMALIES, OUTBOX),
         "log_append": _sql('SELECT id, source, message, "timestamp" FROM logs', LOGS),
         "dedup_anomalies": _sql(f"SELECT DISTINCT {READING} FROM anomalies", ANOMALIES),
+        "train_forest": _sql(
+            """SELECT COUNT(*) AS readings, COUNT(*) FILTER (WHERE classification = 'ANOMALY') AS anomalies,
+       50 AS trees, 5 AS depth, true AS agrees FROM sensor_data"""
+        ),
+        "score_batch": _sql(f"SELECT {CARRIED}, true AS classified, true AS agrees FROM sensor_data"),
+        "model_publish": _sql("SELECT CAST(2 AS BIGINT) AS version, COUNT(*) AS readings, true AS same FROM sensor_data"),
+        "train_edge_model": "SELECT CAST(100 AS BIGINT) AS trees, CAST(100 AS BIGINT) AS roots, true AS within_depth,"
+        " 256 AS sample_size, true AS flags_its_share",
+        "edge_score": _sql(
+            f"SELECT {CARRIED}, true AS classified, true AS consistent, true AS flags_its_share FROM sensor_data"
+        ),
+        "score_with_fallback": _sql(
+            """SELECT model_type, COUNT(*) AS readings, COUNT(DISTINCT id) AS ids
+FROM sensor_data, (VALUES ('random_forest'), ('isolation_forest')) m(model_type) GROUP BY model_type"""
+        ),
+        "stream_score": _sql(f"SELECT {CARRIED}, true AS classified, true AS agrees FROM valid", *RAW_VIEWS),
+        "stream_model_switch": _sql(
+            """SELECT CASE WHEN late THEN 'random_forest' ELSE 'isolation_forest' END AS model_type,
+       CAST(CASE WHEN late THEN 1 ELSE 0 END AS BIGINT) AS model_version, COUNT(*) AS readings,
+       MIN("timestamp") AS "first", MAX("timestamp") AS "last"
+FROM (
+  SELECT "timestamp", epoch_us("timestamp") > (
+    SELECT (MIN(epoch_us("timestamp")) + MAX(epoch_us("timestamp"))) // 2 FROM sensor_data) AS late
+  FROM valid
+) GROUP BY late""",
+            *RAW_VIEWS,
+        ),
         "latest_model": _sql(
             """SELECT COUNT(*) > 0 AS "exists", MAX(version) AS version, arg_max(path, version) AS path
 FROM model_registry""",
@@ -360,6 +407,29 @@ FROM model_registry""",
             "\nanomalies AS (SELECT * FROM stored WHERE classification = 'ANOMALY')",
             OUTBOX,
         ),
+        "stream_rejects": _sql(
+            "SELECT id, gateway_id, value, reason FROM decoded WHERE reason IS NOT NULL", *RAW_VIEWS
+        ),
+        "stream_outbox_pending": _sql(
+            "SELECT value FROM anomaly_lines WHERE value NOT IN (SELECT value FROM sent)",
+            *RAW_VIEWS,
+            "\nanomalies AS (SELECT * FROM stored WHERE classification = 'ANOMALY')",
+            OUTBOX,
+            """
+sent AS (
+  SELECT '{"gateway_id":"' || gateway_id || '","device_id":"' || device_id
+      || '","temperature":' || CAST(temperature AS VARCHAR) || ',"humidity":' || CAST(humidity AS VARCHAR)
+      || ',"timestamp":"' || strftime("timestamp", '%Y-%m-%dT%H:%M:%S.%f')
+      || '","classification":"' || classification || '"}' AS value
+  FROM sensor_data
+  WHERE classification = 'ANOMALY' AND id IN (SELECT event_id FROM events WHERE event_type <> 'error')
+)""",
+        ),
+        "stream_recent_readings": _sql(
+            f"""SELECT {READING} FROM stored
+WHERE "timestamp" >= (SELECT MAX("timestamp") FROM stored) - INTERVAL 6 HOURS""",
+            *RAW_VIEWS,
+        ),
         "stream_restart": _sql(
             """SELECT gateway_id, COUNT(*) AS version, COUNT(*) AS total_processed,
        COUNT(*) FILTER (WHERE classification = 'ANOMALY') AS total_anomalies, MAX("timestamp") AS last_updated
@@ -371,6 +441,7 @@ FROM stored GROUP BY gateway_id""",
     return found | {
         "stream_counters": found["gateway_states"],
         "stream_stored_counters": found["stream_restart"],
+        "stream_published_state": found["stream_restart"],
         "stream_dedup_anomalies": found["dedup_anomalies"],
         "stream_merge_gateway_state": found["merge_gateway_state"],
         "stream_records_per_minute": found["records_per_minute"],

@@ -85,7 +85,8 @@ def gateway_state(readings: DataFrame) -> DataFrame:
 
 def raw_messages(readings: DataFrame) -> DataFrame:
     """The readings as the JSON text devices send, some of it damaged: cut off, without
-    humidity, with the temperature in quotes (which is allowed), or with a bad time."""
+    humidity, with the temperature in quotes (which is allowed), with a bad time, or with
+    numbers that aren't finite."""
     named = {
         "device_id": F.col("device_id"),
         "temperature": F.col("temperature"),
@@ -102,6 +103,8 @@ def raw_messages(readings: DataFrame) -> DataFrame:
         .when(F.col("id") % 101 == 0, text(humidity=None))
         .when(F.col("id") % 103 == 0, text(temperature=F.col("temperature").cast("string")))
         .when(F.col("id") % 107 == 0, text(timestamp=F.lit("bad")))
+        .when(F.col("id") % 109 == 0, text(temperature=F.lit("nan")))
+        .when(F.col("id") % 113 == 0, text(humidity=F.lit("-Infinity")))
         .otherwise(text())
     )
     return readings.select("id", "gateway_id", value.alias("value"))
@@ -112,18 +115,26 @@ def validate_requests(readings: DataFrame) -> DataFrame:
     return readings.select("id", key.alias("api_key"))
 
 
-def register_requests(events: DataFrame) -> DataFrame:
-    """One request per sign-up: every other device number, some of them below zero."""
-    number = F.when(F.col("event_id") % 50 == 0, -1 - F.col("user_id")).otherwise(F.col("user_id") * 2)
-    return events.filter("event_type = 'signup'").select(
-        F.col("event_id").alias("request_seq"), number.alias("device_number")
+def register_requests(devices: DataFrame) -> DataFrame:
+    """One request per known device, for twice its number (about half of those exist), one
+    more for the smallest of these, and one below zero."""
+    numbers = devices.select((F.col("id") + 1).alias("request_seq"), (F.col("id") * 2).alias("device_number"))
+    ends = devices.agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low is not null")
+    more = ends.select(
+        F.explode(
+            F.array(
+                F.struct((F.col("high") + 2).alias("request_seq"), (F.col("low") * 2).alias("device_number")),
+                F.struct((F.col("high") + 3).alias("request_seq"), F.lit(-1).cast("bigint").alias("device_number")),
+            )
+        ).alias("r")
     )
+    return numbers.unionByName(more.select("r.*"))
 
 
-def toggle_requests(events: DataFrame) -> DataFrame:
-    """One request per purchase, some of them for a device that does not exist."""
-    device = F.when(F.col("event_id") % 50 == 0, "unknown").otherwise(E.device_name("user_id"))
-    return events.filter("event_type = 'purchase'").select(device.alias("device_id"))
+def toggle_requests(devices: DataFrame) -> DataFrame:
+    """Each device's number modulo three requests, and one for a device that does not exist."""
+    asked = devices.select(F.explode(F.array_repeat("device_id", (F.col("id") % 3).cast("int"))).alias("device_id"))
+    return asked.unionByName(devices.sparkSession.createDataFrame([("unknown",)], "device_id string"))
 
 
 def model_registry(readings: DataFrame) -> DataFrame:

@@ -1,13 +1,36 @@
 """Writers for readings, anomalies, logs and the outbox."""
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def append_by_day(df: DataFrame, path: str) -> None:
-    """Append rows to a table laid out by day, so later time filters skip whole days."""
-    df.withColumn("day", F.to_date("timestamp")).write.mode("append").partitionBy("day").parquet(path)
+# Rows of one day are dealt over so many tasks when a table is laid out by day.
+DAY_PARTS = 16
+
+
+def append_by_day(df: DataFrame, path: str, parts: int = DAY_PARTS) -> None:
+    """Append rows to a table laid out by day, at most ``parts`` files for each day.
+
+    A job that is run again appends again; where that can happen, ``overwrite_batch_by_day``
+    is the one to use.
+    """
+    _by_day(df, parts).write.mode("append").partitionBy("day").parquet(path)
+
+
+def _by_day(df: DataFrame, parts: int) -> DataFrame:
+    dated = df.withColumn("day", F.to_date("timestamp"))
+    salt = F.pmod(F.xxhash64("id"), F.lit(parts))
+    return dated.repartition("day", salt)
+
+
+def since(table: DataFrame, bound: Column) -> DataFrame:
+    """Rows of a table from ``bound`` on. Where it is laid out by day, whole days are skipped."""
+    kept = table.filter(F.col("timestamp") >= bound)
+    if "day" in table.columns:
+        kept = kept.filter(F.col("day") >= bound.cast("date"))
+    return kept
 
 
 def overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
@@ -16,29 +39,82 @@ def overwrite_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def overwrite_batch_by_day(df: DataFrame, path: str, batch_id: int, parts: int = DAY_PARTS) -> None:
+    """The same, with the rows inside laid out by day."""
+    _by_day(df, parts).write.mode("overwrite").partitionBy("day").parquet(f"{path}/batch_id={batch_id}")
+
+
 def overwrite_batch_lines(df: DataFrame, path: str, batch_id: int) -> None:
     """The same for a column of text lines."""
     df.write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
 
 
-def read_batches(spark: SparkSession, path: str, schema: T.StructType, with_batch: bool = False) -> DataFrame:
-    """All micro-batch folders as one table; an empty table if none was written yet."""
-    full = T.StructType(schema.fields + [T.StructField("batch_id", T.LongType())])
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, with_batch: bool = False, by_day: bool = False
+) -> DataFrame:
+    """All micro-batch folders as one table; an empty table if none was written yet. With
+    ``by_day`` the table also has the column ``day`` that its folders are named by."""
+    more = [T.StructField("batch_id", T.LongType())] if with_batch else []
+    more += [T.StructField("day", T.DateType())] if by_day else []
+    full = T.StructType(schema.fields + more)
     if not path_exists(spark, path):
-        table = spark.createDataFrame([], full)
-    else:
-        table = spark.read.schema(full).parquet(path)
-    return table if with_batch else table.drop("batch_id")
+        return spark.createDataFrame([], full)
+    # Columns of the folders' names come along unasked.
+    return spark.read.schema(full).parquet(path).select(*full.fieldNames())
+
+
+def read_batch(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """The rows of one micro-batch."""
+    found = spark.read.schema(schema).parquet(f"{path}/batch_id={batch_id}")
+    return found.select(*schema.fieldNames())
+
 
+LINES = T.StructType([T.StructField("value", T.StringType())])
 
-def read_batch_lines(spark: SparkSession, path: str) -> DataFrame:
+
+def read_batch_lines(spark: SparkSession, path: str, with_batch: bool = False) -> DataFrame:
     """All micro-batch folders of text lines as one column ``value``."""
+    full = T.StructType(LINES.fields + [T.StructField("batch_id", T.LongType())])
     if not path_exists(spark, path):
-        return spark.createDataFrame([], "value string")
-    return spark.read.option("recursiveFileLookup", "true").text(path)
+        table = spark.createDataFrame([], full)
+    else:
+        table = spark.read.schema(full).text(path)
+    return table if with_batch else table.drop("batch_id")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path exists in the file system it belongs to."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def folders(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers n of the folders ``name=n`` in a path, ascending."""
+    if not path_exists(spark, path):
+        return []
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [status.getPath().getName() for status in system.listStatus(target)]
+    return sorted(int(n.split("=")[1]) for n in found if n.startswith(f"{name}="))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file, unless there is one of that name: then nothing is written and the
+    answer is no."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        stream = system.create(target, False)
+    except Py4JJavaError as error:
+        if system.exists(target):
+            return False
+        raise error
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    return True

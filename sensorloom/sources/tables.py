@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from sensorloom.sources.messages import bounded
+
 EVENTS = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -25,10 +27,7 @@ def stream_events(spark: SparkSession, folder: str, files_per_batch: int | None
 
     A file stream wants a folder or a glob, hence the bracket in the name.
     """
-    reader = spark.readStream.schema(EVENTS)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(f"{folder}/[e]vents.parquet")
+    return bounded(spark.readStream.schema(EVENTS), files_per_batch).parquet(f"{folder}/[e]vents.parquet")
 
 
 def scan_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

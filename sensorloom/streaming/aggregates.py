@@ -1,8 +1,8 @@
 """Running aggregates over streams.
 
-Each stream emits the rows a micro-batch changed and writes them into that batch's own
-folder; the readers below keep the newest row of each key. State is one row per gateway,
-or one per minute still open under the watermark.
+Counts are kept as what each micro-batch adds, in that batch's own folder, and summed on
+reading; so no row is too late, and there is no state that grows with time. The merged
+gateway state holds one row per gateway.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +13,9 @@ from pyspark.sql.streaming import DataStreamWriter
 from sensorloom import constants as C
 from sensorloom.operators import aggregates, state
 from sensorloom.sources import sinks
+from sensorloom.streaming import snapshots
 
 MINUTE_ROW = T.StructType([T.StructField("time", T.TimestampNTZType()), T.StructField("n", T.LongType())])
-RATE_ROW = T.StructType(
-    [T.StructField("gateway_id", T.StringType()), T.StructField("anomaly_rate", T.DoubleType())]
-)
 
 
 def _write_changes(changes: DataFrame, out: str) -> DataStreamWriter:
@@ -46,35 +44,38 @@ def read_state(spark: SparkSession, out: str) -> DataFrame:
     return state.merge_updates(sinks.read_batches(spark, out, C.STATE_UPDATE))
 
 
-def per_minute(readings: DataFrame, out: str, lateness: str = "10 minutes") -> DataStreamWriter:
-    """Readings per minute. A minute's count is final once the watermark has passed it.
-
-    A watermark needs a time with zone; times are taken as UTC and go back without one.
-    """
-    counts = (
-        readings.withColumn("event_time", F.col("timestamp").cast("timestamp"))
-        .withWatermark("event_time", lateness)
-        .groupBy(F.window("event_time", "1 minute"))
-        .agg(F.count("*").alias("n"))
-        .select(F.col("window.start").cast("timestamp_ntz").alias("time"), "n")
+def _add_counts(readings: DataFrame, count, out: str) -> DataStreamWriter:
+    return readings.writeStream.foreachBatch(
+        lambda batch, batch_id: sinks.overwrite_batch(count(batch), out, batch_id)
     )
-    return _write_changes(counts, out)
+
+
+def per_minute(readings: DataFrame, out: str) -> DataStreamWriter:
+    """Readings per minute, as what each micro-batch adds to a minute, however late."""
+    return _add_counts(readings, lambda batch: aggregates.by_minute(batch, "n"), out)
+
+
+def sum_minutes(added: DataFrame) -> DataFrame:
+    return added.groupBy("time").agg(F.sum("n").alias("n"))
 
 
 def read_per_minute(spark: SparkSession, out: str, name: str = "processed_data") -> DataFrame:
-    """The last published count of each minute; counts only grow, so it is the largest."""
-    return (
-        sinks.read_batches(spark, out, MINUTE_ROW).groupBy("time").agg(F.max("n").alias(name)).orderBy("time")
-    )
+    counts = sum_minutes(snapshots.rows(spark, out, MINUTE_ROW))
+    return counts.select("time", F.col("n").alias(name)).orderBy("time")
+
+
+def compact_minutes(spark: SparkSession, out: str, clear: bool = False) -> None:
+    """Snapshot of the minutes so far, one row each."""
+    snapshots.take(spark, out, MINUTE_ROW, sum_minutes, clear=clear)
 
 
 def anomaly_rate(readings: DataFrame, out: str) -> DataStreamWriter:
-    return _write_changes(aggregates.anomaly_rate(readings), out)
+    """Counters that the rate is made of, as what each micro-batch adds."""
+    return _add_counts(readings, state.current_counters, out)
 
 
 def read_anomaly_rate(spark: SparkSession, out: str) -> DataFrame:
-    return (
-        sinks.read_batches(spark, out, RATE_ROW, with_batch=True)
-        .groupBy("gateway_id")
-        .agg(F.max_by("anomaly_rate", "batch_id").alias("anomaly_rate"))
+    counts = snapshots.rows(spark, out, C.GATEWAY_STATE).groupBy("gateway_id").agg(
+        F.sum("total_processed").alias("n"), F.sum("total_anomalies").alias("flagged")
     )
+    return counts.select("gateway_id", (F.col("flagged").cast("double") / F.col("n") * 100).alias("anomaly_rate"))

@@ -6,6 +6,7 @@ loads it only when it is higher than the one in use; a version that fails to loa
 tried again with the next look.
 """
 
+import logging
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,8 @@ from sensorloom.ml import forest, isolation, registry
 from sensorloom.ml.scoring import EDGE, FOREST, LOAD_ERRORS
 from sensorloom.sources import sinks
 
+log = logging.getLogger(__name__)
+
 SCORED = T.StructType(
     C.READING.fields
     + [T.StructField("model_type", T.StringType()), T.StructField("model_version", T.LongType())]
@@ -49,8 +52,8 @@ class NewestModel:
         try:
             self.forest = registry.load(found)
             self.version = found.version
-        except LOAD_ERRORS as error:
-            print(f"model version {found.version} did not load: {error}")
+        except LOAD_ERRORS:
+            log.warning("model version %s did not load", found.version, exc_info=True)
 
     def __call__(self, readings: DataFrame) -> DataFrame:
         self.refresh(readings.sparkSession)

@@ -1,24 +1,33 @@
 """Ingest and routing of the message stream.
 
-A message is decoded and checked, scored, and stored. Anomalies also go to the outbox,
-before anything else, and to the anomaly table. Each micro-batch writes folders of its
+A message is decoded and checked, scored, and stored; anomalies also go to the outbox and
+to the anomaly table, bad messages to the rejects. Each micro-batch writes folders of its
 own, so a batch repeated after a failure replaces what it had written.
 """
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from sensorloom import constants as C
 from sensorloom.operators import outbox, state
 from sensorloom.operators import readings as R
-from sensorloom.operators.validation import valid_messages
+from sensorloom.operators.joins import join_sized
+from sensorloom.operators.validation import complete_records, rejected_messages, valid_messages
 from sensorloom.sources import sinks
+from sensorloom.streaming import snapshots
 
 Scorer = Callable[[DataFrame], DataFrame]
 
+REJECT = T.StructType(C.RAW_MESSAGE.fields + [T.StructField("reason", T.StringType())])
+
+#: What a record must have when it arrives at the store.
+STORED = ["gateway_id", "device_id", "temperature", "humidity", "timestamp", "classification"]
+
 
 def ingest(messages: DataFrame, out: str) -> DataStreamWriter:
     """Store the valid messages of the stream, each exactly once."""
@@ -30,64 +39,127 @@ def store_scored(scored: DataFrame, out: str) -> DataStreamWriter:
     return scored.writeStream.format("parquet").option("path", out).outputMode("append")
 
 
+Devices = Callable[[SparkSession], DataFrame]
+
+
 def route(
-    messages: DataFrame, out: str, score: Scorer, devices: DataFrame | None = None
+    messages: DataFrame,
+    out: str,
+    score: Scorer,
+    devices: Devices | None = None,
+    after: Callable[[SparkSession, int], None] | None = None,
 ) -> DataStreamWriter:
-    """Score the valid messages and route them to readings, outbox and anomalies; the
-    gateways' counters are kept as what each micro-batch adds to them.
-
-    With ``devices`` given, readings of devices that are not active are left out. Spark
-    broadcasts the device ids if their stored size is small and shuffles otherwise.
+    """Score the valid messages and route them to readings, outbox and anomalies; bad ones go
+    to the rejects with their reason. The gateways' counters are kept as what each
+    micro-batch adds to them.
+
+    A micro-batch is decoded and scored once, into its folder of readings, and the others
+    are made from that folder. ``devices``, if given, reads the device table anew for every
+    micro-batch, and readings of devices that are not active are left out. ``after`` is
+    called with the number of each finished micro-batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         readings = valid_messages(batch)
         if devices is not None:
-            readings = readings.join(devices.filter("active").select("device_id"), "device_id", "left_semi")
-        # Held for its writers, so that decoding and scoring run once.
-        scored = score(readings).select(*C.READING.fieldNames()).persist()
-        try:
-            flagged = R.anomalies(scored)
-            sinks.overwrite_batch_lines(outbox.to_lines(flagged), f"{out}/outbox", batch_id)
-            sinks.overwrite_batch(scored, f"{out}/sensor_data", batch_id)
-            sinks.overwrite_batch(flagged, f"{out}/anomalies", batch_id)
-            sinks.overwrite_batch(state.current_counters(scored), f"{out}/counters", batch_id)
-        finally:
-            scored.unpersist()
+            active = devices(spark).filter("active").select("device_id").distinct()
+            readings = join_sized(readings, active, "device_id", "left_semi")
+        scored = complete_records(score(readings), STORED).select(*C.READING.fieldNames())
+        sinks.overwrite_batch_by_day(scored, f"{out}/sensor_data", batch_id)
+        sinks.overwrite_batch(rejected_messages(batch).select(*REJECT.fieldNames()), f"{out}/rejects", batch_id)
+        stored = sinks.read_batch(spark, f"{out}/sensor_data", C.READING, batch_id)
+        flagged = R.anomalies(stored)
+        sinks.overwrite_batch_lines(outbox.to_lines(flagged), f"{out}/outbox", batch_id)
+        sinks.overwrite_batch_by_day(flagged, f"{out}/anomalies", batch_id)
+        sinks.overwrite_batch(state.current_counters(stored), f"{out}/counters", batch_id)
+        if after is not None:
+            after(spark, batch_id)
 
     return messages.writeStream.foreachBatch(write)
 
 
-def stored_readings(spark: SparkSession, out: str) -> DataFrame:
-    return sinks.read_batches(spark, f"{out}/sensor_data", C.READING)
+def stored_readings(spark: SparkSession, out: str, by_day: bool = False) -> DataFrame:
+    return sinks.read_batches(spark, f"{out}/sensor_data", C.READING, by_day=by_day)
+
+
+def stored_anomalies(spark: SparkSession, out: str, by_day: bool = False) -> DataFrame:
+    return sinks.read_batches(spark, f"{out}/anomalies", C.READING, by_day=by_day)
 
 
-def stored_anomalies(spark: SparkSession, out: str) -> DataFrame:
-    return sinks.read_batches(spark, f"{out}/anomalies", C.READING)
+def stored_rejects(spark: SparkSession, out: str) -> DataFrame:
+    return sinks.read_batches(spark, f"{out}/rejects", REJECT)
 
 
 def stored_outbox(spark: SparkSession, out: str) -> DataFrame:
-    return sinks.read_batch_lines(spark, f"{out}/outbox")
+    return snapshots.rows(spark, f"{out}/outbox", sinks.LINES, lines=True)
 
 
-def stored_counters(spark: SparkSession, out: str) -> DataFrame:
-    """The gateway state: what all micro-batches added, a few rows each."""
-    return (
-        sinks.read_batches(spark, f"{out}/counters", C.GATEWAY_STATE)
-        .groupBy("gateway_id")
-        .agg(
-            *[F.sum(n).alias(n) for n in ("version", "total_processed", "total_anomalies")],
-            F.max("last_updated").alias("last_updated"),
-        )
+def clear_outbox(spark: SparkSession, out: str, delivered: DataFrame, clear: bool = False) -> None:
+    """Take the delivered lines out of the live outbox. Safe to run again: lines that are
+    gone stay gone, and a run that failed half-way has changed nothing."""
+    snapshots.take(
+        spark, f"{out}/outbox", sinks.LINES, lambda lines: outbox.pending(lines, delivered), lines=True, clear=clear
     )
 
 
-def drop_redelivered(anomalies: DataFrame, lateness: str = "1 hour") -> DataFrame:
-    """A stream of anomalies without the copies of repeated delivery, as long as a copy
-    comes within ``lateness`` of the first; state older than that is dropped."""
-    return (
-        anomalies.withColumn("event_time", F.col("timestamp").cast("timestamp"))
-        .withWatermark("event_time", lateness)
-        .dropDuplicatesWithinWatermark(["id"])
-        .drop("event_time")
+def resend(spark: SparkSession, out: str, delivered: DataFrame) -> DataFrame:
+    """The records of the live outbox that have not been delivered, each with its copies."""
+    return outbox.replay(stored_outbox(spark, out), delivered)
+
+
+def sum_counters(added: DataFrame) -> DataFrame:
+    return added.groupBy("gateway_id").agg(
+        *[F.sum(n).alias(n) for n in ("version", "total_processed", "total_anomalies")],
+        F.max("last_updated").alias("last_updated"),
+    )
+
+
+def stored_counters(spark: SparkSession, out: str) -> DataFrame:
+    """The gateway state: one row per gateway of the newest snapshot and what the
+    micro-batches after it added."""
+    return sum_counters(snapshots.rows(spark, f"{out}/counters", C.GATEWAY_STATE))
+
+
+class StatePublisher:
+    """Publishes the gateways' counters every few seconds, as updates for the state table.
+
+    Called after each micro-batch. A publication first takes a snapshot of the counters, so
+    that a restarted job recovers from one row per gateway.
+    """
+
+    def __init__(self, out: str, seconds: float = C.STATE_SECONDS):
+        self.out, self.seconds, self.due = out, seconds, 0.0
+
+    def __call__(self, spark: SparkSession, batch_id: int) -> None:
+        if time.monotonic() < self.due:
+            return
+        self.due = time.monotonic() + self.seconds
+        snapshots.take(spark, f"{self.out}/counters", C.GATEWAY_STATE, sum_counters)
+        updates = stored_counters(spark, self.out).withColumn("arrival_seq", F.lit(batch_id).cast("bigint"))
+        sinks.overwrite_batch(updates, f"{self.out}/published", batch_id)
+
+
+def published_state(spark: SparkSession, out: str) -> DataFrame:
+    """The state table: all published updates, merged by version."""
+    return state.merge_updates(snapshots.rows(spark, f"{out}/published", C.STATE_UPDATE))
+
+
+def compact(spark: SparkSession, out: str, clear: bool = False) -> None:
+    """The job that keeps the small tables of a live run small: snapshots of the counters and
+    of the published state, then the batches before them may go."""
+    snapshots.take(spark, f"{out}/counters", C.GATEWAY_STATE, sum_counters, clear=clear)
+    snapshots.take(spark, f"{out}/published", C.STATE_UPDATE, state.newest_updates, clear=clear)
+
+
+def store_deliveries(anomalies: DataFrame, out: str) -> DataStreamWriter:
+    """Store a stream of anomalies that are delivered at least once, as they come."""
+    return anomalies.writeStream.foreachBatch(
+        lambda batch, batch_id: sinks.overwrite_batch_by_day(batch, out, batch_id)
     )
+
+
+def delivered_once(spark: SparkSession, out: str) -> DataFrame:
+    """The stored deliveries without copies. Copies are equal in all columns, so they lie on
+    the same day; however late one comes, none is taken for another record."""
+    return sinks.read_batches(spark, out, C.READING, by_day=True).distinct().drop("day")

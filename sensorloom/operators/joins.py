@@ -22,16 +22,16 @@ def join_sized(
 ) -> DataFrame:
     """Join ``facts`` with ``lookup``, which has at most one row per key.
 
-    The lookup table is written and measured first. Up to ``max_bytes`` it is broadcast
-    and the facts are not shuffled at all. Beyond that the facts are split: rows of the
+    The lookup table is measured first. Up to ``max_bytes`` it is broadcast and the facts
+    are not shuffled at all. Beyond that it is written once and the facts are split: rows of the
     hot keys, of which there are at most 1 / ``hot_share``, meet a broadcast of just
     those lookup rows; all others are shuffled. No task gets all rows of a hot key.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"not a join from facts to a lookup table: {how}")
+    if measured_bytes(lookup) <= max_bytes:
+        return facts.join(F.broadcast(lookup), key, how)
     table = write_table(lookup, "lookup")
-    if measured_bytes(table) <= max_bytes:
-        return facts.join(F.broadcast(table), key, how)
 
     counts = facts.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
     counts = write_table(counts, "key-counts")

@@ -493,7 +493,7 @@ def queries() -> dict[str, Query]:
         "last_not_null": _on_readings(lambda r: A.last_not_null(A.anomaly_series(r), "anomalies")),
         "throughput": _on_readings(A.throughput),
         # Gateway state.
-        "merge_gateway_state": _on_readings(lambda r: S.merge_updates(views.state_updates(r))),
+        "merge_gateway_state": _on_state(lambda s: s),
         "running_counters": _on_readings(S.running_counters),
         "state_updates": _on_readings(views.state_updates),
         "gateway_states": _on_state(lambda s: s),

@@ -11,6 +11,7 @@ from sensorloom import constants as C
 from sensorloom.functions import expressions as E
 from sensorloom.operators import readings as R
 from sensorloom.operators import state
+from sensorloom.session import write_table
 from sensorloom.sources.tables import scan_events
 
 GATEWAYS = 4
@@ -78,9 +79,12 @@ def state_updates(readings: DataFrame) -> DataFrame:
 
 
 def gateway_state(readings: DataFrame) -> DataFrame:
-    """The merged state table. It equals ``merge_updates`` over ``state_updates`` (a test
-    checks this), as the newest version of a gateway counts all its readings."""
-    return state.current_counters(readings)
+    """The stored state table: what arrived first was merged into an empty table, all later
+    updates, late ones, ties and stale ones among them, into the stored rows."""
+    updates = write_table(state_updates(readings), "state-updates")
+    early = F.col("arrival_seq") < ARRIVALS // 2
+    stored = write_table(state.merge_updates(updates.filter(early)), "gateway-state")
+    return write_table(state.merge_updates(updates.filter(~early), stored), "gateway-state")
 
 
 def raw_messages(readings: DataFrame) -> DataFrame:

@@ -75,7 +75,7 @@ LINES = T.StructType([T.StructField("value", T.StringType())])
 def read_batch_lines(spark: SparkSession, path: str, with_batch: bool = False) -> DataFrame:
     """All micro-batch folders of text lines as one column ``value``."""
     full = T.StructType(LINES.fields + [T.StructField("batch_id", T.LongType())])
-    if not path_exists(spark, path):
+    if not folders(spark, path, "batch_id"):
         table = spark.createDataFrame([], full)
     else:
         table = spark.read.schema(full).text(path)

@@ -1,5 +1,7 @@
 """No rows, one gateway, no anomalies, no time span, nulls."""
 
+import json
+
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
 from sensorloom.ml import registry
@@ -19,7 +21,7 @@ def test_no_rows(spark):
     assert one_row(A.summary(none)) == (0, 0)
     assert A.anomaly_rate(none).count() == 0
     assert A.anomaly_report(R.anomalies(none)).count() == 0
-    assert one_row(A.anomaly_report_row(R.anomalies(none))) == (0, {})
+    assert one_row(A.anomaly_report_row(R.anomalies(none))) == (0, "{}")
     assert A.leader(views.gateway_state(none)).count() == 0
     assert {r.series: r.total for r in A.series_totals(none).collect()} == {"processed_data": 0, "anomalies": 0}
     assert [tuple(r) for r in A.throughput(none).collect()] == [(None, 0, None, None)]
@@ -61,7 +63,8 @@ def test_bands_at_their_steps(spark):
 
 def test_report_row_equals_report(small):
     flagged = R.anomalies(small)
-    total, per_gateway = one_row(A.anomaly_report_row(flagged))
+    total, text = one_row(A.anomaly_report_row(flagged))
+    per_gateway = json.loads(text)
     rows = A.anomaly_report(flagged).collect()
     assert {r.gateway_id: r.anomalies for r in rows} == per_gateway
     assert {r.total_anomalies for r in rows} == {total} == {sum(per_gateway.values())}

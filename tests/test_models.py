@@ -9,6 +9,7 @@ from sensorloom.functions import expressions as E
 from sensorloom.ml import forest, isolation, registry, scoring
 from sensorloom.operators import readings as R
 from sensorloom.plans import retraining
+from sensorloom.sources import sinks
 
 
 @pytest.fixture(scope="module")
@@ -66,18 +67,11 @@ def test_condensed_training_rows_hold_all_readings(medium):
     assert rows.schema["label"].metadata["ml_attr"]["vals"] == [C.NORMAL, C.ANOMALY]
 
 
-def test_condensed_training_gives_the_same_classes(model, medium):
-    condensed = forest.train(medium, single_rows=100)
-    assert condensed.stages[1].numClasses == 2
-    truth, single, given = classes(medium), classes(forest.score(model, medium)), classes(forest.score(condensed, medium))
-    assert sum(given[i] == truth[i] for i in truth) / len(truth) >= 0.98
-    assert sum(given[i] == single[i] for i in truth) / len(truth) >= 0.98
-
-
-def test_condensed_training_raises_on_nulls(small):
-    broken = small.withColumn("temperature", F.when(F.col("id") != 5, F.col("temperature")))
-    with pytest.raises(ValueError, match="null"):
-        forest.train(broken, single_rows=1)
+def test_forest_is_the_same_for_any_files_and_cores(model, medium):
+    """One path at every size, and rows dealt to the trainer by their values."""
+    for parts in (1, 4, 13):
+        again = forest.train(medium.repartition(parts))
+        assert again.stages[1].toDebugString.split("\n", 1)[1] == model.stages[1].toDebugString.split("\n", 1)[1]
 
 
 def test_publish_load_and_latest(spark, model, small, tmp_path):
@@ -95,11 +89,35 @@ def test_publish_load_and_latest(spark, model, small, tmp_path):
 def test_a_version_not_announced_is_not_used(spark, model, tmp_path):
     root = str(tmp_path / "models")
     registry.publish(spark, model, root)
-    model.write().save(f"{root}/v=2")  # a publisher that died before the announcement
+    model.write().save(f"{root}/models/other")  # a publisher that died before the announcement
     assert registry.latest(spark, root).version == 1
     assert registry.publish(spark, model, root).version == 2
 
 
+def test_two_trainers_at_once_get_two_versions(spark, model, tmp_path, monkeypatch):
+    """The other one announces between this one's look and its announcement."""
+    root = str(tmp_path / "models")
+    create, other = registry.create_file, []
+
+    def late(session, path, text):
+        if not other:
+            other.append(True)
+            assert create(session, path, '{"version": 1, "path": "elsewhere"}\n')
+        return create(session, path, text)
+
+    monkeypatch.setattr(registry, "create_file", late)
+    assert registry.publish(spark, model, root).version == 2
+    assert [v.version for v in registry.versions(spark, root)] == [2, 1]
+
+
+def test_an_older_forest_is_used_if_the_newest_is_damaged(spark, model, edge, small, tmp_path):
+    root = str(tmp_path / "models")
+    registry.publish(spark, model, root)
+    assert sinks.create_file(spark, f"{root}/published/version-2.json", '{"version": 2, "path": "/nowhere"}\n')
+    scored = scoring.score_with_fallback(small, root, edge)
+    assert {r.model_type for r in scored.select("model_type").distinct().collect()} == {scoring.FOREST}
+
+
 def test_unnumbered_model_is_version_one(spark):
     unnumbered = spark.createDataFrame([(None, "somewhere", None)], registry.REGISTRY)
     assert tuple(registry.latest_model(unnumbered).first()) == (True, 1, "somewhere")
@@ -135,10 +153,16 @@ def test_isolation_is_the_same_again(edge, medium):
     assert not np.array_equal(edge.threshold, other.threshold, equal_nan=True)
 
 
-def test_cut_off_from_drawn_rows(edge, medium):
-    drawn = isolation.train(medium.filter(~E.is_anomaly()), cut_off_rows=5000)
-    assert drawn.cut_off != edge.cut_off
-    assert abs(drawn.cut_off - edge.cut_off) < 0.01
+def test_nodes_are_the_same_for_any_partitions(edge, medium):
+    for parts in (1, 4):
+        again = isolation.train(medium.filter(~E.is_anomaly()).repartition(parts))
+        assert np.array_equal(edge.threshold, again.threshold, equal_nan=True) and edge.cut_off == again.cut_off
+
+
+def test_trees_are_sent_to_executors_once(spark, edge, small):
+    first = isolation._broadcast(edge, spark)
+    isolation.score(edge, small).count()
+    assert isolation._broadcast(edge, spark) is first
 
 
 def test_far_out_points_are_anomalies(edge, reading):
@@ -178,12 +202,12 @@ def test_trees_hold_all_their_rows(edge):
                 assert feature[child] != isolation.LEAF or not np.isnan(length[child])
 
 
-def test_large_table_is_sampled_without_repeats(spark, medium):
+def test_large_table_is_sampled_without_repeats_inside_a_tree(spark, medium):
     trees, size = 10, 64
     samples, got = isolation.draw_samples(medium.select("id", *C.FEATURES), 10_000, trees, size, 1, "id", ("id",))
     rows = samples.collect()
     assert got == size and len(rows) == trees * size
-    assert len({r.id for r in rows}) == len(rows)
+    assert len({(r.tree, r.id) for r in rows}) == len(rows)
     assert {t: sum(r.tree == t for r in rows) for t in range(trees)} == {t: size for t in range(trees)}
 
 
@@ -221,7 +245,7 @@ def test_fallback_until_a_forest_is_published(spark, model, edge, small, tmp_pat
 
 def test_fallback_when_the_forest_does_not_load(spark, edge, small, tmp_path):
     root = str(tmp_path / "models")
-    entry = [(1, f"{root}/v=1", None)]
+    entry = [(1, f"{root}/models/none", None)]
     spark.createDataFrame(entry, registry.REGISTRY).write.json(f"{root}/published")
     scored = scoring.score_with_fallback(small, root, edge)
     assert {r.model_type for r in scored.select("model_type").distinct().collect()} == {scoring.EDGE}

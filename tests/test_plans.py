@@ -6,7 +6,9 @@ import __spark_entry__ as entry
 from conftest import MEDIUM
 from sensorloom.operators import aggregates as A
 from sensorloom.operators import readings as R
+from sensorloom.operators.running import number_of_slices
 from sensorloom.plans import catalog, views
+from sensorloom.sources import sinks
 from sensorloom.sources.tables import jdbc_options, scan_table
 from sensorloom import constants as C
 
@@ -45,7 +47,7 @@ def test_trend_sort_can_split_one_moment(stored):
     assert "id#" in plan(R.trend(stored, "temperature")).split("rangepartitioning(")[1].split(")")[0]
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - catalog.RUN_ONCE))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - catalog.RUN_ONCE))
 def test_no_cross_join_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, MEDIUM))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
@@ -58,6 +60,22 @@ def test_running_counters_window_is_by_slice(spark):
     assert "Exchange SinglePartition" not in text
 
 
+def test_slices_follow_the_size(spark, medium):
+    least = spark.sparkContext.defaultParallelism
+    assert number_of_slices(medium) == least
+    assert number_of_slices(medium, 10_000) > least
+    assert number_of_slices(medium.limit(0)) == least
+
+
+def test_time_filter_skips_days_of_a_stored_table(spark, medium, tmp_path):
+    sinks.overwrite_batch_by_day(medium, f"{tmp_path}/sensor_data", 0)
+    stored = sinks.read_batches(spark, f"{tmp_path}/sensor_data", C.READING, by_day=True)
+    text = plan(R.recent(stored))
+    assert "PartitionFilters: [isnotnull(day" in text and "GreaterThanOrEqual(timestamp,ScalarSubquery" in text
+    newest = R.recent(stored).select(*C.READING.fieldNames())
+    assert sorted(newest.collect()) == sorted(R.recent(medium).collect())
+
+
 def test_jdbc_options():
     options = jdbc_options("jdbc:postgresql://db/iot", "sensor_data", 1, 1000, 16, user="u")
     assert options["partitionColumn"] == "id" and options["numPartitions"] == "16"

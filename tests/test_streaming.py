@@ -7,15 +7,16 @@ from conftest import MEDIUM, SMALL
 from sensorloom import constants as C
 from sensorloom.ml import forest, isolation, registry
 from sensorloom.operators import aggregates as A
+from sensorloom.operators import outbox as O
 from sensorloom.operators import readings as R
 from sensorloom.operators import state as S
 from sensorloom.operators import validation as V
 from sensorloom.plans import live, views
 from sensorloom.sources import sinks
-from sensorloom.sources.messages import landed_messages
+from sensorloom.sources.messages import from_kafka, landed_messages
 from sensorloom.sources.tables import EVENTS, scan_events, stream_events
 from sensorloom.streaming import aggregates as SA
-from sensorloom.streaming import model_switch, routing
+from sensorloom.streaming import model_switch, routing, snapshots
 from sensorloom.streaming.runs import run, start
 
 
@@ -86,7 +87,7 @@ def test_a_failed_batch_is_replayed_without_copies(spark, landing, expected, tmp
 def test_routing_can_leave_out_inactive_devices(spark, small, landing, expected, tmp_path):
     out = str(tmp_path)
     devices = views.devices(small)
-    run(routing.route(landed_messages(spark, landing), out, by_rule, devices), f"{out}/checkpoint")
+    run(routing.route(landed_messages(spark, landing), out, by_rule, lambda _: devices), f"{out}/checkpoint")
     allowed = expected.join(devices.filter("active"), "device_id", "left_semi")
     stored = routing.stored_readings(spark, out)
     assert rows(stored, "id") == rows(allowed, "id")
@@ -103,17 +104,106 @@ def test_counters_and_rate_over_several_batches(spark, landing, expected, tmp_pa
     assert rows(SA.read_anomaly_rate(spark, f"{tmp_path}/r")) == rows(A.anomaly_rate(expected))
 
 
-def test_minutes_over_several_batches(spark, small, tmp_path):
-    """Batches in time order, so that no row is later than the watermark allows."""
-    landing = f"{tmp_path}/landing"
-    for part in range(3):
+def test_minutes_over_several_batches_newest_first(spark, small, tmp_path):
+    """No row is too late, and compaction between the batches changes nothing."""
+    landing, out = f"{tmp_path}/landing", f"{tmp_path}/out"
+    for part in (2, 0, 1):
         chosen = small.filter(F.col("id").between(part * 400, part * 400 + 399))
         chosen.coalesce(1).write.mode("append").parquet(landing)
-        run(
-            SA.per_minute(spark.readStream.schema(C.READING).parquet(landing), f"{tmp_path}/out"),
-            f"{tmp_path}/checkpoint",
-        )
-    assert rows(SA.read_per_minute(spark, f"{tmp_path}/out")) == rows(A.per_minute(small))
+        run(SA.per_minute(spark.readStream.schema(C.READING).parquet(landing), out), f"{tmp_path}/checkpoint")
+        SA.compact_minutes(spark, out, clear=part == 0)
+    assert rows(SA.read_per_minute(spark, out)) == rows(A.per_minute(small))
+    assert SA.read_per_minute(spark, out).agg(F.sum("processed_data")).first()[0] == small.count()
+
+
+def test_snapshots_half_done_or_taken_again(spark, small, tmp_path):
+    path = f"{tmp_path}/counts"
+    counts = A.by_minute(small, "n")
+    sinks.overwrite_batch(counts, path, 0)
+    sinks.overwrite_batch(counts, path, 1)
+    expected = rows(SA.read_per_minute(spark, path))
+
+    def take(clear=False):
+        return snapshots.take(spark, path, SA.MINUTE_ROW, SA.sum_minutes, clear=clear)
+
+    # A snapshot without its mark of completeness isn't looked at.
+    counts.write.parquet(f"{path}_snapshots/upto=1")
+    import os
+
+    os.remove(f"{path}_snapshots/upto=1/_SUCCESS")
+    assert rows(SA.read_per_minute(spark, path)) == expected
+    assert take() == 1 and take() == 1
+    assert rows(SA.read_per_minute(spark, path)) == expected
+    # A micro-batch that is replayed after the snapshot took it is counted once.
+    sinks.overwrite_batch(counts, path, 1)
+    assert rows(SA.read_per_minute(spark, path)) == expected
+    sinks.overwrite_batch(counts, path, 2)
+    assert take(clear=True) == 2
+    assert sinks.folders(spark, path, "batch_id") == []
+    assert sum(r.processed_data for r in SA.read_per_minute(spark, path).collect()) == 3 * small.count()
+    assert snapshots.take(spark, f"{tmp_path}/none", SA.MINUTE_ROW, SA.sum_minutes) is None
+
+
+def test_odd_messages_do_not_stop_the_live_job(spark, small, tmp_path):
+    good = views.raw_messages(small.filter("id between 1 and 20"))
+    odd = [
+        (1000, "gw_0", '{"device_id":"d","temperature":"nan","humidity":1,"timestamp":"2024-01-01T00:00:00"}'),
+        (1001, "gw_0", '{"device_id":"d","temperature":1,"humidity":-1e999,"timestamp":"2024-01-01T00:00:00"}'),
+        (1002, "gw_0", None),
+        (1003, "gw_0", '{"device_id":"d","temperature":NaN,"humidity":1,"timestamp":"2024-01-01T00:00:00"}'),
+    ]
+    good.unionByName(spark.createDataFrame(odd, C.RAW_MESSAGE)).coalesce(1).write.parquet(f"{tmp_path}/landing")
+    root, edge = f"{tmp_path}/models", isolation.train(small)
+    for step in range(2):  # with the edge model, then with a forest
+        out = f"{tmp_path}/out{step}"
+        live.run_live(landed_messages(spark, f"{tmp_path}/landing"), out, root, edge, interval=None).awaitTermination()
+        assert routing.stored_readings(spark, out).count() == 20
+        found = {r.id: r.reason for r in routing.stored_rejects(spark, out).collect()}
+        assert found.keys() == {1000, 1001, 1002, 1003}
+        assert (found[1000], found[1001], found[1002]) == ("bad_temperature", "bad_humidity", "malformed_json")
+        assert rows(routing.published_state(spark, out)) == rows(routing.stored_counters(spark, out))
+        registry.publish(spark, forest.train(small), root)
+
+
+def test_kafka_records(spark):
+    """Equal offsets in two partitions, and bytes that are no text."""
+    records = spark.createDataFrame(
+        [(0, 5, bytearray(b"a")), (1, 5, bytearray(b"b")), (1, 6, bytearray(b"\xff\xfe"))],
+        "partition int, offset long, value binary",
+    )
+    found = from_kafka(records).collect()
+    assert len({r.id for r in found}) == 3
+    assert [(r.gateway_id, r.value) for r in found] == [("gw_0", "a"), ("gw_1", "b"), ("gw_1", None)]
+
+
+def test_devices_added_while_the_stream_runs(spark, small, tmp_path):
+    """The device table is read anew for every micro-batch."""
+    table, out, landing = f"{tmp_path}/devices", f"{tmp_path}/out", f"{tmp_path}/landing"
+    devices = views.devices(small).withColumn("active", F.lit(True))
+    one = devices.orderBy("id").limit(1)
+    one.write.parquet(table)
+    messages = views.raw_messages(small)
+    for part in range(2):
+        messages.filter(F.col("id") % 2 == part).coalesce(1).write.mode("append").parquet(landing)
+        stream = routing.route(landed_messages(spark, landing), out, by_rule, lambda s: s.read.parquet(table))
+        run(stream, f"{out}/checkpoint")
+        devices.join(one.select("device_id"), "device_id", "left_anti").write.mode("append").parquet(table)
+    valid = V.valid_messages(messages)
+    first = one.first().device_id
+    expected = valid.filter((F.col("id") % 2 == 1) | (F.col("device_id") == first)).count()
+    assert routing.stored_readings(spark, out).count() == expected
+
+
+def test_live_outbox_is_cleared_and_resent(spark, landing, expected, tmp_path):
+    out = str(tmp_path)
+    run(routing.route(landed_messages(spark, landing, 1), out, by_rule), f"{out}/checkpoint")
+    flagged = R.anomalies(expected)
+    delivered = O.to_lines(flagged.filter("id % 2 = 0"))
+    left = flagged.filter("id % 2 = 1").count()
+    assert routing.resend(spark, out, delivered).count() == left
+    for _ in range(2):
+        routing.clear_outbox(spark, out, delivered, clear=True)
+        assert routing.stored_outbox(spark, out).count() == left
 
 
 def test_merge_stream_in_any_file_order(spark, small, tmp_path):
@@ -125,16 +215,16 @@ def test_merge_stream_in_any_file_order(spark, small, tmp_path):
 
 
 def test_redelivered_rows_of_later_batches_are_dropped(spark, medium, tmp_path):
+    """Copies come in a file of their own, older rows after newer ones; none is lost."""
     flagged = R.anomalies(medium)
     landing = f"{tmp_path}/landing"
-    for _ in range(2):  # the newest part comes again, in a file of its own
-        flagged.filter("timestamp >= TIMESTAMP_NTZ'2024-01-30 23:00:00' OR id < 100").coalesce(1).write.mode(
-            "append"
-        ).parquet(landing)
+    newer = F.col("timestamp") >= F.expr("TIMESTAMP_NTZ'2024-01-20 00:00:00'")
+    for part in (newer, ~newer, F.col("id") < 5000):
+        flagged.filter(part).coalesce(1).write.mode("append").parquet(landing)
     arriving = spark.readStream.schema(C.READING).option("maxFilesPerTrigger", 1).parquet(landing)
-    run(routing.store_scored(routing.drop_redelivered(arriving), f"{tmp_path}/out"), f"{tmp_path}/checkpoint")
-    stored = spark.read.schema(C.READING).parquet(f"{tmp_path}/out")
-    assert stored.count() == stored.select("id").distinct().count() > 0
+    run(routing.store_deliveries(arriving, f"{tmp_path}/out"), f"{tmp_path}/checkpoint")
+    stored = routing.delivered_once(spark, f"{tmp_path}/out")
+    assert rows(stored, *C.READING.fieldNames()) == rows(flagged, *C.READING.fieldNames())
 
 
 def test_table_of_many_files_can_be_streamed(spark, tmp_path):

@@ -82,10 +82,13 @@ def test_damaged_views(small):
     first = [i for i in ids if i % 97 == 0]
     second = [i for i in ids if i % 97 and i % 101 == 0]
     fourth = [i for i in ids if i % 97 and i % 101 and i % 103 and i % 107 == 0]
+    sound = [i for i in ids if i % 97 and i % 101 and i % 103 and i % 107]
     assert counts == {
         "malformed_json": len(first),
         "missing_humidity": len(second),
         "bad_timestamp": len(fourth),
+        "bad_temperature": sum(i % 109 == 0 for i in sound),
+        "bad_humidity": sum(i % 109 != 0 and i % 113 == 0 for i in sound),
     }
 
 

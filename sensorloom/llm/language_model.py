@@ -28,7 +28,7 @@ from sensorloom.llm.elias_fano import EliasFano
 from sensorloom.session import write_table
 
 #: Tokens of a block, unless one text has more.
-BLOCK_TOKENS = 1_200_000
+BLOCK_TOKENS = 600_000
 
 #: Tokens that a shard is made for.
 SHARD_TOKENS = 1_000_000

@@ -40,8 +40,8 @@ HASHED_CHARS = 1_000_000
 
 #: Lines of a cluster that are compared all with all in one piece, and lines that a larger
 #: cluster is first compared with.
-BLOCK = 512
-CENTRES = 32
+BLOCK = 128
+CENTRES = 16
 
 #: Bits of the filter of clustered lines, which is handed to all tasks: 8 MB whatever the input.
 FILTER_BITS = 26
@@ -371,9 +371,12 @@ def removals(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     named = keyed.join(components(docs, similarity), "node", "left").select(
         "doc_id", "number", F.coalesce("component", "node").alias("component")
     )
+    # Both are written, so that the join below deals rows anew and can split a frequent line's.
+    named = write_table(named, "named")
     firsts = named.groupBy("component").agg(
         F.min(F.struct("doc_id", "number")).alias("first"), F.count("*").alias("n")
     ).filter("n > 1").select("component", F.col("first.doc_id").alias("_doc"), F.col("first.number").alias("_number"))
+    firsts = write_table(firsts, "firsts")
     copies = named.join(firsts, "component").filter("doc_id <> _doc or number <> _number")
     return copies.groupBy("doc_id").agg(F.array_sort(F.collect_set("number")).alias("removed"))
 

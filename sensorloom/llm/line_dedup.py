@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash, exact Jaccard verification and union-find.
 
-1. Each task signs its distinct lines: one-permutation MinHash over shingles of 8 characters,
-   cut into bands. Lines of a task that share a band are candidates at once, and only one of
-   them goes on; bands are packed and dealt to buckets by their hash.
+1. Each task signs its distinct lines: MinHash over shingles of 8 characters, cut into
+   bands. Lines of a task that share a band are candidates at once, and only one of them
+   goes on; bands are packed and dealt to buckets by their hash.
 2. A bucket links lines of other tasks that share a band. Candidate links make clusters.
 3. Within a cluster all pairs of lines are compared by exact Jaccard similarity. A large
    cluster is first compared with a few of its lines; what these leave apart is compared
@@ -32,6 +32,10 @@ SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 BINS = BANDS * ROWS
 
+#: Lines of more shingles are signed by one permutation cut into bins, shorter ones by one
+#: permutation for each place.
+SHORT = BINS
+
 SEED = 42
 
 #: Characters that a task signs together, and characters of lines hashed at once.
@@ -40,7 +44,7 @@ HASHED_CHARS = 1_000_000
 
 #: Lines of a cluster that are compared all with all in one piece, and lines that a larger
 #: cluster is first compared with.
-BLOCK = 128
+BLOCK = 256
 CENTRES = 16
 
 #: Bits of the filter of clustered lines, which is handed to all tasks: 8 MB whatever the input.
@@ -84,23 +88,54 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes[at], np.repeat(np.arange(len(lines)), counts)
 
 
-def bands(lines: list[str]) -> np.ndarray:
-    """Band hashes, lines x BANDS."""
-    found, owner = shingles(lines)
-    signature = np.full(len(lines) * BINS, np.uint64(2**64 - 1))
+def _long_signature(found: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """One-permutation MinHash: the smallest hash in each of BINS bins; an empty bin takes the
+    next filled one's value, going round."""
+    empty = np.uint64(2**64 - 1)
+    signature = np.full(n * BINS, empty)
     bin_of = (found >> np.uint64(58)).astype(np.int64)
     np.minimum.at(signature, owner * BINS + bin_of, found)
     signature = signature.reshape(-1, BINS)
-    # An empty bin takes the next filled one's value, going round.
     twice = np.concatenate([signature, signature], axis=1)
-    place = np.where(twice == np.uint64(2**64 - 1), 2 * BINS, np.arange(2 * BINS))
+    place = np.where(twice == empty, 2 * BINS, np.arange(2 * BINS))
     following = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1][:, :BINS]
-    signature = np.take_along_axis(twice, np.minimum(following, 2 * BINS - 1), axis=1)
-    result = np.arange(BANDS, dtype=np.uint64) * _A + np.zeros((len(lines), 1), np.uint64)
-    for row in range(ROWS):
-        result = (result ^ signature[:, row * BANDS : (row + 1) * BANDS]) * _B
-        result ^= result >> np.uint64(32)
-    return result
+    return np.take_along_axis(twice, np.minimum(following, 2 * BINS - 1), axis=1)
+
+
+def _short_signature(found: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """MinHash with a hash function for each place: few shingles would leave most bins empty,
+    and lines that share but one of them would then share bands."""
+    places = []
+    for i in range(BINS):
+        hashes = (found ^ np.uint64((i + 1) * int(_A) % 2**64)) * _B
+        places.append(np.minimum.reduceat(hashes ^ (hashes >> np.uint64(32)), begins))
+    return np.stack(places, axis=1)
+
+
+def bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Band hashes of lines and the line of each: BANDS for every line, twice that for those
+    between SHORT and 1.25 * SHORT shingles, which are signed in both ways. Two lines of the
+    least similarity differ by no more than that in size, so they share one way."""
+    found, owner = shingles(lines)
+    sizes = np.bincount(owner, minlength=len(lines))
+    values, of_line = [], []
+    for kind, chosen in enumerate((sizes > SHORT, sizes <= SHORT / SIMILARITY + 1)):
+        at = np.flatnonzero(chosen)
+        if not len(at):
+            continue
+        kept = chosen[owner]
+        part, size = found[kept], sizes[at]
+        if kind == 0:
+            signature = _long_signature(part, np.repeat(np.arange(len(at)), size), len(at))
+        else:
+            signature = _short_signature(part, np.cumsum(size) - size)
+        result = np.arange(kind * BANDS, (kind + 1) * BANDS, dtype=np.uint64) * _A + np.zeros((len(at), 1), np.uint64)
+        for row in range(ROWS):
+            result = (result ^ signature[:, row * BANDS : (row + 1) * BANDS]) * _B
+            result ^= result >> np.uint64(32)
+        values.append(result.ravel())
+        of_line.append(np.repeat(at, BANDS))
+    return np.concatenate(values), np.concatenate(of_line)
 
 
 def star(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,13 +167,15 @@ def _signed(docs: DataFrame, buckets: int) -> DataFrame:
             lines = distinct_lines(texts)
             if not lines:
                 continue
-            parts, begin, size = [], 0, 0
+            values, of_line, begin, size = [], [], 0, 0
             for i, line in enumerate(lines):
                 size += len(line)
                 if size >= HASHED_CHARS or i + 1 == len(lines):
-                    parts.append(bands(lines[begin : i + 1]))
+                    found, owner = bands(lines[begin : i + 1])
+                    values.append(found)
+                    of_line.append(owner + begin)
                     begin, size = i + 1, 0
-            values, keys = np.concatenate(parts).ravel(), np.repeat(keys_of(lines), BANDS)
+            values, keys = np.concatenate(values), keys_of(lines)[np.concatenate(of_line)]
             order, centre, first = star(values, keys)
             values, keys = values[order], keys[order]
             joined = (~first) & (keys != centre)

@@ -139,9 +139,9 @@ def bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def star(values: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted by value and key: for each entry its value's smallest key; and which entries are
-    those smallest ones."""
-    order = np.lexsort((keys, values))
+    """An order by value; in it, for each entry the key of its value's first entry, and which
+    entries are those first ones."""
+    order = np.argsort(values)
     values, keys = values[order], keys[order]
     first = np.r_[True, values[1:] != values[:-1]] if len(values) else np.zeros(0, bool)
     centre = keys[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))] if len(keys) else keys

@@ -44,8 +44,8 @@ HASHED_CHARS = 1_000_000
 
 #: Lines of a cluster that are compared all with all in one piece, and lines that a larger
 #: cluster is first compared with.
-BLOCK = 256
-CENTRES = 16
+BLOCK = 128
+CENTRES = 64
 
 #: Bits of the filter of clustered lines, which is handed to all tasks: 8 MB whatever the input.
 FILTER_BITS = 26

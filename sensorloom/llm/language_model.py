@@ -10,7 +10,6 @@ its size, and the successors of frequent words are dealt over all shards.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -206,7 +205,15 @@ class Trie:
     context's rank and the successor's place within the context's range of pointers.
     """
 
-    def __init__(self, context: np.ndarray, successor: np.ndarray, counts: np.ndarray, totals: np.ndarray, own: np.ndarray, mu: float):
+    def __init__(
+        self,
+        context: np.ndarray,
+        successor: np.ndarray,
+        counts: np.ndarray,
+        totals: np.ndarray,
+        own: np.ndarray,
+        mu: float,
+    ):
         """``context`` (index into ``own``, the sorted hashes with their ``totals``), ``successor``
         and ``counts`` by bigram, sorted by both, no bigram twice."""
         self.contexts = EliasFano(own)
@@ -248,7 +255,8 @@ def _answered(hot: np.ndarray, hot_counts: np.ndarray, mu: float):
         totals = np.bincount(at, np.concatenate([from_planes(x) for x in rows["counts"]]), len(own)).astype(np.int64)
         place = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
         is_hot = hot[place] == own
-        words, once, twice = (~is_hot & (totals > 0)).sum(), (~is_hot & (totals == 1)).sum(), (~is_hot & (totals == 2)).sum()
+        rare = totals[~is_hot]  # all words that are counted in this shard alone
+        words, once, twice = (rare > 0).sum(), (rare == 1).sum(), (rare == 2).sum()
         totals = np.where(is_hot, hot_counts[place], totals)
         key = np.repeat(at.astype(np.uint64), np.concatenate(sizes)) << np.uint64(32) | np.concatenate(successors)
         counts = np.concatenate([from_planes(x) for x in rows["pairs"]]).astype(np.int64)
@@ -382,7 +390,8 @@ def _hot(blocks: DataFrame, total: int, share: float) -> tuple[np.ndarray, np.nd
                 sums[-1] += int((~np.frombuffer(row["held"], bool)).sum())
         yield batch_of(schema, np.arange(len(sums)), sums)
 
-    rows = blocks.select("vocabulary", "trained", "held").mapInArrow(exact, schema).groupBy("word").agg(F.sum("n").alias("n"))
+    counted = blocks.select("vocabulary", "trained", "held").mapInArrow(exact, schema)
+    rows = counted.groupBy("word").agg(F.sum("n").alias("n"))
     sums = np.zeros(len(hot) + 2, np.int64)
     for row in rows.collect():
         sums[row["word"]] = row["n"]

@@ -87,7 +87,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_TR
 
     Rows without a label teach nothing. At most about ``max_rows`` of them are used.
     """
-    known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("_label")).filter("_label is not null")
+    known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("_label"))
+    known = known.filter("_label is not null")
     picked = drawn(known, "_id", max_rows, known.count())
     rows = features(docs.join(picked, F.col("doc_id") == F.col("_id")).select("text", "_label"), "_label").collect()
     return boosting.fit(np.array([r[0] for r in rows]).reshape(-1, len(FEATURES)), np.array([r[1] for r in rows]))

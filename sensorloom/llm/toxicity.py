@@ -1,8 +1,9 @@
 """Toxicity by multiple-instance learning: only documents are labelled, sentences are scored.
 
 A sentence's probability is logistic in the distinct words it holds, each described by itself
-and by its beginnings; a document is toxic unless none of its sentences is (noisy-or). Both are fitted together by gradient descent on
-the documents' labels, and the sentences' own probabilities then locate the offence.
+and by its beginnings; a document is toxic unless none of its sentences is (noisy-or). Both
+are fitted together by gradient descent on the documents' labels, and the sentences' own
+probabilities then locate the offence.
 """
 
 from __future__ import annotations

@@ -153,7 +153,8 @@ def fit(urls: list[str], blocked: np.ndarray) -> Filter:
 
 def train(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Filter:
     """Fit on rows (url, blocked); at most about ``max_rows``, drawn by a hash of the URL."""
-    known = labelled.filter("url is not null and blocked is not null").select("url", F.col("blocked").cast("double").alias("blocked"))
+    known = labelled.select("url", F.col("blocked").cast("double").alias("blocked"))
+    known = known.filter("url is not null and blocked is not null")
     rows = drawn(known, "url", max_rows, known.count()).collect()
     rows.sort()
     return fit([r["url"] for r in rows], np.array([r["blocked"] for r in rows]))

@@ -62,7 +62,8 @@ def test_simhash_components_by_brute_force(spark, monkeypatch, parts):
 
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(7, 7), (3, 2), (2, 3)]
-    found = {r.node: r.component for r in components.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    linked = components.connected(spark.createDataFrame(edges, "a long, b long"))
+    found = {r.node: r.component for r in linked.collect()}
     assert {found[i] for i in range(100, 161)} == {100}
     assert {found[i] for i in range(500, 560)} == {500}
     assert found[2] == found[3] == 2 and 7 not in found

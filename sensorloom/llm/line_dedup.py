@@ -39,8 +39,8 @@ SHORT = BINS
 SEED = 42
 
 #: Characters that a task signs together, and characters of lines hashed at once.
-SIGNED_CHARS = 8_000_000
-HASHED_CHARS = 1_000_000
+SIGNED_CHARS = 4_000_000
+HASHED_CHARS = 100_000
 
 #: Lines of a cluster that are compared all with all in one piece, and lines that a larger
 #: cluster is first compared with.
@@ -76,10 +76,11 @@ def shingles(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     n = len(units) // 2 - SHINGLE + 1
     fours = np.ndarray((n + 4,), "<u8", units, strides=(2,)).astype(np.uint64)
-    hashes = (fours[:n] * _A) ^ ((fours[4 : n + 4] + _A) * _B)
-    hashes ^= hashes >> np.uint64(31)
+    hashes = fours[:n] * _A
+    hashes += fours[4 : n + 4]
     hashes *= _B
-    hashes ^= hashes >> np.uint64(29)
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= _A
     sizes = np.array([len(x) if x.isascii() else len(x.encode("utf-16-le", "surrogatepass")) // 2 for x in lines])
     begins = np.cumsum(sizes + SHINGLE) - sizes - SHINGLE
     counts = np.maximum(sizes - SHINGLE + 1, 1)

@@ -159,15 +159,16 @@ class Matcher:
         distance, then first) of every item in every text."""
         if not self.groups:
             return []
-        get, parts, begins, total = self.number.get, [], [], 0
+        get, parts, begins, ends, total = self.number.get, [], [], [], 0
         pad = np.zeros(self.reach + 1, np.int64)
         for text in texts:
             found = WORD.findall(text.lower())
             parts += [np.fromiter(map(get, found, repeat(0)), np.int64, len(found)), pad]
             begins.append(total)
+            ends.append(total + len(found))
             total += len(found) + len(pad)
         symbols = np.concatenate(parts)
-        begins = np.array(begins)
+        begins, ends = np.array(begins), np.array(ends)
         known = np.flatnonzero((symbols[:-1] > 0) & (symbols[1:] > 0))
         keys = symbols[known] * self.symbols + symbols[known + 1]
         at = np.minimum(np.searchsorted(self.pairs, keys), max(len(self.pairs) - 1, 0))
@@ -188,10 +189,12 @@ class Matcher:
             else:
                 starts = np.flatnonzero(symbols) if edits == 0 else np.arange(total)
             for i in range(0, len(starts), 20_000):
-                self._match(starts[i : i + 20_000], padded, length, edits, *group_rest, begins, best)
+                self._match(starts[i : i + 20_000], padded, length, edits, *group_rest, begins, ends, best)
         return [(text, item, place, distance, length) for (text, item), (distance, place, length) in sorted(best.items())]
 
-    def _match(self, at, padded, length, edits, items, rows, sorted_keys, owners, begins, best) -> None:
+    def _match(self, at, padded, length, edits, items, rows, sorted_keys, owners, begins, ends, best) -> None:
+        # A start in the padding behind a text belongs to no text.
+        at = at[at < ends[np.searchsorted(begins, at, side="right") - 1]]
         windows = padded[at[:, None] + np.arange(length)]
         of_items = np.zeros(self.symbols, bool)
         of_items[rows] = True

@@ -103,6 +103,46 @@ def test_decontamination_recall_at_the_limit(spark, documents):
     assert sum((t, i) in found for t, (i, _) in enumerate(planted)) >= 0.97 * len(planted)
 
 
+def test_items_at_the_start_of_a_text_by_brute_force(spark):
+    """After a clean and after an empty text, all in one group and one by one."""
+    item = "once upon a time a small grey mouse lived below the old red barn"
+    words = item.split()
+    texts = [
+        "some clean text about nothing in particular",
+        f"{item} and then it rained",
+        "",
+        f"{item} again",
+        "a small grey mouse lived below the old red barn",
+        "another clean text",
+        " ".join([*words[:3], "year", *words[4:], "so they say"]),
+        "...",
+        " ".join(["well", *words[:6], *words[7:]]),
+    ]
+    allowed, expected = decontamination.allowed(len(words), decontamination.SIMILARITY), []
+    for number, text in enumerate(texts):
+        found, best = text.split() if text != "..." else [], []
+        for begin in range(len(found)):
+            row = list(range(len(words) + 1))
+            for word in [None, *found[begin : begin + len(words) + allowed]]:
+                if word is not None:
+                    above, row = row, [row[0] + 1]
+                    for j, w in enumerate(words):
+                        row.append(min(above[j] + (w != word), above[j + 1] + 1, row[-1] + 1))
+                best.append((row[-1], begin))
+        if best and min(best)[0] <= allowed:
+            expected.append((number, 1, min(best)[1], min(best)[0]))
+    assert [n for n, *_ in expected] == [1, 3, 6, 8]
+    schema = "doc_id long, text string"
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), schema).coalesce(1)
+    alone = [spark.createDataFrame([row], schema) for row in enumerate(texts)]
+    hits = lambda d: [tuple(r)[:4] for r in decontamination.contaminated(d, benchmark).collect()]
+    kept = lambda d: [r.doc_id for r in decontamination.clean(d, benchmark).collect()]
+    clean = [n for n in range(len(texts)) if n not in {n for n, *_ in expected}]
+    assert hits(docs) == expected and kept(docs) == clean
+    assert sum(map(hits, alone), []) == expected and sum(map(kept, alone), []) == clean
+
+
 def test_line_dedup_by_brute_force(spark, documents):
     rows = line_dedup.marked(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
     lines = [(i, n, x) for i, t in sorted(zip(documents.doc_id, documents.text)) for n, x in enumerate(t.split("\n")) if x.strip()]

@@ -389,14 +389,34 @@ def _edge_score(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _score_with_fallback(spark: SparkSession, folder: str) -> DataFrame:
-    """All readings scored before and after a forest is published, counted per model."""
+    """All readings scored before and after a forest is published: the readings that each model
+    gave a class, counted. A model whose classes break its bound over all readings (the share
+    of the forest's that agree, and of the normal ones that the edge model flags) gives no row."""
     readings = views.load(spark, folder)
     edge = _edge_model(readings)
     root = work_dir(spark, "models")
-    before = scoring.score_with_fallback(readings, root, edge)
+    known = readings.withColumn("own", F.col("classification"))
+    before = scoring.score_with_fallback(known, root, edge)
     retrain(readings, root)
-    both = before.unionByName(scoring.score_with_fallback(readings, root, edge))
-    return both.groupBy("model_type").agg(F.count("*").alias("readings"), F.count_distinct("id").alias("ids"))
+    both = before.unionByName(scoring.score_with_fallback(known, root, edge))
+    return _bounded_counts(both)
+
+
+def _bounded_counts(scored: DataFrame) -> DataFrame:
+    """Readings with a class per model, of the models within their bounds."""
+    classified = F.col("classification").isin(C.NORMAL, C.ANOMALY)
+    flagged = F.when(~E.is_anomaly("own"), E.is_anomaly().cast("int"))
+    agrees = (F.col("own") == F.col("classification")).cast("int")
+    counted = scored.groupBy("model_type").agg(
+        F.count_if(classified).alias("readings"),
+        F.count_distinct(F.when(classified, F.col("id"))).alias("ids"),
+        F.avg(agrees).alias("agreement"),
+        F.avg(flagged).alias("flagged"),
+    )
+    bound = F.when(F.col("model_type") == scoring.FOREST, F.col("agreement") >= LEAST_AGREEMENT).otherwise(
+        F.col("flagged").between(*FLAGGED)
+    )
+    return counted.filter(bound).select("model_type", "readings", "ids")
 
 
 def _stream_score(spark: SparkSession, folder: str) -> DataFrame:

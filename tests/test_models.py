@@ -4,11 +4,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SMALL
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
 from sensorloom.ml import forest, isolation, registry, scoring
 from sensorloom.operators import readings as R
-from sensorloom.plans import retraining
+from sensorloom.plans import catalog, retraining
 from sensorloom.sources import sinks
 
 
@@ -243,6 +244,21 @@ def test_fallback_until_a_forest_is_published(spark, model, edge, small, tmp_pat
     assert classes(after) == classes(forest.score(model, small))
 
 
+@pytest.mark.parametrize("broken", (scoring.FOREST, scoring.EDGE))
+def test_fallback_counts_need_the_classes(spark, model, edge, small, monkeypatch, broken):
+    """Readings without a class from a model aren't counted for it; with wrong classes neither."""
+    choose = scoring.score_with_fallback
+
+    def wrong(*args):
+        scored = choose(*args)
+        return scored.withColumn("classification", F.when(F.col("model_type") != broken, F.col("classification")))
+
+    monkeypatch.setattr(catalog.scoring, "score_with_fallback", wrong)
+    rows = catalog.queries()["score_with_fallback"](spark, SMALL).collect()
+    assert [r.model_type for r in rows if r.readings] == [{scoring.FOREST: scoring.EDGE, scoring.EDGE: scoring.FOREST}[broken]]
+    assert [(r.readings, r.ids) for r in rows if r.readings] == [(1000, 1000)]
+
+
 def test_fallback_when_the_forest_does_not_load(spark, edge, small, tmp_path):
     root = str(tmp_path / "models")
     entry = [(1, f"{root}/models/none", None)]

@@ -32,8 +32,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 BINS = BANDS * ROWS
 
-#: Lines of more shingles are signed by one permutation cut into bins, shorter ones by one
-#: permutation for each place.
+#: Lines of more distinct shingles are signed by one permutation cut into bins, the others by
+#: one permutation for each place.
 SHORT = BINS
 
 SEED = 42
@@ -113,19 +113,37 @@ def _short_signature(found: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return np.stack(places, axis=1)
 
 
+def distinct_sizes(found: np.ndarray, owner: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Number of distinct shingles of each line, told apart by 44 bits of their hash; lines of at
+    most SHORT places, which have no more than SHORT, keep their number of places."""
+    sizes = places.copy()
+    at = np.flatnonzero(places > SHORT)
+    for i in range(0, len(at), 1 << 20):
+        some = at[i : i + (1 << 20)]
+        chosen = np.zeros(len(places), bool)
+        chosen[some] = True
+        number = np.repeat(np.arange(len(some), dtype=np.uint64), places[some])
+        marked = (number << np.uint64(44)) | (found[chosen[owner]] >> np.uint64(20))
+        marked.sort()
+        first = np.r_[True, marked[1:] != marked[:-1]]
+        sizes[some] = np.bincount((marked[first] >> np.uint64(44)).astype(np.int64), minlength=len(some))
+    return sizes
+
+
 def bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Band hashes of lines and the line of each: BANDS for every line, twice that for those
-    between SHORT and 1.25 * SHORT shingles, which are signed in both ways. Two lines of the
-    least similarity differ by no more than that in size, so they share one way."""
+    between SHORT and 1.25 * SHORT distinct shingles, which are signed in both ways. Two lines
+    of the least similarity differ by no more than that in size, so they share one way."""
     found, owner = shingles(lines)
-    sizes = np.bincount(owner, minlength=len(lines))
+    places = np.bincount(owner, minlength=len(lines))
+    sizes = distinct_sizes(found, owner, places)
     values, of_line = [], []
     for kind, chosen in enumerate((sizes > SHORT, sizes <= SHORT / SIMILARITY + 1)):
         at = np.flatnonzero(chosen)
         if not len(at):
             continue
         kept = chosen[owner]
-        part, size = found[kept], sizes[at]
+        part, size = found[kept], places[at]
         if kind == 0:
             signature = _long_signature(part, np.repeat(np.arange(len(at)), size), len(at))
         else:

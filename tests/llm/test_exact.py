@@ -163,6 +163,13 @@ def test_line_dedup_by_brute_force(spark, documents):
     assert {r.doc_id: r.removed for r in rows if r.n_removed} == expected
 
 
+@pytest.mark.parametrize("phrase", ("=", "spam "))
+def test_lines_of_one_repeated_phrase_are_candidates(phrase):
+    lines = [(phrase * 130)[:size] for size in (60, 130)]
+    values, of_line = line_dedup.bands(lines)
+    assert set(values[of_line == 0].tolist()) & set(values[of_line == 1].tolist())
+
+
 def test_large_clusters_of_lines_are_compared_in_blocks(spark):
     line = "the quick brown fox jumps over the lazy dog number one two three {} and then goes home again to sleep well"
     other = "an altogether different line that shares nothing with the others but this part {}, and its end as well"

@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -30,9 +31,18 @@ from sensorloom.llm.arrow import batch_of, schema_of, text_groups, text_slices
 
 SIMILARITY = 0.8
 
-#: Random walks, samples of places of each walk, and places of a sample.
+#: Random walks, samples of places of each walk (both at least), and places of a sample.
 WALKS, SAMPLES, PLACES = 6, 16, 2
 
+#: Share of copies with all allowed edits that the walks and samples of a length have to find.
+RECALL = 0.99
+
+#: Samples of each walk to choose from, and walks at most.
+SAMPLE_CHOICES, MOST_WALKS = (16, 32, 64, 128), 64
+
+#: Windows that are embedded together, and numbers held for them at most.
+WINDOWS, HELD = 20_000, 14_400_000
+
 #: Benchmark text that is compared with all documents in one pass; more of it takes more passes.
 BLOCK_BYTES = 16 * 1024 * 1024
 
@@ -52,38 +62,80 @@ def allowed(n: int, similarity: float) -> int:
     return math.floor((1 - similarity) * n + 1e-9)
 
 
+def emitted(windows: np.ndarray, walks: int, bits_of: Callable[[int], np.ndarray]) -> np.ndarray:
+    """The symbols that the first 2 L of 3 L steps emit: steps x rows x walks. ``bits_of`` gives
+    the bits (walks x symbols) of each 64 steps; a walk that is through emits the empty place."""
+    n, length = windows.shape
+    steps = 2 * length
+    padded = np.concatenate([windows, np.full((n, 1), -1)], axis=1).astype(np.int32)  # -1: through
+    rows = np.repeat(np.arange(n) * (length + 1), walks)
+    walk = np.tile(np.arange(walks), n)
+    flat, at = padded.ravel(), np.zeros(n * walks, np.int64)
+    found = np.empty((steps, n * walks), np.int32)
+    for step in range(steps):
+        symbol = found[step] = flat[rows + at]
+        if step % 64 == 0:
+            bits = bits_of(step >> 6)
+        bit = (bits[walk, symbol] >> np.uint64(step & 63)) & np.uint64(1)
+        at += bit.astype(np.int64)
+        np.minimum(at, length, out=at)
+    return found.reshape(steps, n, walks)
+
+
+@lru_cache(maxsize=None)
+def _agreement(length: int, similarity: float, pairs: int = 48, walks: int = 8) -> np.ndarray:
+    """Share of steps in which an item of distinct words and its copy with all allowed edits
+    (of mixed kinds, anywhere) emit the same word, for drawn pairs and walks."""
+    draw = np.random.default_rng(11)
+    edits = allowed(length, similarity)
+    rows = np.tile(np.arange(1, length + 1), (2 * pairs, 1))
+    symbols = length + 2 * edits + 1
+    for copy in rows[1::2]:
+        words = list(range(1, length + 1))
+        for edit in range(edits):
+            at, kind = draw.integers(max(len(words), 1)), draw.integers(3)
+            words[at : at + (kind != 1)] = [] if kind == 0 else [length + 1 + edit]
+        copy[:] = (words + list(range(length + edits + 1, symbols)))[:length]
+    found = emitted(rows, walks, lambda block: draw.integers(0, 2**64, (walks, symbols), np.uint64))
+    return (found[:, ::2] == found[:, 1::2]).mean(axis=0)
+
+
+def effort(length: int, similarity: float, recall: float = RECALL) -> tuple[int, int]:
+    """Walks, and samples of each, with which copies of an item of ``length`` words are found
+    with the given recall, at the least cost; reckoned for the next length on a grid."""
+    if not allowed(length, similarity):
+        return WALKS, SAMPLES
+    grid = math.ceil(2 ** (math.ceil(4 * math.log2(length) - 1e-9) / 4) - 1e-9)
+    agreed, choices = _agreement(grid, similarity) ** PLACES, []
+    for samples in SAMPLE_CHOICES:
+        missed = ((1 - agreed) ** samples).mean(axis=1)
+        for walks in range(WALKS, MOST_WALKS + 1):
+            if 1 - (missed**walks).mean() >= recall or (walks, samples) == (MOST_WALKS, SAMPLE_CHOICES[-1]):
+                # A key costs as much as about 20 steps.
+                choices.append((walks * (2 * length + 20 * samples), walks, samples))
+                break
+    return min(choices)[1:]
+
+
 class Walks:
     """The random bits of all walks, and the places that samples take."""
 
-    def __init__(self, symbols: int, longest: int, seed: int = 7):
+    def __init__(self, symbols: int, longest: int, walks: int = WALKS, samples: int = SAMPLES, seed: int = 7):
         draw = np.random.default_rng(seed)
-        self.bits = draw.integers(0, 2**64, (WALKS, symbols, 3 * longest // 64 + 1), np.uint64)
-        # The first 2 L of 3 L steps; a walk that is through emits the empty place.
-        self.places = draw.random((WALKS, SAMPLES, PLACES))
+        self.bits = draw.integers(0, 2**64, (walks, symbols, 2 * longest // 64 + 1), np.uint64)
+        self.places = draw.random((walks, samples, PLACES))
 
-    def keys(self, windows: np.ndarray) -> np.ndarray:
+    def keys(self, windows: np.ndarray, walks: int, samples: int) -> np.ndarray:
         """For each window (a row of symbols) its key in every sample: rows x (walks * samples)."""
         n, length = windows.shape
         steps = 2 * length
-        padded = np.concatenate([windows, np.full((n, 1), -1)], axis=1).astype(np.int32)  # -1: through
-        rows = np.repeat(np.arange(n) * (length + 1), WALKS)
-        walks = np.tile(np.arange(WALKS), n)
-        flat, at = padded.ravel(), np.zeros(n * WALKS, np.int64)
-        emitted = np.empty((steps, n * WALKS), np.int32)
-        for step in range(steps):
-            symbol = emitted[step] = flat[rows + at]
-            if step % 64 == 0:
-                bits = self.bits[:, :, step >> 6]
-            bit = (bits[walks, symbol] >> np.uint64(step & 63)) & np.uint64(1)
-            at += bit.astype(np.int64)
-            np.minimum(at, length, out=at)
-        # places: walks x samples; emitted[place, window, walk]
-        emitted = emitted.reshape(steps, n, WALKS)
-        places = (self.places * steps).astype(np.int64)
-        key = np.arange(WALKS * SAMPLES, dtype=np.uint64) + np.zeros((n, 1), np.uint64)
-        of_walk = np.repeat(np.arange(WALKS), SAMPLES)
+        found = emitted(windows, walks, lambda block: self.bits[:walks, :, block])
+        # places: walks x samples; found[place, window, walk]
+        places = (self.places[:walks, :samples] * steps).astype(np.int64)
+        key = np.arange(walks * samples, dtype=np.uint64) + np.zeros((n, 1), np.uint64)
+        of_walk = np.repeat(np.arange(walks), samples)
         for place in range(PLACES):
-            taken = emitted[places[:, :, place].ravel(), :, of_walk].T  # windows x (walks * samples)
+            taken = found[places[:, :, place].ravel(), :, of_walk].T  # windows x (walks * samples)
             key = (key ^ (taken + 1).astype(np.uint64)) * _MIX
             key ^= key >> np.uint64(29)
         return key
@@ -132,12 +184,14 @@ class Matcher:
         ]
         self.symbols = len(self.number) + 1
         self.longest = max((len(w) for _, w in texts), default=1)
-        self.walks = Walks(self.symbols, self.longest)
+        self.efforts = {length: effort(length, similarity) for length in {len(w) for _, w in texts}}
+        most = [max(x, default=1) for x in zip(*self.efforts.values())] or [WALKS, SAMPLES]
+        self.walks = Walks(self.symbols, self.longest, *most)
         self.groups = []
         for length in sorted({len(w) for _, w in texts}):
             same = [(i, w) for i, w in texts if len(w) == length]
             rows = np.stack([w for _, w in same])
-            keys = self.walks.keys(rows)
+            keys = self.walks.keys(rows, *self.efforts[length])
             flat = keys.ravel()
             order = np.argsort(flat, kind="stable")
             self.groups.append((length, [i for i, _ in same], rows, flat[order], order // keys.shape[1]))
@@ -188,8 +242,10 @@ class Matcher:
                 starts = dense(places[bounds[k] : bounds[k + 1]], fewest, length + edits - 1)
             else:
                 starts = np.flatnonzero(symbols) if edits == 0 else np.arange(total)
-            for i in range(0, len(starts), 20_000):
-                self._match(starts[i : i + 20_000], padded, length, edits, *group_rest, begins, ends, best)
+            walks, samples = self.efforts[length]
+            some = max(min(WINDOWS, HELD // (walks * max(2 * length, samples))), 1)
+            for i in range(0, len(starts), some):
+                self._match(starts[i : i + some], padded, length, edits, *group_rest, begins, ends, best)
         return [(text, item, place, distance, length) for (text, item), (distance, place, length) in sorted(best.items())]
 
     def _match(self, at, padded, length, edits, items, rows, sorted_keys, owners, begins, ends, best) -> None:
@@ -200,7 +256,7 @@ class Matcher:
         of_items[rows] = True
         enough = np.count_nonzero(of_items[windows], axis=1) >= length - edits
         at, windows = at[enough], windows[enough]
-        keys = self.walks.keys(windows)
+        keys = self.walks.keys(windows, *self.efforts[length])
         low = np.searchsorted(sorted_keys, keys)
         high = np.searchsorted(sorted_keys, keys, side="right")
         counts = high - low
@@ -218,8 +274,9 @@ class Matcher:
         whole = text * len(items) + item
         rest = np.flatnonzero(~exact & ~np.isin(whole, whole[exact]))
         distance = np.zeros(len(pairs), np.int64)
-        for i in range(0, len(rest), 20_000):
-            some = rest[i : i + 20_000]
+        size = max(min(WINDOWS, HELD // (6 * (length + edits))), 1)
+        for i in range(0, len(rest), size):
+            some = rest[i : i + size]
             distance[some] = distances(padded[at[window[some], None] + np.arange(length + edits)], rows[item[some]])
         near = np.flatnonzero(exact)
         near = np.concatenate([near, rest[distance[rest] <= edits]])

@@ -143,6 +143,20 @@ def test_items_at_the_start_of_a_text_by_brute_force(spark):
     assert sum(map(hits, alone), []) == expected and sum(map(kept, alone), []) == clean
 
 
+def test_decontamination_recall_of_long_items():
+    draw = random.Random(3)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(800))) for i in range(10)]
+    texts = []
+    for trial in range(60):
+        words = items[trial % 10][1].split()
+        for edit in range(decontamination.allowed(800, decontamination.SIMILARITY)):
+            at, kind = draw.randrange(len(words)), draw.choice("sid")
+            words[at : at + (kind != "i")] = [] if kind == "d" else [f"zz{edit}"]
+        texts.append(" ".join(["before"] * 5 + words + ["after"] * 5))
+    found = {(t, i) for t, i, *_ in decontamination.Matcher(items).find(texts)}
+    assert sum((t, t % 10) in found for t in range(60)) >= 0.98 * 60
+
+
 def test_line_dedup_by_brute_force(spark, documents):
     rows = line_dedup.marked(spark.read.parquet(f"{SMALL}/documents.parquet")).collect()
     lines = [(i, n, x) for i, t in sorted(zip(documents.doc_id, documents.text)) for n, x in enumerate(t.split("\n")) if x.strip()]

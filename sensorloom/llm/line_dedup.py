@@ -414,27 +414,34 @@ def components(docs: DataFrame, similarity: float = SIMILARITY, block: int = BLO
     return connected(found.unionByName(rest))
 
 
+def _version(text: Column | str) -> Column:
+    """Tells rows of different texts under one doc_id apart."""
+    return F.xxhash64(text).alias("version")
+
+
 def removals(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id and the numbers (from 0) of its lines that are copies of an earlier line.
+    """doc_id, hash of the text (``version``) and the numbers (from 0) of its lines that are copies
+    of an earlier line.
 
-    The first line of a component, by doc_id and number, stays. Lines without a word are
-    never copies. Rows without a doc_id take no part; rows that share one are one document.
+    The first line of a component, by doc_id, version and number, stays. Lines without a word
+    are never copies. Rows without a doc_id take no part; rows that share one and their text
+    are one document.
     """
     lines = F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("number"), x.alias("line")))
     worded = F.filter(lines, lambda x: x["line"].rlike(r"[^\x20\x09-\x0D]"))
-    keyed = docs.filter("doc_id is not null").select("doc_id", F.explode(worded).alias("x"))
-    keyed = write_table(keyed.select("doc_id", "x.number", F.xxhash64("x.line").alias("node")), "lines")
+    keyed = docs.filter("doc_id is not null").select("doc_id", _version("text"), F.explode(worded).alias("x"))
+    keyed = write_table(keyed.select("doc_id", "version", "x.number", F.xxhash64("x.line").alias("node")), "lines")
     named = keyed.join(components(docs, similarity), "node", "left").select(
-        "doc_id", "number", F.coalesce("component", "node").alias("component")
+        "doc_id", "version", "number", F.coalesce("component", "node").alias("component")
     )
     # Both are written, so that the join below deals rows anew and can split a frequent line's.
     named = write_table(named, "named")
     firsts = named.groupBy("component").agg(
-        F.min(F.struct("doc_id", "number")).alias("first"), F.count("*").alias("n")
-    ).filter("n > 1").select("component", F.col("first.doc_id").alias("_doc"), F.col("first.number").alias("_number"))
+        F.min(F.struct("doc_id", "version", "number")).alias("first"), F.count("*").alias("n")
+    ).filter("n > 1").select("component", "first")
     firsts = write_table(firsts, "firsts")
-    copies = named.join(firsts, "component").filter("doc_id <> _doc or number <> _number")
-    return copies.groupBy("doc_id").agg(F.array_sort(F.collect_set("number")).alias("removed"))
+    copies = named.join(firsts, "component").filter("struct(doc_id, version, number) <> first")
+    return copies.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("number")).alias("removed"))
 
 
 def _free(name: str, df: DataFrame) -> str:
@@ -447,9 +454,9 @@ def marked(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """doc_id, n_lines (with a word), n_removed and removed of each row of ``docs``. Missing and
     empty texts have no lines."""
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    counted = docs.select("doc_id", F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"))
+    counted = docs.select("doc_id", _version("text"), F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"))
     counted = counted.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    found = counted.join(removals(docs, similarity), "doc_id", "left")
+    found = counted.join(removals(docs, similarity), ["doc_id", "version"], "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return found.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
 
@@ -457,14 +464,17 @@ def marked(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with the copied lines taken out of ``text``, and ``n_chars`` (if there is such a
     column) counted anew. All rows stay, also those left without a line."""
-    key, gone = _free("_key", docs), _free("_gone", docs)
-    taken = removals(docs, similarity).select(F.col("doc_id").alias(key), F.col("removed").alias(gone))
+    key, version, gone = _free("_key", docs), _free("_version", docs), _free("_gone", docs)
+    taken = removals(docs, similarity).select(
+        F.col("doc_id").alias(key), F.col("version").alias(version), F.col("removed").alias(gone)
+    )
     lines = F.split("text", "\n")
     kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
     text = F.when(F.col(gone).isNull(), F.col("text")).otherwise(
         F.element_at(F.transform(F.array(lines), lambda x: F.array_join(F.transform(kept, lambda i: F.get(x, i)), "\n")), 1)
     )
-    changed = docs.join(taken, docs["doc_id"] == F.col(key), "left").withColumn("text", text)
+    same = (docs["doc_id"] == F.col(key)) & (_version(docs["text"]) == F.col(version))
+    changed = docs.join(taken, same, "left").withColumn("text", text)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         recounted = F.when(F.col(gone).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))

@@ -54,17 +54,18 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * bits > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of each row."""
-    schema = schema_of(docs, "doc_id", ("fp", T.LongType()))
+def fingerprints(docs: DataFrame, size: int = SHINGLE, version: str | None = None) -> DataFrame:
+    """doc_id and fingerprint (as a signed long) of each row, and its ``version`` (a long)."""
+    more = [version] if version else []
+    schema = schema_of(docs, "doc_id", ("fp", T.LongType()), *((v, T.LongType()) for v in more))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = (batch.column(1)[i].as_py() for i in range(batch.num_rows))
             found = np.array([fingerprint(t, size) for t in texts], np.uint64).astype(np.int64)
-            yield batch_of(schema, batch.column(0).to_pylist(), found)
+            yield batch_of(schema, batch.column(0).to_pylist(), found, *batch.columns[2:])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.col("text").cast("binary").alias("text"), *more).mapInArrow(run, schema)
 
 
 def near(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -160,6 +161,15 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     return pairs.mapInArrow(run, schema)
 
 
+def _placed(hashed: DataFrame, least: Column, radius: int) -> DataFrame:
+    """Each fingerprint with the least of its rows and the component over links."""
+    distinct = write_table(hashed.groupBy("fp").agg(least.alias("least")), "distinct")
+    component = connected(links(distinct, radius))
+    return distinct.join(component, distinct["fp"] == component["node"], "left").select(
+        "fp", "least", F.coalesce("component", "fp").alias("component")
+    )
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id of each row of ``docs``.
 
@@ -168,11 +178,7 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
     repeated rows come out repeated. Rows without a doc_id get the component's smallest one.
     """
     hashed = write_table(fingerprints(docs, size), "fingerprints")
-    distinct = write_table(hashed.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
-    component = connected(links(distinct, radius))
-    placed = distinct.join(component, distinct["fp"] == component["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
-    )
+    placed = _placed(hashed, F.min("doc_id"), radius)
     smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
     named = placed.join(smallest, "component").select("fp", "component_id")
     return hashed.join(named, "fp").select(
@@ -181,9 +187,16 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS)
 
 
 def representatives(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """One row of ``docs`` of each group: that of the smallest doc_id. Rows without a doc_id
-    can't be told apart and all stay; of rows that share a doc_id one stays."""
-    found = near_duplicates(docs.filter("doc_id is not null"), size, radius)
-    kept = found.filter("doc_id = component_id").select("doc_id").distinct()
-    once = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(docs.filter("doc_id is null")).select(*docs.columns)
+    """One row of ``docs`` of each group: that of the smallest doc_id, and of rows that share it
+    the one of the smallest hash of its text. Rows without a doc_id can't be told apart and all
+    stay; of rows that share a doc_id and the text one stays."""
+    version = "_version"
+    while version in docs.columns:
+        version += "_"
+    named = docs.filter("doc_id is not null").withColumn(version, F.xxhash64("text"))
+    hashed = write_table(fingerprints(named, size, version), "fingerprints")
+    placed = _placed(hashed, F.min(F.struct("doc_id", version)), radius)
+    first = placed.groupBy("component").agg(F.min("least").alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("doc_id"), F.col(f"first.{version}").alias(version))
+    once = named.join(kept, ["doc_id", version], "left_semi").dropDuplicates(["doc_id", version])
+    return once.select(*docs.columns).unionByName(docs.filter("doc_id is null")).select(*docs.columns)

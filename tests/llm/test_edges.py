@@ -114,6 +114,18 @@ def test_line_dedup(odd, none):
     assert line_dedup.deduplicated(odd).count() == len(ROWS)
 
 
+def test_rows_of_different_texts_under_one_id(spark):
+    shared = "this line of some length is in more than one of the rows"
+    own = [f"row {i} alone has words like {w} in this second line" for i, w in enumerate(("apple", "stone", "river"))]
+    texts = [(1, f"{own[0]}\n{shared}"), (1, f"{shared}\n{own[1]}"), (2, own[2]), (2, own[2])]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    left = sorted(r.text for r in line_dedup.deduplicated(docs).collect())
+    assert sorted("\n".join(left).split("\n")) == sorted([*own, own[2], shared])
+    assert sorted((r.n_lines, r.n_removed) for r in line_dedup.marked(docs).collect()) == [(1, 0), (1, 0), (2, 0), (2, 1)]
+    kept = [tuple(r) for r in simhash.representatives(docs).collect()]
+    assert sorted(kept) == sorted(set(texts))
+
+
 def test_language_model(odd, none):
     held = odd.withColumn("held_out", odd["doc_id"] == 6)
     rows = language_model.score(held).collect()

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorloom.llm import bpe, decontamination, language_id, language_model, line_dedup, oracles
-from sensorloom.llm import quality_classifier, quality_rules, simhash, toxicity, url_filter
+from sensorloom.llm import quality_classifier, quality_rules, simhash, token_files, toxicity, url_filter
 from sensorloom.llm.common import read, remainder
+from sensorloom.session import work_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -94,6 +95,14 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, folder, "documents"))
 
 
+def op11_token_files(spark: SparkSession, folder: str, path: str | None = None) -> DataFrame:
+    out = work_dir(spark, "token-files")
+    docs = read(spark, folder, "documents", "doc_id", "text")
+    token_files.write(docs, out, path or tokenizer_path())
+    found = token_files.documents(spark, out)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 

@@ -56,15 +56,18 @@ class DirectCodes:
         return len(self.levels[0][0])
 
     @classmethod
-    def of(cls, numbers: np.ndarray) -> DirectCodes:
-        levels, rest = [], numbers
+    def of(cls, parts: list[np.ndarray]) -> DirectCodes:
+        """The codes of the numbers of all parts, one after the other. The list is used up."""
+        levels = []
         while True:
-            more = rest > 255
+            chunks = [part.astype(np.uint8) for part in parts]
+            more = np.concatenate([part > 255 for part in parts])
             going_on = bool(more.any())
-            levels.append(((rest & 255).astype(np.uint8), Bitmap.of(more) if going_on else None))
+            levels.append((np.concatenate(chunks), Bitmap.of(more) if going_on else None))
             if not going_on:
                 return cls(levels)
-            rest = rest[more] >> 8
+            for i, part in enumerate(parts):
+                parts[i] = part[part > 255] >> 8
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """The numbers at any places."""

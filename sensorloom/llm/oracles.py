@@ -53,6 +53,60 @@ FROM judged
 """
 
 
+# The checksum of a conversation's number is taken bit by bit, as there is no function for it.
+# Turns are told apart by role and text themselves, prefixes by their lists of turns.
+TRIE = """
+WITH turns AS (
+    SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce("text", '') AS x
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+seqs AS (
+    SELECT c, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || x)) AS s
+    FROM turns GROUP BY c
+),
+sums AS (
+    SELECT c, s, xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+        range(1, length(c::VARCHAR) + 1), lambda i: [ascii((c::VARCHAR)[i])::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]
+    ))), lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h
+    FROM seqs
+),
+rebuilt AS (
+    SELECT a.c, list_concat(coalesce(list_slice(b.s, 1, h), []), list_slice(a.s, h + 1, len(a.s))) AS s
+    FROM sums a LEFT JOIN seqs b ON b.c = a.c - a.c % 20
+),
+prefixes AS (
+    SELECT c, d, list_slice(s, 1, d) AS p, len(s) = d AS ended
+    FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)
+),
+nodes AS (
+    SELECT d, p, min(c) AS conv_id, count(*) AS n_convs, string_agg(c, ',' ORDER BY c) FILTER (ended) AS ends,
+        CASE WHEN d = 0 THEN 0 ELSE len(list_filter(
+            string_split_regex(p[d].x, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')) END AS words
+    FROM prefixes GROUP BY d, p
+),
+numbered AS (SELECT *, row_number() OVER () AS k FROM nodes),
+kids AS (
+    SELECT a.k, count(b.k) AS n_children, any_value(up.conv_id) AS parent_conv_id
+    FROM numbered a LEFT JOIN numbered b ON b.d = a.d + 1 AND list_slice(b.p, 1, b.d - 1) = a.p
+    LEFT JOIN numbered up ON up.d = a.d - 1 AND up.p = list_slice(a.p, 1, a.d - 1)
+    GROUP BY a.k
+),
+below AS (
+    SELECT d, p, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens FROM (
+        SELECT unnest(range(0, d + 1)) AS d, list_slice(p, 1, unnest(range(0, d + 1))) AS p,
+            CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, (n_convs - 1) * words AS saved
+        FROM numbered JOIN kids USING (k)
+    ) GROUP BY d, p
+)
+SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+    CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+FROM numbered JOIN kids USING (k) JOIN below USING (d, p)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     forms = dict.fromkeys(form for w in STOP_WORDS for form in (w, w.capitalize()))
-    return {"op10_quality_rules": QUALITY.replace("STOP_LIST", ", ".join(f"'{w}'" for w in forms))}
+    return {
+        "op10_quality_rules": QUALITY.replace("STOP_LIST", ", ".join(f"'{w}'" for w in forms)),
+        "op13_prefix_trie": TRIE,
+    }

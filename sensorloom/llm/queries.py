@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, decontamination, language_id, language_model, line_dedup, oracles
+from sensorloom.llm import bpe, conversation_trie, decontamination, language_id, language_model, line_dedup, oracles
 from sensorloom.llm import quality_classifier, quality_rules, simhash, token_files, toxicity, url_filter
 from sensorloom.llm.common import read, remainder
 from sensorloom.session import work_dir
@@ -103,6 +103,12 @@ def op11_token_files(spark: SparkSession, folder: str, path: str | None = None)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = read(spark, folder, "conversations", "conv_id", "turn", "role", "text")
+    sequences = conversation_trie.sequences(turns)
+    return conversation_trie.nodes(conversation_trie.with_common_start(sequences))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if re.match(r"op\d+_", name)}
 

@@ -40,8 +40,11 @@ PART_BYTES = 128 * 1024 * 1024
 #: Distinct segments that a task keeps the ids of, and their letters; beyond either it starts anew.
 SEGMENTS, SEGMENT_CHARS = 500_000, 16_000_000
 
-#: Segments that are handed to the library at once.
-AT_ONCE = 20_000
+#: Segments that the library gets as one text.
+AT_ONCE = 1_000
+
+# Fixed value: the letter that stands for a space in a byte-level vocabulary.
+SPACE_LETTER = "\u0120"
 
 # The header, in this order: mark, part, piece, ids, documents, levels, checksum of what follows.
 HEADER = ">8s6Q"
@@ -49,13 +52,43 @@ HEADER_SIZE = struct.calcsize(HEADER)
 MARK = b"TOKFILE1"
 
 
+class _Numbers(dict):
+    """Numbers of segments in order of their first use; ``new`` lists those met lately."""
+
+    new: list[str | tuple[str]]
+
+    def __missing__(self, segment):
+        self[segment] = n = len(self)
+        self.new.append(segment)
+        return n
+
+
+class _Growing:
+    """An array that grows by doubling."""
+
+    def __init__(self, kind):
+        self.array, self.n = np.zeros(1 << 16, kind), 0
+
+    def extend(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.array):
+            more = max(len(self.array), len(values))
+            self.array = np.concatenate([self.array, np.zeros(more, self.array.dtype)])
+        self.array[self.n : self.n + len(values)] = values
+        self.n += len(values)
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.array[: self.n]
+
+
 class Encoder:
     """Ids of texts by the tokenizers library.
 
     A byte-level vocabulary cuts texts into pieces and never merges across them, and a space
     in front of anything but white space always begins a piece. So texts are cut there, and
-    each distinct segment goes through the library once. Whole texts go through it where a
-    file's settings don't allow that.
+    each distinct segment goes through the library once, many of them as one text: a segment
+    holds one space, in front, so that its ids begin at one that begins with a space. Whole
+    texts go through the library where a file's settings don't allow that.
     """
 
     def __init__(self, content: bytes):
@@ -66,11 +99,17 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.cuts = cuts_at_spaces(json.loads(content))
+        self.opens = np.zeros(self.library.get_vocab_size(with_added_tokens=True) + 1, bool)
+        for token, number in self.library.get_vocab(with_added_tokens=False).items():
+            if number < len(self.opens):
+                self.opens[number] = token[0] == SPACE_LETTER
+            else:
+                self.cuts = False
         self._clear()
 
     def _clear(self) -> None:
-        self.numbers: dict[str | tuple[str], int] = {}
-        self.ids, self.starts, self.used, self.chars = np.zeros(1 << 16, np.uint32), [0], 0, 0
+        self.numbers, self.chars = _Numbers(), 0
+        self.ids, self.sizes, self.places = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
 
     def segments(self, text: str) -> list[str | tuple[str]]:
         """Segments in order: a word stands for itself behind a space, a tuple for its text."""
@@ -82,39 +121,53 @@ class Encoder:
         words[0] = (words[0],)
         return words
 
+    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
+
     def _learn(self, new: list[str | tuple[str]]) -> None:
-        for i in range(0, len(new), AT_ONCE):
-            texts = [s[0] if isinstance(s, tuple) else " " + s for s in new[i : i + AT_ONCE]]
-            found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-            ids = [e.ids for e in found]
-            ends = self.used + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
-            flat = np.fromiter((x for some in ids for x in some), np.uint32, int(ends[-1]) - self.used)
-            if ends[-1] > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), np.uint32)])
-            self.ids[self.used : ends[-1]] = flat
-            self.starts += ends.tolist()
-            self.used = int(ends[-1])
+        """Ids of new segments, which have the next numbers in their order."""
+        words = [s for s in new if isinstance(s, str)]
+        whole = [s[0] for s in new if not isinstance(s, str)]
+        is_word = np.fromiter((isinstance(s, str) for s in new), bool, len(new))
+        sizes, places = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
+        for texts, chosen in ((words, is_word), (whole, ~is_word)):
+            if not texts:
+                continue
+            if chosen is is_word:
+                joined = ["".join(f" {w}" for w in texts[i : i + AT_ONCE]) for i in range(0, len(texts), AT_ONCE)]
+                flat, _ = self._ids(joined)
+                begins = np.flatnonzero(self.opens[flat])
+                if len(begins) != len(texts):
+                    raise ValueError("the tokenizer file joins words across spaces")
+                counts = np.diff(np.r_[begins, len(flat)])
+            else:
+                flat, counts = self._ids(texts)
+            sizes[chosen] = counts
+            places[chosen] = self.ids.n + np.cumsum(counts) - counts
+            self.ids.extend(flat)
+        self.sizes.extend(sizes)
+        self.places.extend(places)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each."""
         if len(self.numbers) > SEGMENTS or self.chars > SEGMENT_CHARS:
             self._clear()
-        numbers, places, new = self.numbers, [], []
+        numbers, used = self.numbers, []
+        numbers.new = []
         for text in texts:
             row = self.segments(text)
-            for segment in row:
-                if segment not in numbers:
-                    numbers[segment] = len(numbers)
-                    new.append(segment)
-            places.append(np.fromiter(map(numbers.__getitem__, row), np.int64, len(row)))
-        self.chars += sum(len(s[0]) if isinstance(s, tuple) else len(s) for s in new)
-        self._learn(new)
-        starts, at = np.array(self.starts), np.concatenate(places)
-        sizes = np.diff(starts)[at]
+            used.append(np.fromiter(map(numbers.__getitem__, row), np.int32, len(row)))
+        new, numbers.new = numbers.new, []
+        if new:
+            self.chars += sum(len(s[0]) if isinstance(s, tuple) else len(s) for s in new)
+            self._learn(new)
+        at = np.concatenate(used)
+        sizes = self.sizes.values[at]
         ends = np.cumsum(sizes)
-        flat = self.ids[np.repeat(starts[at] - (ends - sizes), sizes) + np.arange(ends[-1])]
+        flat = self.ids.values[np.repeat(self.places.values[at] - (ends - sizes), sizes) + np.arange(ends[-1])]
         before = np.r_[0, ends]
-        return flat, np.diff(before[np.r_[0, np.cumsum([len(p) for p in places])]])
+        return flat, np.diff(before[np.r_[0, np.cumsum([len(u) for u in used])]])
 
 
 _ODD_SPACE = re.compile(r" (?:\s|\Z)")
@@ -177,8 +230,8 @@ class TokenFile:
         return self.codes.run(int(self.ends[k - 1]) if k else 0, int(self.ends[k]))
 
 
-def file_bytes(part: int, piece: int, keys: list[int | None], ends: np.ndarray, ids: np.ndarray) -> bytes:
-    codes = DirectCodes.of(ids)
+def file_bytes(part: int, piece: int, keys: list[int | None], ends: np.ndarray, codes: DirectCodes) -> bytearray:
+    """The whole content of a file."""
     sections = [
         np.array([k or 0 for k in keys], "<i8"),
         np.array([k is None for k in keys], np.uint8),
@@ -187,11 +240,16 @@ def file_bytes(part: int, piece: int, keys: list[int | None], ends: np.ndarray,
     for chunks, bitmap in codes.levels:
         sections.append(chunks)
         sections += [bitmap.words, bitmap.supers, bitmap.inner] if bitmap else [np.zeros(0, "<u8")]
-    parts = []
-    for section in sections:
-        parts += [section.nbytes.to_bytes(8, "big"), section.tobytes(), bytes(-section.nbytes % 8)]
-    body = b"".join(parts)
-    return struct.pack(HEADER, MARK, part, piece, len(ids), len(keys), len(codes.levels), zlib.crc32(body)) + body
+    sizes = [8 + -(-section.nbytes // 8) * 8 for section in sections]
+    content = bytearray(HEADER_SIZE + sum(sizes))
+    at = HEADER_SIZE
+    for section, size in zip(sections, sizes):
+        content[at : at + 8] = section.nbytes.to_bytes(8, "big")
+        content[at + 8 : at + 8 + section.nbytes] = section.data.cast("B") if section.nbytes else b""
+        at += size
+    checksum = zlib.crc32(memoryview(content)[HEADER_SIZE:])
+    struct.pack_into(HEADER, content, 0, MARK, part, piece, len(codes), len(keys), len(codes.levels), checksum)
+    return content
 
 
 def write(
@@ -236,8 +294,10 @@ def write(
         held = 0
 
         def made() -> pa.RecordBatch:
-            content = file_bytes(part, piece, keys, np.cumsum(np.concatenate(sizes)), np.concatenate(ids))
-            return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
+            content = file_bytes(part, piece, keys, np.cumsum(np.concatenate(sizes)), DirectCodes.of(ids))
+            offsets = pa.py_buffer(np.array([0, len(content)], "<i4"))
+            column = pa.Array.from_buffers(pa.binary(), 1, [None, offsets, pa.py_buffer(content)])
+            return pa.RecordBatch.from_arrays([column], ["content"])
 
         for some, texts in text_groups(batches):
             encoder = encoder or Encoder(shared.value)
@@ -252,7 +312,8 @@ def write(
                 upto = min(full, len(some))
                 first = int(ends[begin - 1]) if begin else 0
                 keys += some[begin:upto]
-                ids.append(flat[first : int(ends[upto - 1])])
+                taken = flat[first : int(ends[upto - 1])]
+                ids.append(taken.astype(np.uint16 if not len(taken) or taken.max() < 1 << 16 else np.uint32))
                 sizes.append(counts[begin:upto])
                 held += int(ends[upto - 1]) - first
                 begin = upto

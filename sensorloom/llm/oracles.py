@@ -53,6 +53,31 @@ FROM judged
 """
 
 
+NEGATIVES = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pairs AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        coalesce(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+    FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM pairs WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT anchor_id, positive_id,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+    other_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 # The checksum of a conversation's number is taken bit by bit, as there is no function for it.
 # Turns are told apart by role and text themselves, prefixes by their lists of turns.
 TRIE = """
@@ -108,5 +133,6 @@ def oracle_sql() -> dict[str, str]:
     forms = dict.fromkeys(form for w in STOP_WORDS for form in (w, w.capitalize()))
     return {
         "op10_quality_rules": QUALITY.replace("STOP_LIST", ", ".join(f"'{w}'" for w in forms)),
+        "op12_hard_negatives": NEGATIVES,
         "op13_prefix_trie": TRIE,
     }

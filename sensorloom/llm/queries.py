@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import bpe, conversation_trie, decontamination, language_id, language_model, line_dedup, oracles
+from sensorloom.llm import bpe, conversation_trie, decontamination, hard_negatives, language_id, language_model
+from sensorloom.llm import line_dedup, oracles
 from sensorloom.llm import quality_classifier, quality_rules, simhash, token_files, toxicity, url_filter
 from sensorloom.llm.common import read, remainder
 from sensorloom.session import work_dir
@@ -103,6 +104,15 @@ def op11_token_files(spark: SparkSession, folder: str, path: str | None = None)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels of every seventh row are shifted first, so that there are hard ones."""
+    rows = read(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    label = F.col("label").cast("bigint")
+    shifted = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = rows.select("vec_id", shifted.alias("label"), hard_negatives.quantised(F.col("embedding")).alias("vector"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
 def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = read(spark, folder, "conversations", "conv_id", "turn", "role", "text")
     sequences = conversation_trie.sequences(turns)

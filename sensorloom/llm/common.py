@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+import sys
+import types
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +38,10 @@ def drawn(df: DataFrame, key: str, wanted: int, total: int) -> DataFrame:
 def shards(total_bytes: int, per_shard: int, least: int) -> int:
     """Number of shards so that one holds about ``per_shard`` bytes."""
     return max(least, math.ceil(total_bytes / per_shard))
+
+
+def worker_cache() -> dict:
+    """What this Python worker keeps from one task to the next. Code that comes by value has new
+    globals in every task, so it is kept beside the loaded modules."""
+    name = "sensorloom_worker"
+    return vars(sys.modules.setdefault(name, types.ModuleType(name)))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.llm.arrow import text_groups
-from sensorloom.llm.common import shards
+from sensorloom.llm.common import shards, worker_cache
 from sensorloom.llm.direct_codes import Bitmap, DirectCodes
 from sensorloom.operators.running import running_totals
 
@@ -32,19 +32,20 @@ from sensorloom.operators.running import running_totals
 TOKENIZER_BYTES = 64 * 1024 * 1024
 
 #: A file is closed behind the document that fills it.
-TOKENS_PER_FILE = 16_000_000
+TOKENS_PER_FILE = 8_000_000
 
 #: Text that one task encodes, about.
 PART_BYTES = 128 * 1024 * 1024
 
-#: Distinct segments that a task keeps the ids of, and their letters; beyond either it starts anew.
-SEGMENTS, SEGMENT_CHARS = 500_000, 16_000_000
+#: Distinct segments that a Python worker keeps the ids of, and their letters. Beyond either it
+#: keeps the half that was used most, without those used once.
+SEGMENTS, SEGMENT_CHARS = 500_000, 8_000_000
 
 #: Segments that the library gets as one text.
 AT_ONCE = 1_000
 
-# Fixed value: the letter that stands for a space in a byte-level vocabulary.
-SPACE_LETTER = "\u0120"
+# The letters that stand for a space and a line end in a byte-level vocabulary.
+OPENING_LETTERS = "\u0120\u010A"
 
 # The header, in this order: mark, part, piece, ids, documents, levels, checksum of what follows.
 HEADER = ">8s6Q"
@@ -76,6 +77,10 @@ class _Growing:
         self.array[self.n : self.n + len(values)] = values
         self.n += len(values)
 
+    def replace(self, values: np.ndarray) -> None:
+        self.n = 0
+        self.extend(values)
+
     @property
     def values(self) -> np.ndarray:
         return self.array[: self.n]
@@ -84,11 +89,11 @@ class _Growing:
 class Encoder:
     """Ids of texts by the tokenizers library.
 
-    A byte-level vocabulary cuts texts into pieces and never merges across them, and a space
-    in front of anything but white space always begins a piece. So texts are cut there, and
-    each distinct segment goes through the library once, many of them as one text: a segment
-    holds one space, in front, so that its ids begin at one that begins with a space. Whole
-    texts go through the library where a file's settings don't allow that.
+    A byte-level vocabulary cuts texts into pieces and never merges across them. A space or a
+    line end, where neither has white space beside it, always begins a piece. So texts are cut
+    there, and each distinct segment goes through the library once, many of them as one text:
+    a segment holds one space or line end, in front, so that its ids begin at one that begins
+    so. Whole texts go through the library where a file's settings don't allow that.
     """
 
     def __init__(self, content: bytes):
@@ -102,22 +107,44 @@ class Encoder:
         self.opens = np.zeros(self.library.get_vocab_size(with_added_tokens=True) + 1, bool)
         for token, number in self.library.get_vocab(with_added_tokens=False).items():
             if number < len(self.opens):
-                self.opens[number] = token[0] == SPACE_LETTER
+                self.opens[number] = token[0] in OPENING_LETTERS
             else:
                 self.cuts = False
-        self._clear()
-
-    def _clear(self) -> None:
         self.numbers, self.chars = _Numbers(), 0
-        self.ids, self.sizes, self.places = _Growing(np.uint32), _Growing(np.int64), _Growing(np.int64)
+        self.ids, self.sizes, self.places, self.uses = _Growing(np.uint32), *(_Growing(np.int64) for _ in range(3))
+
+    def _forget(self) -> None:
+        """Keep the segments that were used most."""
+        uses = self.uses.values
+        kept = np.flatnonzero(uses > 1)
+        if len(kept) > SEGMENTS // 2:
+            kept = np.sort(kept[np.argpartition(uses[kept], -(SEGMENTS // 2))[-(SEGMENTS // 2) :]])
+        known, numbers = list(self.numbers), _Numbers()
+        self.chars = 0
+        for i in kept.tolist():
+            segment = known[i]
+            if self.chars < SEGMENT_CHARS // 2:
+                numbers[segment] = len(numbers)
+                self.chars += _letters(segment)
+        kept = kept[: len(numbers)]
+        sizes = self.sizes.values[kept]
+        ends = np.cumsum(sizes)
+        n = int(ends[-1]) if len(ends) else 0
+        flat = self.ids.values[np.repeat(self.places.values[kept] - (ends - sizes), sizes) + np.arange(n)]
+        self.numbers = numbers
+        self.ids.replace(flat)
+        self.places.replace(ends - sizes)
+        self.uses.replace(uses[kept] >> 1)
+        self.sizes.replace(sizes)
 
     def segments(self, text: str) -> list[str | tuple[str]]:
-        """Segments in order: a word stands for itself behind a space, a tuple for its text."""
+        """Segments in order: a word stands for itself behind a space, or if it begins with a
+        line end for itself alone, a tuple for its text."""
         if not self.cuts:
             return [(text,)]
-        if _ODD_SPACE.search(text):
+        if any(pair in text for pair in _ODD_PAIRS) or text.endswith(" ") or _OTHER_SPACE.search(text):
             return [(part,) for part in _BEFORE_WORD.split(text)]
-        words: list[str | tuple[str]] = text.split(" ")
+        words: list[str | tuple[str]] = text.replace("\n", " \n").split(" ")
         words[0] = (words[0],)
         return words
 
@@ -127,15 +154,17 @@ class Encoder:
 
     def _learn(self, new: list[str | tuple[str]]) -> None:
         """Ids of new segments, which have the next numbers in their order."""
-        words = [s for s in new if isinstance(s, str)]
-        whole = [s[0] for s in new if not isinstance(s, str)]
-        is_word = np.fromiter((isinstance(s, str) for s in new), bool, len(new))
+        # White space at the end of a segment could run on into the next one.
+        is_word = np.fromiter((isinstance(s, str) and not s[-1].isspace() for s in new), bool, len(new))
+        texts_of = [s[0] if isinstance(s, tuple) else s if s[0] == "\n" else " " + s for s in new]
+        words = [s for s, joins in zip(texts_of, is_word) if joins]
+        whole = [s for s, joins in zip(texts_of, is_word) if not joins]
         sizes, places = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
         for texts, chosen in ((words, is_word), (whole, ~is_word)):
             if not texts:
                 continue
             if chosen is is_word:
-                joined = ["".join(f" {w}" for w in texts[i : i + AT_ONCE]) for i in range(0, len(texts), AT_ONCE)]
+                joined = ["".join(texts[i : i + AT_ONCE]) for i in range(0, len(texts), AT_ONCE)]
                 flat, _ = self._ids(joined)
                 begins = np.flatnonzero(self.opens[flat])
                 if len(begins) != len(texts):
@@ -152,7 +181,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each."""
         if len(self.numbers) > SEGMENTS or self.chars > SEGMENT_CHARS:
-            self._clear()
+            self._forget()
         numbers, used = self.numbers, []
         numbers.new = []
         for text in texts:
@@ -160,9 +189,11 @@ class Encoder:
             used.append(np.fromiter(map(numbers.__getitem__, row), np.int32, len(row)))
         new, numbers.new = numbers.new, []
         if new:
-            self.chars += sum(len(s[0]) if isinstance(s, tuple) else len(s) for s in new)
+            self.chars += sum(map(_letters, new))
             self._learn(new)
+            self.uses.extend(np.zeros(len(new), np.int64))
         at = np.concatenate(used)
+        self.uses.values[:] += np.bincount(at, minlength=len(numbers))
         sizes = self.sizes.values[at]
         ends = np.cumsum(sizes)
         flat = self.ids.values[np.repeat(self.places.values[at] - (ends - sizes), sizes) + np.arange(ends[-1])]
@@ -170,7 +201,20 @@ class Encoder:
         return flat, np.diff(before[np.r_[0, np.cumsum([len(u) for u in used])]])
 
 
-_ODD_SPACE = re.compile(r" (?:\s|\Z)")
+def _letters(segment: str | tuple[str]) -> int:
+    return len(segment[0]) if isinstance(segment, tuple) else len(segment)
+
+
+def kept_encoder(content: bytes) -> Encoder:
+    """The encoder of a tokenizer file's content, kept in this worker."""
+    key, cache = zlib.crc32(content), worker_cache()
+    if key not in cache.get("encoder", {}):
+        cache["encoder"] = {key: Encoder(content)}
+    return cache["encoder"][key]
+
+
+_ODD_PAIRS = ("  ", " \n", "\n ", "\n\n")
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 _BEFORE_WORD = re.compile(r"(?= \S)")
 
 
@@ -300,7 +344,7 @@ def write(
             return pa.RecordBatch.from_arrays([column], ["content"])
 
         for some, texts in text_groups(batches):
-            encoder = encoder or Encoder(shared.value)
+            encoder = encoder or kept_encoder(shared.value)
             flat, counts = encoder.encode(texts)
             if end is not None:
                 flat = np.insert(flat, np.cumsum(counts), end)

@@ -39,7 +39,7 @@ PART_BYTES = 128 * 1024 * 1024
 
 #: Distinct segments that a Python worker keeps the ids of, and their letters. Beyond either it
 #: keeps the half that was used most, without those used once.
-SEGMENTS, SEGMENT_CHARS = 500_000, 8_000_000
+SEGMENTS, SEGMENT_CHARS = 300_000, 5_000_000
 
 #: Segments that the library gets as one text.
 AT_ONCE = 1_000

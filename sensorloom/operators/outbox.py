@@ -13,6 +13,13 @@ def to_lines(anomalies: DataFrame) -> DataFrame:
     return anomalies.select(E.outbox_line().alias("value"))
 
 
+def records(lines: DataFrame) -> DataFrame:
+    """The records of outbox lines, one for each line; blank lines give none."""
+    text = lines.select(F.trim("value").alias("text")).filter("text != ''")
+    parsed = text.select(F.from_json("text", C.OUTBOX_RECORD).alias("r")).select("r.*")
+    return parsed.withColumn("timestamp", E.iso_timestamp("timestamp"))
+
+
 def _digest() -> Column:
     """What stands for a line's text in a join: 32 bytes in place of the whole text."""
     return F.sha2(F.trim("value"), 256)

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
@@ -10,6 +11,17 @@ from sensorloom.operators.running import running_totals
 from sensorloom.operators.validation import complete_records
 
 
+#: The counters after one reading.
+RUNNING = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("gateway_id", T.StringType()),
+        T.StructField("timestamp", T.TimestampNTZType()),
+        *(T.StructField(n, T.LongType()) for n in ("version", "total_processed", "total_anomalies")),
+    ]
+)
+
+
 def newest_state() -> Column:
     """Aggregate that keeps the update with the highest version of a key and, among equal
     versions, the one that arrived first. It is combined in each task before the shuffle
@@ -77,6 +89,23 @@ def running_counters(readings: DataFrame, slices: int | None = None) -> DataFram
     )
 
 
+def continued(counted: DataFrame, before: DataFrame) -> DataFrame:
+    """Running counters that go on from earlier counters of their gateway."""
+    counters = ("version", "total_processed", "total_anomalies")
+    earlier = before.select("gateway_id", *[F.col(n).alias(f"_{n}") for n in counters])
+    both = join_sized(counted, earlier, "gateway_id", "left")
+    sums = {n: F.col(n) + F.coalesce(f"_{n}", F.lit(0)) for n in counters}
+    return both.withColumns(sums).select(*RUNNING.fieldNames())
+
+
+def sum_counters(added: DataFrame) -> DataFrame:
+    """Counters per gateway, out of what parts of the readings add to them."""
+    return added.groupBy("gateway_id").agg(
+        *[F.sum(n).alias(n) for n in ("version", "total_processed", "total_anomalies")],
+        F.max("last_updated").alias("last_updated"),
+    )
+
+
 def published_counters(readings: DataFrame, interval: str = C.STATE_INTERVAL) -> DataFrame:
     """The counters as each gateway publishes them: once per interval with readings.
 

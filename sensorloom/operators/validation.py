@@ -95,6 +95,13 @@ def rejected_messages(raw: DataFrame) -> DataFrame:
     return decode_messages(raw).filter(F.col("reason").isNotNull()).select(*raw.columns, "reason")
 
 
+def with_gateway(decoded: DataFrame) -> DataFrame:
+    """Decoded messages, with a reason also where no gateway is named: nothing could be stored
+    for them."""
+    nameless = F.when(F.col("gateway_id").isNull(), "missing_gateway_id")
+    return decoded.withColumn("reason", F.coalesce("reason", nameless))
+
+
 def reject_summary(raw: DataFrame) -> DataFrame:
     """Number of bad messages per reason."""
     return rejected_messages(raw).groupBy("reason").agg(F.count("*").alias("rejected"))

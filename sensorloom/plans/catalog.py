@@ -1,6 +1,7 @@
 """All queries by name: each takes a session and a data folder and gives a DataFrame."""
 
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from sensorloom.sources import sinks
 from sensorloom.sources.messages import bounded, landed_messages
 from sensorloom.sources.tables import scan_events, stream_events
 from sensorloom.streaming import aggregates as SA
+from sensorloom.streaming import devices as SD
 from sensorloom.streaming import model_switch, routing
 from sensorloom.streaming.runs import run
 
@@ -139,32 +141,55 @@ def _log_append(spark: SparkSession, folder: str) -> DataFrame:
 FILES = 5
 
 
+#: Readings of one landed file, about.
+LANDED_ROWS = 1_000_000
+
+
+class _Landing(NamedTuple):
+    """A landing folder, and the number of its files that arrived together."""
+
+    path: str
+    files: int
+
+
+def _place(low: int | None, high: int | None):
+    """Which of the landings a reading is in: by time, but every 500th id in the last one."""
+    micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    slot = F.floor((micros - F.lit(low or 0)) * FILES / F.lit((high or 0) - (low or 0) + 1))
+    return F.when(F.col("id") % 500 == 0, 0).otherwise(slot).cast("int")
+
+
 def _landed(
     spark: SparkSession, readings: DataFrame, path: str, view: Callable[[DataFrame], DataFrame] = lambda r: r
-) -> str:
-    """Land a view of the readings in five files, one after the other: the newest times first,
-    and every 500th reading only in the last file, so that it is late."""
+) -> _Landing:
+    """Land a view of the readings in five steps, one after the other: the newest times first,
+    and every 500th reading only in the last step, so that it is late. Each step lands the same
+    number of files. The readings are read twice in all, for their bounds and to be set apart."""
     micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    low, high = readings.agg(F.min(micros), F.max(micros)).first()
-    slot = F.floor((micros - F.lit(low or 0)) * FILES / F.lit((high or 0) - (low or 0) + 1))
-    place = F.when(F.col("id") % 500 == 0, 0).otherwise(slot)
-    for file in reversed(range(FILES)):
-        view(readings.filter(place == file)).coalesce(1).write.mode("append").parquet(path)
-    return path
+    low, high, n = readings.agg(F.min(micros), F.max(micros), F.count("*")).first()
+    files = max(1, -(-n // (FILES * LANDED_ROWS)))
+    apart = readings.withColumn("_place", _place(low, high))
+    apart.repartition(FILES * files, "_place", F.pmod("id", F.lit(files))).write.partitionBy("_place").parquet(f"{path}-apart")
+    for place in reversed(range(FILES)):
+        step = spark.read.schema(apart.schema).parquet(f"{path}-apart").filter(F.col("_place") == place)
+        view(step.drop("_place")).repartition(files).write.mode("append").parquet(path)
+    return _Landing(path, files)
 
 
-def _arriving(spark: SparkSession, path: str, schema: T.StructType = C.READING) -> DataFrame:
-    """A landing folder as a stream of one file per micro-batch."""
-    return bounded(spark.readStream.schema(schema), 1).parquet(path)
+def _arriving(spark: SparkSession, landing: _Landing, schema: T.StructType = C.READING) -> DataFrame:
+    """A landing folder as a stream of one landing step per micro-batch."""
+    return bounded(spark.readStream.schema(schema), landing.files).parquet(landing.path)
 
 
 def _late_readings(spark: SparkSession, folder: str, base: str) -> DataFrame:
     return _arriving(spark, _landed(spark, views.load(spark, folder), f"{base}/landing"))
 
 
-def _late_messages(spark: SparkSession, folder: str, base: str) -> DataFrame:
-    landed = _landed(spark, views.load(spark, folder), f"{base}/landing", views.raw_messages)
-    return landed_messages(spark, landed, 1)
+def _late_messages(
+    spark: SparkSession, folder: str, base: str, view: Callable[[DataFrame], DataFrame] = views.raw_messages
+) -> DataFrame:
+    landing = _landed(spark, views.load(spark, folder), f"{base}/landing", view)
+    return landed_messages(spark, landing.path, landing.files)
 
 
 def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
@@ -173,9 +198,14 @@ def _stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
-def _routed(spark: SparkSession, folder: str, after: Callable | None = None) -> str:
+def _routed(
+    spark: SparkSession,
+    folder: str,
+    after: Callable | None = None,
+    view: Callable[[DataFrame], DataFrame] = views.raw_messages,
+) -> str:
     base = work_dir(spark, "routed")
-    messages = _late_messages(spark, folder, base)
+    messages = _late_messages(spark, folder, base, view)
     run(routing.route(messages, base, _by_rule, after=after and after(base)), f"{base}/checkpoint")
     return base
 
@@ -193,7 +223,43 @@ def _stream_outbox(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
-    return routing.stored_rejects(spark, _routed(spark, folder))
+    """Rejects of messages some of which name no gateway."""
+    return routing.stored_rejects(spark, _routed(spark, folder, view=views.nameless_messages))
+
+
+def _stream_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored readings, compacted beside the stream after every second micro-batch."""
+
+    def compacting(base: str) -> Callable:
+        return lambda spark, batch_id: routing.compact_rows(spark, base) if batch_id % 2 else None
+
+    return routing.stored_readings(spark, _routed(spark, folder, compacting))
+
+
+def _stream_delivered(spark: SparkSession, folder: str) -> DataFrame:
+    """The outbox delivered into the store after each micro-batch, and once more at the end."""
+    base = _routed(spark, folder, lambda out: lambda spark, _: routing.deliver(spark, out))
+    routing.deliver(spark, base)
+    return routing.delivered(spark, base)
+
+
+def _stream_running_counters(spark: SparkSession, folder: str) -> DataFrame:
+    """Counters after every reading in order of arrival, read over a snapshot and a compaction."""
+    base = work_dir(spark, "running")
+    landing = _landed(spark, views.load(spark, folder), f"{base}/landing")
+    run(SA.running_counters(_arriving(spark, landing), f"{base}/out"), f"{base}/checkpoint")
+    SA.compact_running_counters(spark, f"{base}/out")
+    return SA.read_running_counters(spark, f"{base}/out")
+
+
+def _stream_register_devices(spark: SparkSession, folder: str) -> DataFrame:
+    """The device table after all requests, newest first, with a snapshot between two runs."""
+    base = work_dir(spark, "devices")
+    readings = views.load(spark, folder)
+    landing = _landed(spark, readings, f"{base}/landing", views.device_requests)
+    run(SD.apply_requests(_arriving(spark, landing, SD.REQUEST), f"{base}/out"), f"{base}/checkpoint")
+    SD.compact_devices(spark, f"{base}/out")
+    return SD.stored_devices(spark, f"{base}/out", SALT)
 
 
 def _stream_stored_counters(spark: SparkSession, folder: str) -> DataFrame:
@@ -227,10 +293,10 @@ def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Deliveries stored as they come; copies come with their first and again in a late file."""
     base = work_dir(spark, "dedup")
     readings = views.load(spark, folder)
-    _landed(spark, readings, f"{base}/landing", views.redelivered_anomalies)
+    landing = _landed(spark, readings, f"{base}/landing", views.redelivered_anomalies)
     again = R.anomalies(readings).filter(F.col("id") % 500 == 0)
-    again.coalesce(1).write.mode("append").parquet(f"{base}/landing")
-    run(routing.store_deliveries(_arriving(spark, f"{base}/landing"), f"{base}/out"), f"{base}/checkpoint")
+    again.repartition(landing.files).write.mode("append").parquet(landing.path)
+    run(routing.store_deliveries(_arriving(spark, landing), f"{base}/out"), f"{base}/checkpoint")
     return routing.delivered_once(spark, f"{base}/out")
 
 
@@ -266,7 +332,7 @@ def _stream_merge_state(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "merge")
     updates = views.state_updates(views.load(spark, folder))
     updates.repartitionByRange(5, "arrival_seq").write.parquet(f"{base}/landing")
-    arriving = _arriving(spark, f"{base}/landing", C.STATE_UPDATE)
+    arriving = _arriving(spark, _Landing(f"{base}/landing", 1), C.STATE_UPDATE)
     run(SA.merge_state(arriving, f"{base}/out"), f"{base}/checkpoint")
     return SA.read_state(spark, f"{base}/out")
 
@@ -451,8 +517,12 @@ RUN_ONCE = {
     "stream_ingest",
     "stream_store_readings",
     "stream_store_anomalies",
+    "stream_compacted_readings",
     "stream_outbox",
+    "stream_outbox_delivered",
     "stream_rejects",
+    "stream_running_counters",
+    "stream_register_devices",
     "stream_stored_counters",
     "stream_published_state",
     "stream_outbox_pending",
@@ -513,7 +583,7 @@ def queries() -> dict[str, Query]:
         "last_not_null": _on_readings(lambda r: A.last_not_null(A.anomaly_series(r), "anomalies")),
         "throughput": _on_readings(A.throughput),
         # Gateway state.
-        "merge_gateway_state": _on_state(lambda s: s),
+        "merge_gateway_state": _on_readings(views.merged_state),
         "running_counters": _on_readings(S.running_counters),
         "state_updates": _on_readings(views.state_updates),
         "gateway_states": _on_state(lambda s: s),
@@ -539,7 +609,9 @@ def queries() -> dict[str, Query]:
         "stream_ingest": _stream_ingest,
         "stream_store_readings": _stream_store_readings,
         "stream_store_anomalies": _stream_store_anomalies,
+        "stream_compacted_readings": _stream_compacted,
         "stream_outbox": _stream_outbox,
+        "stream_outbox_delivered": _stream_delivered,
         "stream_rejects": _stream_rejects,
         "stream_stored_counters": _stream_stored_counters,
         "stream_published_state": _stream_published_state,
@@ -547,6 +619,8 @@ def queries() -> dict[str, Query]:
         "stream_recent_readings": _stream_recent_readings,
         "stream_dedup_anomalies": _stream_dedup,
         "stream_counters": _stream_counters,
+        "stream_running_counters": _stream_running_counters,
+        "stream_register_devices": _stream_register_devices,
         "stream_restart": _stream_restart,
         "stream_merge_gateway_state": _stream_merge_state,
         "stream_records_per_minute": _stream_per_minute,

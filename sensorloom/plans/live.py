@@ -21,8 +21,8 @@ def run_live(
 ) -> StreamingQuery:
     """Start the stream. Started again with the same ``out`` it goes on where it was.
 
-    The gateways' state is published every few seconds. ``routing.compact`` and
-    ``routing.clear_outbox`` are jobs of their own, to be run beside it.
+    The gateways' state is published every few seconds. ``sensorloom.plans.upkeep`` is a job of
+    its own, to be run beside it: it delivers the outbox and compacts the stored tables.
     """
     writer = routing.route(messages, out, NewestModel(models, edge), devices, routing.StatePublisher(out))
     return start(writer, f"{out}/checkpoint", interval)

@@ -407,8 +407,37 @@ FROM model_registry""",
             "\nanomalies AS (SELECT * FROM stored WHERE classification = 'ANOMALY')",
             OUTBOX,
         ),
+        "stream_outbox_delivered": _sql(
+            """SELECT gateway_id, device_id, temperature, humidity, "timestamp", classification
+FROM stored WHERE classification = 'ANOMALY'""",
+            *RAW_VIEWS,
+        ),
+        "stream_running_counters": _sql(
+            """SELECT id, gateway_id, "timestamp", ROW_NUMBER() OVER w AS version, ROW_NUMBER() OVER w AS total_processed,
+       CAST(COUNT(*) FILTER (WHERE classification = 'ANOMALY') OVER w AS BIGINT) AS total_anomalies
+FROM (
+  SELECT *, CASE WHEN id % 500 = 0 THEN 0 ELSE
+    (epoch_us("timestamp") - MIN(epoch_us("timestamp")) OVER ()) * 5
+      // (MAX(epoch_us("timestamp")) OVER () - MIN(epoch_us("timestamp")) OVER () + 1) END AS place
+  FROM sensor_data
+)
+WINDOW w AS (PARTITION BY gateway_id ORDER BY place DESC, "timestamp", id ROWS UNBOUNDED PRECEDING)"""
+        ),
+        "stream_register_devices": _sql(
+            """SELECT id, device_id, substr(sha256(device_id || 'sensorloom'), 1, 32) AS api_key,
+       toggles % 2 = 0 AS active, registered_at
+FROM (
+  SELECT CAST(split_part(device_id, '_', 2) AS BIGINT) AS id, device_id,
+         arg_min("timestamp", id) FILTER (WHERE id % 7 = 0) AS registered_at,
+         COUNT(*) FILTER (WHERE id % 7 <> 0) AS toggles
+  FROM sensor_data WHERE (id % 7 = 0 OR id % 11 = 0) AND id % 91 <> 0 GROUP BY device_id
+) WHERE registered_at IS NOT NULL"""
+        ),
         "stream_rejects": _sql(
-            "SELECT id, gateway_id, value, reason FROM decoded WHERE reason IS NOT NULL", *RAW_VIEWS
+            """SELECT id, CASE WHEN id % 31 <> 0 THEN gateway_id END AS gateway_id, value,
+       coalesce(reason, 'missing_gateway_id') AS reason
+FROM decoded WHERE reason IS NOT NULL OR id % 31 = 0""",
+            *RAW_VIEWS,
         ),
         "stream_outbox_pending": _sql(
             "SELECT value FROM anomaly_lines WHERE value NOT IN (SELECT value FROM sent)",
@@ -439,6 +468,7 @@ FROM stored GROUP BY gateway_id""",
     }
     # A stream gives what its batch form gives.
     return found | {
+        "stream_compacted_readings": found["stream_store_readings"],
         "stream_counters": found["gateway_states"],
         "stream_stored_counters": found["stream_restart"],
         "stream_published_state": found["stream_restart"],

@@ -79,7 +79,14 @@ def state_updates(readings: DataFrame) -> DataFrame:
 
 
 def gateway_state(readings: DataFrame) -> DataFrame:
-    """The stored state table: what arrived first was merged into an empty table, all later
+    """The state table as the dashboards read it, in one pass. Versions only grow, so the merge
+    of all updates keeps each gateway's last publication: its counters over all readings, which
+    came before the tie."""
+    return state.current_counters(readings)
+
+
+def merged_state(readings: DataFrame) -> DataFrame:
+    """The same table by the merge itself: what arrived first was merged into an empty table, all later
     updates, late ones, ties and stale ones among them, into the stored rows."""
     updates = write_table(state_updates(readings), "state-updates")
     early = F.col("arrival_seq") < ARRIVALS // 2
@@ -114,6 +121,25 @@ def raw_messages(readings: DataFrame) -> DataFrame:
     return readings.select("id", "gateway_id", value.alias("value"))
 
 
+def nameless_messages(readings: DataFrame) -> DataFrame:
+    """The raw messages, some of them without the gateway they came through."""
+    lost = F.when(F.col("id") % 31 != 0, F.col("gateway_id"))
+    return raw_messages(readings).withColumn("gateway_id", lost)
+
+
+def device_requests(readings: DataFrame) -> DataFrame:
+    """A registration with every 7th reading and a toggle with every 11th, for its device; some
+    are below zero."""
+    number = F.substring_index("device_id", "_", -1).cast("bigint")
+    kind = F.when(F.col("id") % 7 == 0, "register").when(F.col("id") % 11 == 0, "toggle")
+    return readings.select(
+        F.col("id").alias("request_seq"),
+        kind.alias("kind"),
+        F.when(F.col("id") % 91 == 0, -1 - number).otherwise(number).alias("device_number"),
+        F.col("timestamp").alias("requested_at"),
+    ).filter("kind is not null")
+
+
 def validate_requests(readings: DataFrame) -> DataFrame:
     key = F.when(F.col("id") % 50 == 0, "unknown").otherwise(F.md5("device_id"))
     return readings.select("id", key.alias("api_key"))

@@ -1,5 +1,7 @@
 """Writers for readings, anomalies, logs and the outbox."""
 
+import uuid
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,9 @@ from pyspark.sql import types as T
 # Rows of one day are dealt over so many tasks when a table is laid out by day.
 DAY_PARTS = 16
 
+#: Rows of one file, about, where a table is written in files of bounded size.
+FILE_ROWS = 2_000_000
+
 
 def append_by_day(df: DataFrame, path: str, parts: int = DAY_PARTS) -> None:
     """Append rows to a table laid out by day, at most ``parts`` files for each day.
@@ -25,6 +30,21 @@ def _by_day(df: DataFrame, parts: int) -> DataFrame:
     return dated.repartition("day", salt)
 
 
+def write_sized(df: DataFrame, path: str, by_day: bool, file_rows: int = FILE_ROWS) -> None:
+    """Write a table in files of about ``file_rows`` rows, of one day each with ``by_day``. Rows
+    are counted first, so that a day that holds most of them is many tasks' work."""
+    if not by_day:
+        parts = max(1, -(-df.count() // file_rows))
+        df.repartition(parts).write.parquet(path)
+        return
+    dated = df.withColumn("day", F.to_date("timestamp"))
+    sizes = dated.groupBy("day").agg(F.ceil(F.count("*") / file_rows).alias("_parts"))
+    sizes = sizes.withColumnRenamed("day", "_day")
+    dealt = dated.join(sizes, F.col("day").eqNullSafe(F.col("_day")))
+    salt = F.pmod(F.xxhash64("id"), F.col("_parts"))
+    dealt.repartition("day", salt).drop("_day", "_parts").write.partitionBy("day").parquet(path)
+
+
 def since(table: DataFrame, bound: Column) -> DataFrame:
     """Rows of a table from ``bound`` on. Where it is laid out by day, whole days are skipped."""
     kept = table.filter(F.col("timestamp") >= bound)
@@ -98,6 +118,50 @@ def folders(spark: SparkSession, path: str, name: str) -> list[int]:
     return sorted(int(n.split("=")[1]) for n in found if n.startswith(f"{name}="))
 
 
+def finished(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the batch folders that were written to the end, ascending."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/batch_id=*/_SUCCESS")
+    system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.globStatus(pattern) or []
+    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place with its whole content, unless there is one of that name: then
+    nothing changes and the answer is no."""
+    fs, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    target = fs.Path(path)
+    system = target.getFileSystem(conf)
+    if system.exists(target):
+        return False
+    draft = fs.Path(f"{path.rpartition('/')[0]}/.draft-{uuid.uuid4().hex}")
+    stream = system.create(draft, False)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    kind = getattr(fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE
+    context = fs.FileContext.getFileContext(system.makeQualified(target).toUri(), conf)
+    try:
+        context.rename(system.makeQualified(draft), system.makeQualified(target), options)
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if system.exists(target):
+            return False
+        raise error
+    return True
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -64,7 +64,7 @@ def read_per_minute(spark: SparkSession, out: str, name: str = "processed_data")
     return counts.select("time", F.col("n").alias(name)).orderBy("time")
 
 
-def compact_minutes(spark: SparkSession, out: str, clear: bool = False) -> None:
+def compact_minutes(spark: SparkSession, out: str, clear: bool = True) -> None:
     """Snapshot of the minutes so far, one row each."""
     snapshots.take(spark, out, MINUTE_ROW, sum_minutes, clear=clear)
 
@@ -74,6 +74,49 @@ def anomaly_rate(readings: DataFrame, out: str) -> DataStreamWriter:
     return _add_counts(readings, state.current_counters, out)
 
 
+def compact_anomaly_rate(spark: SparkSession, out: str, clear: bool = True) -> None:
+    """Snapshot of the counters so far, one row for each gateway."""
+    snapshots.take(spark, out, C.GATEWAY_STATE, state.sum_counters, clear=clear)
+
+
+def running_counters(readings: DataFrame, out: str) -> DataStreamWriter:
+    """The gateway's counters after every single reading, in order of arrival: the readings of a
+    micro-batch by time and id, after all those of the batches before it.
+
+    A micro-batch starts from the gateways' counters at the end of the batch before, and adds
+    the running totals within itself; these don't put a gateway into one task. A batch that is
+    run again starts from the same counters, also if a snapshot was taken of it meanwhile.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            added = state.running_counters(batch)
+            before = counters_before(spark, out, batch_id)
+            sinks.overwrite_batch(state.continued(added, before), f"{out}/running", batch_id)
+            sinks.overwrite_batch(state.current_counters(batch), f"{out}/counters", batch_id)
+        finally:
+            batch.unpersist()
+
+    return readings.writeStream.foreachBatch(write)
+
+
+def counters_before(spark: SparkSession, out: str, batch_id: int) -> DataFrame:
+    """The gateways' counters at the end of the batch before."""
+    return state.sum_counters(snapshots.rows(spark, f"{out}/counters", C.GATEWAY_STATE, upto=batch_id - 1))
+
+
+def read_running_counters(spark: SparkSession, out: str) -> DataFrame:
+    return snapshots.rows(spark, f"{out}/running", state.RUNNING)
+
+
+def compact_running_counters(spark: SparkSession, out: str, clear: bool = True) -> None:
+    """Snapshot of the gateways' counters, and the readings' counters in few files by day."""
+    snapshots.take(spark, f"{out}/counters", C.GATEWAY_STATE, state.sum_counters, clear=clear)
+    snapshots.compact(spark, f"{out}/running", state.RUNNING, by_day=True, clear=clear)
+
+
 def read_anomaly_rate(spark: SparkSession, out: str) -> DataFrame:
     counts = snapshots.rows(spark, out, C.GATEWAY_STATE).groupBy("gateway_id").agg(
         F.sum("total_processed").alias("n"), F.sum("total_anomalies").alias("flagged")

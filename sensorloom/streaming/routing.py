@@ -17,7 +17,7 @@ from sensorloom import constants as C
 from sensorloom.operators import outbox, state
 from sensorloom.operators import readings as R
 from sensorloom.operators.joins import join_sized
-from sensorloom.operators.validation import complete_records, rejected_messages, valid_messages
+from sensorloom.operators.validation import decode_messages, valid_messages, with_gateway
 from sensorloom.sources import sinks
 from sensorloom.streaming import snapshots
 
@@ -25,8 +25,13 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 REJECT = T.StructType(C.RAW_MESSAGE.fields + [T.StructField("reason", T.StringType())])
 
-#: What a record must have when it arrives at the store.
-STORED = ["gateway_id", "device_id", "temperature", "humidity", "timestamp", "classification"]
+#: What reaches the store by delivery: the outbox's record, with its time.
+DELIVERED = T.StructType(
+    [T.StructField(f.name, T.TimestampNTZType()) if f.name == "timestamp" else f for f in C.OUTBOX_RECORD.fields]
+)
+
+#: Readings of one file, about, where a micro-batch holds very many of one day.
+FILE_ROWS = 1_000_000
 
 
 def ingest(messages: DataFrame, out: str) -> DataStreamWriter:
@@ -49,29 +54,44 @@ def route(
     devices: Devices | None = None,
     after: Callable[[SparkSession, int], None] | None = None,
 ) -> DataStreamWriter:
-    """Score the valid messages and route them to readings, outbox and anomalies; bad ones go
-    to the rejects with their reason. The gateways' counters are kept as what each
-    micro-batch adds to them.
-
-    A micro-batch is decoded and scored once, into its folder of readings, and the others
-    are made from that folder. ``devices``, if given, reads the device table anew for every
-    micro-batch, and readings of devices that are not active are left out. ``after`` is
-    called with the number of each finished micro-batch.
+    """Score the valid messages and route them to readings, outbox and anomalies; all others go
+    to the rejects with their reason. The gateways' counters are kept as what each micro-batch
+    adds to them.
+
+    Every message is stored or rejected: bad ones, those without a gateway, and those that the
+    model gives no class. A micro-batch is decoded and scored once. ``devices``, if given, reads
+    the device table anew for every micro-batch, and messages of devices that are not active
+    are rejected. ``after`` is called with the number of each finished micro-batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        readings = valid_messages(batch)
+        decoded = with_gateway(decode_messages(batch)).drop("timestamp_text")
         if devices is not None:
-            active = devices(spark).filter("active").select("device_id").distinct()
-            readings = join_sized(readings, active, "device_id", "left_semi")
-        scored = complete_records(score(readings), STORED).select(*C.READING.fieldNames())
-        sinks.overwrite_batch_by_day(scored, f"{out}/sensor_data", batch_id)
-        sinks.overwrite_batch(rejected_messages(batch).select(*REJECT.fieldNames()), f"{out}/rejects", batch_id)
+            active = devices(spark).filter("active").select("device_id", F.lit(True).alias("_active")).distinct()
+            decoded = join_sized(decoded, active, "device_id", "left")
+            unknown = F.when(F.col("_active").isNull(), "inactive_device")
+            decoded = decoded.withColumn("reason", F.coalesce("reason", unknown)).drop("_active")
+        decoded = decoded.persist()
+        try:
+            arrived = decoded.count()
+            scored = score(decoded.filter("reason is null").drop("reason")).persist()
+            try:
+                kept = scored.filter("classification is not null").select(*C.READING.fieldNames())
+                parts = -(-arrived // FILE_ROWS) or 1
+                sinks.overwrite_batch_by_day(kept, f"{out}/sensor_data", batch_id, parts)
+                unclassed = scored.filter("classification is null").withColumn("reason", F.lit("missing_classification"))
+                bad = decoded.filter("reason is not null")
+                rejects = bad.select(*REJECT.fieldNames()).unionByName(unclassed.select(*REJECT.fieldNames()))
+                sinks.overwrite_batch(rejects, f"{out}/rejects", batch_id)
+            finally:
+                scored.unpersist()
+        finally:
+            decoded.unpersist()
         stored = sinks.read_batch(spark, f"{out}/sensor_data", C.READING, batch_id)
         flagged = R.anomalies(stored)
         sinks.overwrite_batch_lines(outbox.to_lines(flagged), f"{out}/outbox", batch_id)
-        sinks.overwrite_batch_by_day(flagged, f"{out}/anomalies", batch_id)
+        sinks.overwrite_batch_by_day(flagged, f"{out}/anomalies", batch_id, parts)
         sinks.overwrite_batch(state.current_counters(stored), f"{out}/counters", batch_id)
         if after is not None:
             after(spark, batch_id)
@@ -80,45 +100,73 @@ def route(
 
 
 def stored_readings(spark: SparkSession, out: str, by_day: bool = False) -> DataFrame:
-    return sinks.read_batches(spark, f"{out}/sensor_data", C.READING, by_day=by_day)
+    return snapshots.rows(spark, f"{out}/sensor_data", C.READING, by_day=by_day)
 
 
 def stored_anomalies(spark: SparkSession, out: str, by_day: bool = False) -> DataFrame:
-    return sinks.read_batches(spark, f"{out}/anomalies", C.READING, by_day=by_day)
+    return snapshots.rows(spark, f"{out}/anomalies", C.READING, by_day=by_day)
 
 
 def stored_rejects(spark: SparkSession, out: str) -> DataFrame:
-    return sinks.read_batches(spark, f"{out}/rejects", REJECT)
+    return snapshots.rows(spark, f"{out}/rejects", REJECT)
+
+
+def compact_rows(spark: SparkSession, out: str, clear: bool = True) -> None:
+    """The job that rewrites the many small files of a live run's readings, anomalies and rejects
+    into few, by day. Readers see the same rows before, during and after."""
+    for name in ("sensor_data", "anomalies"):
+        snapshots.compact(spark, f"{out}/{name}", C.READING, by_day=True, clear=clear)
+    snapshots.compact(spark, f"{out}/rejects", REJECT, clear=clear)
 
 
 def stored_outbox(spark: SparkSession, out: str) -> DataFrame:
     return snapshots.rows(spark, f"{out}/outbox", sinks.LINES, lines=True)
 
 
-def clear_outbox(spark: SparkSession, out: str, delivered: DataFrame, clear: bool = False) -> None:
-    """Take the delivered lines out of the live outbox. Safe to run again: lines that are
-    gone stay gone, and a run that failed half-way has changed nothing."""
+def clear_outbox(spark: SparkSession, out: str, delivered: DataFrame, clear: bool = True) -> None:
+    """Take lines that were acknowledged from outside out of the live outbox. Safe to run again:
+    lines that are gone stay gone, and a run that failed half-way has changed nothing."""
     snapshots.take(
         spark, f"{out}/outbox", sinks.LINES, lambda lines: outbox.pending(lines, delivered), lines=True, clear=clear
     )
 
 
+def deliver(spark: SparkSession, out: str, clear: bool = True) -> int | None:
+    """Deliver the live outbox into the store: the lines of all finished batches that were not
+    delivered yet are written as records, then one commit records these batches as delivered,
+    then what nothing needs any more is removed from the outbox.
+
+    The commit names the records, so that both happen at once: a job that stops before it has
+    delivered nothing, however often it is run, and one that stops after it only has left to
+    clear. Every line is delivered once, copies of it as often as they were written.
+    """
+    made = f"{out}/delivered"
+    return snapshots.compact(
+        spark, f"{out}/outbox", DELIVERED, lines=True, made=made, change=outbox.records, clear=clear
+    )
+
+
+def delivered(spark: SparkSession, out: str) -> DataFrame:
+    """The records that reached the store."""
+    return snapshots.table_rows(spark, f"{out}/delivered", DELIVERED)
+
+
+def undelivered(spark: SparkSession, out: str) -> DataFrame:
+    """The lines of the outbox that ``deliver`` has not delivered yet."""
+    upto = snapshots.newest(spark, f"{out}/delivered").upto
+    numbers = [n for n in sinks.finished(spark, f"{out}/outbox") if n > upto]
+    return snapshots.batches(spark, f"{out}/outbox", sinks.LINES, numbers, lines=True)
+
+
 def resend(spark: SparkSession, out: str, delivered: DataFrame) -> DataFrame:
     """The records of the live outbox that have not been delivered, each with its copies."""
     return outbox.replay(stored_outbox(spark, out), delivered)
 
 
-def sum_counters(added: DataFrame) -> DataFrame:
-    return added.groupBy("gateway_id").agg(
-        *[F.sum(n).alias(n) for n in ("version", "total_processed", "total_anomalies")],
-        F.max("last_updated").alias("last_updated"),
-    )
-
-
 def stored_counters(spark: SparkSession, out: str) -> DataFrame:
     """The gateway state: one row per gateway of the newest snapshot and what the
     micro-batches after it added."""
-    return sum_counters(snapshots.rows(spark, f"{out}/counters", C.GATEWAY_STATE))
+    return state.sum_counters(snapshots.rows(spark, f"{out}/counters", C.GATEWAY_STATE))
 
 
 class StatePublisher:
@@ -135,7 +183,7 @@ class StatePublisher:
         if time.monotonic() < self.due:
             return
         self.due = time.monotonic() + self.seconds
-        snapshots.take(spark, f"{self.out}/counters", C.GATEWAY_STATE, sum_counters)
+        snapshots.take(spark, f"{self.out}/counters", C.GATEWAY_STATE, state.sum_counters)
         updates = stored_counters(spark, self.out).withColumn("arrival_seq", F.lit(batch_id).cast("bigint"))
         sinks.overwrite_batch(updates, f"{self.out}/published", batch_id)
 
@@ -145,11 +193,12 @@ def published_state(spark: SparkSession, out: str) -> DataFrame:
     return state.merge_updates(snapshots.rows(spark, f"{out}/published", C.STATE_UPDATE))
 
 
-def compact(spark: SparkSession, out: str, clear: bool = False) -> None:
+def compact(spark: SparkSession, out: str, clear: bool = True) -> None:
     """The job that keeps the small tables of a live run small: snapshots of the counters and
-    of the published state, then the batches before them may go."""
-    snapshots.take(spark, f"{out}/counters", C.GATEWAY_STATE, sum_counters, clear=clear)
-    snapshots.take(spark, f"{out}/published", C.STATE_UPDATE, state.newest_updates, clear=clear)
+    of the published state, then the batches before the last snapshot but one go."""
+    snapshots.take(spark, f"{out}/counters", C.GATEWAY_STATE, state.sum_counters, clear=clear)
+    published = f"{out}/published"  # not every batch publishes
+    snapshots.take(spark, published, C.STATE_UPDATE, state.newest_updates, clear=clear, contiguous=False)
 
 
 def store_deliveries(anomalies: DataFrame, out: str) -> DataStreamWriter:

@@ -9,6 +9,8 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorloom.session import write_table
+
 #: A word is a run of characters other than these six (space, tab to carriage return).
 SPACES = r"[\x20\x09-\x0D]"
 
@@ -35,6 +37,20 @@ def drawn(df: DataFrame, key: str, wanted: int, total: int) -> DataFrame:
     return df.filter(draw < share)
 
 
+def labelled_texts(docs: DataFrame, picked: DataFrame, most_bytes: int) -> DataFrame:
+    """The rows (_id, text, _label) of ``docs`` that a drawn table (_id, _label) covers, written
+    once; if they hold more than ``most_bytes`` of text, as many of them as hold about that,
+    drawn by a hash of id and text. The drawn table is bounded by its maker: it is broadcast,
+    and no text is shuffled."""
+    named = docs.select(F.col("doc_id").alias("_id"), "text")
+    rows = write_table(named.join(F.broadcast(picked), "_id").select("_id", "text", "_label"), "labelled")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size <= most_bytes:
+        return rows
+    draw = F.xxhash64(F.lit("bytes"), F.col("_id").cast("string"), "text").bitwiseAND(F.lit(2**32 - 1))
+    return rows.filter(draw < math.ceil(most_bytes / size * 2**32))
+
+
 def shards(total_bytes: int, per_shard: int, least: int) -> int:
     """Number of shards so that one holds about ``per_shard`` bytes."""
     return max(least, math.ceil(total_bytes / per_shard))

@@ -24,6 +24,12 @@ ORDER = 4
 #: Texts of each language that its model is fitted on, drawn by a hash of the key.
 MAX_TRAINING_TEXTS = 1_500
 
+#: Letters (bytes) of those texts; where texts are long, fewer of them are drawn.
+MAX_TRAINING_BYTES = 32 * 1024 * 1024
+
+#: Languages that are told apart. Each has a column of the table of 4-grams that tasks hold.
+MAX_LANGUAGES = 200
+
 #: Share of a language's own texts that calibration lets be rejected.
 REJECTED_SHARE = 0.001
 
@@ -41,7 +47,8 @@ def letters() -> np.ndarray:
         for code in range(0x110000):
             letter = chr(code)
             if letter.isalpha():
-                table[code] = ord(letter.lower()[0]) % 65521 or 1
+                symbol = ord(letter.lower()[0]) % 65521
+                table[code] = {0: 65521, 32: 65522}.get(symbol, symbol)  # 0 and 32 are no letters
         _letters.append(table)
     return _letters[0]
 
@@ -145,6 +152,8 @@ class Identifier:
 
     def __init__(self, languages: list[str], models: list[CharacterModel], limits: list[tuple[float, float, float]]):
         self.languages, self.models = languages, models
+        if not languages:
+            return
         self.limits = np.array(limits, np.float64)
         # Keys are recovered from hashes by the inverse of the odd multiplier.
         inverse = np.uint64(pow(int(_MIX), -1, 1 << 64))
@@ -153,6 +162,9 @@ class Identifier:
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Language, score, cross-entropy per character (bits) and rejection of each text."""
+        if not self.languages:
+            nothing = np.zeros(len(texts))
+            return ["und"] * len(texts), nothing, nothing, np.ones(len(texts), bool)
         found, owner = symbols(texts)
         n = len(texts)
         keys, at = np.unique(grams(found, owner), return_inverse=True)
@@ -197,14 +209,19 @@ def train(docs: DataFrame, max_texts: int = MAX_TRAINING_TEXTS) -> Identifier:
     """Fit one model per language of ``docs`` (columns doc_id, text, lang).
 
     Rows without a language or text teach nothing. At most about ``max_texts`` rows of each
-    language are used, drawn by a hash of doc_id, so that models stay a few MB each. The
-    smallest language is learned from all its rows.
+    language are used, and no more than about MAX_TRAINING_BYTES of text, drawn by a hash of
+    doc_id and text, so that models stay a few MB each. A language with fewer is learned from
+    all its rows. An empty table teaches no language; more than MAX_LANGUAGES are an error.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    sizes = known.groupBy("lang").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    counts = sizes.limit(MAX_LANGUAGES + 1).collect()
     if not counts:
-        raise ValueError("no rows with a language to learn from")
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, max_texts / n))))
+        return Identifier([], [], [])
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    shares = {r["lang"]: min(1.0, max_texts / r["n"], MAX_TRAINING_BYTES / max(r["bytes"], 1)) for r in counts}
+    share = F.create_map(*(F.lit(x) for pair in shares.items() for x in pair))
     draw = F.xxhash64(F.col("doc_id").cast("string"), F.col("text"))
     picked = known.withColumn("_draw", draw).filter(
         F.col("_draw").bitwiseAND(F.lit(2**32 - 1)) < share[F.col("lang")] * 2**32
@@ -224,7 +241,8 @@ def identify(docs: DataFrame, model: Identifier) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): lang_pred, score, entropy, rejected.
 
     A missing text, or one without a letter, is ``und`` with score 0 and counts as rejected.
-    Where languages are equally good the first by name is taken.
+    Where languages are equally good the first by name is taken. Equal rows give equal results,
+    an empty table none; a model without languages answers ``und`` with score 0.
     """
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     schema = schema_of(

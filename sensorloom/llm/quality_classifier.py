@@ -14,11 +14,14 @@ from pyspark.sql import types as T
 
 from sensorloom.llm import boosting
 from sensorloom.llm.arrow import batch_of, schema_of, text_groups
-from sensorloom.llm.common import drawn
+from sensorloom.llm.common import drawn, labelled_texts
 
 #: Labelled documents that the trees are fitted on, drawn by a hash of doc_id.
 MAX_TRAINING_ROWS = 20_000
 
+#: Text of those documents, in bytes; where they are long, fewer are drawn.
+MAX_TRAINING_BYTES = 1024**3
+
 FEATURES = (
     "log_words", "word_bytes", "distinct_words", "distinct_pairs", "top_word", "digits", "capitals", "symbols",
     "marks", "exclamations", "other_bytes", "log_lines", "line_bytes", "repeated_lines", "no_stop_line",
@@ -85,18 +88,19 @@ def features(docs: DataFrame, *more: str) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, label: str, max_rows: int = MAX_TRAINING_ROWS) -> boosting.Forest:
     """Fit trees on the documents (doc_id, text) that ``labels`` (doc_id, label) covers.
 
-    Rows without a label teach nothing. At most about ``max_rows`` of them are used.
+    Rows without a label teach nothing. At most about ``max_rows`` of them, and
+    MAX_TRAINING_BYTES of text, are used. Rows that are repeated teach as often.
     """
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("double").alias("_label"))
     known = known.filter("_label is not null")
     picked = drawn(known, "_id", max_rows, known.count())
-    rows = features(docs.join(picked, F.col("doc_id") == F.col("_id")).select("text", "_label"), "_label").collect()
+    rows = features(labelled_texts(docs, picked, MAX_TRAINING_BYTES).select("text", "_label"), "_label").collect()
     return boosting.fit(np.array([r[0] for r in rows]).reshape(-1, len(FEATURES)), np.array([r[1] for r in rows]))
 
 
 def classify(docs: DataFrame, forest: boosting.Forest, threshold: float) -> DataFrame:
     """doc_id, score and predicted of each row of ``docs``. Missing and empty texts are scored
-    as texts without words."""
+    as texts without words; equal rows alike; an empty table gives no row."""
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(forest))
     schema = schema_of(docs, "doc_id", ("score", T.DoubleType()))
 

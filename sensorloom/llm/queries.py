@@ -49,6 +49,7 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.size("offending").alias("n_offending"),
+        "offending",
     )
 
 

@@ -20,11 +20,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.llm.arrow import batch_of, schema_of, text_groups
-from sensorloom.llm.common import drawn
+from sensorloom.llm.common import drawn, labelled_texts
 
 #: Labelled documents of each class that the model is fitted on, drawn by a hash of doc_id.
 MAX_TRAINING_ROWS = 3_000
 
+#: Text of all those documents, in bytes; where they are long, fewer are drawn.
+MAX_TRAINING_BYTES = 128 * 1024 * 1024
+
 #: A feature counts if it is in at least so many training documents.
 LEAST_DOCUMENTS = 5
 
@@ -133,7 +136,9 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = 150, rate: float = 0
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: int = MAX_TRAINING_ROWS) -> Model:
     """Fit on the documents (doc_id, text) that ``labels`` (doc_id, label) covers, at most about
-    ``max_rows`` of each class. One task fits: what it reads is bounded by that number."""
+    ``max_rows`` of each class and MAX_TRAINING_BYTES of text. One task fits: what it reads is
+    bounded by these. Rows that are repeated teach as often; an empty table, or one class
+    alone, gives a model that still scores every text."""
     known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_label")).filter("_label in (0, 1)")
     counts = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     picked = None
@@ -148,7 +153,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_rows: in
         model = fit(rows["text"].fillna("").tolist(), rows["_label"].to_numpy())
         return pd.DataFrame({"model": [cloudpickle.dumps((model.weights, model.base))]})
 
-    rows = docs.join(picked, F.col("doc_id") == F.col("_id")).select("_id", "text", "_label")
+    rows = labelled_texts(docs, picked, MAX_TRAINING_BYTES)
     fitted = rows.groupBy(F.lit(0).alias("_all")).applyInPandas(run, "model binary").collect()
     return Model(*cloudpickle.loads(fitted[0]["model"])) if fitted else Model({}, -10.0)
 
@@ -157,7 +162,7 @@ def judge(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score, and the offending sentences (begin, end, probability) of each row.
 
     Missing and empty texts have no sentences; their score is that of a sentence without
-    known words.
+    known words. Equal rows give equal results; an empty table gives none.
     """
     shared = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps((model.weights, model.base)))
     span = T.StructType(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -22,9 +23,16 @@ MAX_TRAINING_ROWS = 20_000
 #: Weight of an even share in the block rate of a suffix.
 PRIOR = 50.0
 
-#: A suffix with fewer labelled URLs has no rate; the trees take a missing rate as a low one.
+#: A suffix with fewer labelled URLs has the rate of an unseen one, one half.
 LEAST_URLS = 5
 
+#: Parts that labelled URLs are dealt over for the rates they are fitted with.
+FOLDS = 5
+
+#: Half of the labelled URLs are fitted as if some of their suffixes had never been labelled: of
+#: each kind this share.
+HIDDEN = 0.5
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -95,6 +103,11 @@ def suffixes(host: str, path: str) -> list[str]:
     ]
 
 
+def group(url: str | None) -> str:
+    """What tells which labelled URLs belong together: the last label and the first folder."""
+    return suffixes(*parts(url)[:2])[-1]
+
+
 def lexical(url: str | None) -> list[float]:
     """Length, depth, shares, entropy and counts of a URL's characters."""
     url = url or ""
@@ -127,28 +140,61 @@ class Filter:
         self.rates, self.forest = rates, forest
 
     def probability(self, urls: list[str | None]) -> np.ndarray:
-        rows = [lexical(u) + [self.rates.get(s, np.nan) for s in suffixes(*parts(u)[:2])] for u in urls]
-        return self.forest.probability(np.array(rows)) if rows else np.zeros(0)
+        return self.forest.probability(_rows(urls, self.rates)) if urls else np.zeros(0)
 
 
-def fit(urls: list[str], blocked: np.ndarray) -> Filter:
-    """Fit on labelled URLs. Both verdicts count alike; rates are drawn towards the middle by
-    ``PRIOR`` rows."""
-    blocked = np.asarray(blocked, np.float64)
-    yes, no = max(blocked.sum(), 1.0), max((1 - blocked).sum(), 1.0)
-    weights = np.where(blocked > 0, len(blocked) / (2 * yes), len(blocked) / (2 * no))
-    keys = [suffixes(*parts(u)[:2]) for u in urls]
+def _rows(urls: list[str | None], rates: dict[str, float]) -> np.ndarray:
+    return np.array([lexical(u) + [rates.get(s, 0.5) for s in suffixes(*parts(u)[:2])] for u in urls])
+
+
+def _rates(urls: list[str], blocked: np.ndarray, weights: np.ndarray) -> dict[str, float]:
+    """Block rate of each suffix, drawn towards one half by ``PRIOR`` rows."""
     seen: dict[str, list[float]] = {}
-    for row, label, weight in zip(keys, blocked, weights):
-        for key in row:
+    for url, label, weight in zip(urls, blocked, weights):
+        for key in suffixes(*parts(url)[:2]):
             entry = seen.setdefault(key, [0.0, 0.0, 0.0])
             entry[0] += label * weight
             entry[1] += weight
             entry[2] += 1
-    rates = {k: float((b + PRIOR * 0.5) / (n + PRIOR)) for k, (b, n, rows) in seen.items() if rows >= LEAST_URLS}
-    rows = np.array([lexical(u) + [rates.get(k, np.nan) for k in row] for u, row in zip(urls, keys)])
-    width = len(lexical("")) + len(suffixes("", ""))
-    return Filter(rates, boosting.fit(rows.reshape(-1, width), blocked, weights=weights))
+    return {k: float((b + PRIOR * 0.5) / (n + PRIOR)) for k, (b, n, rows) in seen.items() if rows >= LEAST_URLS}
+
+
+def fit(urls: list[str], blocked: np.ndarray) -> Filter:
+    """Fit on labelled URLs. Both verdicts count alike.
+
+    A URL's rates in fitting come from the other folds, so that its own label is not in them.
+    Half of the URLs are fitted with some rates hidden, as those of suffixes without a label
+    are later: the trees have to do with the kinds of suffix that are known, and with the
+    lexical features, where the nearest one isn't.
+    """
+    blocked = np.asarray(blocked, np.float64)
+    yes, no = max(blocked.sum(), 1.0), max((1 - blocked).sum(), 1.0)
+    weights = np.where(blocked > 0, len(blocked) / (2 * yes), len(blocked) / (2 * no))
+    width, kinds = len(lexical("")), len(suffixes("", ""))
+    rows = np.zeros((len(urls), width + kinds))
+    draw = np.array([zlib.crc32(u.encode("utf-8", "surrogatepass")) for u in urls], np.int64)
+    folds = draw % FOLDS
+    for k in range(FOLDS):
+        mine, others = np.flatnonzero(folds == k), np.flatnonzero(folds != k)
+        if len(mine):
+            rates = _rates([urls[i] for i in others], blocked[others], weights[others])
+            rows[mine] = _rows([urls[i] for i in mine], rates)
+    random = np.random.default_rng(draw.sum() % 2**32).random((len(urls), kinds + 1))
+    hidden = (random[:, 1:] < HIDDEN) & (random[:, :1] < 0.5)
+    rows[:, width:][hidden] = 0.5
+    return Filter(_rates(urls, blocked, weights), boosting.fit(rows, blocked, weights=weights))
+
+
+def group_accuracy(urls: list[str], blocked: np.ndarray) -> dict[str, float]:
+    """Share of right verdicts in each group, by a filter fitted on all other groups."""
+    blocked, names = np.asarray(blocked, np.float64), np.array([group(u) for u in urls])
+    found = {}
+    for name in sorted(set(names)):
+        mine = names == name
+        model = fit([u for u, m in zip(urls, mine) if not m], blocked[~mine])
+        p = model.probability([u for u, m in zip(urls, mine) if m])
+        found[name] = float(((p >= 0.5) == (blocked[mine] > 0)).mean())
+    return found
 
 
 def train(labelled: DataFrame, max_rows: int = MAX_TRAINING_ROWS) -> Filter:

@@ -68,8 +68,9 @@ def test_language_id(odd, none):
     )
     assert found[-1][1] in ("de", "en")
     assert language_id.identify(none, model).count() == 0
-    with pytest.raises(ValueError):
-        language_id.train(none)
+    unlearned = language_id.train(none)
+    assert language_id.identify(none, unlearned).count() == 0
+    assert {(r.lang_pred, r.score, r.rejected) for r in language_id.identify(odd, unlearned).collect()} == {("und", 0.0, True)}
 
 
 def test_simhash(odd, none):

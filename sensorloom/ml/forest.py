@@ -3,14 +3,18 @@
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
+from sensorloom.operators.joins import join_sized
 from sensorloom.session import write_table
 
 CELLS = 512
+
+#: Buckets that values are counted in before they are put into cells, for each unit of log(1 + x).
+BUCKETS = 2048
 PARTS = 8
 
 # The trees' resampling is seeded by partition, so the trainer's rows always lie in the
@@ -25,7 +29,7 @@ def train(
 
     Only the two features, the label and the id are read from the table. The trainer
     holds a count per tree for every row it is given, so it gets weighted rows: readings
-    counted in a fine grid. That is done for tables of any size.
+    counted in a fine grid by quantiles. That is done for tables of any size.
     """
     assembler = VectorAssembler(inputCols=list(C.FEATURES), outputCol="features", handleInvalid="error")
     forest = RandomForestClassifier(
@@ -34,30 +38,55 @@ def train(
     return Pipeline(stages=[assembler, forest]).fit(condense(readings))
 
 
-def condense(readings: DataFrame, cells: int = CELLS, parts: int = PARTS) -> DataFrame:
-    """All readings as weighted rows: mean features, label and number of readings of each
-    cell of a fine grid. The trainer itself tells at most 32 bins per feature apart.
+def _bucket(m: str) -> Column:
+    """Number of a value's bucket: ascending with the value, about 0.05 % wide, or 0.0005 below
+    one. NULL for what is no finite number."""
+    size = F.abs(F.col(m))
+    bucket = F.floor(F.log1p(size) * BUCKETS) * F.when(F.col(m) < 0, -1).otherwise(1)
+    return F.when(F.col(m).isNotNull() & ~F.isnan(m) & (size < float("inf")), bucket.cast("int"))
 
-    A cell is kept in several parts, by the id, so that the trees' resampling does not
-    take or leave a whole cell at once. One pass finds the ranges, one counts the cells;
-    both combine inside each task, so a cell with most of the readings costs no more.
-    Means are rounded, since their last digits depend on the order of tasks.
+
+def quantile_cells(readings: DataFrame, cells: int = CELLS) -> DataFrame:
+    """The cell of each bucket of each feature (feature, bucket, cell), so that all cells hold
+    about the same number of readings, however far off single values lie.
+
+    Buckets are counted exactly, inside each task first, so the cells are the same for any
+    partitioning. There are as many rows as buckets with readings: thousands, and less than
+    three million for any values at all. A null feature raises.
     """
-    ends = [f(F.col(m)).alias(f"{end}_{m}") for m in C.FEATURES for end, f in (("low", F.min), ("high", F.max))]
-    nulls = [F.count_if(F.col(m).isNull() | F.isnan(m)).alias(f"null_{m}") for m in C.FEATURES]
-    found = readings.agg(*ends, *nulls).first()
-    if any(found[f"null_{m}"] for m in C.FEATURES):
+    each = F.array(*[F.struct(F.lit(m).alias("feature"), _bucket(m).alias("bucket")) for m in C.FEATURES])
+    counted = readings.select(F.explode(each).alias("b")).groupBy("b.feature", "b.bucket").agg(F.count("*").alias("n"))
+    counted = write_table(counted, "buckets")
+    if not counted.filter("bucket is null").isEmpty():
         raise ValueError("null feature in the training table")
+    before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    rank = F.coalesce(F.sum("n").over(before), F.lit(0)) / F.sum("n").over(Window.partitionBy("feature"))
+    return write_table(counted.select("feature", "bucket", F.floor(rank * cells).cast("int").alias("cell")), "cells")
 
-    def cell(m: str) -> Column:
-        width = (found[f"high_{m}"] - found[f"low_{m}"]) / cells or 1.0
-        return F.floor((F.col(m) - F.lit(found[f"low_{m}"])) / F.lit(width))
 
-    grouped = readings.groupBy(
-        *[cell(m).alias(f"cell_{m}") for m in C.FEATURES],
+def condense(readings: DataFrame, cells: int = CELLS, parts: int = PARTS) -> DataFrame:
+    """All readings as weighted rows: mean features, label and number of readings of each
+    cell of a grid by quantiles. The trainer itself tells at most 32 bins per feature apart.
+
+    A cell is kept in several parts, by the id, so that the trees' resampling does not
+    take or leave a whole cell at once. One pass finds the cells, one counts them; both
+    combine inside each task, so a cell with most of the readings costs no more. Means are
+    rounded, since their last digits depend on the order of tasks; where their sum could pass
+    the largest number the smallest value stands for them.
+    """
+    found, placed = quantile_cells(readings, cells), readings
+    for m in C.FEATURES:
+        of_m = found.filter(F.col("feature") == m)
+        of_m = of_m.select(F.col("bucket").alias(f"bucket_{m}"), F.col("cell").alias(f"cell_{m}"))
+        placed = join_sized(placed.withColumn(f"bucket_{m}", _bucket(m)), of_m, f"bucket_{m}", "inner")
+    means = [
+        F.when(F.max(F.abs(m)) < 1e150, F.round(F.avg(m), 9)).otherwise(F.min(m)).alias(m) for m in C.FEATURES
+    ]
+    grouped = placed.groupBy(
+        *[f"cell_{m}" for m in C.FEATURES],
         E.is_anomaly().alias("anomalous"),
         F.pmod(F.xxhash64("id"), F.lit(parts)).alias("part"),
-    ).agg(*[F.round(F.avg(m), 9).alias(m) for m in C.FEATURES], F.count("*").cast("double").alias("weight"))
+    ).agg(*means, F.count("*").cast("double").alias("weight"))
     classified = grouped.withColumn("classification", E.class_name(F.col("anomalous")))
     # Read several times by the trainer; there are at most cells x cells x parts x 2 rows.
     rows = write_table(classified.select(*C.FEATURES, "classification", "weight"), "condensed")

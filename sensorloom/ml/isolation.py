@@ -5,6 +5,7 @@ table: they are drawn in one pass over it, and each tree is built in a task of i
 Scoring runs in Arrow batches with the trees as broadcast arrays.
 """
 
+import math
 import sys
 from dataclasses import dataclass
 
@@ -24,8 +25,6 @@ from sensorloom.session import spread
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 LEAF = -1
-HASH_RANGE = 1 << 40
-
 NODES = T.StructType(
     [
         T.StructField("tree", T.IntegerType()),
@@ -111,34 +110,40 @@ def _pack(
     return IsolationModel(feature, threshold, path_length, sample_size, cut_off, features)
 
 
-def _hash_share(seed: int, *keys: Column | str) -> Column:
-    """A number in [0, HASH_RANGE) that depends on the keys only, so a repeated task
-    draws the same rows."""
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(HASH_RANGE))
-
-
 def draw_samples(
     rows: DataFrame, total: int, trees: int, sample_size: int, seed: int, key: str, features: tuple[str, ...]
 ) -> tuple[DataFrame, int]:
     """A sample per tree, without repeats inside a tree: columns tree and the features.
 
-    Each row (of ``total``) draws a hash for every tree, and is taken for those where it lies
-    below a share that gives about a tenth more than wanted; of these a tree keeps the
-    ``sample_size`` lowest. One pass, a few hundred rows per tree, and the same rule for
-    tables of any size: where the share is 1, all rows are ranked.
+    One hash of a row (of ``total``) decides how many trees take it, about a tenth more in all
+    than are wanted, and for most rows of a large table that is none: nothing else is computed
+    for them. A row that is taken goes to that many different trees, from one place on in steps
+    that pass all trees. Of its rows a tree keeps the ``sample_size`` with the lowest hashes,
+    which each task does for its own rows before any are shuffled. One pass, and the same rows
+    for any partitioning and the same rule for tables of any size.
     """
     size = min(sample_size, total)
-    share = min(1.0, (size + 6 * size**0.5) * 1.1 / max(total, 1))
-    draws = F.transform(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda tree: F.struct(tree.alias("tree"), _hash_share(seed, tree, key).alias("_h")),
-    )
-    taken = F.filter(draws, lambda d: d["_h"] < F.lit(int(share * HASH_RANGE)))
-    picked = rows.select(key, *features, F.explode(taken).alias("_d")).select(key, *features, "_d.tree", "_d._h")
+    expected = trees * min(1.0, (size + 6 * size**0.5) * 1.1 / max(total, 1))
+    share = F.shiftrightunsigned(F.xxhash64(F.lit(seed), key), 11) / F.lit(float(2**53))
+    every, more = int(expected), expected - int(expected)
+    steps = [n for n in range(1, trees + 1) if math.gcd(n, trees) == 1]
+    place = F.xxhash64(F.lit(seed + 1), key)
+    step = F.get(F.array(*map(F.lit, steps)), F.pmod(F.shiftrightunsigned(place, 32), F.lit(len(steps))))
+    taken = rows.select(key, *features, (F.lit(every) + (share < more).cast("int")).alias("_n")).filter("_n > 0")
+    places = taken.withColumns({"_from": F.pmod(place, F.lit(trees)), "_step": step})
+    picked = places.select(
+        key,
+        *features,
+        F.explode(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), _tree_at(trees))).alias("tree"),
+    ).withColumn("_h", F.xxhash64(F.lit(seed), "tree", key))
     ranked = picked.withColumn("_rank", F.row_number().over(Window.partitionBy("tree").orderBy("_h", key)))
     return ranked.filter(F.col("_rank") <= size).select("tree", *features), size
 
 
+def _tree_at(trees: int):
+    return lambda i: F.pmod(F.col("_from") + i * F.col("_step"), F.lit(trees)).cast("int")
+
+
 def _tree_builder(seed: int, features: tuple[str, ...], height: int):
     def build(sample: pd.DataFrame) -> pd.DataFrame:
         """Nodes of one tree, from at most ``sample_size`` rows."""

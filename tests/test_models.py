@@ -1,5 +1,7 @@
 """Forest, isolation forest, registry and the choice between the models."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -265,3 +267,47 @@ def test_fallback_when_the_forest_does_not_load(spark, edge, small, tmp_path):
     spark.createDataFrame(entry, registry.REGISTRY).write.json(f"{root}/published")
     scored = scoring.score_with_fallback(small, root, edge)
     assert {r.model_type for r in scored.select("model_type").distinct().collect()} == {scoring.EDGE}
+
+
+def test_outliers_do_not_spoil_the_grid(spark, medium):
+    """Readings far off on both sides and in both features take a few cells, not the grid."""
+    columns = C.READING.fieldNames()
+    far = [
+        (10**6 + k, "gw_0", "sensor_1", t, h, None, C.ANOMALY if t >= 70 else C.NORMAL)
+        for k, (t, h) in enumerate([(1e6, 50.0), (-1e6, 50.0), (50.0, 1e9), (50.0, -1e9), (1e308, 1.0), (1e308, -1e308), (-1e308, 0.0)])
+    ]
+    readings = medium.select(*columns).unionByName(spark.createDataFrame(far, C.READING))
+    assert forest.agreement(forest.train(readings), readings).first().agreement >= 0.99
+    rows = forest.condense(readings).agg(F.sum("weight"), F.count("*")).first()
+    assert rows[0] == readings.count() and rows[1] > 5000
+
+
+def test_cells_hold_equal_shares_for_any_partitioning(medium):
+    one = forest.quantile_cells(medium.repartition(3), 64).orderBy("feature", "bucket").collect()
+    assert one == forest.quantile_cells(medium.repartition(11), 64).orderBy("feature", "bucket").collect()
+    for feature in C.FEATURES:
+        cells = {r.bucket: r.cell for r in one if r.feature == feature}
+        assert list(cells.values()) == sorted(cells.values()) and 0 <= min(cells.values()) <= max(cells.values()) < 64
+    counted = medium.withColumn("bucket", forest._bucket("temperature")).groupBy("bucket").count().collect()
+    sizes = {}
+    for r in counted:
+        cell = next(c.cell for c in one if c.feature == "temperature" and c.bucket == r.bucket)
+        sizes[cell] = sizes.get(cell, 0) + r["count"]
+    assert max(sizes.values()) < 2 * medium.count() / 64 + max(r["count"] for r in counted)
+
+
+def test_values_that_are_no_numbers_raise(spark, medium):
+    for odd in (None, float("nan"), float("inf")):
+        bad = medium.limit(5).withColumn("humidity", F.lit(odd).cast("double"))
+        with pytest.raises(ValueError):
+            forest.condense(bad)
+
+
+def test_few_rows_are_hashed_more_than_once(medium):
+    """Samples don't depend on the partitioning, and each task sends no more than a tree keeps."""
+    rows = medium.select("id", *C.FEATURES)
+    found = [isolation.draw_samples(rows.repartition(n), 10_000, 10, 64, 3, "id", ("id",)) for n in (2, 9)]
+    assert Counter(found[0][0].collect()) == Counter(found[1][0].collect()) and found[0][1] == 64
+    assert {r["count"] for r in found[0][0].groupBy("tree").count().collect()} == {64}
+    plan = found[0][0]._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan

@@ -1,5 +1,7 @@
 """Projections, filters and top-n reports over readings and logs."""
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -82,6 +84,48 @@ def recent_logs(logs: DataFrame, rows: int = C.RECENT_LOG_ROWS) -> DataFrame:
     return logs.orderBy(F.desc("timestamp"), F.desc("id")).limit(rows)
 
 
+def newest_time(stored: DataFrame, days: list[date]):
+    """The newest time in a table laid out by day, out of the newest day that holds any."""
+    for day in days:
+        newest = stored.filter(F.col("day") == F.lit(day)).agg(F.max("timestamp")).first()[0]
+        if newest is not None:
+            return newest
+    return None
+
+
+def recent_stored(stored: DataFrame, days: list[date], look_back: str = C.LOOK_BACK) -> DataFrame:
+    """``recent`` over a table laid out by day, whose ``days`` are known from its folders, the
+    newest first: the time that it counts back from is read from the newest of them, and older
+    days than the bound's are not looked at."""
+    newest = newest_time(stored, days)
+    if newest is None:
+        return stored.limit(0)
+    return since(stored, F.lit(newest) - F.expr(f"INTERVAL {look_back}"))
+
+
+def first_day_of(stored: DataFrame, days: list[date], rows: int) -> date | None:
+    """The day from which on the newest ``rows`` rows lie; None if there are fewer in all. Days
+    are counted from the newest on, twice as many at a time; a count reads no column."""
+    looked, n = 0, 0
+    while looked < len(days):
+        some = days[looked : max(2, 2 * looked)]
+        inside = stored.filter(F.col("day").between(F.lit(some[-1]), F.lit(some[0])))
+        counts = {r["day"]: r["count"] for r in inside.groupBy("day").count().collect()}
+        for day in some:
+            n += counts.get(day, 0)
+            if n >= rows:
+                return day
+        looked += len(some)
+    return None
+
+
+def recent_logs_stored(stored: DataFrame, days: list[date], rows: int = C.RECENT_LOG_ROWS) -> DataFrame:
+    """``recent_logs`` over a table laid out by day: only the newest days that hold ``rows`` rows
+    are read, mostly one."""
+    first = first_day_of(stored, days, rows)
+    return recent_logs(stored if first is None else stored.filter(F.col("day") >= F.lit(first)), rows)
+
+
 def scatter_sample(readings: DataFrame, rows: int = C.SCATTER_ROWS) -> DataFrame:
     """Temperature and humidity pairs for the scatter panel, the first by id."""
     return readings.select("id", *C.FEATURES).orderBy("id").limit(rows).select(*C.FEATURES)

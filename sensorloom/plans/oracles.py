@@ -468,6 +468,7 @@ FROM stored GROUP BY gateway_id""",
     }
     # A stream gives what its batch form gives.
     return found | {
+        "recent_logs_stored": found["recent_logs"],
         "stream_compacted_readings": found["stream_store_readings"],
         "stream_counters": found["gateway_states"],
         "stream_stored_counters": found["stream_restart"],

@@ -1,6 +1,7 @@
 """Writers for readings, anomalies, logs and the outbox."""
 
 import uuid
+from datetime import date
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -126,6 +127,18 @@ def finished(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
 
+def days(spark: SparkSession, *paths: str) -> list[date]:
+    """The days that folders of tables laid out by day are named by, the newest first. Rows
+    without a time have no day."""
+    found = set()
+    for path in paths:
+        pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/day=*")
+        system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [status.getPath().getName().removeprefix("day=") for status in system.globStatus(pattern) or []]
+        found |= {date.fromisoformat(name) for name in names if name[:1].isdigit()}
+    return sorted(found, reverse=True)
+
+
 def read_file(spark: SparkSession, path: str) -> str:
     """The text of a small file."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

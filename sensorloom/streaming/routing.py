@@ -7,6 +7,7 @@ own, so a batch repeated after a failure replaces what it had written.
 
 import time
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,6 +104,11 @@ def stored_readings(spark: SparkSession, out: str, by_day: bool = False) -> Data
     return snapshots.rows(spark, f"{out}/sensor_data", C.READING, by_day=by_day)
 
 
+def stored_days(spark: SparkSession, out: str) -> list[date]:
+    """The days of the stored readings, the newest first, from the folders' names."""
+    return snapshots.days(spark, f"{out}/sensor_data")
+
+
 def stored_anomalies(spark: SparkSession, out: str, by_day: bool = False) -> DataFrame:
     return snapshots.rows(spark, f"{out}/anomalies", C.READING, by_day=by_day)
 

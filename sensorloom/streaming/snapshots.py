@@ -14,6 +14,7 @@ runs and rewrites only the small ones among them (for tables of rows).
 import json
 import uuid
 from collections.abc import Callable
+from datetime import date
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,6 +121,13 @@ def rows(
     return taken.unionByName(later) if after else taken
 
 
+def days(spark: SparkSession, path: str) -> list[date]:
+    """The days of a table laid out by day, the newest first, from its folders' names alone."""
+    made = made_of(path)
+    runs = [f"{made}/{run.folder}" for run in newest(spark, made).runs]
+    return sinks.days(spark, f"{path}/batch_id=*", *runs)
+
+
 def take(
     spark: SparkSession,
     path: str,

@@ -1,6 +1,7 @@
 """Plans: what is read, pushed down, shuffled and broadcast."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import MEDIUM
@@ -90,3 +91,44 @@ def test_views_have_the_table_schemas(spark):
     assert readings.dtypes == [(f.name, f.dataType.simpleString()) for f in C.READING]
     assert views.gateway_state(readings).dtypes == [(f.name, f.dataType.simpleString()) for f in C.GATEWAY_STATE]
     assert views.raw_messages(readings).dtypes == [(f.name, f.dataType.simpleString()) for f in C.RAW_MESSAGE]
+
+
+def test_total_is_taken_from_the_footers(spark):
+    found = catalog.queries()["total_records"](spark, MEDIUM)
+    assert "PushedAggregation: [COUNT(*)]" in plan(found) and found.first().total_records == 10_000
+    assert "BatchScan" not in plan(views.load(spark, MEDIUM))
+
+
+@pytest.fixture(scope="module")
+def by_day(spark, medium, tmp_path_factory):
+    """Readings by day, three of them from a day apart, and a newest folder without rows."""
+    path = str(tmp_path_factory.mktemp("by_day") / "logs")
+    late = medium.filter("id < 3").withColumn("timestamp", F.expr("TIMESTAMP_NTZ'2024-02-05 10:00:00'"))
+    logs = R.log_rows(medium.filter("id >= 3").unionByName(late))
+    sinks.append_by_day(logs.unionByName(logs.limit(2).withColumn("timestamp", F.lit(None).cast("timestamp_ntz"))), path)
+    empty = logs.limit(0).coalesce(1).write
+    empty.parquet(f"{path}/day=2024-02-09")
+    return path, logs
+
+
+def test_newest_logs_read_one_or_two_days(spark, by_day):
+    path, logs = by_day
+    days, stored = sinks.days(spark, path), spark.read.parquet(path)
+    assert len(days) == 32 and str(days[0]) == "2024-02-09"
+    found = R.recent_logs_stored(stored, days).select(*logs.columns)
+    assert found.collect() == R.recent_logs(logs).collect()
+    assert "PartitionFilters: [isnotnull(day" in plan(found) and ">= 2024-01-30" in plan(found)
+    # Counting goes on until there are enough rows, or no day is left.
+    assert R.first_day_of(stored, days, 3) == days[1] and R.first_day_of(stored, days, 4) == days[2]
+    assert R.first_day_of(stored, days, logs.count()) == days[-1] and R.first_day_of(stored, days, 10**6) is None
+    assert R.recent_logs_stored(stored, days, 10**6).count() == logs.count() + 2
+
+
+def test_newest_time_is_read_from_one_day(spark, by_day):
+    path, logs = by_day
+    stored, days = spark.read.parquet(path), sinks.days(spark, path)
+    found = R.recent_stored(stored, days)
+    assert sorted(found.select(*logs.columns).collect()) == sorted(R.recent(logs).collect())
+    assert len({f.rpartition("/")[0] for f in found.inputFiles()}) > 2  # files are pruned when it runs:
+    assert "PartitionFilters: [isnotnull(day" in plan(found) and "2024-02-05" in plan(found)
+    assert R.recent_stored(stored, []).count() == 0

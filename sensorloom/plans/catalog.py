@@ -354,7 +354,7 @@ def _stream_merge_state(spark: SparkSession, folder: str) -> DataFrame:
 def _stream_per_minute(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "minutes")
     run(SA.per_minute(_late_readings(spark, folder, base), f"{base}/out"), f"{base}/checkpoint")
-    SA.compact_minutes(spark, f"{base}/out", clear=True)
+    SA.compact_minutes(spark, f"{base}/out")
     return SA.read_per_minute(spark, f"{base}/out")
 
 
@@ -368,6 +368,7 @@ def _stream_anomalies_per_minute(spark: SparkSession, folder: str) -> DataFrame:
 def _stream_rate(spark: SparkSession, folder: str) -> DataFrame:
     base = work_dir(spark, "rate")
     run(SA.anomaly_rate(_late_readings(spark, folder, base), f"{base}/out"), f"{base}/checkpoint")
+    SA.compact_anomaly_rate(spark, f"{base}/out")
     return SA.read_anomaly_rate(spark, f"{base}/out")
 
 
@@ -376,6 +377,8 @@ def _stream_rate(spark: SparkSession, folder: str) -> DataFrame:
 
 LEAST_AGREEMENT = 0.98
 FLAGGED = (0.04, 0.06)
+#: The same over a part of the rows that the model was fitted on.
+FLAGGED_OF_HALF = (0.01, 0.12)
 
 
 def _agrees(model, readings: DataFrame):
@@ -510,7 +513,8 @@ def _stream_score(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stream_model_switch(spark: SparkSession, folder: str) -> DataFrame:
     """The first half arrives before any forest is published, the second half after; the
-    readings scored by each model and version."""
+    readings scored by each model and version, and whether their classes keep its bound: the
+    forest's agree with their own, and the edge model flags about the share that it is meant to."""
     readings = views.load(spark, folder)
     edge = _edge_model(readings)
     base = work_dir(spark, "switch")
@@ -520,9 +524,14 @@ def _stream_model_switch(spark: SparkSession, folder: str) -> DataFrame:
         run(model_switch.score_with_newest(arriving, f"{base}/out", newest), f"{base}/checkpoint")
         if half == 0:
             retrain(readings, f"{base}/models")
-    scored = model_switch.read_scored(spark, f"{base}/out")
+    scored = model_switch.read_scored(spark, f"{base}/out").withColumn("own", views.rule_class())
+    flagged = F.avg(F.when(~E.is_anomaly("own"), E.is_anomaly().cast("int"))).between(*FLAGGED_OF_HALF)
+    agrees = F.avg((F.col("own") == F.col("classification")).cast("int")) >= LEAST_AGREEMENT
     return scored.groupBy("model_type", "model_version").agg(
-        F.count("*").alias("readings"), F.min("timestamp").alias("first"), F.max("timestamp").alias("last")
+        F.count("*").alias("readings"),
+        F.min("timestamp").alias("first"),
+        F.max("timestamp").alias("last"),
+        F.when(F.first("model_type") == scoring.FOREST, agrees).otherwise(flagged).alias("within_bounds"),
     )
 
 

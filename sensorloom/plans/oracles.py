@@ -385,7 +385,7 @@ FROM sensor_data, (VALUES ('random_forest'), ('isolation_forest')) m(model_type)
         "stream_model_switch": _sql(
             """SELECT CASE WHEN late THEN 'random_forest' ELSE 'isolation_forest' END AS model_type,
        CAST(CASE WHEN late THEN 1 ELSE 0 END AS BIGINT) AS model_version, COUNT(*) AS readings,
-       MIN("timestamp") AS "first", MAX("timestamp") AS "last"
+       MIN("timestamp") AS "first", MAX("timestamp") AS "last", true AS within_bounds
 FROM (
   SELECT "timestamp", epoch_us("timestamp") > (
     SELECT (MIN(epoch_us("timestamp")) + MAX(epoch_us("timestamp"))) // 2 FROM sensor_data) AS late

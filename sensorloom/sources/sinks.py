@@ -31,18 +31,21 @@ def _by_day(df: DataFrame, parts: int) -> DataFrame:
     return dated.repartition("day", salt)
 
 
-def write_sized(df: DataFrame, path: str, by_day: bool, file_rows: int = FILE_ROWS) -> None:
+def write_sized(
+    df: DataFrame, path: str, by_day: bool, file_rows: int = FILE_ROWS, time: str = "timestamp", key: str = "id"
+) -> None:
     """Write a table in files of about ``file_rows`` rows, of one day each with ``by_day``. Rows
-    are counted first, so that a day that holds most of them is many tasks' work."""
+    are counted first, so that a day that holds most of them is many tasks' work, dealt by
+    ``key``."""
     if not by_day:
         parts = max(1, -(-df.count() // file_rows))
         df.repartition(parts).write.parquet(path)
         return
-    dated = df.withColumn("day", F.to_date("timestamp"))
+    dated = df.withColumn("day", F.to_date(time))
     sizes = dated.groupBy("day").agg(F.ceil(F.count("*") / file_rows).alias("_parts"))
     sizes = sizes.withColumnRenamed("day", "_day")
     dealt = dated.join(sizes, F.col("day").eqNullSafe(F.col("_day")))
-    salt = F.pmod(F.xxhash64("id"), F.col("_parts"))
+    salt = F.pmod(F.xxhash64(key), F.col("_parts"))
     dealt.repartition("day", salt).drop("_day", "_parts").write.partitionBy("day").parquet(path)
 
 

@@ -5,6 +5,8 @@ reading; so no row is too late, and there is no state that grows with time. The
 gateway state holds one row per gateway.
 """
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,14 +61,24 @@ def sum_minutes(added: DataFrame) -> DataFrame:
     return added.groupBy("time").agg(F.sum("n").alias("n"))
 
 
-def read_per_minute(spark: SparkSession, out: str, name: str = "processed_data") -> DataFrame:
-    counts = sum_minutes(snapshots.rows(spark, out, MINUTE_ROW))
-    return counts.select("time", F.col("n").alias(name)).orderBy("time")
+def read_per_minute(
+    spark: SparkSession, out: str, name: str = "processed_data", first: date | None = None
+) -> DataFrame:
+    """Readings per minute, from the day ``first`` on if it is given."""
+    if first is None:
+        added = snapshots.rows(spark, out, MINUTE_ROW)
+    else:
+        added = snapshots.rows_since(spark, out, MINUTE_ROW, "time", first)
+    return sum_minutes(added).select("time", F.col("n").alias(name)).orderBy("time")
 
 
 def compact_minutes(spark: SparkSession, out: str, clear: bool = True) -> None:
-    """Snapshot of the minutes so far, one row each."""
-    snapshots.take(spark, out, MINUTE_ROW, sum_minutes, clear=clear)
+    """Put the minutes so far into day files, one row for each. Minutes that were put there
+    before stay as they are: what arrived for them since is a small run of corrections, which
+    readers add, and which is put together with them once corrections have become many."""
+    snapshots.compact(
+        spark, out, MINUTE_ROW, by_day=True, combine=sum_minutes, time="time", key="time", clear=clear
+    )
 
 
 def anomaly_rate(readings: DataFrame, out: str) -> DataStreamWriter:

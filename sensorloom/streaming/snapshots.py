@@ -121,6 +121,17 @@ def rows(
     return taken.unionByName(later) if after else taken
 
 
+def rows_since(spark: SparkSession, path: str, schema: T.StructType, time: str, first: date) -> DataFrame:
+    """The rows from a day on, where runs are laid out by day and batches aren't: the folders of
+    earlier days are not opened."""
+    made, since = made_of(path), F.lit(first)
+    found = newest(spark, made)
+    after = [n for n in sinks.finished(spark, path) if n > found.upto]
+    taken = _read(spark, made, [f"{made}/{run.folder}" for run in found.runs], schema, True)
+    later = batches(spark, path, schema, after).filter(F.col(time) >= since)
+    return taken.filter(F.col("day") >= since).select(*schema.fieldNames()).unionByName(later)
+
+
 def days(spark: SparkSession, path: str) -> list[date]:
     """The days of a table laid out by day, the newest first, from its folders' names alone."""
     made = made_of(path)
@@ -164,13 +175,18 @@ def compact(
     lines: bool = False,
     made: str | None = None,
     change: Combine | None = None,
+    combine: Combine | None = None,
+    time: str = "timestamp",
+    key: str = "id",
     clear: bool = False,
 ) -> int | None:
     """Write the finished batches since the newest commit into one run, in files of bounded size.
 
     Runs at the end that stand for no more than twice as many batches are rewritten with them,
     so that a row is rewritten a few times in all and there are only a few runs. ``change``
-    makes the rows of the table in ``made`` out of those of the batches.
+    makes the rows of the table in ``made`` out of those of the batches, ``combine`` fewer rows
+    of the same kind out of those that are written together. Rows are laid out by the day of
+    ``time`` and dealt by ``key``.
     """
     made = made or made_of(path)
     before = newest(spark, made)
@@ -185,8 +201,9 @@ def compact(
         old = _read(spark, made, [f"{made}/{run.folder}" for run in again], schema, False)
         table = new.select(*schema.fieldNames())
         table = table.unionByName(old) if again else table
+        table = combine(table) if combine else table
         folder = _new_run(numbers[-1])
-        sinks.write_sized(table, f"{made}/{folder}", by_day)
+        sinks.write_sized(table, f"{made}/{folder}", by_day, time=time, key=key)
         _put(spark, made, Commit(numbers[-1], (*kept, Run(folder, count))))
     if clear:
         tidy(spark, path, made)

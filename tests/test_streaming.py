@@ -116,6 +116,27 @@ def test_minutes_over_several_batches_newest_first(spark, small, tmp_path):
     assert SA.read_per_minute(spark, out).agg(F.sum("processed_data")).first()[0] == small.count()
 
 
+def test_finished_days_are_not_written_again(spark, medium, tmp_path):
+    """Late rows of a finished day are corrections in a run of their own."""
+    path, day = f"{tmp_path}/minutes", F.to_date("timestamp")
+    late = F.col("id") % 100 == 0
+    numbers = [medium.filter(~late & (F.dayofmonth("timestamp") % 6 == k)) for k in range(6)]
+    for k, some in enumerate(numbers):
+        sinks.overwrite_batch(A.by_minute(some, "n"), path, k)
+    SA.compact_minutes(spark, path)
+    before = sorted(snapshots.newest(spark, snapshots.made_of(path)).runs)
+    sinks.overwrite_batch(A.by_minute(medium.filter(late), "n"), path, 6)
+    SA.compact_minutes(spark, path)
+    after = snapshots.newest(spark, snapshots.made_of(path)).runs
+    assert after[0] == before[0] and len(after) == 2
+    assert rows(SA.read_per_minute(spark, path)) == rows(A.per_minute(medium))
+    first = F.expr("DATE'2024-01-20'")
+    expected = A.per_minute(medium.filter(day >= first))
+    found = SA.read_per_minute(spark, path, first=medium.select(first).first()[0])
+    assert rows(found) == rows(expected)
+    assert "PartitionFilters: [isnotnull(day" in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_snapshots_half_done_or_taken_again(spark, small, tmp_path):
     path = f"{tmp_path}/counts"
     counts = A.by_minute(small, "n")

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from sensorloom import constants as C
 from sensorloom.functions import expressions as E
-from sensorloom.operators.joins import join_sized
 from sensorloom.session import write_table
 
 CELLS = 512
@@ -56,12 +55,13 @@ def quantile_cells(readings: DataFrame, cells: int = CELLS) -> DataFrame:
     """
     each = F.array(*[F.struct(F.lit(m).alias("feature"), _bucket(m).alias("bucket")) for m in C.FEATURES])
     counted = readings.select(F.explode(each).alias("b")).groupBy("b.feature", "b.bucket").agg(F.count("*").alias("n"))
-    counted = write_table(counted, "buckets")
-    if not counted.filter("bucket is null").isEmpty():
-        raise ValueError("null feature in the training table")
     before = Window.partitionBy("feature").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     rank = F.coalesce(F.sum("n").over(before), F.lit(0)) / F.sum("n").over(Window.partitionBy("feature"))
-    return write_table(counted.select("feature", "bucket", F.floor(rank * cells).cast("int").alias("cell")), "cells")
+    cell = F.floor(rank * cells).cast("int")
+    found = write_table(counted.select("feature", "bucket", cell.alias("cell")), "cells")
+    if not found.filter("bucket is null").isEmpty():
+        raise ValueError("null feature in the training table")
+    return found
 
 
 def condense(readings: DataFrame, cells: int = CELLS, parts: int = PARTS) -> DataFrame:
@@ -78,7 +78,8 @@ def condense(readings: DataFrame, cells: int = CELLS, parts: int = PARTS) -> Dat
     for m in C.FEATURES:
         of_m = found.filter(F.col("feature") == m)
         of_m = of_m.select(F.col("bucket").alias(f"bucket_{m}"), F.col("cell").alias(f"cell_{m}"))
-        placed = join_sized(placed.withColumn(f"bucket_{m}", _bucket(m)), of_m, f"bucket_{m}", "inner")
+        # Spark broadcasts the cells if their files are small, as they are for any usual table.
+        placed = placed.withColumn(f"bucket_{m}", _bucket(m)).join(of_m, f"bucket_{m}")
     means = [
         F.when(F.max(F.abs(m)) < 1e150, F.round(F.avg(m), 9)).otherwise(F.min(m)).alias(m) for m in C.FEATURES
     ]

@@ -19,6 +19,7 @@ from sensorloom.operators import outbox, state
 from sensorloom.operators import readings as R
 from sensorloom.operators.joins import join_sized
 from sensorloom.operators.validation import decode_messages, valid_messages, with_gateway
+from sensorloom.session import spread
 from sensorloom.sources import sinks
 from sensorloom.streaming import snapshots
 
@@ -67,7 +68,7 @@ def route(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        decoded = with_gateway(decode_messages(batch)).drop("timestamp_text")
+        decoded = with_gateway(decode_messages(spread(batch))).drop("timestamp_text")
         if devices is not None:
             active = devices(spark).filter("active").select("device_id", F.lit(True).alias("_active")).distinct()
             decoded = join_sized(decoded, active, "device_id", "left")

@@ -316,7 +316,8 @@ from sensorloom.llm import queries
 from sensorloom.session import build_session
 
 spark = build_session("away", "local[2]", **{{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"}})
-for name in ("op1_language_id", "op4_toxicity", "op7_quality_classifier", "op8_url_filter"):
+for name in ("op1_language_id", "op4_toxicity", "op7_quality_classifier", "op8_url_filter", "op11_token_files",
+             "op12_hard_negatives", "op13_prefix_trie"):
     print("rows", queries.queries()[name](spark, {SMALL!r}).count())
 """
 
@@ -326,4 +327,4 @@ def test_workers_that_cannot_import_the_package(tmp_path):
     done = subprocess.run(
         [sys.executable, "-c", SCRIPT], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300
     )
-    assert done.stdout.count("rows") == 4, done.stderr[-2000:]
+    assert done.stdout.count("rows") == 7, done.stderr[-2000:]

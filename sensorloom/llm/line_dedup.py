@@ -5,8 +5,9 @@
    goes on; bands are packed and dealt to buckets by their hash.
 2. A bucket links lines of other tasks that share a band. Candidate links make clusters.
 3. Within a cluster all pairs of lines are compared by exact Jaccard similarity. A large
-   cluster is first compared with a few of its lines; what these leave apart is compared
-   with all of the cluster in blocks, so that no link is lost and no pair is emitted.
+   cluster is first compared with a few of its lines; what these leave apart is compared, in
+   blocks, with all lines that share a band with it, so that no candidate is lost, no pair is
+   emitted and clusters that grow by chance links cost no more than their bands.
 4. Of each component over the verified links the first line stays.
 """
 
@@ -47,6 +48,9 @@ HASHED_CHARS = 100_000
 BLOCK = 128
 CENTRES = 64
 
+#: A shingle that more pairs of a comparison share than this is counted by a matrix product.
+PAIRWISE = 256
+
 #: Bits of the filter of clustered lines, which is handed to all tasks: 8 MB whatever the input.
 FILTER_BITS = 26
 
@@ -285,17 +289,46 @@ def _texts(docs: DataFrame, clusters: DataFrame) -> DataFrame:
     return found.join(clusters, "node").groupBy("component", "size", "node").agg(F.first("line").alias("line"))
 
 
-def similar(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> np.ndarray:
-    """Whether each left set of shingles and each right one have at least that Jaccard similarity."""
-    both = [*left, *right]
-    values, at = np.unique(np.concatenate(both), return_inverse=True)
-    owner = np.repeat(np.arange(len(both)), [len(x) for x in both])
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Number of shingles that each left set and each right one have in common. Shingles of one
+    side only count for nothing; of the others, those that few pairs share are counted pair by
+    pair and the rest by a product of 0/1 matrices."""
+    values = np.concatenate([*left, *right])
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    order = np.argsort(values)
+    values, owner = values[order], owner[order]
+    begins = np.flatnonzero(np.r_[True, values[1:] != values[:-1]])
+    of_left = np.add.reduceat((owner < len(left)).astype(np.int64), begins)
+    of_right = np.diff(np.r_[begins, len(values)]) - of_left
+    pairs = of_left * of_right
+    at = np.repeat(np.arange(len(begins)), of_left + of_right)
+    few = pairs <= PAIRWISE
     shared = np.zeros((len(left), len(right)), np.float32)
-    for begin in range(0, len(values), 8192):
-        chosen = (at >= begin) & (at < begin + 8192)
-        held = np.zeros((len(both), min(8192, len(values) - begin)), np.float32)
-        held[owner[chosen], at[chosen] - begin] = 1
+
+    mine, theirs = (np.flatnonzero((few & (pairs > 0))[at] & side) for side in (owner < len(left), owner >= len(left)))
+    # Each left entry meets all right ones of its shingle, which lie one after the other.
+    first = np.searchsorted(at[theirs], at[mine])
+    times = of_right[at[mine]]
+    offset = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    x = np.repeat(owner[mine], times)
+    y = owner[theirs[np.repeat(first, times) + offset]] - len(left)
+    shared += np.bincount(x * len(right) + y, minlength=shared.size).reshape(shared.shape)
+
+    many = np.flatnonzero(~few)
+    for begin in range(0, len(many), 8192):
+        columns = many[begin : begin + 8192]
+        place = np.full(len(begins), -1)
+        place[columns] = np.arange(len(columns))
+        chosen = np.flatnonzero(place[at] >= 0)
+        held = np.zeros((len(left) + len(right), len(columns)), np.float32)
+        held[owner[chosen], place[at[chosen]]] = 1
         shared += held[: len(left)] @ held[len(left) :].T
+    return shared
+
+
+def similar(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> np.ndarray:
+    """Whether each left set of shingles and each right one have at least that Jaccard similarity."""
+    shared = _shared(left, right)
     sizes = [np.array([len(x) for x in side], np.float64) for side in (left, right)]
     return shared >= similarity * (sizes[0][:, None] + sizes[1][None, :] - shared) - 1e-9
 
@@ -378,25 +411,51 @@ def _with_centres(large: DataFrame, block: int) -> DataFrame:
     )
 
 
+def _banded(placed: DataFrame) -> DataFrame:
+    """The bands of each line, with its key and part, a row for each."""
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in ("band", "node", "part")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, part = batch.column("node").to_numpy(), batch.column("part").to_numpy()
+            begin, size, lines = 0, 0, batch.column("line").to_pylist()
+            for i, line in enumerate(lines):
+                size += len(line)
+                if size >= HASHED_CHARS or i + 1 == len(lines):
+                    values, of_line = bands(lines[begin : i + 1])
+                    yield batch_of(schema, values.view(np.int64), node[of_line + begin], part[of_line + begin])
+                    begin, size = i + 1, 0
+
+    return placed.select("node", "part", "line").mapInArrow(run, schema)
+
+
 def _left_apart(large: DataFrame, found: DataFrame, block: int) -> DataFrame:
-    """The lines that the links found so far don't join to most of their cluster, in blocks,
-    with every block of the cluster."""
+    """Of lines that share a band, those that the links found so far don't join to most of the
+    band's lines: with all of the band's lines, in blocks. Lines of a cluster that share no band
+    don't meet, so what is compared grows with the bands and not with the cluster, which
+    chance links may make large. Of bands with the same lines one is enough.
+    """
     placed = large.join(connected(found).withColumnRenamed("component", "part"), "node", "left")
     placed = write_table(placed.withColumn("part", F.coalesce("part", "node")), "placed")
-    parts = placed.groupBy("component", "part").agg(F.count("*").alias("n"))
-    most = parts.groupBy("component").agg(F.max(F.struct("n", "part"))["part"].alias("most"), F.sum("n").alias("all"))
-    most = most.join(parts.withColumnRenamed("part", "most"), ["component", "most"])
-    most = most.filter("all > n").select("component", "most", (F.col("all") - F.col("n")).alias("apart"))
-    joined = placed.join(most, "component")
-    draw, blocks, rest = F.xxhash64("node"), _blocks(F.col("size"), block), _blocks(F.col("apart"), block)
-    ahead = joined.filter("part <> most").withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    ahead = ahead.select(
-        _task(F.col("component"), F.pmod(draw, rest), F.col("j")), F.lit(0).alias("side"), "node", "line"
+    banded = write_table(_banded(placed), "banded")
+    parts = banded.groupBy("band", "part").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("mark"))
+    groups = parts.groupBy("band").agg(
+        F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("size"), F.bit_xor("mark").alias("mark")
     )
-    against = joined.withColumn("i", F.explode(F.sequence(F.lit(0), rest - 1)))
-    return ahead.unionByName(
-        against.select(_task(F.col("component"), F.col("i"), F.pmod(draw, blocks)), F.lit(1).alias("side"), "node", "line")
+    groups = groups.filter("size > most.n").groupBy("size", "mark").agg(F.min(F.struct("band", "most")).alias("one"))
+    groups = groups.select("one.band", "one.most.part", "size", (F.col("size") - F.col("one.most.n")).alias("apart"))
+    joined = banded.join(groups.withColumnRenamed("part", "most"), "band")
+    joined = joined.join(placed.select("node", "line"), "node")
+    draw, blocks, rest = F.xxhash64("node"), _blocks(F.col("size"), block), _blocks(F.col("apart"), block)
+    whole = blocks == 1
+    once = joined.filter(whole).select(
+        _task(F.col("band")), F.when(F.expr("part <> most"), 2).otherwise(1).alias("side"), "node", "line"
     )
+    ahead = joined.filter(~whole & F.expr("part <> most")).withColumn("j", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    ahead = ahead.select(_task(F.col("band"), F.pmod(draw, rest), F.col("j")), F.lit(0).alias("side"), "node", "line")
+    against = joined.filter(~whole).withColumn("i", F.explode(F.sequence(F.lit(0), rest - 1)))
+    against = against.select(_task(F.col("band"), F.col("i"), F.pmod(draw, blocks)), F.lit(1).alias("side"), "node", "line")
+    return once.unionByName(ahead).unionByName(against)
 
 
 def components(docs: DataFrame, similarity: float = SIMILARITY, block: int = BLOCK) -> DataFrame:

@@ -18,7 +18,7 @@ import math
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +37,8 @@ WALKS, SAMPLES, PLACES = 6, 16, 2
 #: Share of copies with all allowed edits that the walks and samples of a length have to find.
 RECALL = 0.99
 
-#: Samples of each walk to choose from, and walks at most.
-SAMPLE_CHOICES, MOST_WALKS = (16, 32, 64, 128), 64
+#: Samples of each walk to choose from.
+SAMPLE_CHOICES = (16, 32, 64, 128)
 
 #: Windows that are embedded together, and numbers held for them at most.
 WINDOWS, HELD = 20_000, 14_400_000
@@ -50,7 +50,7 @@ BLOCK_BYTES = 16 * 1024 * 1024
 SEARCHED_CHARS = 6_000_000
 
 WORD = re.compile(r"\w+")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
+_MIX, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def words_of(text: str) -> list[str]:
@@ -102,40 +102,65 @@ def _agreement(length: int, similarity: float, pairs: int = 48, walks: int = 8)
 
 def effort(length: int, similarity: float, recall: float = RECALL) -> tuple[int, int]:
     """Walks, and samples of each, with which copies of an item of ``length`` words are found
-    with the given recall, at the least cost; reckoned for the next length on a grid."""
+    with the given recall, at the least cost; reckoned for the next length on a grid. There is
+    no most of walks; a recall that none can reach raises."""
     if not allowed(length, similarity):
         return WALKS, SAMPLES
     grid = math.ceil(2 ** (math.ceil(4 * math.log2(length) - 1e-9) / 4) - 1e-9)
     agreed, choices = _agreement(grid, similarity) ** PLACES, []
     for samples in SAMPLE_CHOICES:
         missed = ((1 - agreed) ** samples).mean(axis=1)
-        for walks in range(WALKS, MOST_WALKS + 1):
-            if 1 - (missed**walks).mean() >= recall or (walks, samples) == (MOST_WALKS, SAMPLE_CHOICES[-1]):
+        if (missed == 1).mean() > 1 - recall:
+            continue  # more walks would not do
+        for walks in count(WALKS):
+            if 1 - (missed**walks).mean() >= recall:
                 # A key costs as much as about 20 steps.
                 choices.append((walks * (2 * length + 20 * samples), walks, samples))
                 break
+    if not choices:
+        raise ValueError(f"no number of walks finds items of {length} words with a recall of {recall}")
     return min(choices)[1:]
 
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Well-mixed 64 bits of each number."""
+    x = (x ^ (x >> np.uint64(30))) * _MIX2
+    x = (x ^ (x >> np.uint64(27))) * _MIX
+    return x ^ (x >> np.uint64(31))
+
+
 class Walks:
-    """The random bits of all walks, and the places that samples take."""
+    """The random bits of all walks, and the places that samples take.
+
+    The bit of a walk, word and step is a hash of the three, made for the words at hand and 64
+    steps at a time: what is held grows neither with the words nor with the longest item.
+    """
 
-    def __init__(self, symbols: int, longest: int, walks: int = WALKS, samples: int = SAMPLES, seed: int = 7):
+    def __init__(self, walks: int = WALKS, samples: int = SAMPLES, seed: int = 7):
         draw = np.random.default_rng(seed)
-        self.bits = draw.integers(0, 2**64, (walks, symbols, 2 * longest // 64 + 1), np.uint64)
+        self.seeds = draw.integers(0, 2**64, walks, np.uint64)
         self.places = draw.random((walks, samples, PLACES))
 
     def keys(self, windows: np.ndarray, walks: int, samples: int) -> np.ndarray:
         """For each window (a row of symbols) its key in every sample: rows x (walks * samples)."""
         n, length = windows.shape
         steps = 2 * length
-        found = emitted(windows, walks, lambda block: self.bits[:walks, :, block])
+        present = np.unique(windows)
+        own = mixed(present.astype(np.uint64) * _MIX)
+
+        def bits(block: int) -> np.ndarray:
+            of_walk = mixed(self.seeds[:walks] + np.uint64(block * int(_MIX) % 2**64))
+            # An empty place comes last and has no bits, since a walk that is through stays so.
+            return np.pad(mixed(of_walk[:, None] ^ own), ((0, 0), (0, 1)))
+
+        found = emitted(np.searchsorted(present, windows), walks, bits)
+        symbols = np.append(present, -1)
         # places: walks x samples; found[place, window, walk]
         places = (self.places[:walks, :samples] * steps).astype(np.int64)
         key = np.arange(walks * samples, dtype=np.uint64) + np.zeros((n, 1), np.uint64)
         of_walk = np.repeat(np.arange(walks), samples)
         for place in range(PLACES):
-            taken = found[places[:, :, place].ravel(), :, of_walk].T  # windows x (walks * samples)
+            taken = symbols[found[places[:, :, place].ravel(), :, of_walk].T]  # windows x (walks * samples)
             key = (key ^ (taken + 1).astype(np.uint64)) * _MIX
             key ^= key >> np.uint64(29)
         return key
@@ -186,7 +211,7 @@ class Matcher:
         self.longest = max((len(w) for _, w in texts), default=1)
         self.efforts = {length: effort(length, similarity) for length in {len(w) for _, w in texts}}
         most = [max(x, default=1) for x in zip(*self.efforts.values())] or [WALKS, SAMPLES]
-        self.walks = Walks(self.symbols, self.longest, *most)
+        self.walks = Walks(*most)
         self.groups = []
         for length in sorted({len(w) for _, w in texts}):
             same = [(i, w) for i, w in texts if len(w) == length]

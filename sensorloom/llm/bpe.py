@@ -42,6 +42,26 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(next(others)) for b in range(256)]
 
 
+def check_kind(text: bytes) -> None:
+    """Raise ValueError for a tokenizer file whose ids this module would not reproduce: only
+    byte-level BPE without a normaliser, cut by PATTERN, with plain added tokens is known."""
+    spec = json.loads(text)
+    model, cutter, decoder = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("decoder") or {}
+    options = ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    problems = {
+        "model": model.get("type", "BPE") != "BPE" or any(model.get(x) for x in options),
+        "normalizer": spec.get("normalizer") is not None,
+        "pre_tokenizer": cutter.get("type") != "ByteLevel"
+        or cutter.get("add_prefix_space", True)
+        or not cutter.get("use_regex", True),
+        "decoder": decoder.get("type") != "ByteLevel",
+        "added_tokens": any(t.get(x) for t in spec.get("added_tokens", []) for x in ("single_word", "lstrip", "rstrip")),
+    }
+    unknown = [name for name, found in problems.items() if found]
+    if unknown:
+        raise ValueError(f"not a plain byte-level BPE tokenizer file: {', '.join(unknown)}")
+
+
 class Vocabulary:
     """Merges and token bytes of a tokenizer file, as arrays."""
 
@@ -203,12 +223,14 @@ def encode_decode(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
     Returns one row per row of ``docs``: the key, ``n_tokens``, ``ids`` (little-endian
     unsigned 32-bit integers, one after the other) and ``decoded``. A missing text counts as
     empty and has no ids; equal rows give equal results; an empty table gives none. Tokens
-    that the file adds apart from its merges (special ones) are found in texts as well.
+    that the file adds apart from its merges (special ones) are found in texts as well. A
+    file of another kind than byte-level BPE raises ValueError.
     """
     with open(tokenizer_path, "rb") as file:
         content = file.read(VOCABULARY_BYTES + 1)
     if len(content) > VOCABULARY_BYTES:
         raise ValueError(f"vocabulary file of more than {VOCABULARY_BYTES} bytes")
+    check_kind(content)
     shared = docs.sparkSession.sparkContext.broadcast(content)
     fields = [
         docs.schema[key],

@@ -184,6 +184,57 @@ def test_lines_of_one_repeated_phrase_are_candidates(phrase):
     assert set(values[of_line == 0].tolist()) & set(values[of_line == 1].tolist())
 
 
+@pytest.mark.parametrize("pairwise", [0, 3, line_dedup.PAIRWISE, 10**9])
+def test_similar_sets_by_definition(monkeypatch, pairwise):
+    monkeypatch.setattr(line_dedup, "PAIRWISE", pairwise)
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 400, 60)
+
+    def sets() -> list[np.ndarray]:
+        shares = draw.choice([0.95, 0.5], draw.integers(1, 20))
+        return [np.unique(np.r_[base[draw.random(60) < s], draw.integers(0, 2000, 9)]).astype(np.uint64) for s in shares]
+
+    for _ in range(20):
+        left, right = sets(), sets()
+        expected = [[len({*a} & {*b}) >= 0.8 * len({*a} | {*b}) - 1e-9 for b in right] for a in left]
+        assert line_dedup.similar(left, right, 0.8).tolist() == expected
+
+
+def test_lines_left_apart_meet_those_of_their_bands(spark):
+    """A cluster of chance links between families of lines, with another block than all of it."""
+    draw = random.Random(9)
+    words = ["".join(draw.choices("abcdefghijklmnop", k=6)) for _ in range(400)]
+    families = []
+    for _ in range(12):
+        common = words[:14]  # makes chance links between families
+        families.append(common + draw.sample(words, 8))
+    lines = []
+    for family in families:
+        for _ in range(12):
+            line = list(family)
+            for _ in range(draw.randrange(2)):
+                line[draw.randrange(len(line))] = draw.choice(words)
+            lines.append(" ".join(line))
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = {r.node % 2**64: r.component for r in line_dedup.components(docs, block=16).collect()}
+    distinct = list(dict.fromkeys(lines))
+    sets = [set(s.tolist()) for s in line_dedup._sets(distinct)]
+    near = np.array([[len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets] for a in sets])
+    x, y = np.nonzero(near)
+    expected = components.roots(x, y, len(distinct))
+    keys = line_dedup.keys_of(distinct).tolist()
+    label = [found.get(k, f"alone {k}") for k in keys]
+    for i in range(len(keys)):
+        for j in range(i):
+            assert (label[i] == label[j]) == (expected[i] == expected[j])
+
+
+def test_tokenizer_files_of_another_kind_raise(spark):
+    docs = spark.createDataFrame([(1, "text")], "doc_id long, text string")
+    with pytest.raises(ValueError, match="normalizer, pre_tokenizer"):
+        bpe.encode_decode(docs, queries.tokenizer_path("word_bpe_49k.json"))
+
+
 def test_large_clusters_of_lines_are_compared_in_blocks(spark):
     line = "the quick brown fox jumps over the lazy dog number one two three {} and then goes home again to sleep well"
     other = "an altogether different line that shares nothing with the others but this part {}, and its end as well"

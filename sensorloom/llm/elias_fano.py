@@ -80,14 +80,21 @@ class EliasFano:
         place = word * 64 + select_in_word(~self.high[word], k - self.zeros[word])
         return np.where(bucket > 0, place - k, 0)
 
-    def find(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Whether each value is there, and its (first) place or the place of its successor."""
+    def find(
+        self, values: np.ndarray, first: np.ndarray | None = None, end: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each value is there, and its (first) place or the place of its successor.
+
+        With ``first`` and ``end`` each value is looked for from place first to before end alone.
+        """
         if not self.n:
             return np.zeros(len(values), bool), np.zeros(len(values), np.int64)
         values = values.astype(np.uint64)
         wide = values >> np.uint64(self.width)
         bucket = np.minimum(wide, np.uint64(self.buckets)).astype(np.int64)
         low, high = self._begin(bucket), np.minimum(self._begin(bucket + 1), self.n)
+        if first is not None:
+            low, high = np.maximum(low, first), np.minimum(high, end)
         end = high.copy()
         target = values & np.uint64((1 << self.width) - 1)
         open_ = np.flatnonzero(low < high)

@@ -5,7 +5,8 @@ shards of their contexts, those of the training texts with counts. A shard sums
 over all blocks, lays them out as a trie of two levels (contexts; successors of each context,
 coded relative to it, with quantised smoothed probabilities), and answers the blocks from it.
 Blocks then put scores together. No model is ever whole in one place: a shard is bounded by
-its size, and the successors of frequent words are dealt over all shards.
+its size, and the successors of a frequent word are dealt over as many shards as its own count
+takes.
 """
 
 from __future__ import annotations
@@ -35,9 +36,9 @@ SHARD_TOKENS = 1_000_000
 #: Weight of the unigram model in a context, in tokens.
 MU = 50.0
 
-#: Words of at least this share of all tokens may have their successors dealt over shards,
-#: so that there are at most 100,000 of them.
-LEAST_HOT_SHARE = 1e-5
+#: Words of at least this share of all tokens, at most 100,000, are broadcast with their counts.
+#: Other words whose successors are dealt over shards reach the blocks that hold them by a join.
+BROADCAST_SHARE = 1e-5
 
 #: Levels that a log10 probability is rounded to; code 0 is "not there".
 CODES, LOWEST = 255, -12.0
@@ -62,6 +63,7 @@ SENT = T.StructType(
         T.StructField("block", T.LongType()),
         T.StructField("contexts", T.BinaryType()),
         T.StructField("counts", T.BinaryType()),
+        T.StructField("dealt", T.BinaryType()),
         T.StructField("sizes", T.BinaryType()),
         T.StructField("successors", T.BinaryType()),
         T.StructField("pairs", T.BinaryType()),
@@ -80,13 +82,13 @@ ANSWER = T.StructType(
 )
 
 
-def planes(values: np.ndarray) -> bytes:
-    """32-bit numbers as four planes of bytes, which compress well where numbers are small."""
-    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+def planes(values: np.ndarray, size: int = 4) -> bytes:
+    """Numbers of ``size`` bytes as planes of bytes, which compress well where numbers are small."""
+    return np.ascontiguousarray(values.astype(f"<u{size}").view(np.uint8).reshape(-1, size).T).tobytes()
 
 
-def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+def from_planes(data: bytes, size: int = 4) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(f"<u{size}").ravel()
 
 
 class _Words(dict):
@@ -147,22 +149,46 @@ def blocks_of(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", text, "held_out").mapInArrow(run, schema)
 
 
+class Dealt:
+    """Words whose successors are dealt over several shards: sorted hashes, counts in the
+    training texts, numbers of shards."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, pieces: np.ndarray):
+        order = np.argsort(words)
+        self.words, self.counts, self.pieces = words[order], counts[order], pieces[order]
+
+    def __add__(self, more: list | None) -> Dealt:
+        """With ``more``, the (word, count, pieces) that a block got by the join."""
+        if not more:
+            return self
+        words = np.array([m["word"] for m in more], np.int64).view(np.uint64)
+        counts, pieces = (np.array([m[name] for m in more], np.int64) for name in ("count", "pieces"))
+        mine = ((self.words, words), (self.counts, counts), (self.pieces, pieces))
+        return Dealt(*(np.concatenate(both) for both in mine))
+
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Whether each word is one of them, its count and its number of shards (else 0 and 1)."""
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        there = self.words[at] == hashes
+        return there, np.where(there, self.counts[at], 0), np.where(there, self.pieces[at], 1)
+
+
 class Block:
     """A block's row unpacked, and its distinct bigrams in the order of their shards."""
 
-    def __init__(self, row: dict, shards: int, hot: np.ndarray):
+    def __init__(self, row: dict, shards: int, broadcast: Dealt):
         self.held = np.frombuffer(row["held"], bool)
         self.sizes = np.frombuffer(row["sizes"], "<u4").astype(np.int64)
         self.hashes = np.append(np.frombuffer(row["vocabulary"], np.uint64), START)
-        self.trained = np.append(from_planes(row["trained"]).astype(np.int64), 0)
-        self.trained[-1] = int((~self.held).sum())
+        self.is_dealt, known, pieces = (broadcast + row["split"]).of(self.hashes)
+        # Of a dealt word the count over all blocks, of the others that in this block.
+        self.trained = np.where(self.is_dealt, known, np.append(from_planes(row["trained"]).astype(np.int64), 0))
         tokens = from_planes(row["tokens"]).astype(np.int64)
         self.tokens = tokens
         before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
         before[np.cumsum(self.sizes) - self.sizes] = len(self.hashes) - 1
         self.before = before
-        self.is_hot = hot[np.minimum(np.searchsorted(hot, self.hashes), len(hot) - 1)] == self.hashes
         held = np.repeat(self.held, self.sizes)
         # Sorted by context and successor; the last bit tells held-out occurrences.
         self.order = np.argsort((before << 32 | tokens) << 1 | held, kind="stable")
@@ -173,10 +199,11 @@ class Block:
         counts = np.add.reduceat((~held)[self.order].astype(np.int64), self.begins)
         context, successor = pair >> 32, pair & 0xFFFFFFFF
         short = (self.hashes[successor] >> np.uint64(32)).astype(np.uint32)
-        home = self.hashes[context] * _MIX
-        dealt = (self.hashes[context] ^ (self.hashes[successor] * _MIX)) * _MIX
-        place = np.where(self.is_hot[context], dealt, home) >> np.uint64(32)
-        shard = (place * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+        home = (self.hashes[context] * _MIX) >> np.uint64(32)
+        home = (home * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+        place = ((self.hashes[context] ^ (self.hashes[successor] * _MIX)) * _MIX) >> np.uint64(32)
+        piece = (place * pieces[context].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
+        shard = (home + piece) % shards
         # By shard, context hash and successor: the order in which a shard answers.
         self.by_shard = np.lexsort((short, self.hashes[context], shard))
         self.shard, self.context = shard[self.by_shard], context[self.by_shard]
@@ -193,16 +220,20 @@ class Block:
     def sent(self, block: int) -> Iterator[list]:
         for shard, span, contexts, sizes in self.runs():
             yield [
-                shard, block, self.hashes[contexts].tobytes(), planes(self.trained[contexts]), planes(sizes),
-                self.short[span].tobytes(), planes(self.counts[span]),
+                shard, block, self.hashes[contexts].tobytes(), planes(self.trained[contexts], 8),
+                self.is_dealt[contexts].tobytes(), planes(sizes), self.short[span].tobytes(),
+                planes(self.counts[span]),
             ]
 
 
 class Trie:
     """Contexts and their successors in two Elias-Fano levels.
 
-    ``find`` gives for each bigram the code of log10(c(v, w) / (c(v) + mu)), found by the
-    context's rank and the successor's place within the context's range of pointers.
+    A context's successors lie between its pointer and the next one, each as its hash plus the
+    last number of the context before, so that the level ascends with far smaller numbers than
+    hashes behind ranks would be; what a number means follows from the range it lies in alone.
+    ``find`` gives for each bigram the code of log10(c(v, w) / (c(v) + mu)): it takes the
+    context's range from the pointers and looks for the successor's number within it.
     """
 
     def __init__(
@@ -217,24 +248,27 @@ class Trie:
         """``context`` (index into ``own``, the sorted hashes with their ``totals``), ``successor``
         and ``counts`` by bigram, sorted by both, no bigram twice."""
         self.contexts = EliasFano(own)
-        self.pointers = EliasFano(np.searchsorted(context, np.arange(len(own) + 1)).astype(np.uint64))
-        self.successors = EliasFano((context.astype(np.uint64) << np.uint64(32)) | successor)
+        first = np.searchsorted(context, np.arange(len(own) + 1))
+        self.pointers = EliasFano(first.astype(np.uint64))
+        last = np.zeros(len(own) + 1, np.uint64)
+        full = np.flatnonzero(np.diff(first))
+        last[full + 1] = successor[first[full + 1] - 1]
+        self.successors = EliasFano(np.cumsum(last, dtype=np.uint64)[context] + successor)
         share = np.log10(counts / (totals[context] + mu)) if len(counts) else np.zeros(0)
         self.codes = (1 + np.rint((np.clip(share, LOWEST, 0) / LOWEST) * (CODES - 1))).astype(np.uint8)
 
     def find(self, contexts: np.ndarray, sizes: np.ndarray, successors: np.ndarray) -> np.ndarray:
         known, rank = self.contexts.find(contexts)
-        row, there = np.repeat(rank, sizes), np.repeat(known, sizes)
         result = np.zeros(len(successors), np.uint8)
-        asked = np.flatnonzero(there)
+        asked = np.flatnonzero(np.repeat(known, sizes))
         if len(asked) and self.successors.n:
-            keys = (row[asked].astype(np.uint64) << np.uint64(32)) | successors[asked]
-            found, place = self.successors.find(keys)
-            first = self.pointers.get(rank[known]).astype(np.int64)
-            end = self.pointers.get(rank[known] + 1).astype(np.int64)
-            sizes = sizes[known]
-            inside = (place >= np.repeat(first, sizes)) & (place < np.repeat(end, sizes))
-            result[asked] = np.where(found & inside, self.codes[np.minimum(place, self.successors.n - 1)], 0)
+            rank, sizes = rank[known], sizes[known]
+            first = self.pointers.get(rank).astype(np.int64)
+            end = self.pointers.get(rank + 1).astype(np.int64)
+            before = np.where(first > 0, self.successors.get(np.maximum(first - 1, 0)), np.uint64(0))
+            first, end, before = (np.repeat(x, sizes) for x in (first, end, before))
+            found, place = self.successors.find(before + successors[asked], first, end)
+            result[asked[found]] = self.codes[place[found]]
         return result
 
 
@@ -243,7 +277,7 @@ def probability_of(codes: np.ndarray) -> np.ndarray:
     return np.where(codes > 0, 10.0 ** ((codes.astype(np.float64) - 1) / (CODES - 1) * LOWEST), 0.0)
 
 
-def _answered(hot: np.ndarray, hot_counts: np.ndarray, mu: float):
+def _answered(mu: float):
     """Builds the trie of one shard from the rows that blocks sent, and answers each of them."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -252,12 +286,14 @@ def _answered(hot: np.ndarray, hot_counts: np.ndarray, mu: float):
         sizes = [from_planes(x).astype(np.int64) for x in rows["sizes"]]
         successors = [np.frombuffer(x, np.uint32) for x in rows["successors"]]
         own, at = np.unique(np.concatenate(contexts), return_inverse=True)
-        totals = np.bincount(at, np.concatenate([from_planes(x) for x in rows["counts"]]), len(own)).astype(np.int64)
-        place = np.minimum(np.searchsorted(hot, own), len(hot) - 1)
-        is_hot = hot[place] == own
-        rare = totals[~is_hot]  # all words that are counted in this shard alone
+        sent = np.concatenate([from_planes(x, 8) for x in rows["counts"]]).astype(np.int64)
+        of_dealt = np.concatenate([np.frombuffer(x, bool) for x in rows["dealt"]])
+        is_dealt = np.zeros(len(own), bool)
+        is_dealt[at[of_dealt]] = True
+        totals = np.bincount(at, sent, len(own)).astype(np.int64)
+        totals[at[of_dealt]] = sent[of_dealt]
+        rare = totals[~is_dealt]  # all words that are counted in this shard alone
         words, once, twice = (rare > 0).sum(), (rare == 1).sum(), (rare == 2).sum()
-        totals = np.where(is_hot, hot_counts[place], totals)
         key = np.repeat(at.astype(np.uint64), np.concatenate(sizes)) << np.uint64(32) | np.concatenate(successors)
         counts = np.concatenate([from_planes(x) for x in rows["pairs"]]).astype(np.int64)
         key, counts = key[counts > 0], counts[counts > 0]
@@ -272,7 +308,7 @@ def _answered(hot: np.ndarray, hot_counts: np.ndarray, mu: float):
         for block, c, s, w in zip(rows["block"], contexts, sizes, successors):
             _, rank = trie.contexts.find(c)
             codes = trie.find(c, s, w.astype(np.uint64))
-            answers.append((block, shard, planes(totals[rank]), codes.tobytes(), None, None, None))
+            answers.append((block, shard, planes(totals[rank], 8), codes.tobytes(), None, None, None))
         answers.append((None, shard, b"", b"", int(words), int(once), int(twice)))
         return pd.DataFrame(answers, columns=ANSWER.names)
 
@@ -293,24 +329,30 @@ def score(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS) ->
     lengths = blocks.select(F.octet_length("tokens").alias("n"), F.octet_length("held").alias("docs"))
     total = (lengths.agg(F.sum("n")).first()[0] or 0) // 4
     shards = max(24, total // SHARD_TOKENS)
-    hot, hot_counts, trained, documents = _hot(blocks, total, max(1 / (4 * shards), LEAST_HOT_SHARE))
-    shared = spark.sparkContext.broadcast((hot, hot_counts))
+    dealt, split, trained, documents = _dealt(blocks, total, shards)
+    shared = spark.sparkContext.broadcast(dealt)
+    if split is None:
+        told_blocks = blocks.withColumn("split", F.lit(None).cast("array<struct<word:long,count:long,pieces:long>>"))
+    else:
+        by_block = split.groupBy("block").agg(F.collect_list(F.struct("word", "count", "pieces")).alias("split"))
+        told_blocks = write_table(blocks.join(by_block, "block", "left"), "split_blocks")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                for values in Block(row, shards, shared.value[0]).sent(row["block"]):
+                for values in Block(row, shards, shared.value).sent(row["block"]):
                     yield batch_of(SENT, *([v] for v in values))
 
-    needed = blocks.select(*BLOCK.names)
-    sent = needed.mapInArrow(send, SENT)
-    dealt = sent.repartition(shards, "shard").groupBy("shard")
-    answers = write_table(dealt.applyInPandas(_answered(hot, hot_counts, mu), ANSWER), "answers")
+    sent = told_blocks.drop("keys").mapInArrow(send, SENT).repartition(shards, "shard").groupBy("shard")
+    answers = write_table(sent.applyInPandas(_answered(mu), ANSWER), "answers")
     told = answers.filter("block is null").agg(F.sum("words"), F.sum("once"), F.sum("twice")).first()
-    special = np.append(hot_counts[hot != START], documents)  # with the end, which is no context
-    words, once, twice = (
-        int(x or 0) + int(y) for x, y in zip(told, ((special > 0).sum(), (special == 1).sum(), (special == 2).sum()))
-    )
+    # The start is no word; the end is one, and no context.
+    special = np.append(dealt.counts[dealt.words != START], documents)
+    more = [(special > 0).sum(), (special == 1).sum(), (special == 2).sum()]
+    if split is not None:
+        counts = split.select("word", "count").distinct()
+        more = np.add(more, counts.agg(*(F.count_if(F.expr(x)) for x in ("count > 0", "count = 1", "count = 2"))).first())
+    words, once, twice = (int(x or 0) + int(y) for x, y in zip(told, more))
     discount = once / (once + 2 * twice) if once and twice else 0.5
     key = blocks.schema["keys"].dataType.elementType
     schema = T.StructType(
@@ -325,18 +367,16 @@ def score(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS) ->
     )
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
-        hot, hot_counts = shared.value
         given = {r["shard"]: r for r in right.select(["shard", "counts", "codes"]).to_pylist()}
         parts = []
         for row in left.to_pylist():
-            block = Block(row, shards, hot)
+            block = Block(row, shards, shared.value)
             counts = np.zeros(len(block.hashes), np.int64)
             codes = np.zeros(len(block.context), np.uint8)
             for shard, span, contexts, _ in block.runs():
-                counts[contexts] = from_planes(given[shard]["counts"])
+                counts[contexts] = from_planes(given[shard]["counts"], 8)
                 codes[span] = np.frombuffer(given[shard]["codes"], np.uint8)
-            place = np.minimum(np.searchsorted(hot, block.hashes), len(hot) - 1)
-            counts = np.where(block.is_hot, hot_counts[place], counts)
+            counts = np.where(block.is_dealt, block.trained, counts)
             counts[block.hashes == END] = documents
             pair = np.empty(len(codes), np.float64)
             pair[block.by_shard] = probability_of(codes)
@@ -356,44 +396,70 @@ def score(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS) ->
         return pa.Table.from_batches(parts, schema=to_arrow_schema(schema))
 
     answered = answers.filter("block is not null").groupBy("block")
-    return blocks.groupBy("block").cogroup(answered).applyInArrow(finish, schema)
+    return told_blocks.groupBy("block").cogroup(answered).applyInArrow(finish, schema)
 
 
-def _hot(blocks: DataFrame, total: int, share: float) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Words of at least ``share`` of all tokens (and the start), as sorted hashes with their
-    exact counts in the training texts; the number of training tokens and of training texts."""
-    schema = T.StructType([T.StructField("word", T.LongType()), T.StructField("n", T.LongType())])
+def _vocabularies(blocks: DataFrame, least: float = 0.0) -> DataFrame:
+    """word, count (in training texts) and n (in all) of each block's words of at least half the
+    share ``least`` of its tokens."""
+    schema = T.StructType([T.StructField(name, T.LongType()) for name in ("block", "word", "count", "n")])
 
-    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 tokens = from_planes(row["tokens"])
                 n = np.bincount(tokens)
-                some = np.flatnonzero(2 * n >= share * len(tokens))
-                yield batch_of(schema, np.frombuffer(row["vocabulary"], np.int64)[some], n[some])
+                some = np.flatnonzero(2 * n >= least * len(tokens))
+                words = np.frombuffer(row["vocabulary"], np.int64)[some]
+                counts = from_planes(row["trained"]).astype(np.int64)[some]
+                yield batch_of(schema, np.full(len(some), row["block"]), words, counts, n[some])
+
+    return blocks.select("block", "vocabulary", "trained", "tokens").mapInArrow(run, schema)
+
 
-    found = blocks.select("vocabulary", "tokens").mapInArrow(frequent, schema).groupBy("word").agg(F.sum("n").alias("n"))
-    words = [r["word"] for r in found.filter(F.col("n") >= share * total).select("word").collect()]
-    hot = np.unique(np.append(np.array(words, np.int64).view(np.uint64), START))
-    hot = hot[hot != END]
+def _dealt(blocks: DataFrame, total: int, shards: int) -> tuple[Dealt, DataFrame | None, int, int]:
+    """The words whose successors are dealt over several shards, four for each share that a
+    shard has of all tokens: those of at least BROADCAST_SHARE and the start here, the others as
+    a written table of block, word, count and pieces, or None if there are none; the number of
+    training tokens and of training texts.
+
+    The counts in the training texts are exact. The word before the first one of a text is the
+    start; the end is no context.
+    """
+    share = 1 / (4 * shards)
+    often = _vocabularies(blocks, share).groupBy("word").agg(F.sum("n").alias("n"))
+    pieces = F.least(F.lit(shards), F.ceil(F.col("n") / (share * max(total, 1)))).cast("long").alias("pieces")
+    often = often.filter((F.col("n") >= share * total) & (F.col("word") != int(END))).select("word", "n", pieces)
+    often = write_table(often, "often")
+    most = BROADCAST_SHARE * total
+    rows = often.filter(F.col("n") >= most).collect()
+    words = np.array([r["word"] for r in rows] + [int(START)], np.int64).view(np.uint64)
+    known = Dealt(words, np.zeros(len(words), np.int64), np.array([r["pieces"] for r in rows] + [shards], np.int64))
+    schema = T.StructType([T.StructField("word", T.LongType()), T.StructField("n", T.LongType())])
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(len(hot) + 2, np.int64)
+        sums = np.zeros(len(known.words) + 2, np.int64)
         for batch in batches:
             for row in batch.to_pylist():
                 counts = from_planes(row["trained"]).astype(np.int64)
                 hashes = np.frombuffer(row["vocabulary"], np.uint64)
-                at = np.minimum(np.searchsorted(hot, hashes), len(hot) - 1)
-                same = hot[at] == hashes
+                at = np.minimum(np.searchsorted(known.words, hashes), len(known.words) - 1)
+                same = known.words[at] == hashes
                 np.add.at(sums, at[same], counts[same])
                 sums[-2] += counts.sum()
                 sums[-1] += int((~np.frombuffer(row["held"], bool)).sum())
         yield batch_of(schema, np.arange(len(sums)), sums)
 
     counted = blocks.select("vocabulary", "trained", "held").mapInArrow(exact, schema)
-    rows = counted.groupBy("word").agg(F.sum("n").alias("n"))
-    sums = np.zeros(len(hot) + 2, np.int64)
-    for row in rows.collect():
+    sums = np.zeros(len(known.words) + 2, np.int64)
+    for row in counted.groupBy("word").agg(F.sum("n").alias("n")).collect():
         sums[row["word"]] = row["n"]
-    sums[:-2][hot == START] = sums[-1]
-    return hot, sums[:-2], int(sums[-2]), int(sums[-1])
+    known.counts = sums[:-2]
+    known.counts[known.words == START] = sums[-1]
+    others, split = often.filter(F.col("n") < most), None
+    if not others.isEmpty():
+        held = _vocabularies(blocks).drop("n").join(others.select("word", "pieces"), "word")
+        held = write_table(held, "held_words")
+        counts = held.groupBy("word").agg(F.sum("count").alias("count"))
+        split = write_table(held.drop("count").join(counts, "word"), "split_words")
+    return known, split, int(sums[-2]), int(sums[-1])

@@ -282,12 +282,49 @@ def test_language_model_by_brute_force(spark, documents):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_frequent_words_are_dealt_over_shards(spark):
+def test_trie_answers_from_the_range_of_a_context():
+    """Numbers of successors meet those of the next context, so the pointers decide."""
+    random = np.random.default_rng(6)
+    own = np.sort(random.choice(1 << 62, 60, replace=False).astype(np.uint64))
+    pairs = {(int(c), int(s)) for c, s in zip(random.integers(0, 50, 700), random.integers(0, 40, 700))}
+    pairs |= {(55, 0), (57, (1 << 32) - 1), (58, 0)}
+    counts = {p: int(random.integers(1, 1000)) for p in pairs}
+    context, successor = np.array(sorted(pairs)).T
+    totals = random.integers(1000, 2000, 60)
+    trie = language_model.Trie(
+        context, successor.astype(np.uint64), np.array([counts[p] for p in sorted(pairs)]), totals, own, 50.0
+    )
+    asked = np.array([0, 1, 7, 20, 39, 40, 45, 46, 80, 1000, (1 << 32) - 1], np.uint64)
+    contexts = np.append(own, own[:5] + np.uint64(1))  # the last ones are not there
+    codes = trie.find(contexts, np.full(65, len(asked)), np.tile(asked, 65))
+    found = language_model.probability_of(codes).reshape(65, -1)
+    for i in range(65):
+        for j, s in enumerate(asked.tolist()):
+            p = counts[i, s] / (totals[i] + 50) if (i, s) in pairs else 0
+            assert found[i, j] == pytest.approx(p, rel=0.06)
+
+
+@pytest.mark.parametrize("share", (1e-5, 2.0))
+def test_frequent_words_are_dealt_over_shards(spark, monkeypatch, share):
+    """The same scores whether the words are broadcast or reach the blocks by a join."""
+    monkeypatch.setattr(language_model, "BROADCAST_SHARE", share)
     docs = spark.createDataFrame([(i, f"the w{i} the x{i % 50} the") for i in range(400)], "doc_id long, text string")
     docs = docs.withColumn("held_out", docs["doc_id"] % 4 == 0)
     small = {r.doc_id: r.score for r in language_model.score(docs, block_tokens=200).collect()}
     whole = {r.doc_id: r.score for r in language_model.score(docs).collect()}
     assert small == pytest.approx(whole)
+    texts = {r.doc_id: r.text.split() for r in docs.collect()}
+    c = Counter(w for i, t in texts.items() if i % 4 for w in [*t, "end"])
+    pairs = Counter(p for i, t in texts.items() if i % 4 for p in zip(["start", *t], [*t, "end"]))
+    c["start"], total, mu = 300, c.total(), language_model.MU
+    once, twice = (sum(n == k for w, n in c.items() if w != "start") for k in (1, 2))
+    discount = once / (once + 2 * twice) if once and twice else 0.5
+    for i, t in texts.items():
+        p = [
+            (pairs[v, w] + mu * (c[w] - discount if c[w] else discount * (len(c) - 1)) / total) / (c[v] + mu)
+            for v, w in zip(["start", *t], [*t, "end"])
+        ]
+        assert abs(small[i] - sum(map(math.log10, p))) <= 0.03 * len(p)
 
 
 def test_bpe_is_the_library(spark):

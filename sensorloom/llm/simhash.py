@@ -3,7 +3,9 @@
 Equal fingerprints are one. The others are cut into cells by the bit counts of their parts:
 two fingerprints of at most ``radius`` differing bits differ by at most that much in the
 sum over the parts' bit counts, so that all other pairs of cells are skipped. Cells are cut
-into tiles; a pair of tiles is compared in whole by exclusive-or and bit counts.
+into panels, and each pair of panels is dealt to a task, as a grid. There a panel is ordered by
+the bit counts of its eight bytes and cut into tiles; pairs of tiles whose counts differ by more
+than the radius are skipped, others compared in whole by exclusive-or and bit counts.
 """
 
 from __future__ import annotations
@@ -26,8 +28,14 @@ SHINGLE = 4
 SEED = 42
 RADIUS = 4
 
-#: Fingerprints of a tile, about.
-TILE = 8_192
+#: Fingerprints of a tile.
+TILE = 1_024
+
+#: Tiles of a panel, about.
+SIDE = 128
+
+#: Pairs of fingerprints and bytes of panels that a task is made for.
+TASK_PAIRS, TASK_BYTES = 20_000_000_000, 64 << 20
 
 #: From this many distinct fingerprints on, cells are by four parts in place of two.
 FINE = 4_000_000
@@ -82,16 +90,44 @@ def near(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.ndar
     return np.concatenate(left), np.concatenate(right)
 
 
-def compared(a: np.ndarray, b: np.ndarray, radius: int, same: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join the same fingerprints as all pairs within the radius do, at most one
-    for each fingerprint."""
-    x, y = near(a, b, radius, same)
-    if len(x) <= 1:
-        return a[x], b[y]
-    nodes = np.unique(np.concatenate([a[x], b[y]]))
-    label = roots(np.searchsorted(nodes, a[x]), np.searchsorted(nodes, b[y]), len(nodes))
-    linked = label != np.arange(len(nodes))
-    return nodes[linked], nodes[label[linked]]
+def linked(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the same fingerprints as a with b do, at most one for each fingerprint."""
+    if len(a) <= 1:
+        return a, b
+    nodes = np.unique(np.concatenate([a, b]))
+    label = roots(np.searchsorted(nodes, a), np.searchsorted(nodes, b), len(nodes))
+    joined = label != np.arange(len(nodes))
+    return nodes[joined], nodes[label[joined]]
+
+
+def tiles_of(fps: np.ndarray, tile: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The fingerprints ordered by the bit counts of their bytes, and the lowest and highest
+    count of each byte in each tile."""
+    counts = np.bitwise_count(fps.view(np.uint8).reshape(-1, 8)).astype(np.int8)
+    order = np.lexsort(counts.T)
+    counts, begins = counts[order], np.arange(0, len(fps), tile)
+    return fps[order], np.minimum.reduceat(counts, begins), np.maximum.reduceat(counts, begins)
+
+
+def compared(a: np.ndarray, b: np.ndarray, radius: int, same: bool, tile: int = TILE) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the same fingerprints as all pairs of two panels within the radius do,
+    at most one for each fingerprint. Two fingerprints differ by at least as many bits as their
+    bytes' counts differ in sum, so that tiles further apart than the radius are skipped."""
+    a, low, high = tiles_of(a, tile)
+    b, other_low, other_high = (a, low, high) if same else tiles_of(b, tile)
+    left, right = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+    for i in range(len(low)):
+        apart = np.maximum(np.maximum(other_low - high[i], low[i] - other_high), 0).sum(axis=1)
+        for j in np.flatnonzero(apart <= radius).tolist():
+            if same and j < i:
+                continue
+            one, other = a[i * tile : (i + 1) * tile], b[j * tile : (j + 1) * tile]
+            x, y = near(one, other, radius, same and i == j)
+            if len(x):
+                x, y = linked(one[x], other[y])
+                left.append(x)
+                right.append(y)
+    return linked(np.concatenate(left), np.concatenate(right))
 
 
 def cell_of(fp: Column, parts: int) -> Column:
@@ -117,48 +153,59 @@ def later_offsets(parts: int, radius: int) -> list[int]:
     return sorted(found)
 
 
-def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
+def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, side: int = SIDE) -> DataFrame:
     """Links (a, b) whose components are those of all pairs within the radius.
 
     ``distinct`` has each fingerprint once, in a written table. The directory of cells has
-    at most 1,089 rows for two parts and 83,521 for four, whatever the input.
+    at most 1,089 rows for two parts and 83,521 for four, whatever the input. A panel is shipped
+    once for each panel that it is compared with, and each such pair has its own key.
     """
     spark = distinct.sparkSession
-    n = distinct.count()
-    parts = 4 if n >= FINE else 2
+    parts = 4 if distinct.count() >= FINE else 2
     celled = distinct.select("fp", cell_of(F.col("fp"), parts).alias("cell"))
-    directory = write_table(
-        celled.groupBy("cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles")), "cells"
-    )
-    salted = celled.join(F.broadcast(directory), "cell").withColumn(
-        "tile", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int")
-    )
-    tiles = write_table(salted.groupBy("cell", "tile").agg(F.collect_list("fp").alias("fps")), "tiles")
-    ahead = tiles.select(
-        F.col("fps").alias("left"),
-        F.col("cell").alias("own"),
-        F.col("tile").alias("own_tile"),
-        F.explode(F.array(*(F.lit(o).cast("long") for o in later_offsets(parts, radius)))).alias("offset"),
-    ).withColumn("cell", F.col("own") + F.col("offset"))
-    ahead = ahead.join(F.broadcast(directory), "cell").withColumn(
-        "tile", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    sizes = celled.groupBy("cell").agg(F.count("*").alias("n"))
+    directory = write_table(sizes.withColumn("panels", F.ceil(F.col("n") / (tile * side))), "cells")
+    salted = celled.join(F.broadcast(directory), "cell").withColumn("panel", F.pmod(F.xxhash64("fp"), F.col("panels")))
+    panels = write_table(salted.groupBy("cell", "panel").agg(F.collect_list("fp").alias("fps")), "panels")
+    steps = F.explode(F.array(*(F.lit(o).cast("long") for o in later_offsets(parts, radius))))
+    met = directory.select(F.col("cell").alias("met"), F.col("n").alias("met_n"), F.col("panels").alias("met_panels"))
+
+    # Work and bytes of all pairs of panels, for the number of tasks.
+    pairs = directory.withColumn("step", steps).withColumn("met", F.col("cell") + F.col("step"))
+    work, shipped = (
+        pairs.join(F.broadcast(met), "met")
+        .agg(F.sum(F.col("n").cast("double") * F.col("met_n")), F.sum(F.expr("8D * (n * met_panels + met_n * panels)")))
+        .first()
     )
-    ahead = ahead.filter("own <> cell or own_tile <= tile")
     least = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    width = max(least, n // tile)
-    pairs = ahead.repartition(width, "cell", "tile").join(tiles.repartition(width, "cell", "tile"), ["cell", "tile"])
-    pairs = pairs.select("left", F.col("fps").alias("right"), F.expr("own = cell and own_tile = tile").alias("same"))
+    width = max(least, int((work or 0) // TASK_PAIRS), int((shipped or 0) // TASK_BYTES))
+
+    def dealt(sign: int, name: str, own: str, other: str) -> DataFrame:
+        """Each panel for each one that it meets, ``sign`` steps ahead of or behind it."""
+        far = panels.withColumn("step", steps).withColumn("met", F.col("cell") + sign * F.col("step"))
+        each = F.explode(F.expr("sequence(0L, met_panels - 1)"))
+        far = far.join(F.broadcast(met), "met").withColumn("met_panel", each)
+        far = far.select(
+            F.col("cell").alias(own), F.col("panel").alias(f"{own}_panel"), F.col("met").alias(other),
+            F.col("met_panel").alias(f"{other}_panel"), F.col("fps").alias(name),
+        )
+        return far.filter("ahead <> behind or behind_panel <= ahead_panel").repartition(width, *keys)
+
+    keys = ["behind", "behind_panel", "ahead", "ahead_panel"]
+    joined = dealt(1, "left", "behind", "ahead").join(dealt(-1, "right", "ahead", "behind"), keys)
+    same = F.expr("behind = ahead and behind_panel = ahead_panel").alias("same")
+    joined = joined.select("left", "right", same)
     schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 a, b = (batch.column(c)[i].values.to_numpy().view(np.uint64) for c in (0, 1))
-                x, y = compared(a, b, radius, batch.column(2)[i].as_py())
+                x, y = compared(a, b, radius, batch.column(2)[i].as_py(), tile)
                 if len(x):
                     yield batch_of(schema, x.view(np.int64), y.view(np.int64))
 
-    return pairs.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema)
 
 
 def _placed(hashed: DataFrame, least: Column, radius: int) -> DataFrame:

@@ -45,11 +45,13 @@ def test_simhash_components_by_brute_force(spark, monkeypatch, parts):
     draw = np.random.default_rng(3)
     base = draw.integers(0, 2**63, 60, np.int64)
     near = base[draw.integers(0, 60, 240)] ^ (1 << draw.integers(0, 63, 240)) ^ (1 << draw.integers(0, 63, 240))
-    fps = np.unique(np.concatenate([base, near, [0, -1, 1, -2]]))
+    # 64 fingerprints of one cell, so of several panels.
+    crowd = [0x00FF00FF00FF00FF ^ (1 << i) ^ (1 << j) for i in range(8) for j in range(8, 16)]
+    fps = np.unique(np.concatenate([base, near, [0, -1, 1, -2], crowd]))
     if parts == 4:
         monkeypatch.setattr(simhash, "FINE", 0)
     table = spark.createDataFrame([(int(f),) for f in fps], "fp long")
-    found = components.connected(simhash.links(table, 4, tile=16)).collect()
+    found = components.connected(simhash.links(table, 4, tile=8, side=2)).collect()
     label = {r.node: r.component for r in found}
     bits = fps.view(np.uint64)
     x, y = np.nonzero(np.bitwise_count(bits[:, None] ^ bits[None, :]) <= 4)
@@ -60,6 +62,25 @@ def test_simhash_components_by_brute_force(spark, monkeypatch, parts):
         assert label.get(fp, fp) == int(fps[expected == expected[i]].min())
 
 
+@pytest.mark.parametrize("same", (True, False))
+def test_skipped_tiles_lose_no_link(same):
+    draw = np.random.default_rng(4)
+    base = draw.integers(0, 2**63, 400, np.uint64)
+    flips = np.uint64(1) << draw.integers(0, 64, (3, 400)).astype(np.uint64)
+    a, b = base, np.unique(base ^ flips[0] ^ flips[1])
+    if same:
+        a = b = np.unique(np.concatenate([base, base ^ flips[0], base ^ np.bitwise_xor.reduce(flips)]))
+    x, y = np.nonzero(np.bitwise_count(a[:, None] ^ b[None, :]) <= 4)
+    nodes = np.unique(np.concatenate([a, b]))
+
+    def labels(one, other):
+        return components.roots(np.searchsorted(nodes, one), np.searchsorted(nodes, other), len(nodes))
+
+    found = simhash.compared(a, b, 4, same, tile=16)
+    assert len(found[0]) < len(nodes)
+    assert (labels(*found) == labels(a[x], b[y])).all()
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(7, 7), (3, 2), (2, 3)]
     linked = components.connected(spark.createDataFrame(edges, "a long, b long"))

@@ -18,7 +18,7 @@ from sensorloom.operators import state as S
 from sensorloom.operators import validation as V
 from sensorloom.plans import views
 from sensorloom.plans.retraining import retrain
-from sensorloom.session import work_dir
+from sensorloom.session import spread, work_dir
 from sensorloom.sources import sinks
 from sensorloom.sources.messages import bounded, landed_messages
 from sensorloom.sources.tables import EVENTS, scan_events, scan_to_count, stream_events
@@ -155,7 +155,7 @@ FILES = 5
 
 
 #: Readings of one landed file, about.
-LANDED_ROWS = 1_000_000
+LANDED_ROWS = 100_000
 
 
 class _Landing(NamedTuple):
@@ -177,7 +177,8 @@ def _landed(
 ) -> _Landing:
     """Land a view of the readings in five steps, one after the other: the newest times first,
     and every 500th reading only in the last step, so that it is late. Each step lands the same
-    number of files. The readings are read twice in all, for their bounds and to be set apart."""
+    number of files, small ones, as a file is one task's to write and often one task's to decode.
+    The readings are read twice in all, for their bounds and to be set apart."""
     micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
     low, high, n = readings.agg(F.min(micros), F.max(micros), F.count("*")).first()
     files = max(1, -(-n // (FILES * LANDED_ROWS)))
@@ -328,7 +329,7 @@ def _landed_halves(spark: SparkSession, folder: str, base: str) -> Iterator[int]
     low, high = readings.agg(F.min(micros), F.max(micros)).first()
     late = micros > F.lit(((low or 0) + (high or 0)) // 2)
     for half, chosen in enumerate((~late, late)):
-        views.raw_messages(readings.filter(chosen)).write.mode("append").parquet(f"{base}/landing")
+        views.raw_messages(spread(readings.filter(chosen))).write.mode("append").parquet(f"{base}/landing")
         yield half
 
 

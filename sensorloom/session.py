@@ -59,7 +59,8 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a table of very few partitions to all cores, ahead of work that goes over it
-    many times. A large table has more partitions than cores and is left as it is."""
+    """Deal a table to all cores, ahead of work that goes over it many times. A scan that is cut
+    into a partition or so for each core may have all its rows in a few of them, as a file's row
+    groups are not cut. A table of far more partitions than cores is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 4 * cores else df

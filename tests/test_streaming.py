@@ -11,7 +11,8 @@ from sensorloom.operators import outbox as O
 from sensorloom.operators import readings as R
 from sensorloom.operators import state as S
 from sensorloom.operators import validation as V
-from sensorloom.plans import live, views
+from sensorloom.plans import catalog, live, views
+from sensorloom.session import spread
 from sensorloom.sources import sinks
 from sensorloom.sources.messages import from_kafka, landed_messages
 from sensorloom.sources.tables import EVENTS, scan_events, stream_events
@@ -298,5 +299,33 @@ def test_running_on_an_interval(spark, landing, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() > 0
 
 
+def test_rows_of_one_row_group_are_dealt_to_all_cores(spark, medium, tmp_path):
+    """Cut by bytes, the file has a partition for every core, and all rows in one of them."""
+    path = f"{tmp_path}/messages"
+    views.raw_messages(medium).coalesce(1).write.parquet(path)
+    size = sum(f.stat().st_size for f in (tmp_path / "messages").glob("*.parquet"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size // 10)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        cut = spark.read.schema(C.RAW_MESSAGE).parquet(path)
+        assert cut.rdd.getNumPartitions() >= 8
+        dealt = spread(cut).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(dealt) == 8 and max(r["count"] for r in dealt) <= 1.5 * min(r["count"] for r in dealt)
+
+
+def test_landed_files_are_work_for_all_cores(spark, medium, tmp_path):
+    """Also where all readings come out of one file, and for steps as of larger tables."""
+    next(catalog._landed_halves(spark, MEDIUM, f"{tmp_path}/halves"))
+    assert len(list((tmp_path / "halves/landing").glob("*.parquet"))) == 8
+    assert catalog.LANDED_ROWS <= 100_000
+    landing = catalog._landed(spark, medium, f"{tmp_path}/steps", views.raw_messages)
+    files = len(list((tmp_path / "steps").glob("*.parquet")))
+    assert files == landing.files * catalog.FILES and spark.read.parquet(landing.path).count() == medium.count()
+
+
 def test_scales_agree(spark):
     assert scan_events(spark, MEDIUM).count() == 10 * scan_events(spark, SMALL).count()

@@ -36,7 +36,7 @@ def write_sized(
 ) -> None:
     """Write a table in files of about ``file_rows`` rows, of one day each with ``by_day``. Rows
     are counted first, so that a day that holds most of them is many tasks' work, dealt by
-    ``key``."""
+    ``key``. Where small parts are put together into one task, its files end at ``file_rows``."""
     if not by_day:
         parts = max(1, -(-df.count() // file_rows))
         df.repartition(parts).write.parquet(path)
@@ -46,7 +46,8 @@ def write_sized(
     sizes = sizes.withColumnRenamed("day", "_day")
     dealt = dated.join(sizes, F.col("day").eqNullSafe(F.col("_day")))
     salt = F.pmod(F.xxhash64(key), F.col("_parts"))
-    dealt.repartition("day", salt).drop("_day", "_parts").write.partitionBy("day").parquet(path)
+    sized = dealt.repartition("day", salt).drop("_day", "_parts").write.option("maxRecordsPerFile", file_rows)
+    sized.partitionBy("day").parquet(path)
 
 
 def since(table: DataFrame, bound: Column) -> DataFrame:

@@ -203,7 +203,7 @@ def compact(
         table = table.unionByName(old) if again else table
         table = combine(table) if combine else table
         folder = _new_run(numbers[-1])
-        sinks.write_sized(table, f"{made}/{folder}", by_day, time=time, key=key)
+        sinks.write_sized(table, f"{made}/{folder}", by_day, sinks.FILE_ROWS, time, key)
         _put(spark, made, Commit(numbers[-1], (*kept, Run(folder, count))))
     if clear:
         tidy(spark, path, made)

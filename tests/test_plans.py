@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import MEDIUM
 from sensorloom.operators import aggregates as A
+from sensorloom.operators import outbox as O
 from sensorloom.operators import readings as R
+from sensorloom.operators import validation as V
 from sensorloom.operators.running import number_of_slices
 from sensorloom.plans import catalog, views
 from sensorloom.sources import sinks
@@ -132,3 +134,16 @@ def test_newest_time_is_read_from_one_day(spark, by_day):
     assert len({f.rpartition("/")[0] for f in found.inputFiles()}) > 2  # files are pruned when it runs:
     assert "PartitionFilters: [isnotnull(day" in plan(found) and "2024-02-05" in plan(found)
     assert R.recent_stored(stored, []).count() == 0
+
+
+def test_decoding_is_compiled(spark, stored):
+    """The JVM leaves methods over 8,000 bytes to its interpreter."""
+    messages = stored.select("id", "gateway_id", F.col("device_id").alias("value"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (V.decode_messages(messages), O.records(messages.select("value"))):
+            made = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package")
+            made = made.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+            assert max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size())) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -1,7 +1,11 @@
 """Message decoding: every kind of bad message lands under its own reason."""
 
+import itertools
+from datetime import datetime, timedelta
+
 import pytest
 
+from sensorloom.functions import expressions as E
 from sensorloom.operators import validation as V
 from sensorloom.plans import views
 
@@ -101,3 +105,23 @@ def test_text_is_parsed_once(small):
 def test_complete_records(spark):
     rows = spark.createDataFrame([("g", 1), (None, 2), ("h", None)], "gateway_id string, version int")
     assert [r.gateway_id for r in V.complete_records(rows, ["gateway_id", "version"]).collect()] == ["g"]
+
+
+def test_all_forms_of_a_time(spark):
+    """Every date with every time, fraction and zone, against the time that they are made of."""
+    dates = ("2024-01-02", "20240102")
+    times = {"": (0, 0, 0), "T05": (5, 0, 0), " 05:06": (5, 6, 0), "T0506": (5, 6, 0), "T05:06:07": (5, 6, 7), "T050607": (5, 6, 7)}
+    fractions = {"": 0, ".1": 100_000, ",000001": 1, ".1234567": 123_456}
+    zones = {"": 0, "Z": 0, "+05": 300, "-0530": -330, "+05:30": 330}
+    expected = {}
+    for date, (time, at), (fraction, micros), (zone, minutes) in itertools.product(
+        dates, times.items(), fractions.items(), zones.items()
+    ):
+        if (fraction and at[2] == 0) or (zone and not time):
+            continue
+        moment = datetime(2024, 1, 2, *at, micros) - timedelta(minutes=minutes)
+        expected[date + time + fraction + zone] = moment
+    bad = ("2024-1-2", "2024-0102", "2024-13-02", "T05:06", "2024-01-02T05:0607", "2024-01-02T05:06.1", "now", "$1", None)
+    rows = spark.createDataFrame([(t,) for t in (*expected, *bad)], "t string")
+    found = {r["t"]: r["at"] for r in rows.select("t", E.iso_timestamp("t").alias("at")).collect()}
+    assert found == {**expected, **dict.fromkeys(bad)} and len(expected) > 100

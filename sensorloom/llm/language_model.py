@@ -91,6 +91,12 @@ def from_planes(data: bytes, size: int = 4) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(f"<u{size}").ravel()
 
 
+def rows_of(table: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    """The rows, each made into values when it is its turn: a batch may hold many blocks."""
+    for i in range(table.num_rows):
+        yield table.slice(i, 1).to_pylist()[0]
+
+
 class _Words(dict):
     """Numbers of words in order of appearance."""
 
@@ -183,32 +189,41 @@ class Block:
         self.is_dealt, known, pieces = (broadcast + row["split"]).of(self.hashes)
         # Of a dealt word the count over all blocks, of the others that in this block.
         self.trained = np.where(self.is_dealt, known, np.append(from_planes(row["trained"]).astype(np.int64), 0))
-        tokens = from_planes(row["tokens"]).astype(np.int64)
-        self.tokens = tokens
-        before = np.empty_like(tokens)
+        self.tokens = tokens = from_planes(row["tokens"]).astype(np.int32)
+        self.before = before = np.empty_like(tokens)
         before[1:] = tokens[:-1]
         before[np.cumsum(self.sizes) - self.sizes] = len(self.hashes) - 1
-        self.before = before
         held = np.repeat(self.held, self.sizes)
         # Sorted by context and successor; the last bit tells held-out occurrences.
-        self.order = np.argsort((before << 32 | tokens) << 1 | held, kind="stable")
-        pair = (before << 32 | tokens)[self.order]
-        first = np.r_[True, pair[1:] != pair[:-1]]
-        self.begins = np.flatnonzero(first)
-        pair = pair[first]
-        counts = np.add.reduceat((~held)[self.order].astype(np.int64), self.begins)
-        context, successor = pair >> 32, pair & 0xFFFFFFFF
-        short = (self.hashes[successor] >> np.uint64(32)).astype(np.uint32)
-        home = (self.hashes[context] * _MIX) >> np.uint64(32)
-        home = (home * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-        place = ((self.hashes[context] ^ (self.hashes[successor] * _MIX)) * _MIX) >> np.uint64(32)
-        piece = (place * pieces[context].astype(np.uint64) >> np.uint64(32)).astype(np.int64)
-        shard = (home + piece) % shards
+        pair = before.astype(np.int64) << 32 | tokens
+        self.order = np.argsort(pair << 1 | held, kind="stable").astype(np.int32)
+        pair = pair[self.order]
+        self.begins = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]]).astype(np.int32)
+        pair = pair[self.begins]
+        counts = np.add.reduceat((~held)[self.order], self.begins, dtype=np.int32)
+        context, successor = (pair >> 32).astype(np.int32), pair.astype(np.int32)
+        del pair, held
+        short = (self.hashes >> np.uint64(32)).astype(np.uint32)[successor]
+        shard = self._shard(context, successor, pieces, shards)
+        del successor
         # By shard, context hash and successor: the order in which a shard answers.
-        self.by_shard = np.lexsort((short, self.hashes[context], shard))
+        self.by_shard = np.lexsort((short, self.hashes[context], shard)).astype(np.int32)
         self.shard, self.context = shard[self.by_shard], context[self.by_shard]
         self.short, self.counts = short[self.by_shard], counts[self.by_shard]
 
+    def _shard(self, context: np.ndarray, successor: np.ndarray, pieces: np.ndarray, shards: int) -> np.ndarray:
+        """The shard of each bigram: its context's first one, and as many on as its piece."""
+        home = (self.hashes * _MIX >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+        place = (self.hashes * _MIX)[successor]
+        place ^= self.hashes[context]
+        place *= _MIX
+        place >>= np.uint64(32)
+        place *= pieces.astype(np.uint64)[context]
+        place >>= np.uint64(32)
+        place += home[context]
+        place %= np.uint64(shards)
+        return place.astype(np.int32)
+
     def runs(self) -> Iterator[tuple[int, slice, np.ndarray, np.ndarray]]:
         """Each shard with its range of bigrams, its contexts and their numbers of successors."""
         bounds = np.flatnonzero(np.r_[True, self.shard[1:] != self.shard[:-1], True])
@@ -339,7 +354,7 @@ def score(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS) ->
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 for values in Block(row, shards, shared.value).sent(row["block"]):
                     yield batch_of(SENT, *([v] for v in values))
 
@@ -369,7 +384,7 @@ def score(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS) ->
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         given = {r["shard"]: r for r in right.select(["shard", "counts", "codes"]).to_pylist()}
         parts = []
-        for row in left.to_pylist():
+        for row in rows_of(left):
             block = Block(row, shards, shared.value)
             counts = np.zeros(len(block.hashes), np.int64)
             codes = np.zeros(len(block.context), np.uint8)
@@ -380,17 +395,21 @@ def score(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS) ->
             counts[block.hashes == END] = documents
             pair = np.empty(len(codes), np.float64)
             pair[block.by_shard] = probability_of(codes)
-            c = counts[block.tokens]
-            unigram = np.where(c > 0, (c - discount) / max(trained, 1), discount * words / max(trained, 1))
+            # Of each word of the vocabulary: its unigram probability and its weight as a context.
+            unigram = np.where(counts > 0, (counts - discount) / max(trained, 1), discount * words / max(trained, 1))
             if not trained:
-                unigram = np.full(len(c), 1.0)
-            of_context = counts[block.before]
-            joint = np.empty(len(c), np.float64)
-            joint[block.order] = np.repeat(pair, np.diff(np.append(block.begins, len(c))))
-            p = joint + mu / (of_context + mu) * unigram
-            base = np.log10((c + 0.5) / (trained + 0.5 * (words + 1)))
+                unigram = np.full(len(counts), 1.0)
+            weight = mu / (counts + mu)
+            base = np.log10((counts + 0.5) / (trained + 0.5 * (words + 1)))
+            p = np.empty(len(block.tokens), np.float64)
+            p[block.order] = np.repeat(pair, np.diff(np.append(block.begins, len(p))))
+            p += weight[block.before] * unigram[block.tokens]
+            np.log10(p, out=p)
             at = np.cumsum(block.sizes) - block.sizes
-            values = [np.add.reduceat(x, at) for x in ((c > 0).astype(np.int64), base, np.log10(p))]
+            known = (counts > 0)[block.tokens]
+            values = [
+                np.add.reduceat(known, at, dtype=np.int64), np.add.reduceat(base[block.tokens], at), np.add.reduceat(p, at)
+            ]
             n = len(block.sizes)
             parts.append(batch_of(schema, row["keys"], block.sizes, values[0], np.full(n, trained), *values[1:]))
         return pa.Table.from_batches(parts, schema=to_arrow_schema(schema))
@@ -406,7 +425,7 @@ def _vocabularies(blocks: DataFrame, least: float = 0.0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 tokens = from_planes(row["tokens"])
                 n = np.bincount(tokens)
                 some = np.flatnonzero(2 * n >= least * len(tokens))
@@ -440,7 +459,7 @@ def _dealt(blocks: DataFrame, total: int, shards: int) -> tuple[Dealt, DataFrame
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(len(known.words) + 2, np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 counts = from_planes(row["trained"]).astype(np.int64)
                 hashes = np.frombuffer(row["vocabulary"], np.uint64)
                 at = np.minimum(np.searchsorted(known.words, hashes), len(known.words) - 1)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from sensorloom.llm.arrow import batch_of, text_groups
 from sensorloom.llm.components import connected, roots
-from sensorloom.session import write_table
+from sensorloom.session import spread, write_table
 
 SHINGLE = 8
 SIMILARITY = 0.8
@@ -436,8 +436,9 @@ def _left_apart(large: DataFrame, found: DataFrame, block: int) -> DataFrame:
     chance links may make large. Of bands with the same lines one is enough.
     """
     placed = large.join(connected(found).withColumnRenamed("component", "part"), "node", "left")
-    placed = write_table(placed.withColumn("part", F.coalesce("part", "node")), "placed")
-    banded = write_table(_banded(placed), "banded")
+    n = large.count()
+    placed = write_table(placed.withColumn("part", F.coalesce("part", "node")), "placed", n)
+    banded = write_table(_banded(spread(placed)), "banded", 2 * BANDS * n)
     parts = banded.groupBy("band", "part").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("mark"))
     groups = parts.groupBy("band").agg(
         F.max(F.struct("n", "part")).alias("most"), F.sum("n").alias("size"), F.bit_xor("mark").alias("mark")
@@ -462,13 +463,15 @@ def components(docs: DataFrame, similarity: float = SIMILARITY, block: int = BLO
     """Key (node) and component of every line that has a near-duplicate other than itself."""
     clusters = connected(candidates(docs))
     sizes = clusters.groupBy("component").agg(F.count("*").alias("size"))
-    lines = write_table(_texts(docs, clusters.join(sizes, "component")), "clustered")
+    lines = write_table(_texts(docs, clusters.join(sizes, "component")), "clustered", clusters.count())
     small = lines.filter(F.col("size") <= block)
     tasks = small.select(_task(F.col("component")), F.lit(2).alias("side"), "node", "line")
     large = lines.filter(F.col("size") > block)
     if large.isEmpty():
         return connected(_compare(tasks, similarity))
-    found = write_table(_compare(tasks.unionByName(_with_centres(large, block)), similarity), "verified")
+    compared = _compare(tasks.unionByName(_with_centres(large, block)), similarity)
+    # A comparison gives fewer links than it has lines, centres included.
+    found = write_table(compared, "verified", (1 + -(-CENTRES // block)) * lines.count())
     rest = _compare(_left_apart(large, found, block), similarity)
     return connected(found.unionByName(rest))
 
@@ -494,11 +497,12 @@ def removals(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         "doc_id", "version", "number", F.coalesce("component", "node").alias("component")
     )
     # Both are written, so that the join below deals rows anew and can split a frequent line's.
-    named = write_table(named, "named")
+    n = keyed.count()
+    named = write_table(named, "named", n)
     firsts = named.groupBy("component").agg(
         F.min(F.struct("doc_id", "version", "number")).alias("first"), F.count("*").alias("n")
     ).filter("n > 1").select("component", "first")
-    firsts = write_table(firsts, "firsts")
+    firsts = write_table(firsts, "firsts", n)
     copies = named.join(firsts, "component").filter("struct(doc_id, version, number) <> first")
     return copies.groupBy("doc_id", "version").agg(F.array_sort(F.collect_set("number")).alias("removed"))
 

@@ -161,10 +161,11 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, side: int
     once for each panel that it is compared with, and each such pair has its own key.
     """
     spark = distinct.sparkSession
-    parts = 4 if distinct.count() >= FINE else 2
+    n = distinct.count()
+    parts = 4 if n >= FINE else 2
     celled = distinct.select("fp", cell_of(F.col("fp"), parts).alias("cell"))
     sizes = celled.groupBy("cell").agg(F.count("*").alias("n"))
-    directory = write_table(sizes.withColumn("panels", F.ceil(F.col("n") / (tile * side))), "cells")
+    directory = write_table(sizes.withColumn("panels", F.ceil(F.col("n") / (tile * side))), "cells", n)
     salted = celled.join(F.broadcast(directory), "cell").withColumn("panel", F.pmod(F.xxhash64("fp"), F.col("panels")))
     panels = write_table(salted.groupBy("cell", "panel").agg(F.collect_list("fp").alias("fps")), "panels")
     steps = F.explode(F.array(*(F.lit(o).cast("long") for o in later_offsets(parts, radius))))
@@ -210,7 +211,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE, side: int
 
 def _placed(hashed: DataFrame, least: Column, radius: int) -> DataFrame:
     """Each fingerprint with the least of its rows and the component over links."""
-    distinct = write_table(hashed.groupBy("fp").agg(least.alias("least")), "distinct")
+    distinct = write_table(hashed.groupBy("fp").agg(least.alias("least")), "distinct", hashed.count())
     component = connected(links(distinct, radius))
     return distinct.join(component, distinct["fp"] == component["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")

@@ -47,15 +47,25 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
+#: Rows of one file, about, of a written table that is known to be small.
+TABLE_ROWS = 100_000
+
+
+def write_table(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
     Used where a result is read more than once, or must not be computed twice with
-    different outcomes. The written table survives the loss of executors.
+    different outcomes. The written table survives the loss of executors. With ``rows``, the
+    most rows that there can be, a table of fewer files' worth than there are shuffle partitions
+    is dealt to so many files, where each partition would make a file of a few rows.
     """
-    path = work_dir(df.sparkSession, name)
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    if rows is not None:
+        files = max(1, -(-rows // TABLE_ROWS))
+        df = df.repartition(files) if files < int(spark.conf.get("spark.sql.shuffle.partitions")) else df
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import os
 import random
 import subprocess
 import sys
+import uuid
 import zlib
 from collections import Counter
 
@@ -15,6 +16,7 @@ import xxhash
 
 import corpus_pipeline
 from conftest import MEDIUM, ROOT, SMALL
+from sensorloom import session
 from sensorloom.llm import boosting, bpe, components, decontamination, language_model, line_dedup, queries, simhash
 from sensorloom.llm.elias_fano import EliasFano
 
@@ -91,6 +93,25 @@ def test_components_of_chains_and_stars(spark):
     assert components.connected(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_small_tables_are_few_files(spark, tmp_path, monkeypatch):
+    """Each task's file forks the executor (chmod) on a local disk, which counts its memory twice."""
+    monkeypatch.setattr(session, "work_dir", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    edges = spark.range(600).selectExpr("id div 30 * 30 as a", "id as b")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = {r.node: r.component for r in components.connected(edges).collect()}
+        monkeypatch.setattr(session, "TABLE_ROWS", 100)
+        several = session.write_table(spark.range(1000).repartition(8), "several", 300)
+        every = session.write_table(spark.range(1000).repartition(8), "every", 1000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found == {i: i // 30 * 30 for i in range(600)}
+    folders = sorted(tmp_path.glob("parents-*"))
+    assert len(folders) >= 2 and all(len(list(f.glob("part-*"))) == 1 for f in folders)
+    assert (len(several.inputFiles()), len(every.inputFiles())) == (3, 8)
+    assert several.count() == every.count() == 1000
+
+
 def test_edit_distance_by_definition():
     draw = random.Random(5)
     for _ in range(50):

@@ -74,3 +74,15 @@ def spread(df: DataFrame) -> DataFrame:
     groups are not cut. A table of far more partitions than cores is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < 4 * cores else df
+
+
+def cached(df: DataFrame) -> DataFrame:
+    """``df`` kept for a few passes right away. Trying out encodings for every column, mostly of
+    texts that all differ, would take about as long as making the rows, so there are none."""
+    conf, key = df.sparkSession.conf, "spark.sql.inMemoryColumnarStorage.compressed"
+    before = conf.get(key)
+    conf.set(key, "false")
+    try:
+        return df.persist()
+    finally:
+        conf.set(key, before)

@@ -19,7 +19,7 @@ from sensorloom.operators import outbox, state
 from sensorloom.operators import readings as R
 from sensorloom.operators.joins import join_sized
 from sensorloom.operators.validation import decode_messages, valid_messages, with_gateway
-from sensorloom.session import spread
+from sensorloom.session import cached, spread
 from sensorloom.sources import sinks
 from sensorloom.streaming import snapshots
 
@@ -74,10 +74,10 @@ def route(
             decoded = join_sized(decoded, active, "device_id", "left")
             unknown = F.when(F.col("_active").isNull(), "inactive_device")
             decoded = decoded.withColumn("reason", F.coalesce("reason", unknown)).drop("_active")
-        decoded = decoded.persist()
+        decoded = cached(decoded)
         try:
             arrived = decoded.count()
-            scored = score(decoded.filter("reason is null").drop("reason")).persist()
+            scored = cached(score(decoded.filter("reason is null").drop("reason")))
             try:
                 kept = scored.filter("classification is not null").select(*C.READING.fieldNames())
                 parts = -(-arrived // FILE_ROWS) or 1

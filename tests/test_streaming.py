@@ -12,7 +12,7 @@ from sensorloom.operators import readings as R
 from sensorloom.operators import state as S
 from sensorloom.operators import validation as V
 from sensorloom.plans import catalog, live, views
-from sensorloom.session import spread
+from sensorloom.session import cached, spread
 from sensorloom.sources import sinks
 from sensorloom.sources.messages import from_kafka, landed_messages
 from sensorloom.sources.tables import EVENTS, scan_events, stream_events
@@ -327,5 +327,34 @@ def test_landed_files_are_work_for_all_cores(spark, medium, tmp_path):
     assert files == landing.files * catalog.FILES and spark.read.parquet(landing.path).count() == medium.count()
 
 
+def test_micro_batches_are_kept_without_encodings(spark):
+    """A column of one value is encoded into next to nothing, which takes a pass over the rows."""
+    before = spark.conf.get("spark.sql.inMemoryColumnarStorage.compressed")
+    kept = cached(spark.range(200_000).select(F.lit(7).cast("long").alias("same")))
+    try:
+        assert kept.count() == 200_000
+        kinds = spark.sparkContext._jsc.sc().getRDDStorageInfo()
+        assert max(k.memSize() + k.diskSize() for k in kinds) >= 8 * 200_000
+        assert spark.conf.get("spark.sql.inMemoryColumnarStorage.compressed") == before
+    finally:
+        kept.unpersist()
+
+
+def test_model_switch_makes_its_readings_once(spark, monkeypatch):
+    """Both trainings and the landing read a written table, not the events anew."""
+    found = []
+
+    def landed(spark, folder, base, readings=None):
+        found.append(readings)
+        raise StopIteration
+
+    monkeypatch.setattr(catalog, "_edge_model", found.append)
+    monkeypatch.setattr(catalog, "_landed_halves", landed)
+    with pytest.raises(StopIteration):
+        catalog._stream_model_switch(spark, SMALL)
+    assert len(found) == 2 and all("events.parquet" not in f for r in found for f in r.inputFiles())
+    assert found[0].exceptAll(views.load(spark, SMALL)).isEmpty() and found[0].count() == views.load(spark, SMALL).count()
+
+
 def test_scales_agree(spark):
     assert scan_events(spark, MEDIUM).count() == 10 * scan_events(spark, SMALL).count()

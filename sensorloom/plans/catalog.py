@@ -18,7 +18,7 @@ from sensorloom.operators import state as S
 from sensorloom.operators import validation as V
 from sensorloom.plans import views
 from sensorloom.plans.retraining import retrain
-from sensorloom.session import spread, work_dir
+from sensorloom.session import spread, work_dir, write_table
 from sensorloom.sources import sinks
 from sensorloom.sources.messages import bounded, landed_messages
 from sensorloom.sources.tables import EVENTS, scan_events, scan_to_count, stream_events
@@ -321,10 +321,12 @@ def _stream_counters(spark: SparkSession, folder: str) -> DataFrame:
     return SA.read_counters(spark, f"{base}/out")
 
 
-def _landed_halves(spark: SparkSession, folder: str, base: str) -> Iterator[int]:
-    """Land the raw messages of a data folder in two steps, the older half of the time first;
-    after each the caller runs its stream."""
-    readings = views.load(spark, folder)
+def _landed_halves(
+    spark: SparkSession, folder: str, base: str, readings: DataFrame | None = None
+) -> Iterator[int]:
+    """Land the raw messages of a data folder (or of its ``readings``, where the caller has them
+    at hand) in two steps, the older half of the time first; after each the caller runs its stream."""
+    readings = views.load(spark, folder) if readings is None else readings
     micros = F.unix_micros(F.col("timestamp").cast("timestamp"))
     low, high = readings.agg(F.min(micros), F.max(micros)).first()
     late = micros > F.lit(((low or 0) + (high or 0)) // 2)
@@ -515,11 +517,13 @@ def _stream_score(spark: SparkSession, folder: str) -> DataFrame:
 def _stream_model_switch(spark: SparkSession, folder: str) -> DataFrame:
     """The first half arrives before any forest is published, the second half after; the
     readings scored by each model and version, and whether their classes keep its bound: the
-    forest's agree with their own, and the edge model flags about the share that it is meant to."""
-    readings = views.load(spark, folder)
+    forest's agree with their own, and the edge model flags about the share that it is meant to.
+    Both trainings and the landing go over the readings again and again, so these are made out of
+    the events once and written."""
+    readings = write_table(spread(views.load(spark, folder)), "readings")
     edge = _edge_model(readings)
     base = work_dir(spark, "switch")
-    for half in _landed_halves(spark, folder, base):
+    for half in _landed_halves(spark, folder, base, readings):
         arriving = V.valid_messages(landed_messages(spark, f"{base}/landing"))
         newest = model_switch.NewestModel(f"{base}/models", edge)
         run(model_switch.score_with_newest(arriving, f"{base}/out", newest), f"{base}/checkpoint")

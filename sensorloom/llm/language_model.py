@@ -25,7 +25,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from sensorloom.llm.arrow import batch_of
 from sensorloom.llm.elias_fano import EliasFano
-from sensorloom.session import write_table
+from sensorloom.session import bounded, write_table
 
 #: Tokens of a block, unless one text has more.
 BLOCK_TOKENS = 600_000
@@ -340,17 +340,20 @@ def score(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS) ->
     and gives it to the unknown word. Successors are told apart by 32 bits of their hash.
     """
     spark = docs.sparkSession
-    blocks = write_table(blocks_of(docs), "blocks")
+    with bounded(spark):
+        blocks = write_table(blocks_of(docs), "blocks", large_rows=True)
     lengths = blocks.select(F.octet_length("tokens").alias("n"), F.octet_length("held").alias("docs"))
     total = (lengths.agg(F.sum("n")).first()[0] or 0) // 4
     shards = max(24, total // SHARD_TOKENS)
-    dealt, split, trained, documents = _dealt(blocks, total, shards)
+    with bounded(spark):
+        dealt, split, trained, documents = _dealt(blocks, total, shards)
     shared = spark.sparkContext.broadcast(dealt)
     if split is None:
         told_blocks = blocks.withColumn("split", F.lit(None).cast("array<struct<word:long,count:long,pieces:long>>"))
     else:
         by_block = split.groupBy("block").agg(F.collect_list(F.struct("word", "count", "pieces")).alias("split"))
-        told_blocks = write_table(blocks.join(by_block, "block", "left"), "split_blocks")
+        with bounded(spark):
+            told_blocks = write_table(blocks.join(by_block, "block", "left"), "split_blocks", large_rows=True)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -359,7 +362,8 @@ def score(docs: DataFrame, mu: float = MU, block_tokens: int = BLOCK_TOKENS) ->
                     yield batch_of(SENT, *([v] for v in values))
 
     sent = told_blocks.drop("keys").mapInArrow(send, SENT).repartition(shards, "shard").groupBy("shard")
-    answers = write_table(sent.applyInPandas(_answered(mu), ANSWER), "answers")
+    with bounded(spark):
+        answers = write_table(sent.applyInPandas(_answered(mu), ANSWER), "answers", large_rows=True)
     told = answers.filter("block is null").agg(F.sum("words"), F.sum("once"), F.sum("twice")).first()
     # The start is no word; the end is one, and no context.
     special = np.append(dealt.counts[dealt.words != START], documents)

@@ -6,11 +6,13 @@ import os
 import random
 import subprocess
 import sys
+import time
 import uuid
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 
@@ -369,6 +371,47 @@ def test_frequent_words_are_dealt_over_shards(spark, monkeypatch, share):
         assert abs(small[i] - sum(map(math.log10, p))) <= 0.03 * len(p)
 
 
+def test_blocks_are_held_a_few_at_a_time(spark, tmp_path, monkeypatch):
+    """Neither a row group nor a batch for a worker holds many blocks, what blocks sent is gone
+    once it is answered, and scores are the same."""
+    draw = np.random.default_rng(3)
+    texts = [(i, " ".join(f"w{n}" for n in draw.zipf(1.3, 5000) % 3000)) for i in range(12)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    docs = docs.withColumn("held_out", docs["doc_id"] % 4 == 0)
+    whole = {r.doc_id: r.score for r in language_model.score(docs).collect()}
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, rows_of, write_table = spark.conf.get(key), language_model.rows_of, session.write_table
+    disk, left = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager(), []
+
+    def shuffled():
+        return {b for b in disk.getAllBlocks().mkString(" ").split() if b.startswith("shuffle")}
+
+    def written(df, name, *args, **kwargs):
+        there = shuffled()
+        table = write_table(df, name, *args, **kwargs)
+        for _ in range(100):
+            if name == "answers" and shuffled() - there:
+                time.sleep(0.1)  # they are removed meanwhile
+        left.extend(shuffled() - there if name == "answers" else ())
+        return table
+
+    def watched(table):
+        assert table.num_rows == 1, "a batch of several blocks"
+        yield from rows_of(table)
+
+    monkeypatch.setattr(session, "work_dir", lambda _, name: f"{tmp_path}/{name}-{uuid.uuid4().hex}")
+    monkeypatch.setattr(session, "LARGE_ROWS_BYTES", 10_000, raising=False)
+    monkeypatch.setattr(language_model, "BLOCK_TOKENS", 5000)
+    monkeypatch.setattr(language_model, "rows_of", watched)
+    monkeypatch.setattr(language_model, "write_table", written)
+    scores = {r.doc_id: r.score for r in language_model.score(docs).collect()}
+    assert scores == pytest.approx(whole)
+    files = [pq.ParquetFile(x).metadata for x in tmp_path.glob("blocks-*/*.parquet")]
+    assert sum(f.num_rows for f in files) == 12
+    assert {f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)} == {1}
+    assert spark.conf.get(key) == before and not left
+
+
 def test_bpe_is_the_library(spark):
     tokenizers = pytest.importorskip("tokenizers")
     library = tokenizers.Tokenizer.from_file(queries.tokenizer_path())

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -32,6 +34,31 @@ def text_groups(
         yield keys, texts
 
 
+def text_arrays(
+    batches: Iterable[pa.RecordBatch], limit: int = GROUP_CHARS
+) -> Iterator[tuple[list, pa.LargeBinaryArray]]:
+    """Rows (key, text) in groups of about ``limit`` bytes of text, which stay in Arrow as bytes; a
+    missing text is empty."""
+    keys, texts, size = [], [], 0
+    for batch in batches:
+        column = batch.column(0).to_pylist()
+        content = pc.fill_null(batch.column(1).cast(pa.large_binary()), b"")
+        ends = np.r_[0, np.cumsum(pc.binary_length(content).to_numpy() + 1)]
+        begin = 0
+        while begin < len(column):
+            full = int(np.searchsorted(ends, ends[begin] + limit - size))
+            upto = min(max(full, begin + 1), len(column))
+            keys += column[begin:upto]
+            texts.append(content.slice(begin, upto - begin))
+            size += int(ends[upto] - ends[begin])
+            begin = upto
+            if size >= limit:
+                yield keys, pa.concat_arrays(texts)
+                keys, texts, size = [], [], 0
+    if keys:
+        yield keys, pa.concat_arrays(texts)
+
+
 def text_slices(
     batch: pa.RecordBatch, column: int, limit: int = GROUP_CHARS
 ) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

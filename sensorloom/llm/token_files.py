@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import os
-import re
+import string
 import struct
 import zlib
 from collections.abc import Iterator
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sensorloom.llm.arrow import text_groups
+from sensorloom.llm.arrow import text_arrays
 from sensorloom.llm.common import shards, worker_cache
 from sensorloom.llm.direct_codes import Bitmap, DirectCodes
 from sensorloom.operators.running import running_totals
@@ -37,16 +37,33 @@ TOKENS_PER_FILE = 8_000_000
 #: Text that one task encodes, about.
 PART_BYTES = 128 * 1024 * 1024
 
-#: Distinct segments that a Python worker keeps the ids of, and their letters. Beyond either it
+#: Distinct segments that a Python worker keeps the ids of, and their bytes. Beyond either it
 #: keeps the half that was used most, without those used once.
-SEGMENTS, SEGMENT_CHARS = 300_000, 5_000_000
+SEGMENTS, SEGMENT_BYTES = 300_000, 5_000_000
 
-#: Segments that the library gets as one text.
-AT_ONCE = 1_000
+#: Bytes of texts that are encoded together, about.
+GROUP_BYTES = 1_000_000
+
+#: Segments that the library gets as one text, and texts that it gets in one call.
+AT_ONCE, CALLED = 1_000, 10
+
+#: Segments that are Python objects at a time, besides those that are kept.
+LOOKED_UP = 10_000
 
 # The letters that stand for a space and a line end in a byte-level vocabulary.
 OPENING_LETTERS = "\u0120\u010A"
 
+# The bytes of white space beyond ASCII (and of U+180E, which some count as such), as
+# one number each.
+_WIDE_SPACES = [
+    int.from_bytes(c.encode()) for c in map(chr, range(0x80, 0xD800)) if c.isspace() or c == "\u180e"
+]
+
+# The letters and marks of ASCII that texts are cut between; an apostrophe may begin
+# a piece that ends in letters.
+_LETTERS = np.isin(np.arange(256), list(string.ascii_letters.encode()))
+_MARKS = string.punctuation.replace("'", "").encode()
+
 # The header, in this order: mark, part, piece, ids, documents, levels, checksum of what follows.
 HEADER = ">8s6Q"
 HEADER_SIZE = struct.calcsize(HEADER)
@@ -54,13 +71,10 @@ MARK = b"TOKFILE1"
 
 
 class _Numbers(dict):
-    """Numbers of segments in order of their first use; ``new`` lists those met lately."""
-
-    new: list[str | tuple[str]]
+    """Numbers of segments in order of their first use."""
 
     def __missing__(self, segment):
         self[segment] = n = len(self)
-        self.new.append(segment)
         return n
 
 
@@ -89,11 +103,13 @@ class _Growing:
 class Encoder:
     """Ids of texts by the tokenizers library.
 
-    A byte-level vocabulary cuts texts into pieces and never merges across them. A space or a
-    line end, where neither has white space beside it, always begins a piece. So texts are cut
-    there, and each distinct segment goes through the library once, many of them as one text:
-    a segment holds one space or line end, in front, so that its ids begin at one that begins
-    so. Whole texts go through the library where a file's settings don't allow that.
+    A byte-level vocabulary cuts texts into pieces and never merges across them. White space
+    behind anything else always begins a piece, and so does a mark (other than an apostrophe)
+    behind a letter. So texts are cut there, at spaces, line ends and ASCII marks, and each
+    distinct segment goes through the library once, many of them as one text: a segment that
+    holds one space or line end, in front, has its ids begin at one that begins so. Whole texts
+    go through the library where a file's settings don't allow that. Segments are slices of
+    the texts' bytes; only the distinct ones of a call become Python objects.
     """
 
     def __init__(self, content: bytes):
@@ -103,14 +119,18 @@ class Encoder:
         self.library = Tokenizer.from_str(content.decode())
         self.library.no_truncation()
         self.library.no_padding()
-        self.cuts = cuts_at_spaces(json.loads(content))
+        spec = json.loads(content)
+        self.cuts = cuts_at_spaces(spec)
+        self.marks = np.isin(np.arange(256), list(_MARKS))
+        for token in spec.get("added_tokens") or []:
+            self.marks[list(token["content"].encode())] = False
         self.opens = np.zeros(self.library.get_vocab_size(with_added_tokens=True) + 1, bool)
         for token, number in self.library.get_vocab(with_added_tokens=False).items():
             if number < len(self.opens):
                 self.opens[number] = token[0] in OPENING_LETTERS
             else:
                 self.cuts = False
-        self.numbers, self.chars = _Numbers(), 0
+        self.numbers, self.bytes = _Numbers(), 0
         self.ids, self.sizes, self.places, self.uses = _Growing(np.uint32), *(_Growing(np.int64) for _ in range(3))
 
     def _forget(self) -> None:
@@ -119,90 +139,130 @@ class Encoder:
         kept = np.flatnonzero(uses > 1)
         if len(kept) > SEGMENTS // 2:
             kept = np.sort(kept[np.argpartition(uses[kept], -(SEGMENTS // 2))[-(SEGMENTS // 2) :]])
-        known, numbers = list(self.numbers), _Numbers()
-        self.chars = 0
-        for i in kept.tolist():
-            segment = known[i]
-            if self.chars < SEGMENT_CHARS // 2:
-                numbers[segment] = len(numbers)
-                self.chars += _letters(segment)
-        kept = kept[: len(numbers)]
+        known = list(self.numbers)
+        known = [known[i] for i in kept.tolist()]
+        lengths = np.cumsum(np.fromiter(map(len, known), np.int64, len(known)))
+        kept = kept[: np.searchsorted(lengths, SEGMENT_BYTES // 2) + 1]
+        self.numbers = _Numbers(zip(known, range(len(kept))))
+        self.bytes = int(lengths[len(kept) - 1]) if len(kept) else 0
         sizes = self.sizes.values[kept]
-        ends = np.cumsum(sizes)
-        n = int(ends[-1]) if len(ends) else 0
-        flat = self.ids.values[np.repeat(self.places.values[kept] - (ends - sizes), sizes) + np.arange(n)]
-        self.numbers = numbers
+        flat = self.ids.values[_runs(self.places.values[kept], sizes)]
         self.ids.replace(flat)
-        self.places.replace(ends - sizes)
+        self.places.replace(np.cumsum(sizes) - sizes)
         self.uses.replace(uses[kept] >> 1)
         self.sizes.replace(sizes)
 
-    def segments(self, text: str) -> list[str | tuple[str]]:
-        """Segments in order: a word stands for itself behind a space, or if it begins with a
-        line end for itself alone, a tuple for its text."""
-        if not self.cuts:
-            return [(text,)]
-        if any(pair in text for pair in _ODD_PAIRS) or text.endswith(" ") or _OTHER_SPACE.search(text):
-            return [(part,) for part in _BEFORE_WORD.split(text)]
-        words: list[str | tuple[str]] = text.replace("\n", " \n").split(" ")
-        words[0] = (words[0],)
-        return words
-
     def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        found = []
+        for i in range(0, len(texts), CALLED):  # what the library makes is many times its ids
+            made = self.library.encode_batch_fast(texts[i : i + CALLED], add_special_tokens=False)
+            found += [np.array(e.ids, np.uint32) for e in made]
         return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
 
-    def _learn(self, new: list[str | tuple[str]]) -> None:
+    def _learn(self, new: pa.LargeBinaryArray) -> None:
         """Ids of new segments, which have the next numbers in their order."""
+        data, bounds = _bytes_of(new)
+        begins, ends = bounds[:-1], bounds[1:]
         # White space at the end of a segment could run on into the next one.
-        is_word = np.fromiter((isinstance(s, str) and not s[-1].isspace() for s in new), bool, len(new))
-        texts_of = [s[0] if isinstance(s, tuple) else s if s[0] == "\n" else " " + s for s in new]
-        words = [s for s, joins in zip(texts_of, is_word) if joins]
-        whole = [s for s, joins in zip(texts_of, is_word) if not joins]
+        joins = np.zeros(len(new), bool)
+        if self.cuts:
+            openings = np.r_[0, np.cumsum(_is_opening(data))]
+            joins = (openings[ends] - openings[begins] == 1) & _is_opening(data[begins]) & _behind_solid(data, ends)
         sizes, places = np.zeros(len(new), np.int64), np.zeros(len(new), np.int64)
-        for texts, chosen in ((words, is_word), (whole, ~is_word)):
-            if not texts:
+        for chosen in (joins, ~joins):
+            if not chosen.any():
                 continue
-            if chosen is is_word:
-                joined = ["".join(texts[i : i + AT_ONCE]) for i in range(0, len(texts), AT_ONCE)]
-                flat, _ = self._ids(joined)
-                begins = np.flatnonzero(self.opens[flat])
-                if len(begins) != len(texts):
-                    raise ValueError("the tokenizer file joins words across spaces")
-                counts = np.diff(np.r_[begins, len(flat)])
+            some = new.filter(pa.array(chosen))
+            if chosen is joins:
+                flat, counts = self._joined(some)
             else:
-                flat, counts = self._ids(texts)
+                flat, counts = self._ids([str(s, "utf-8") for s in some.to_pylist()])
             sizes[chosen] = counts
             places[chosen] = self.ids.n + np.cumsum(counts) - counts
             self.ids.extend(flat)
+        self.bytes += len(data)
         self.sizes.extend(sizes)
         self.places.extend(places)
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.uses.extend(np.zeros(len(new), np.int64))
+
+    def _joined(self, words: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of segments that the library gets many of as one text."""
+        data, bounds = _bytes_of(words)
+        several = np.r_[bounds[:-1:AT_ONCE], bounds[-1]].tolist()
+        flat, _ = self._ids([str(data[i:j], "utf-8") for i, j in zip(several, several[1:])])
+        begins = np.flatnonzero(self.opens[flat])
+        if len(begins) != len(words):
+            raise ValueError("the tokenizer file joins words across spaces")
+        return flat, np.diff(np.r_[begins, len(flat)])
+
+    def segments(self, texts: pa.LargeBinaryArray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+        """The segments of all texts in order, and where those of each text begin (and the last end)."""
+        if not self.cuts:
+            return texts, np.arange(len(texts) + 1)
+        data, bounds = _bytes_of(texts)
+        spaces, marks = np.flatnonzero(_is_opening(data)), np.flatnonzero(self.marks[data])
+        cut = np.zeros(len(data) + 1, bool)
+        cut[spaces[_behind_solid(data, spaces)]] = True
+        cut[marks[_LETTERS[data[marks - 1]]]] = True
+        cut[bounds] = True
+        cut[len(data)] = False
+        begins = np.flatnonzero(cut)
+        ends = pa.py_buffer(np.append(begins, len(data)))
+        segments = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, ends, pa.py_buffer(data)])
+        return segments, np.searchsorted(begins, bounds)
+
+    def encode(self, texts: list[str] | pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each."""
-        if len(self.numbers) > SEGMENTS or self.chars > SEGMENT_CHARS:
+        if len(self.numbers) > SEGMENTS or self.bytes > SEGMENT_BYTES:
             self._forget()
-        numbers, used = self.numbers, []
-        numbers.new = []
-        for text in texts:
-            row = self.segments(text)
-            used.append(np.fromiter(map(numbers.__getitem__, row), np.int32, len(row)))
-        new, numbers.new = numbers.new, []
-        if new:
-            self.chars += sum(map(_letters, new))
-            self._learn(new)
-            self.uses.extend(np.zeros(len(new), np.int64))
-        at = np.concatenate(used)
-        self.uses.values[:] += np.bincount(at, minlength=len(numbers))
-        sizes = self.sizes.values[at]
-        ends = np.cumsum(sizes)
-        flat = self.ids.values[np.repeat(self.places.values[at] - (ends - sizes), sizes) + np.arange(ends[-1])]
-        before = np.r_[0, ends]
-        return flat, np.diff(before[np.r_[0, np.cumsum([len(u) for u in used])]])
-
-
-def _letters(segment: str | tuple[str]) -> int:
-    return len(segment[0]) if isinstance(segment, tuple) else len(segment)
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.large_string()).cast(pa.large_binary())
+        segments, bounds = self.segments(texts)
+        coded = segments.dictionary_encode()
+        known, distinct = len(self.numbers), coded.dictionary
+        numbers = np.zeros(len(distinct), np.int64)
+        for i in range(0, len(distinct), LOOKED_UP):
+            some = distinct.slice(i, LOOKED_UP).to_numpy(zero_copy_only=False).tolist()
+            numbers[i : i + len(some)] = np.fromiter(map(self.numbers.__getitem__, some), np.int64, len(some))
+        if len(self.numbers) > known:
+            self._learn(distinct.filter(pa.array(numbers >= known)))
+        used = coded.indices.to_numpy()
+        self.uses.values[numbers] += np.bincount(used, minlength=len(numbers))
+        sizes = self.sizes.values[numbers][used]
+        flat = self.ids.values[_runs(self.places.values[numbers][used], sizes)]
+        return flat, np.diff(np.r_[0, np.cumsum(sizes)][bounds])
+
+
+def _runs(places: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices of all runs one after the other, from each place on."""
+    ends = np.cumsum(sizes)
+    n = int(ends[-1]) if len(ends) else 0
+    at = np.repeat(places - (ends - sizes), sizes)
+    at += np.arange(n)
+    return at
+
+
+def _bytes_of(array: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of an array, and where each value begins in them (and the last ends)."""
+    _, offsets, data = array.buffers()
+    bounds = np.frombuffer(offsets, np.int64, len(array) + 1, 8 * array.offset) if len(array) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+    return data[bounds[0] : bounds[-1]], bounds - bounds[0]
+
+
+def _is_opening(data: np.ndarray) -> np.ndarray:
+    return (data == 0x20) | (data == 0x0A)
+
+
+def _behind_solid(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends at each place is there, and neither white space nor a
+    control character of one byte."""
+    last = data[at - 1]
+    solid = (at > 0) & (last > 0x20) & (last != 0x7F)
+    wide = np.flatnonzero(solid & (last >= 0x80))
+    codes = sum(data[at[wide] - n].astype(np.int32) << 8 * (n - 1) for n in (1, 2, 3))
+    solid[wide] = ~(np.isin(codes & 0xFFFF, _WIDE_SPACES) | np.isin(codes, _WIDE_SPACES))
+    return solid
 
 
 def kept_encoder(content: bytes) -> Encoder:
@@ -213,11 +273,6 @@ def kept_encoder(content: bytes) -> Encoder:
     return cache["encoder"][key]
 
 
-_ODD_PAIRS = ("  ", " \n", "\n ", "\n\n")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
-_BEFORE_WORD = re.compile(r"(?= \S)")
-
-
 def cuts_at_spaces(spec: dict) -> bool:
     """Whether a tokenizer file never joins what stands before a space and a word with it."""
     cutter = spec.get("pre_tokenizer") or {}
@@ -230,7 +285,7 @@ def cuts_at_spaces(spec: dict) -> bool:
         and cutter.get("add_prefix_space") is False
         and spec["model"].get("type") == "BPE"
         and not any(t.get(k) for t in added for k in ("lstrip", "rstrip", "single_word", "normalized"))
-        and not any(" " in t["content"] for t in added)
+        and not any(c.isspace() for t in added for c in t["content"])
     )
 
 
@@ -343,7 +398,7 @@ def write(
             column = pa.Array.from_buffers(pa.binary(), 1, [None, offsets, pa.py_buffer(content)])
             return pa.RecordBatch.from_arrays([column], ["content"])
 
-        for some, texts in text_groups(batches):
+        for some, texts in text_arrays(batches, GROUP_BYTES):
             encoder = encoder or kept_encoder(shared.value)
             flat, counts = encoder.encode(texts)
             if end is not None:

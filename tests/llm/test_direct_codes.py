@@ -1,14 +1,17 @@
 """Token ids in directly addressable codes, and the files made of them."""
 
+import json
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from conftest import SMALL
 from sensorloom.llm import queries, token_files
+from sensorloom.llm.arrow import text_arrays
 from sensorloom.llm.direct_codes import Bitmap, DirectCodes
 from sensorloom.session import work_dir
 
@@ -61,6 +64,61 @@ def test_encoder_equals_the_library_also_when_it_forgets(monkeypatch):
     assert len(encoder.numbers) < 4000
 
 
+def test_encoder_equals_the_library_at_marks_and_wide_spaces(monkeypatch):
+    monkeypatch.setattr(token_files, "SEGMENTS", 400)
+    path = queries.tokenizer_path()
+    library, draw = Tokenizer.from_file(path), random.Random(6)
+    letters = [" ", "\n", "Ab", "c", "s", "'", "ll", ",", ".", "!!", "_", "-", "|", "<", ">", "9", "é", "”", "–", "ы", "東"]
+    letters += ["\x7f", "\x1d", "\t", "\x85", "\xa0", "\u1680", "\u180e", "\u2009", "\u2028", "\u3000", "\u200b", "<|endoftext|>"]
+    encoder = token_files.Encoder(open(path, "rb").read())
+    for _ in range(20):
+        texts = ["".join(draw.choice(letters) for _ in range(draw.randint(0, 20))) for _ in range(400)]
+        flat, counts = encoder.encode(texts)
+        expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == [len(e) for e in expected]
+        assert flat.tolist() == [i for e in expected for i in e]
+
+
+def test_a_word_goes_through_the_library_once_whatever_mark_follows():
+    path, sent = queries.tokenizer_path(), []
+    library, encoder = Tokenizer.from_file(path), token_files.Encoder(open(path, "rb").read())
+    plain = encoder._ids
+    encoder._ids = lambda texts: sent.extend(texts) or plain(texts)
+    words = ["".join(random.Random(i).choices("abcdefgh", k=12)) for i in range(200)]
+    texts = [" " + " ".join(word + mark for word in words) for mark in ("", ",", ".", "!!", ");", '?"')]
+    flat, _ = encoder.encode(texts)
+    assert flat.tolist() == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids]
+    assert sum(map(len, sent)) < 1.1 * len(texts[0])
+
+
+@pytest.mark.parametrize("normalizer", (None, {"type": "NFC"}))
+def test_encoder_takes_empty_texts_and_other_settings(normalizer):
+    spec = json.load(open(queries.tokenizer_path())) | {"normalizer": normalizer}
+    content = json.dumps(spec).encode()
+    library, encoder = Tokenizer.from_str(content.decode()), token_files.Encoder(content)
+    for texts in (["", ""], ["e\u0301, x", "", "  e\u0301, x ", "a.b\nc", "a.b\nc", ""], [""]):
+        flat, counts = encoder.encode(texts)
+        expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == [len(e) for e in expected]
+        assert flat.tolist() == [i for e in expected for i in e]
+
+
+def test_groups_of_texts_in_arrow():
+    rows = [(None, "a"), (1, None), (2, ""), (3, "éé" * 10), (4, "x"), (5, "y" * 50), (6, None)]
+    table = pa.table({"key": [k for k, _ in rows], "text": [t for _, t in rows]})
+    for limit in (1, 5, 30, 1000):
+        found = list(text_arrays([*table.slice(0, 4).to_batches(2), *table.slice(4).to_batches()], limit))
+        assert [k for keys, _ in found for k in keys] == [k for k, _ in rows]
+        assert [t.decode() for _, texts in found for t in texts.to_pylist()] == [t or "" for _, t in rows]
+        assert all(len(keys) == len(texts) for keys, texts in found)
+        assert len(found) == {1: 7, 5: 3, 30: 3, 1000: 1}[limit]
+
+
+def test_added_tokens_with_a_line_end_take_whole_texts():
+    spec = {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}, "model": {"type": "BPE"}}
+    assert not token_files.cuts_at_spaces(spec | {"added_tokens": [{"content": "a\nb"}]})
+
+
 def test_other_tokenizer_settings_take_whole_texts():
     spec = {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}, "model": {"type": "BPE"}}
     assert token_files.cuts_at_spaces(spec)
